@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import narrow, slices
+from .scratch import ROWS_PER_BATCH, narrow, slices
 
 FIT_DOCS, KEEP_WORDS, KEEP_GRAMS, MAX_GRAM, STEP_DOWN, CACHE = 20_000, 60_000, 20_000, 4, 0.9, 200_000
 #: Below this the pipeline's stage treats the language as unknown.
@@ -155,3 +155,24 @@ def language_id(docs: DataFrame) -> DataFrame:
 
     scored = narrow(docs, "doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
     return scored.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")
+
+
+def keep_recognised(docs: DataFrame) -> DataFrame:
+    """The documents with a recognised language, ``lang`` filled in where it is null; same columns."""
+    spark = docs.sparkSession
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
+    model = spark.sparkContext.broadcast(fit(base.where(~held_out("doc_id", 3, 1))))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
+    columns = docs.columns
+    ready = docs.select(F.lit(0).cast("long").alias("_row"), F.coalesce("text", F.lit("")).alias("_text"), *columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = model.value
+        for b in slices(batches):
+            got = [m.predict(t) for t in b.column(1).to_pylist()]
+            keep = pa.array([p != "und" and s >= MIN_SCORE for p, s in got], pa.bool_())
+            out = {c: b.column(2 + k) for k, c in enumerate(columns)}
+            out["lang"] = pa.array([x if x is not None else p for x, (p, _) in zip(out["lang"].to_pylist(), got, strict=True)], out["lang"].type)
+            yield pa.RecordBatch.from_arrays([out[c] for c in columns], names=columns).filter(keep)
+
+    return ready.mapInArrow(run, docs.schema)

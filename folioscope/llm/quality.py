@@ -18,8 +18,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .scratch import narrow, slices
+from .scratch import ROWS_PER_BATCH, narrow, slices
 from .wordhash import SPACE_EXACT, utf8, windows, words
 
 MIN_WORDS, MAX_REPEAT_PERCENT, MAX_LOSS_PERCENT, WINDOW = 20, 30, 40, 8
@@ -158,3 +159,27 @@ def quality_rules(docs: DataFrame) -> DataFrame:
             yield assess(b)
 
     return narrow(docs, "doc_id", "text").mapInArrow(run, SCHEMA)
+
+
+def keep_clean(docs: DataFrame) -> DataFrame:
+    """The documents that pass, without their failing lines; same columns, ``n_chars`` of the new text.
+
+    Nothing is shuffled: the other columns travel through the map beside the text.
+    """
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
+    columns, types = docs.columns, dict(docs.dtypes)
+    rest = [c for c in columns if c != "text"]
+    ready = docs.select(F.lit(0).cast("long").alias("_row"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *rest)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            r = assess(b.select([0, 1]))
+            kept = r.column("kept")
+            by_name = {c: b.column(2 + k) for k, c in enumerate(rest)} | {"text": r.column("clean_text")}
+            yield pa.RecordBatch.from_arrays([by_name[c] for c in columns], names=columns).filter(kept)
+
+    schema = ready.select(*columns).schema
+    out = ready.mapInArrow(run, schema)
+    if "n_chars" in types:
+        out = out.withColumn("n_chars", F.length("text").cast(types["n_chars"])).select(*columns)
+    return out

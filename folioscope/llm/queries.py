@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, ngram_join, packing, quality
+from . import decontaminate, html_extract, langid, ngram_join, packing, quality
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -35,12 +35,17 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(table(spark, sf_dir, "documents"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op4_quality_rules": op4_quality_rules,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_decontamination": op7_decontamination,
     "op8_language_id": op8_language_id,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 ORACLES: dict[str, str] = {
