@@ -6,15 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_extract, langid, ngram_join, packing, quality
+from . import decontaminate, html_extract, langid, ngram_join, packing, quality, unigram, warc
 
-WORD_BPE = "word_bpe_49k.json"
+WORD_BPE, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unigram.token_counts(table(spark, sf_dir, "documents"), PIECES)
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(table(spark, sf_dir, "documents"))
 
@@ -27,6 +31,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -40,9 +48,11 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op4_quality_rules": op4_quality_rules,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_warc": op6_warc,
     "op7_decontamination": op7_decontamination,
     "op8_language_id": op8_language_id,
     "op10_html_extraction": op10_html_extraction,
