@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_extract, langid, ngram_join, packing, quality, unigram, warc
+from . import decontaminate, html_extract, langid, lm_score, ngram_join, packing, quality, unigram, warc
 
 WORD_BPE, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
 
@@ -23,6 +23,10 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(table(spark, sf_dir, "documents"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.lm_scores(table(spark, sf_dir, "documents"), PIECES)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents")).drop("clean_text")
 
@@ -50,6 +54,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_quality_rules": op4_quality_rules,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_warc": op6_warc,
