@@ -1,0 +1,84 @@
+"""Quote alignment: the place in a word stream that a quotation most likely comes from."""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+from difflib import SequenceMatcher
+
+import pandas as pd
+from pyspark.sql import DataFrame
+
+_WORD = re.compile("[a-z0-9]+")
+_SPEAKER = re.compile(r"^[A-Z][A-Za-z .'-]{0,40}: +")
+LEAST_COVERAGE, BAND, APART, SEEDS = 0.5, 0.05, 5, 4
+
+
+def tokens_at(text: str) -> tuple[list[str], list[int], list[int]]:
+    found = list(_WORD.finditer(text.lower()))
+    return [m[0] for m in found], [m.start() for m in found], [m.end() for m in found]
+
+
+def seeds(words: list[str], quote: list[str]) -> list[int]:
+    """Places where all but one of the quote's first tokens match, in position."""
+    head = quote[:SEEDS]
+    need = max(2, len(head) - 1) if len(head) > 1 else 1
+    votes: dict[int, int] = {}
+    where: dict[str, list[int]] = {}
+    for i, w in enumerate(words):
+        if w in head:
+            where.setdefault(w, []).append(i)
+    for k, w in enumerate(head):
+        for i in where.get(w, ()):
+            if i >= k:
+                votes[i - k] = votes.get(i - k, 0) + 1
+    return sorted(i for i, n in votes.items() if n >= need)
+
+
+def align(text: str, quote: str) -> tuple[int, int, float, str] | None:
+    """(start, end, coverage, state) in code points, or None; state is aligned or ambiguous."""
+    words, begin, end = tokens_at(text)
+    q = tokens_at(_SPEAKER.sub("", quote))[0]
+    if not q or not words:
+        return None
+    span = len(q) + max(4, len(q) // 2)
+    scored = []
+    for s in seeds(words, q):
+        blocks = [b for b in SequenceMatcher(None, q, words[s : s + span], autojunk=False).get_matching_blocks() if b.size]
+        if blocks:
+            scored.append((sum(b.size for b in blocks) / len(q), s + blocks[0].b, s + blocks[-1].b + blocks[-1].size - 1))
+    if not scored:
+        blocks = [b for b in SequenceMatcher(None, q, words, autojunk=False).get_matching_blocks() if b.size]
+        if not blocks:
+            return None
+        first, last = blocks[0].b, blocks[-1].b + blocks[-1].size - 1
+        if last - first + 1 > max(4 * len(q), len(q) + 40):  # scattered hits are no quotation
+            return None
+        scored = [(sum(b.size for b in blocks) / len(q), first, last)]
+    scored.sort(key=lambda x: (-x[0], x[1]))
+    coverage, first, last = scored[0]
+    if coverage < LEAST_COVERAGE:
+        return None
+    rivals = [x for x in scored[1:] if coverage - x[0] <= BAND and abs(x[1] - first) > APART]
+    return begin[first], end[last], round(coverage, 4), "ambiguous" if rivals else "aligned"
+
+
+def align_quotes(rows: DataFrame, keys: list[str], text: str, quote: str) -> DataFrame:
+    """(keys, start, end, coverage, state); state is unaligned, with nulls, where nothing fits. A narrow map over (record, quote) rows."""
+    kinds = dict(rows.dtypes)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for df in batches:
+            found = [align(t or "", q or "") or (None, None, None, "unaligned") for t, q in zip(df[text], df[quote], strict=True)]
+            out = df[keys].reset_index(drop=True)
+            for k, name in enumerate(("start", "end", "coverage", "state")):
+                out[name] = pd.Series([f[k] for f in found], dtype="Int64" if k < 2 else "Float64" if k == 2 else "object")
+            yield out
+
+    return rows.select(*keys, text, quote).mapInPandas(run, ", ".join(f"{k} {kinds[k]}" for k in keys) + ", start long, end long, coverage double, state string")
+
+
+def alignment_counts(aligned: DataFrame) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    return aligned.agg(F.count_if(F.col("state") != "unaligned").alias("aligned"), F.count_if(F.col("state") == "unaligned").alias("unaligned"), F.count_if(F.col("state") == "ambiguous").alias("ambiguous"), F.count(F.lit(1)).alias("total"))

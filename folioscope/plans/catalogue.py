@@ -1,10 +1,483 @@
-"""The registered queries of the evidence engine and the SQL that states the same results."""
+"""The registered queries of the evidence engine over the driver's tables, and the SQL that states the same results.
+
+The driver has no digests, so each query puts an operator on a faithful stand-in: documents are record bodies, benchmark texts
+quotations, conversations claims with speakers, events timed points and intervals, orders and line items references and roles.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import codes, lint
+from ..functions import text as T
+from ..operators import dedup, entail, evaluation, graph, health, joins, salience, spans
+from ..operators.align import align_quotes
+from ..operators.chunks import chunk_rows
+from ..session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+# translate() of A-Z, as lower() differs between engines beyond ASCII
+_LOW = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql.strip()
+        return f
+
+    return register
+
+
+def low(c: str) -> str:
+    return _LOW.format(c)
+
+
+@query(rf"""
+WITH d AS (SELECT doc_id, trim(regexp_replace({low('text')}, '[ \t\r\n]+', ' ', 'g')) AS t FROM documents),
+q AS (SELECT item_id, trim(regexp_replace({low('text')}, '[ \t\r\n]+', ' ', 'g')) AS q FROM benchmark),
+h AS (SELECT item_id, doc_id, strpos(t, q) - 1 AS s, length(q) AS n FROM d JOIN q ON contains(t, q))
+SELECT item_id, doc_id, s::INT AS "start", (s + n)::INT AS "end", 'contiguous' AS status FROM h
+UNION ALL SELECT item_id, NULL, -1, -1, 'broken' FROM q WHERE item_id NOT IN (SELECT item_id FROM h)""")
+def q01_quote_location(spark, d):
+    return spans.quote_locations(table(spark, d, "documents"), table(spark, d, "benchmark")).withColumn("start", F.col("start").cast("int")).withColumn("end", F.col("end").cast("int"))
+
+
+@query(f"""
+SELECT doc_id, lang, source FROM (SELECT *, row_number() OVER (PARTITION BY {low('trim(text)')}, lang ORDER BY doc_id) AS r FROM documents) WHERE r = 1""")
+def q02_claim_dedup_first_wins(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source", F.sha2(T.lowered(F.trim("text")), 256).alias("proposition"))
+    return dedup.first_wins(docs, ["proposition", "lang"], ["doc_id"]).select("doc_id", "lang", "source")
+
+
+@query("""
+WITH h AS (SELECT DISTINCT item_id FROM benchmark b JOIN documents d ON contains(d.text, b.text))
+SELECT count(DISTINCT b.text)::BIGINT AS quotes, count(DISTINCT CASE WHEN h.item_id IS NOT NULL THEN b.text END)::BIGINT AS located,
+  count(DISTINCT CASE WHEN h.item_id IS NOT NULL THEN b.text END) / nullif(count(DISTINCT b.text), 0)::DOUBLE AS fidelity
+FROM benchmark b LEFT JOIN h USING (item_id)""")
+def q03_quote_fidelity_distinct(spark, d):
+    quotes = table(spark, d, "benchmark")
+    found = spans.quote_locations(table(spark, d, "documents"), quotes).where("status <> 'broken'").select("item_id").distinct()
+    return evaluation.fidelity(quotes.join(found.withColumn("hit", F.lit(True)), "item_id", "left"), "text", "hit")
+
+
+_INTERVALS = """
+iv AS (SELECT user_id, event_id, epoch_us(ts) // 1000000 AS s, epoch_us(ts) // 1000000 + 60 + CAST(floor(value) AS BIGINT) * 60 AS e FROM events),
+"""
+
+
+def intervals(spark, d) -> DataFrame:
+    """Per user: an interval of some minutes at each event, in whole seconds."""
+    at = F.expr("unix_micros(cast(ts as timestamp)) div 1000000")
+    return table(spark, d, "events").select("user_id", "event_id", at.alias("start"), (at + 60 + F.floor("value") * 60).alias("end"))
+
+
+@query(f"""
+WITH {_INTERVALS}
+g AS (SELECT user_id, w AS window_id, 1704067200 + w * 432000 AS g0, 1704067200 + w * 432000 + 86400 AS g1 FROM (SELECT DISTINCT user_id FROM events), (SELECT unnest(range(6)) AS w)),
+c AS (SELECT g.user_id, window_id, g0, g1, greatest(s, g0) AS s, least(e, g1) AS e FROM g JOIN iv ON iv.user_id = g.user_id AND s < g1 AND e > g0),
+o AS (SELECT *, max(e) OVER (PARTITION BY user_id, window_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM c),
+u AS (SELECT user_id, window_id, sum(greatest(0, e - greatest(s, coalesce(r, s)))) AS covered FROM o GROUP BY ALL)
+SELECT g.user_id, g.window_id::INT AS window_id, (g1 - g0)::BIGINT AS length, coalesce(covered, 0)::BIGINT AS covered FROM g LEFT JOIN u USING (user_id, window_id)""")
+def q04_interval_union_coverage(spark, d):
+    iv = intervals(spark, d)
+    days = iv.select("user_id").distinct().select("user_id", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("window_id"))
+    gold = days.select("user_id", "window_id", (F.lit(1704067200) + F.col("window_id") * 432000).cast("long").alias("start"), (F.lit(1704067200 + 86400) + F.col("window_id") * 432000).cast("long").alias("end"))
+    return spans.union_coverage(gold, iv, ["user_id"], "window_id")
+
+
+@query(f"""
+WITH {_INTERVALS}
+p AS (SELECT user_id, event_id, s + 30 AS pt FROM iv),
+b AS (SELECT p.user_id, p.event_id, arg_min(iv.event_id, (iv.e - iv.s) * 1000000 + iv.event_id) AS bound FROM p JOIN iv ON iv.user_id = p.user_id AND pt BETWEEN s AND e GROUP BY ALL)
+SELECT event_id, bound, bound = event_id AS own FROM b""")
+def q05_smallest_container_binding(spark, d):
+    iv = intervals(spark, d)
+    points = iv.select("user_id", "event_id", (F.col("start") + 30).alias("at"))
+    around = iv.select("user_id", F.col("event_id").alias("span_id"), "start", "end")
+    bound = spans.smallest_container(points, around, ["user_id"], "event_id", "at", "span_id", ["span_id"])
+    return bound.select("event_id", "bound", (F.col("bound") == F.col("event_id")).alias("own"))
+
+
+@query("""
+WITH a AS (SELECT user_id, ts AS a_ts, event_id AS next_purchase FROM events WHERE event_type = 'purchase'), l AS (SELECT user_id, arg_max(next_purchase, a_ts) AS last FROM a GROUP BY 1)
+SELECT e.event_id, coalesce(a.next_purchase, l.last) AS next_purchase FROM (SELECT * FROM events WHERE event_type = 'view') e
+ASOF LEFT JOIN a ON e.user_id = a.user_id AND e.ts <= a.a_ts LEFT JOIN l ON l.user_id = e.user_id""")
+def q06_asof_forward(spark, d):
+    e = table(spark, d, "events")
+    anchors = e.where("event_type = 'purchase'").select("user_id", F.col("ts").alias("a_ts"), F.col("event_id").alias("next_purchase"))
+    points = e.where("event_type = 'view'").select("user_id", "ts", "event_id")
+    return joins.nearest_forward(points, anchors, ["user_id"], "ts", "a_ts", "next_purchase").select("event_id", "next_purchase")
+
+
+@query("""
+SELECT bucket, count(*)::BIGINT AS n, count(DISTINCT user_id)::BIGINT AS users FROM (SELECT user_id, (epoch_us(ts) // 1000000 % 86400) // 4 * 4 AS bucket FROM events) GROUP BY 1""")
+def q07_time_bucket(spark, d):
+    e = table(spark, d, "events").select("user_id", codes.time_bucket(F.expr("unix_micros(cast(ts as timestamp)) div 1000000 % 86400")).alias("bucket"))
+    return e.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("users"))
+
+
+@query("""
+WITH RECURSIVE e AS (SELECT conv_id, turn AS dependent, turn - 1 AS ancestor FROM conversations c WHERE EXISTS (SELECT 1 FROM conversations p WHERE p.conv_id = c.conv_id AND p.turn = c.turn - 1)),
+r AS (SELECT * FROM e UNION SELECT r.conv_id, r.dependent, e.ancestor FROM r JOIN e ON e.conv_id = r.conv_id AND e.dependent = r.ancestor)
+SELECT DISTINCT conv_id, dependent, ancestor FROM r""")
+def q08_ancestor_closure(spark, d):
+    c = table(spark, d, "conversations")
+    edges = c.select("conv_id", F.col("turn").alias("dependent"), (F.col("turn") - 1).alias("ancestor"))
+    return graph.ancestors(edges, c.select("conv_id", F.col("turn").alias("id")), ["conv_id"])
+
+
+@query("""
+WITH t AS (SELECT DISTINCT a.conv_id, a.turn AS before, b.turn AS after FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND a.turn < b.turn),
+p AS (SELECT DISTINCT a.conv_id, a.turn AS before, b.turn AS after FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND length(a.text) < length(b.text))
+SELECT outcome, count(*)::BIGINT AS pairs FROM (
+  SELECT CASE WHEN EXISTS (SELECT 1 FROM p WHERE p.conv_id = t.conv_id AND p.before = t.before AND p.after = t.after) THEN 'correct'
+    WHEN EXISTS (SELECT 1 FROM p WHERE p.conv_id = t.conv_id AND p.before = t.after AND p.after = t.before) THEN 'wrong_direction' ELSE 'abstained' END AS outcome FROM t) GROUP BY 1""")
+def q09_before_pairs_score(spark, d):
+    c = table(spark, d, "conversations").select("conv_id", "turn", F.length("text").alias("n"))
+    chain = graph.closure(c.select("conv_id", F.col("turn").alias("a"), F.lead("turn").over(Window.partitionBy("conv_id").orderBy("turn")).alias("b")).where("b is not null and a < b"), ["conv_id"])
+    truth = chain.select("conv_id", F.col("a").alias("before"), F.col("b").alias("after"))
+    said = c.select("conv_id", F.col("turn").alias("before"), F.col("n").alias("n1")).join(c.select("conv_id", F.col("turn").alias("after"), F.col("n").alias("n2")), "conv_id").where("n1 < n2")
+    return graph.order_score(truth, said, ["conv_id"]).groupBy("outcome").agg(F.count(F.lit(1)).alias("pairs"))
+
+
+@query(f"""
+SELECT doc_id, len(ws)::INT AS n_tokens, len(list_distinct(ws))::INT AS n_distinct FROM (SELECT doc_id, regexp_extract_all({low('text')}, '[a-z0-9]+') AS ws FROM documents)""")
+def q10_tokenise_words(spark, d):
+    ws = table(spark, d, "documents").select("doc_id", T.tokens(F.col("text")).alias("ws"))
+    return ws.select("doc_id", F.size("ws").alias("n_tokens"), F.size(F.array_distinct("ws")).alias("n_distinct"))
+
+
+@query(f"""
+WITH r AS (SELECT doc_id, regexp_extract_all({low('text')}, '[^a-z0-9]*[a-z0-9]+') AS rs FROM documents),
+x AS (SELECT doc_id, rs, unnest(generate_series(1, len(rs))) AS pos FROM r),
+y AS (SELECT doc_id, pos, rs[pos] AS run, sum(length(rs[pos])) OVER (PARTITION BY doc_id ORDER BY pos) AS e FROM x)
+SELECT doc_id, (pos - 1)::INT AS pos, regexp_extract(run, '[a-z0-9]+$') AS word, (e - length(regexp_extract(run, '[a-z0-9]+$')))::INT AS "at" FROM y""")
+def q11_word_offsets(spark, d):
+    return spans.word_offsets(table(spark, d, "documents"), "doc_id", "text")
+
+
+@query()
+def q12_chunk_documents(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return chunk_rows(docs, "doc_id", "text", 4000, 1000).select("doc_id", "idx", "start", "end", F.sha2("text", 256).alias("sha"))
+
+
+@query("""
+SELECT doc_id, (i - 1)::INT AS part, length(ps[i])::INT AS chars FROM (SELECT doc_id, string_split(text, chr(10)) AS ps, unnest(generate_series(1, len(string_split(text, chr(10))))) AS i FROM documents)""")
+def q13_chapter_split(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("part", "p")).select("doc_id", "part", F.length("p").alias("chars"))
+
+
+@query(r"""
+SELECT page_id, regexp_extract(url, '^https?://([^/:?#]+)', 1) AS host, length(regexp_replace(html, '<!--[^>]*-->', '', 'g'))::INT AS without_comments,
+  length(trim(regexp_replace(regexp_replace(regexp_replace(html, '<!--[^>]*-->', '', 'g'), '<[^>]*>', ' ', 'g'), '[ \t\r\n]+', ' ', 'g')))::INT AS text_chars FROM pages""")
+def q14_page_annotation_strip(spark, d):
+    bare = F.regexp_replace("html", "<!--[^>]*-->", "")
+    return table(spark, d, "pages").select(
+        "page_id", F.regexp_extract("url", "^https?://([^/:?#]+)", 1).alias("host"), F.length(bare).alias("without_comments"), F.length(T.collapsed(F.regexp_replace(bare, "<[^>]*>", " "))).alias("text_chars")
+    )
+
+
+@query(f"""
+WITH a AS (SELECT doc_id AS a, list_distinct(regexp_extract_all({low('text')}, '[a-z0-9]+')) AS ta FROM documents),
+b AS (SELECT item_id AS b, list_distinct(regexp_extract_all({low('text')}, '[a-z0-9]+')) AS tb FROM benchmark),
+p AS (SELECT a, b, len(list_intersect(ta, tb)) AS i, len(ta) + len(tb) - len(list_intersect(ta, tb)) AS u FROM a, b)
+SELECT a AS doc_id, b AS item_id, round(i / u, 9) AS similarity FROM p WHERE u > 0 AND i / u >= 0.2""")
+def q15_jaccard_match(spark, d):
+    left = table(spark, d, "documents").select(F.col("doc_id").alias("a"), F.array_distinct(T.tokens(F.col("text"))).alias("ta"))
+    right = table(spark, d, "benchmark").select(F.col("item_id").alias("b"), F.array_distinct(T.tokens(F.col("text"))).alias("tb"))
+    return joins.jaccard_matches(left, right, 0.2).select(F.col("a").alias("doc_id"), F.col("b").alias("item_id"), F.round("similarity", 9).alias("similarity"))
+
+
+@query(f"""
+WITH n AS (SELECT p_brand, min(p_partkey) AS k, p_name FROM part GROUP BY p_brand, p_name), t AS (SELECT p_brand, k, list_distinct(regexp_extract_all({low('p_name')}, '[a-z0-9]+')) AS ts FROM n)
+SELECT a.p_brand, a.k AS gold, b.k AS predicted, round(2.0 * len(list_intersect(a.ts, b.ts)) / (len(a.ts) + len(b.ts)), 9) AS dice
+FROM t a JOIN t b ON a.p_brand = b.p_brand AND a.k < b.k WHERE len(list_intersect(a.ts, b.ts)) > 0 AND 2.0 * len(list_intersect(a.ts, b.ts)) / (len(a.ts) + len(b.ts)) >= 0.28""")
+def q16_dice_semantic_candidates(spark, d):
+    names = table(spark, d, "part").groupBy("p_brand", "p_name").agg(F.min("p_partkey").alias("k")).withColumn("ts", F.array_distinct(T.tokens(F.col("p_name"))))
+    right = names.select("p_brand", F.col("k").alias("predicted"), F.col("ts").alias("tb"))
+    pairs = names.select("p_brand", F.col("k").alias("gold"), "ts").join(right, "p_brand").where("gold < predicted")
+    return evaluation.candidates(pairs, F.col("ts"), F.col("tb")).select("p_brand", "gold", "predicted", F.round("score", 9).alias("dice"))
+
+
+@query(f"""
+SELECT c_custkey AS ext_id, min(s_suppkey) AS golden_id FROM (SELECT c_custkey, trim(regexp_replace({low("replace(c_name, 'Customer', 'Mr. Company')")}, '[^a-z0-9]+', ' ', 'g')) AS n FROM customer) c
+JOIN (SELECT s_suppkey, trim(regexp_replace({low("replace(s_name, 'Supplier', 'Company')")}, '[^a-z0-9]+', ' ', 'g')) AS n FROM supplier) s ON regexp_replace(c.n, '^((mr|dr) )+', '') = s.n GROUP BY 1""")
+def q17_name_variants_alias_join(spark, d):
+    ext = table(spark, d, "customer").select(F.col("c_custkey").alias("ext_id"), F.expr("replace(c_name, 'Customer', 'Mr. Company')").alias("name"))
+    gold = table(spark, d, "supplier").select(F.col("s_suppkey").alias("golden_id"), F.expr("replace(s_name, 'Supplier', 'Company')").alias("name"))
+    return joins.alias_matches(ext, gold)
+
+
+@query(f"""
+WITH p AS (SELECT p_partkey, list_distinct(list_filter(regexp_extract_all({low("p_name || ' ' || p_type")}, '[a-z0-9]+'), lambda x: length(x) >= 3)) AS ts FROM part),
+g AS (SELECT min(p_partkey) AS k, list_sort(ts) AS ts FROM p WHERE p_partkey < 200 GROUP BY 2),
+m AS (SELECT p.p_partkey AS ext_id, g.k AS golden_id, len(list_intersect(p.ts, g.ts)) AS common, len(g.ts) AS n FROM p, g),
+r AS (SELECT *, row_number() OVER (PARTITION BY ext_id ORDER BY common / n DESC, golden_id) AS r FROM m WHERE common >= 2 AND common >= 0.6 * n)
+SELECT ext_id, golden_id, common::INT AS common, n::INT AS n FROM r WHERE r = 1""")
+def q18_loose_token_match(spark, d):
+    names = table(spark, d, "part").select("p_partkey", F.concat_ws(" ", "p_name", "p_type").alias("name"))
+    found = joins.loose_matches(names.withColumnRenamed("p_partkey", "ext_id"), names.where("p_partkey < 200").withColumnRenamed("p_partkey", "golden_id"))
+    return found.select("ext_id", "golden_id", F.col("common").cast("int").alias("common"), "n")
+
+
+@query("""
+SELECT o_orderpriority AS name, count(*) FILTER (o_orderstatus = 'F')::BIGINT AS subject, count(*) FILTER (o_orderstatus = 'O')::BIGINT AS participant, count(*) FILTER (o_orderstatus = 'P')::BIGINT AS unassessed, count(*)::BIGINT AS total
+FROM orders GROUP BY o_orderpriority UNION ALL SELECT '*', count(*) FILTER (o_orderstatus = 'F'), count(*) FILTER (o_orderstatus = 'O'), count(*) FILTER (o_orderstatus = 'P'), count(*) FROM orders""")
+def q19_role_mix(spark, d):
+    refs = table(spark, d, "orders").select(F.col("o_orderpriority").alias("name"), F.expr("CASE o_orderstatus WHEN 'F' THEN 'subject' WHEN 'O' THEN 'participant' END").alias("role"))
+    return salience.role_mix(refs).select("name", "subject", "participant", "unassessed", "total")
+
+
+@query("""
+WITH s AS (SELECT l_orderkey, count(*) AS n, min(l_returnflag) AS role FROM lineitem GROUP BY 1)
+SELECT count(*)::BIGINT AS claims, count(*) FILTER (n = 1)::BIGINT AS sole, count(*) FILTER (n = 1 AND role <> 'N')::BIGINT AS assessed, count(*) FILTER (n = 1 AND role = 'R')::BIGINT AS wrong,
+  count(*) FILTER (n = 1 AND role = 'R') / nullif(count(*) FILTER (n = 1 AND role <> 'N'), 0)::DOUBLE AS wrong_rate FROM s""")
+def q20_sole_reference(spark, d):
+    refs = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("claim_id"), F.expr("CASE l_returnflag WHEN 'A' THEN 'subject' WHEN 'R' THEN 'mentioned' END").alias("role"))
+    return salience.sole_reference(refs, "claim_id")
+
+
+@query("""
+SELECT p_brand AS name, count(*)::BIGINT AS assessed, count(DISTINCT l_suppkey)::BIGINT AS records, count(*) FILTER (l_returnflag = 'A') / count(*)::DOUBLE AS subject_rate
+FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1 HAVING count(DISTINCT l_suppkey) >= 5 AND count(*) FILTER (l_returnflag = 'A') / count(*)::DOUBLE > 0.25""")
+def q21_ambient_check(spark, d):
+    refs = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("p_partkey") == F.col("l_partkey"))
+    refs = refs.select(F.col("p_brand").alias("name"), F.col("l_suppkey").alias("record"), F.expr("CASE WHEN l_returnflag = 'A' THEN 'subject' ELSE 'mentioned' END").alias("role"))
+    return salience.ambient(refs)
+
+
+@query("""
+WITH y AS (SELECT c_custkey, n_nationkey, r_regionkey, count(o_orderkey) / (abs(c_acctbal) / 1000 + 1) AS rate FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey LEFT JOIN orders ON o_custkey = c_custkey GROUP BY ALL, c_acctbal),
+t AS (SELECT n_nationkey, median(rate) AS m, count(*) AS n FROM y GROUP BY 1), f AS (SELECT r_regionkey, median(rate) AS m, count(*) AS n FROM y GROUP BY 1), c AS (SELECT median(rate) AS m, count(*) AS n FROM y)
+SELECT c_custkey, round(rate, 6) AS rate, round(CASE WHEN t.n >= 5 THEN t.m WHEN f.n >= 5 THEN f.m WHEN c.n >= 5 THEN c.m END, 6) AS median
+FROM y JOIN t USING (n_nationkey) JOIN f USING (r_regionkey), c WHERE rate < 0.35 * CASE WHEN t.n >= 5 THEN t.m WHEN f.n >= 5 THEN f.m WHEN c.n >= 5 THEN c.m END""".replace("GROUP BY ALL, c_acctbal", "GROUP BY c_custkey, n_nationkey, r_regionkey, c_acctbal"))
+def q22_yield_low(spark, d):
+    made = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n"))
+    c = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("n_nationkey") == F.col("c_nationkey")).join(made, "c_custkey", "left")
+    rows = c.select("c_custkey", F.col("n_nationkey").alias("kind"), F.col("n_regionkey").alias("family"), (F.coalesce("n", F.lit(0)) / (F.abs("c_acctbal") / 1000 + 1)).alias("rate"))
+    return health.low_yield(rows, "kind", "family", "rate").select("c_custkey", F.round("rate", 6).alias("rate"), F.round("median", 6).alias("median"))
+
+
+@query("""
+SELECT l_suppkey AS key, sum(CASE WHEN l_returnflag = 'A' THEN l_quantity END)::BIGINT AS reads, sum(CASE WHEN l_returnflag = 'N' THEN l_quantity END)::BIGINT AS writes, count(*)::BIGINT AS calls,
+  round(sum(CASE WHEN l_returnflag = 'A' THEN l_quantity END) / sum(CASE WHEN l_returnflag = 'N' THEN l_quantity END), 6) AS ratio
+FROM lineitem GROUP BY 1 HAVING count(*) >= 6 AND sum(CASE WHEN l_returnflag = 'N' THEN l_quantity END) > 0""")
+def q23_cache_ratio_collapse(spark, d):
+    usage = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("key"), F.expr("CASE WHEN l_returnflag = 'A' THEN l_quantity END").alias("read"), F.expr("CASE WHEN l_returnflag = 'N' THEN l_quantity END").alias("write"))
+    out = health.cache_ratio(usage.groupBy("key").agg(F.sum("read").cast("long").alias("reads"), F.sum("write").cast("long").alias("writes"), F.count(F.lit(1)).alias("calls")))
+    return out.select("key", "reads", "writes", "calls", F.round("ratio", 6).alias("ratio"))
+
+
+@query("""
+WITH f AS (SELECT text, source, min(doc_id) AS first FROM documents GROUP BY ALL)
+SELECT d.doc_id, CASE WHEN e.text IS NULL THEN 'unknown' WHEN sha256(d.text) = sha256(e.text) THEN 'current' WHEN d.n_chars % 3 = 0 THEN 'prep_version' ELSE 'record_changed' END AS state
+FROM documents d LEFT JOIN documents e ON e.doc_id = d.doc_id - d.doc_id % 2""")
+def q24_freshness_partition(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "n_chars", F.sha2("text", 256).alias("sha"))
+    body = docs.select(F.col("doc_id").alias("record"), F.col("sha").alias("actual"))
+    joined = docs.join(body, docs.doc_id - docs.doc_id % 2 == body.record, "left")
+    prep = F.when(F.col("n_chars") % 3 == 0, 6).otherwise(7)
+    return joined.select("doc_id", codes.input_state(F.col("sha"), F.col("actual"), prep, F.lit(7)).alias("state"))
+
+
+@query("""
+SELECT key, count(*)::BIGINT AS records FROM (SELECT unnest(json_keys(props)) AS key FROM events UNION ALL SELECT unnest(['title', 'extra_' || event_type]) FROM events) WHERE key NOT IN ('title', 'date') GROUP BY 1""")
+def q25_unmapped_fields(spark, d):
+    e = table(spark, d, "events").withColumn("keys", F.concat(F.json_object_keys("props"), F.array(F.lit("title"), F.concat(F.lit("extra_"), "event_type"))))
+    return health.unmapped_fields(e, F.col("keys"), ["title", "date"])
+
+
+@query("""
+WITH n AS (SELECT c_custkey, c_mktsegment, c_acctbal, count(o_orderkey) AS n FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY ALL)
+SELECT c_custkey AS account_id, n::BIGINT AS claims, CASE WHEN c_mktsegment = 'MACHINERY' THEN 'no subject' WHEN c_acctbal < 0 THEN 'no anchor' WHEN n < 3 THEN 'few claims' END AS reason FROM n""")
+def q26_floor_filter(spark, d):
+    accounts = table(spark, d, "customer").select(F.col("c_custkey").alias("account_id"), F.expr("nullif(c_mktsegment, 'MACHINERY')").alias("subject"), F.expr("CASE WHEN c_acctbal >= 0 THEN 'x' END").alias("when"), F.lit(None).cast("string").alias("where"))
+    claims = table(spark, d, "orders").select(F.col("o_custkey").alias("account_id"))
+    return evaluation.floor_filter(accounts, claims).select("account_id", "claims", "reason")
+
+
+@query("""
+WITH x AS (SELECT lang, quality = 1 AS must, n_chars > 300 AS found FROM documents JOIN labels USING (doc_id))
+SELECT coalesce(lang, '*') AS type, count(*) FILTER (must)::BIGINT AS must, count(*) FILTER (must AND found)::BIGINT AS matched, count(*) FILTER (found)::BIGINT AS extracted, count(*) FILTER (found AND NOT must)::BIGINT AS denied,
+  count(*) FILTER (must AND found) / nullif(count(*) FILTER (must), 0)::DOUBLE AS recall, 1 - count(*) FILTER (found AND NOT must) / nullif(count(*) FILTER (found), 0)::DOUBLE AS precision
+FROM x GROUP BY ROLLUP (lang)""")
+def q27_golden_score(spark, d):
+    docs = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id")
+    return evaluation.golden_score(docs.select(F.col("lang").alias("type"), (F.col("quality") == 1).alias("must"), (F.col("n_chars") > 300).alias("found")))
+
+
+@query("""
+WITH p AS (SELECT count(DISTINCT o_orderpriority) AS n FROM orders), c AS (SELECT o_custkey, count(DISTINCT o_orderpriority) AS n FROM orders GROUP BY 1)
+SELECT n_name AS case_id, count(*)::BIGINT AS total, count(*) FILTER (c.n = p.n)::BIGINT AS passed, count(*) FILTER (c.n = p.n) / count(*)::DOUBLE AS rate FROM customer JOIN nation ON n_nationkey = c_nationkey LEFT JOIN c ON c.o_custkey = c_custkey, p GROUP BY 1""")
+def q28_fixture_dimensions(spark, d):
+    orders = table(spark, d, "orders").select(F.col("o_custkey").alias("account"), F.col("o_orderpriority").alias("concept"))
+    complete = evaluation.division(orders, "account", "concept", orders.select("concept").distinct())
+    cases = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("n_nationkey") == F.col("c_nationkey")).select(F.col("n_name").alias("case_id"), F.col("c_custkey").alias("account"))
+    rows = cases.join(complete.withColumn("passed", F.lit(True)), "account", "left").select("case_id", F.coalesce("passed", F.lit(False)).alias("passed"))
+    return evaluation.dimension_rates(rows, ["case_id"])
+
+
+@query("""
+WITH a AS (SELECT l_suppkey AS key, count(*) AS v FROM lineitem WHERE l_linenumber = 1 GROUP BY 1), b AS (SELECT l_suppkey AS key, count(*) AS v FROM lineitem WHERE l_linenumber = 2 GROUP BY 1)
+SELECT coalesce(a.key, b.key) AS key, CASE WHEN a.v IS NULL THEN 'better' WHEN b.v IS NULL THEN 'worse' WHEN b.v > a.v THEN 'better' WHEN b.v < a.v THEN 'worse' ELSE 'unchanged' END AS outcome FROM a FULL JOIN b ON a.key = b.key""")
+def q29_score_compare(spark, d):
+    half = lambda n: table(spark, d, "lineitem").where(F.col("l_linenumber") == n).groupBy(F.col("l_suppkey").alias("key")).agg(F.count(F.lit(1)).alias("value"))
+    return evaluation.compare_scores(half(1), half(2), "key").select("key", "outcome")
+
+
+@query("""
+SELECT o_orderstatus AS model, month AS loop, sum(n) OVER w::BIGINT AS items, sum(cents) OVER w::BIGINT AS cents FROM (
+  SELECT o_orderstatus, strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n, sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS cents FROM orders GROUP BY ALL) WINDOW w AS (PARTITION BY o_orderstatus ORDER BY month)""")
+def q30_cumulative_progression(spark, d):
+    loops = table(spark, d, "orders").groupBy(F.col("o_orderstatus").alias("model"), F.date_format("o_orderdate", "yyyy-MM").alias("loop")).agg(F.count(F.lit(1)).alias("items"), F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("cents"))
+    return health.progression(loops, ["model"], "loop", ["items", "cents"])
+
+
+@query("""
+SELECT l_suppkey AS model, round(avg(l_quantity), 6) AS mean, max(l_quantity) - min(l_quantity) AS spread, round(stddev_samp(l_quantity), 6) AS stdev, count(*)::BIGINT AS runs FROM lineitem GROUP BY 1""")
+def q31_repeat_statistics(spark, d):
+    out = health.repeat_statistics(table(spark, d, "lineitem").select(F.col("l_suppkey").alias("model"), F.col("l_quantity").alias("value")), "model", "value")
+    return out.select("model", F.round("mean", 6).alias("mean"), "spread", F.round("stdev", 6).alias("stdev"), "runs")
+
+
+@query()
+def q32_permutation_test(spark, d):
+    few = table(spark, d, "lineitem").where("l_linenumber <= 6").withColumn("arm", F.when(F.col("l_linenumber") <= 3, "a").otherwise("b"))
+    first = few.groupBy("l_suppkey", "arm", "l_linenumber").agg(F.avg("l_quantity").alias("value"))
+    return health.permutation_test(first.select(F.col("l_suppkey").alias("model"), "arm", "value"), "model")
+
+
+@query("""
+SELECT quality AS gold, toxic AS model, count(*)::BIGINT AS n, count(*) / (SELECT count(*) FROM labels)::DOUBLE AS share FROM labels GROUP BY ALL""")
+def q33_confusion_matrix(spark, d):
+    return evaluation.confusion(table(spark, d, "labels").select(F.col("quality").alias("gold"), F.col("toxic").alias("model")))
+
+
+@query("""
+SELECT conv_id, turn, CASE WHEN kind = 'speaker' AND relay = 0 THEN 'first_hand' WHEN kind = 'unattributed' THEN NULL WHEN relay <= 1 THEN 'second_hand' ELSE 'third_hand' END AS attestation,
+  CASE WHEN turn % 5 = 0 THEN 'in_text' WHEN kind = 'anonymous' THEN 'unknown' ELSE 'bare_ok' END AS mode
+FROM (SELECT conv_id, turn, CASE role WHEN 'user' THEN 'speaker' WHEN 'assistant' THEN 'anonymous' ELSE 'unattributed' END AS kind, turn % 3 AS relay FROM conversations)""")
+def q34_attestation_derivation(spark, d):
+    c = table(spark, d, "conversations").select("conv_id", "turn", F.expr("CASE role WHEN 'user' THEN 'speaker' WHEN 'assistant' THEN 'anonymous' ELSE 'unattributed' END").alias("kind"), F.expr("slice(array('x', 'y'), 1, cast(turn % 3 as int))").alias("relay"))
+    return c.select("conv_id", "turn", codes.attestation(F.col("kind"), F.col("relay"), F.lit(None).cast("string")).alias("attestation"), codes.attribution_mode(F.col("kind"), F.col("turn") % 5 == 0, F.lit("testimony")).alias("mode"))
+
+
+_STEM_SQL = "CASE WHEN p_partkey % 4 = 0 THEN p_name ELSE replace(p_name, ' ', '.') || '.' || left(sha256(p_brand), 8) || CASE WHEN p_partkey % 2 = 1 THEN '.run.' || p_type ELSE '' END END"
+
+
+@query(rf"""
+SELECT p_partkey, CASE WHEN hit THEN regexp_extract(stem, '{codes.STEM.replace(chr(92) * 2, chr(92))}', 1) ELSE stem END AS head, CASE WHEN hit THEN regexp_extract(stem, '{codes.STEM.replace(chr(92) * 2, chr(92))}', 2) ELSE '' END AS prompt_sha8,
+  CASE WHEN hit THEN coalesce(regexp_extract(stem, '{codes.STEM.replace(chr(92) * 2, chr(92))}', 3), '') ELSE '' END AS run_label
+FROM (SELECT p_partkey, {_STEM_SQL} AS stem, regexp_matches({_STEM_SQL}, '{codes.STEM.replace(chr(92) * 2, chr(92))}') AS hit FROM part)""")
+def q35_variant_codec(spark, d):
+    stem = F.when(F.col("p_partkey") % 4 == 0, F.col("p_name")).otherwise(F.concat(F.translate("p_name", " ", "."), F.lit("."), codes.prompt_sha8(F.array("p_brand")), F.when(F.col("p_partkey") % 2 == 1, F.concat(F.lit(".run."), "p_type")).otherwise("")))
+    return table(spark, d, "part").select("p_partkey", codes.split_stem(stem).alias("s")).select("p_partkey", "s.head", "s.prompt_sha8", "s.run_label")
+
+
+@query("SELECT count(*)::BIGINT AS claims, round(avg(length(text)), 6) AS mean_chars, " + ", ".join(f"count(*) FILTER (regexp_matches(text, '{p}'))::BIGINT AS {n}" for n, p in lint.FLAGS.items()) + " FROM conversations")
+def q36_lint_flags(spark, d):
+    return lint.totals(table(spark, d, "conversations"), "text").withColumn("mean_chars", F.round("mean_chars", 6))
+
+
+@query("""
+SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn, text ROWS UNBOUNDED PRECEDING) AS speaker_turn FROM conversations""")
+def q37_speaker_carry_forward(spark, d):
+    return health.carry_forward(table(spark, d, "conversations"), ["conv_id"], ["turn", "text"], F.expr("CASE WHEN role = 'user' THEN turn END"), "speaker_turn").select("conv_id", "turn", "speaker_turn")
+
+
+@query("""
+SELECT event_id, printf('%02d:%02d:%02d.0', s // 3600, s // 60 % 60, s % 60) AS code, s::DOUBLE AS seconds FROM (SELECT event_id, epoch_us(ts) // 1000000 % 86400 AS s FROM events)""")
+def q38_timecode_format_parse(spark, d):
+    e = table(spark, d, "events").select("event_id", codes.timecode(F.expr("unix_micros(cast(ts as timestamp)) div 1000000 % 86400")).alias("code"))
+    return e.select("event_id", "code", codes.parse_timecode(F.col("code")).alias("seconds"))
+
+
+@query("""SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')""")
+def q39_fk_violation(spark, d):
+    orders = table(spark, d, "orders").where("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("l_orderkey"))
+    return joins.violations(table(spark, d, "lineitem"), orders, "l_orderkey").select("l_orderkey", "l_linenumber")
+
+
+@query("""SELECT event_id, user_id AS source_id, c_name AS origin, c_custkey IS NOT NULL AS resolved FROM events LEFT JOIN customer ON c_custkey = user_id AND c_acctbal > 0""")
+def q40_source_expand(spark, d):
+    sources = table(spark, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("source_id"), F.col("c_name").alias("origin"))
+    return joins.expand_sources(table(spark, d, "events").select("event_id", F.col("user_id").alias("source_id")), sources).select("event_id", "source_id", "origin", "resolved")
+
+
+@query(f"""
+WITH {_INTERVALS} o AS (SELECT *, lag(e) OVER (PARTITION BY user_id ORDER BY s, e) AS p FROM iv) SELECT event_id, (p - s)::BIGINT AS overlap FROM o WHERE p > s""")
+def q41_overlap_neighbours(spark, d):
+    return spans.neighbour_overlaps(intervals(spark, d), ["user_id"]).select("event_id", (F.col("previous_end") - F.col("start")).alias("overlap"))
+
+
+@query()
+def q42_account_assignment(spark, d):
+    c = table(spark, d, "customer").select("c_nationkey", F.col("c_custkey").alias("gold"), "c_acctbal").where("c_custkey % 7 = 0")
+    s = table(spark, d, "supplier").select(F.col("s_nationkey").alias("c_nationkey"), F.col("s_suppkey").alias("predicted"), "s_acctbal")
+    pairs = c.join(s, "c_nationkey").withColumn("score", 1 / (1 + F.abs(F.col("c_acctbal") - F.col("s_acctbal")) / 1000)).where("score >= 0.28")
+    return joins.optimal_matches(pairs, "c_nationkey")
+
+
+@query()
+def q43_align_quote(spark, d):
+    hits = spans.quote_locations(table(spark, d, "documents"), table(spark, d, "benchmark")).where("status <> 'broken'").select("item_id", "doc_id")
+    rows = hits.join(table(spark, d, "documents").select("doc_id", "text"), "doc_id").join(table(spark, d, "benchmark").select("item_id", F.col("text").alias("quote")), "item_id")
+    return align_quotes(rows, ["item_id", "doc_id"], "text", "quote")
+
+
+@query(f"""
+WITH t AS (SELECT conv_id, turn, list_distinct(regexp_extract_all({low('text')}, '[a-z0-9]+')) AS ts FROM conversations),
+p AS (SELECT a.conv_id, a.turn, len(list_intersect(a.ts, b.ts)) / nullif(len(a.ts), 0) AS s FROM t a JOIN t b ON a.conv_id = b.conv_id AND b.turn = a.turn - 1)
+SELECT CASE WHEN s >= 0.5 THEN 'entails' WHEN s >= 0.1 THEN 'neutral' ELSE 'contradicts' END AS label, CASE WHEN s < 0.5 AND s >= 0.1 THEN 'window' ELSE 'quote' END AS premise, count(*)::BIGINT AS claims FROM p GROUP BY ALL""")
+def q44_entail_cascade(spark, d):
+    c = table(spark, d, "conversations").select("conv_id", "turn", "text")
+    prior = c.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("premise"))
+    return entail.histogram(entail.cascade(c.join(prior, ["conv_id", "turn"]), "text", "premise"))
+
+
+@query("""
+SELECT o_orderpriority AS model, count(DISTINCT o_orderkey)::BIGINT AS nodes, count(*)::BIGINT AS claims, sum(CAST(round(l_extendedprice * 100) AS BIGINT))::BIGINT AS cost_cents, round(count(*) / nullif(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) / 100.0, 0), 12) AS claims_per_usd
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1""")
+def q45_run_cost_table(spark, d):
+    rows = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("o_orderkey") == F.col("l_orderkey"))
+    return health.run_costs(rows, "o_orderpriority", "o_orderkey", "l_extendedprice")
+
+
+@query(r"""
+WITH q AS (SELECT doc_id, text, trim(substr(text, 11, 20)) AS a, trim(substr(text, 61, 20)) AS b FROM documents WHERE length(text) >= 100),
+f AS (SELECT doc_id, text, CASE WHEN doc_id % 3 = 0 THEN b ELSE a END AS x, CASE WHEN doc_id % 3 = 0 THEN a ELSE b END AS y FROM q WHERE a <> '' AND b <> '' AND NOT contains(a || b, '...') AND NOT contains(a || b, '…'))
+SELECT doc_id, CASE WHEN strpos(substr(text, strpos(text, x) + length(x)), y) > 0 THEN 'elided' ELSE 'reordered' END AS status FROM f""")
+def q46_quote_status_fold(spark, d):
+    q = table(spark, d, "documents").where("length(text) >= 100").select("doc_id", "text", F.expr("trim(substr(text, 11, 20))").alias("a"), F.expr("trim(substr(text, 61, 20))").alias("b"))
+    q = q.where("a <> '' and b <> '' and not contains(a || b, '...') and not contains(a || b, '…')")
+    quote = F.when(F.col("doc_id") % 3 == 0, F.concat_ws(" ... ", "b", "a")).otherwise(F.concat_ws(" … ", "a", "b"))
+    return q.select("doc_id", spans.quote_status(F.col("text"), quote).alias("status"))
+
+
+@query("""
+SELECT conv_id AS range_id, turn AS unit, n::INT AS nth FROM (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY CASE WHEN role = 'assistant' THEN 1 ELSE 0 END, turn, text) AS n FROM conversations WHERE role <> 'system') WHERE n <= 3""")
+def q47_review_batch(spark, d):
+    units = table(spark, d, "conversations").where("role <> 'system'").select(F.col("conv_id").alias("range_id"), F.col("turn").alias("unit"), (F.col("role") == "assistant").cast("int").alias("deferred"), "text")
+    return evaluation.review_batch(units, "range_id", ["deferred", "unit", "text"], 3).select("range_id", "unit", "nth")
+
+
+@query("""
+WITH p AS (SELECT a.vec_id, b.vec_id AS neighbour, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS s FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(s, 5) DESC, neighbour) AS r FROM p) SELECT vec_id, count(*)::BIGINT AS near, round(max(s), 4) AS best FROM p GROUP BY 1""")
+def qx1_embedding_neighbours(spark, d):
+    return evaluation.label_neighbours(table(spark, d, "embeddings"))
+
+
+@query(f"""
+SELECT min(doc_id) AS doc_id, count(*)::BIGINT AS copies FROM documents GROUP BY {low('trim(text)')}, lang""")
+def qx2_claim_support(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "lang", F.sha2(T.lowered(F.trim("text")), 256).alias("proposition"))
+    return docs.groupBy("proposition", "lang").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")).select("doc_id", "copies")
