@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_extract, langid, lm_score, ngram_join, packing, quality, unigram, warc
+from . import decontaminate, html_extract, langid, lm_score, ngram_join, packing, quality, token_output, unigram, warc
 
 WORD_BPE, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
 
@@ -47,6 +47,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(table(spark, sf_dir, "documents"))
 
 
+def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.training_order(table(spark, sf_dir, "documents"), WORD_BPE)
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf_dir, "pages"))
 
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_warc": op6_warc,
     "op7_decontamination": op7_decontamination,
     "op8_language_id": op8_language_id,
+    "op9_token_output": op9_token_output,
     "op10_html_extraction": op10_html_extraction,
 }
 
