@@ -20,8 +20,8 @@ def timed_words(docs: DataFrame, key: str, body: str) -> DataFrame:
     """(key, pos, word, at): words of ``{{t:SEC}}word`` bodies, each at its own second."""
     marks = F.regexp_extract_all(F.col(body), F.lit("\\{\\{t:[0-9.]+\\}\\}[^{]*"), F.lit(0))
     rows = docs.select(key, F.posexplode(marks).alias("mark", "m"))
-    words = rows.select(key, "mark", F.regexp_extract("m", "t:([0-9.]+)", 1).try_cast("double").alias("at"), F.posexplode(T.tokens(F.regexp_extract("m", "\\}\\}(.*)$", 1))).alias("k", "word"))
-    order = Window.partitionBy(key).orderBy("mark", "k")
+    words = rows.select(key, "mark", F.regexp_extract("m", "t:([0-9.]+)", 1).try_cast("double").alias("at"), F.posexplode(T.tokens(F.regexp_extract("m", "\\}\\}(.*)$", 1))).alias("_k", "word"))
+    order = Window.partitionBy(key).orderBy("mark", "_k")
     return words.select(key, (F.row_number().over(order) - 1).alias("pos"), "word", "at")
 
 
@@ -31,8 +31,8 @@ def line_words(docs: DataFrame, key: str, body: str) -> DataFrame:
 
     lines = docs.select(key, F.posexplode(F.split(F.col(body), "\n")).alias("line", "l"))
     stamp = F.regexp_extract("l", "^([0-9]+:[0-9]{2}:[0-9]{2}(?:\\.[0-9]+)?) ", 1)
-    words = lines.where(stamp != "").select(key, "line", parse_timecode(stamp).alias("at"), F.posexplode(T.tokens(F.regexp_replace("l", "^[0-9:.]+ ", ""))).alias("k", "word"))
-    order = Window.partitionBy(key).orderBy("line", "k")
+    words = lines.where(stamp != "").select(key, "line", parse_timecode(stamp).alias("at"), F.posexplode(T.tokens(F.regexp_replace("l", "^[0-9:.]+ ", ""))).alias("_k", "word"))
+    order = Window.partitionBy(key).orderBy("line", "_k")
     return words.select(key, (F.row_number().over(order) - 1).alias("pos"), "word", "at")
 
 
@@ -147,8 +147,8 @@ def drop_overlapping(spans: DataFrame, keys: list[str]) -> DataFrame:
 def chapter_spans(docs: DataFrame, key: str, body: str) -> DataFrame:
     """(key, label, start, end): text after a ``<!-- chapter: L -->`` marker up to the next marker's end."""
     marker = "<!-- chapter: ([^>]*?) -->"
-    pieces = docs.select(key, F.length(body).alias("n"), F.posexplode(F.regexp_extract_all(F.concat(F.col(body), F.lit("<!-- chapter: end -->")), F.lit("(?s).*?<!-- chapter: [^>]*? -->"), F.lit(0))).alias("k", "piece"))
-    w = Window.partitionBy(key).orderBy("k")
-    ends = pieces.select(key, "n", "k", F.regexp_extract("piece", marker, 1).alias("label"), F.sum(F.length("piece")).over(w).alias("after"))
-    out = ends.withColumn("end", F.least(F.lead("after").over(w), F.col("n")))
-    return out.where("end is not null").select(key, "label", F.col("after").alias("start"), "end")
+    pieces = docs.select(key, F.length(body).alias("n"), F.posexplode(F.regexp_extract_all(F.concat(F.col(body), F.lit("<!-- chapter: end -->")), F.lit("(?s).*?<!-- chapter: [^>]*? -->"), F.lit(0))).alias("_k", "piece"))
+    w = Window.partitionBy(key).orderBy("_k")
+    ends = pieces.select(key, "n", "_k", F.regexp_extract("piece", marker, 1).alias("label"), F.sum(F.length("piece")).over(w).alias("after"))
+    out = ends.withColumn("next", F.lead("after").over(w)).withColumn("end", F.least("next", "n"))
+    return out.where("next is not null").select(key, "label", F.col("after").alias("start"), "end")
