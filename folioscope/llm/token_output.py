@@ -9,7 +9,7 @@ is sequential and resumes anywhere.
 Sequences are numbered by the task that wrote them and their place in it; the table of a task's first number has one row a task.
 A shard is written under a name of its own and renamed, with the same bytes each time, so a lost or repeated task does no harm.
 
-Defined cases: null and empty texts are the end id alone; repeated rows are separate sequences; an empty table writes no shard; other columns are ignored.
+Defined cases: null and empty texts are the end id alone; a null doc_id reads back as -1; repeated rows are separate sequences; an empty table writes no shard; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -77,7 +77,7 @@ def _sequences(vocabulary: str, stride: int):
             if int(flat.max()) > 0xFFFF:
                 raise ValueError("this vocabulary's ids do not fit 16 bits")
             n = -(-size // stride)
-            doc = np.repeat(b.column(0).to_numpy(), n)
+            doc = np.repeat(b.column(0).fill_null(-1).to_numpy(), n)
             piece = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
             length = np.minimum(np.repeat(size, n) - piece * stride, stride)
             blob = b"".join((doc.astype(np.int64).tobytes(), piece.astype(np.int32).tobytes(), length.astype(np.int32).tobytes()))

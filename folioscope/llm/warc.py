@@ -8,7 +8,7 @@ ranges that touch or nearly touch into one read, and cuts the records out of it.
 Of records with equal payloads (SHA-1) of at least ``min_bytes``, the one with the largest page_id is the response and the others
 are revisits that hold its id and no payload.
 
-Defined cases: a null payload is empty; a null or odd URL is percent-encoded; rows that repeat both page_id and payload are all responses where that page is
+Defined cases: a null payload is empty; a null page_id is -1; a null or odd URL is percent-encoded; rows that repeat both page_id and payload are all responses where that page is
 the response; no pages give an empty index; other columns are ignored.
 """
 
@@ -128,7 +128,7 @@ def _arrow(ddl: str) -> pa.Schema:
 
 def write_archives(pages: DataFrame, scratch: Scratch, min_bytes: int = 0) -> tuple[DataFrame, str]:
     """The index of the archives and the folder they are in."""
-    texts = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"), F.col("url").cast("string").alias("url"))
+    texts = pages.select(F.coalesce(F.col("page_id").cast("long"), F.lit(-1)).alias("page_id"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"), F.col("url").cast("string").alias("url"))
     digests = scratch.save(texts.mapInArrow(_digests, "page_id long, size long, digest string"), "digests").where(F.col("size") >= min_bytes)
     chosen = digests.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     revisits = scratch.save(digests.join(chosen, "digest").where("page_id <> refers_to").groupBy("page_id").agg(F.max("refers_to").alias("refers_to")), "revisits")
