@@ -54,14 +54,21 @@ def feistel(index: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
 
 
 def _squeeze(ids: np.ndarray) -> bytes:
-    """Compressed 16-bit ids: low bytes, then high bytes."""
-    planes = ids.astype("<u2").view(np.uint8).reshape(-1, 2).T
-    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+    """Compressed 16-bit ids: the distinct ones by falling frequency, then the low and the high bytes of each id's rank among them."""
+    kinds, at, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    order = np.argsort(-counts, kind="stable")
+    rank = np.empty(len(kinds), "<u2")
+    rank[order] = np.arange(len(kinds))
+    low, high = (pa.compress(np.ascontiguousarray(p).tobytes(), codec="zstd", asbytes=True) for p in rank[at].view(np.uint8).reshape(-1, 2).T)
+    return b"".join((np.array([len(kinds), len(low)], "<u4").tobytes(), kinds[order].astype("<u2").tobytes(), low, high))
 
 
 def _expand(blob: bytes, n: int) -> np.ndarray:
-    planes = np.frombuffer(pa.decompress(blob, 2 * n, codec="zstd", asbytes=True), np.uint8).reshape(2, n)
-    return np.ascontiguousarray(planes.T).view("<u2").reshape(-1)
+    n_kinds, n_low = np.frombuffer(blob, "<u4", 2).tolist()
+    kinds = np.frombuffer(blob, "<u2", n_kinds, 8)
+    at = 8 + 2 * n_kinds
+    low, high = (np.frombuffer(pa.decompress(x, n, codec="zstd", asbytes=True), np.uint8) for x in (blob[at : at + n_low], blob[at + n_low :]))
+    return kinds[low.astype(np.int64) | high.astype(np.int64) << 8]
 
 
 def _sequences(vocabulary: str, stride: int):
