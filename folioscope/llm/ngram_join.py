@@ -33,6 +33,8 @@ from .scratch import Scratch, narrow, partitions, slices
 from .wordhash import SPACE_FOLDED, mix, shingle_sets, words
 
 WORDS, GROUP_TOKENS, FLUSH_TOKENS = 5, 65_536, 1 << 20
+#: Up to so many representatives (8 bytes each) are broadcast to pick their texts; beyond, the texts are joined by shuffle.
+BROADCAST_IDS = 500_000
 
 
 def overlap_needed(n):
@@ -41,7 +43,7 @@ def overlap_needed(n):
 
 
 def prefix_extra(n):
-    return np.maximum(1, n // 16)
+    return np.maximum(1, n // 4)
 
 
 def prefix_length(n):
@@ -49,7 +51,7 @@ def prefix_length(n):
 
 
 #: SQL for the least number of shared prefix tokens of a set of n with any partner (which has overlap_needed(n) tokens at least).
-_SHARED_AT_LEAST = "greatest(1, ((3 * n + 3) div 4) div 16)"
+_SHARED_AT_LEAST = "greatest(1, ((3 * n + 3) div 4) div 4)"
 
 
 def _sets(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -76,7 +78,10 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(buckets: int):
-    """Prefix tokens of each distinct set of the task, packed by bucket of the token."""
+    """Prefix tokens of each distinct set of the task, packed by bucket of the token.
+
+    Within a bucket 32 bits of the hash stand for a token: two that agree in them by chance make a candidate more, and no link.
+    """
 
     def pack(held: list[tuple]) -> pa.RecordBatch:
         keys, sizes = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]).astype(np.uint32)
@@ -90,7 +95,7 @@ def _prefixes(buckets: int):
         for s, e in zip(edges[:-1], edges[1:], strict=True):
             used, at = np.unique(owner[s:e], return_inverse=True)
             head = np.array([len(used), e - s], np.uint32)
-            blobs.append(b"".join(x.tobytes() for x in (head, keys[used], sizes[used], at.astype(np.uint32), tokens[s:e])))
+            blobs.append(b"".join(x.tobytes() for x in (head, keys[used], sizes[used], tokens[s:e].astype(np.uint32), at.astype(np.uint16 if len(used) < 65536 else np.uint32))))
             names.append(int(bucket[s]))
         return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "payload"])
 
@@ -121,11 +126,11 @@ def _prefixes(buckets: int):
 
 
 def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    docs, size = np.frombuffer(blob, np.uint32, 2)
+    docs, size = np.frombuffer(blob, np.uint32, 2).tolist()
     keys = np.frombuffer(blob, np.uint64, docs, 8)
     sizes = np.frombuffer(blob, np.uint32, docs, 8 + 8 * docs)
-    owner = np.frombuffer(blob, np.uint32, size, 8 + 12 * docs)
-    tokens = np.frombuffer(blob[8 + 12 * int(docs) + 4 * int(size) :], np.uint64)
+    tokens = np.frombuffer(blob, np.uint32, size, 8 + 12 * docs)
+    owner = np.frombuffer(blob, np.uint16 if docs < 65536 else np.uint32, size, 8 + 12 * docs + 4 * size)
     return tokens, keys[owner], sizes[owner]
 
 
@@ -146,6 +151,7 @@ def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df = np.diff(np.append(start, len(tokens)))
         df = np.repeat(df, df)
         many = df > 1
+        tokens = tokens.astype(np.uint64) | np.uint64(bucket << 32)
         for at in range(0, int(many.sum()), 100_000):
             part = slice(at, at + 100_000)
             yield pa.RecordBatch.from_arrays([_long(keys[many][part]), _long(sizes[many][part]), _long(tokens[many][part]), _long(df[many][part])], names=["key", "n", "token", "df"])
@@ -205,6 +211,9 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
 
     chosen = index.select("key").distinct()
     ids = classes.join(chosen, "key", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
+    ids = scratch.save(ids, "ids")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
     sets = texts.join(ids, "doc_id", "left_semi").mapInArrow(_token_sets, "key long, n long, tokens binary")
     sets = scratch.save(sets.join(chosen, "key", "left_semi").dropDuplicates(["key"]), "sets")
 
