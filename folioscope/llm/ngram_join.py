@@ -3,9 +3,10 @@
 Documents are sets of distinct five-word shingles ("tokens", 64-bit hashes); two link at a Jaccard similarity of 0.75 or more.
 
 1. Equal sets collapse to one representative by a 128-bit signature; only representatives go on.
-2. In one order of all tokens, a set's prefix is long enough that linked sets share at least ``shared_at_least(n)``
-   prefix tokens. Prefixes are dealt by token in packed arrays; only tokens that two sets hold come back.
-   A set with too few of them can have no partner. Of the others, the rarest few tokens are its index.
+2. In one order of all tokens, a set's prefix is long enough that linked sets share at least a known number of
+   prefix tokens. Prefixes are dealt by token in packed arrays; only tokens that two sets hold come back. A set with too few of
+   them can have no partner. The sets that are left are dealt whole in the same way: the tokens of all of them together bound what
+   a set can share with any one, so a set with less than 0.75 n of them goes too. Of the others, the rarest few tokens are the index.
 3. Groups: each indexed set is compared with the smallest and the largest key that share a token with it. Verified links give
    components of similar sets: the groups. Each is cut into rows of about ``GROUP_TOKENS`` tokens that store the tokens' union.
 4. The matrix: a token in the index of sets of different groups pairs a query set with a group row. The query's
@@ -43,7 +44,7 @@ def overlap_needed(n):
 
 
 def prefix_extra(n):
-    return np.maximum(1, n // 4)
+    return np.maximum(1, n // 8)
 
 
 def prefix_length(n):
@@ -51,7 +52,8 @@ def prefix_length(n):
 
 
 #: SQL for the least number of shared prefix tokens of a set of n with any partner (which has overlap_needed(n) tokens at least).
-_SHARED_AT_LEAST = "greatest(1, ((3 * n + 3) div 4) div 4)"
+_SHARED_AT_LEAST = "greatest(1, ((3 * n + 3) div 4) div 8)"
+_OVERLAP_NEEDED = "((3 * n + 3) div 4)"
 
 
 def _sets(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -77,27 +79,49 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), _long(n), _long(one), _long(two)], names=["doc_id", "n", "key", "check"])
 
 
-def _prefixes(buckets: int):
-    """Prefix tokens of each distinct set of the task, packed by bucket of the token.
+def _pack(held: list[tuple], buckets: int) -> pa.RecordBatch:
+    """(keys, sizes, tokens, tokens of each set) parts, packed by bucket of the token.
 
     Within a bucket 32 bits of the hash stand for a token: two that agree in them by chance make a candidate more, and no link.
     """
+    keys, sizes = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]).astype(np.uint32)
+    tokens = np.concatenate([h[2] for h in held])
+    owner = np.repeat(np.arange(len(keys), dtype=np.uint32), np.concatenate([h[3] for h in held]))
+    bucket = (tokens >> np.uint64(40)) % np.uint64(buckets)
+    order = np.argsort(bucket, kind="stable")
+    bucket, tokens, owner = bucket[order], tokens[order], owner[order]
+    edges = np.flatnonzero(np.diff(bucket, prepend=np.uint64(buckets), append=np.uint64(buckets)))
+    names, blobs = [], []
+    for s, e in zip(edges[:-1], edges[1:], strict=True):
+        used, at = np.unique(owner[s:e], return_inverse=True)
+        head = np.array([len(used), e - s], np.uint32)
+        blobs.append(b"".join(x.tobytes() for x in (head, keys[used], sizes[used], tokens[s:e].astype(np.uint32), at.astype(np.uint16 if len(used) < 65536 else np.uint32))))
+        names.append(int(bucket[s]))
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "payload"])
+
+
+def _whole(buckets: int):
+    """All tokens of (key, n, tokens) rows, packed by bucket."""
 
-    def pack(held: list[tuple]) -> pa.RecordBatch:
-        keys, sizes = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]).astype(np.uint32)
-        tokens = np.concatenate([h[2] for h in held])
-        owner = np.repeat(np.arange(len(keys), dtype=np.uint32), np.concatenate([h[3] for h in held]))
-        bucket = (tokens >> np.uint64(40)) % np.uint64(buckets)
-        order = np.argsort(bucket, kind="stable")
-        bucket, tokens, owner = bucket[order], tokens[order], owner[order]
-        edges = np.flatnonzero(np.diff(bucket, prepend=bucket[0] + np.uint64(1), append=bucket[-1] + np.uint64(1)))
-        names, blobs = [], []
-        for s, e in zip(edges[:-1], edges[1:], strict=True):
-            used, at = np.unique(owner[s:e], return_inverse=True)
-            head = np.array([len(used), e - s], np.uint32)
-            blobs.append(b"".join(x.tobytes() for x in (head, keys[used], sizes[used], tokens[s:e].astype(np.uint32), at.astype(np.uint16 if len(used) < 65536 else np.uint32))))
-            names.append(int(bucket[s]))
-        return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "payload"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n_held = [], 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            n = b.column(1).to_numpy()
+            held.append((b.column(0).to_numpy().view(np.uint64), n, np.frombuffer(b"".join(b.column(2).to_pylist()), np.uint64), n))
+            n_held += int(n.sum())
+            if n_held >= FLUSH_TOKENS:
+                yield _pack(held, buckets)
+                held, n_held = [], 0
+        if held:
+            yield _pack(held, buckets)
+
+    return run
+
+
+def _prefixes(buckets: int):
+    """Prefix tokens of each distinct set of the task, packed by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -117,10 +141,10 @@ def _prefixes(buckets: int):
             held.append((key[fresh], n[fresh], tokens[at], take))
             n_held += int(take.sum())
             if n_held >= FLUSH_TOKENS:
-                yield pack(held)
+                yield _pack(held, buckets)
                 held, n_held = [], 0
         if held:
-            yield pack(held)
+            yield _pack(held, buckets)
 
     return run
 
@@ -202,20 +226,23 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     signatures = scratch.save(texts.mapInArrow(_signatures, "doc_id long, n long, key long, check long"), "signatures")
     classes = scratch.save(signatures.where("n > 0").groupBy("key", "check", "n").agg(F.min("doc_id").alias("rep")), "classes")
 
-    dealt = texts.mapInArrow(_prefixes(4 * width), "bucket int, payload binary").repartition(width, "bucket")
-    common = dealt.mapInArrow(_common, "key long, n long, token long, df long")
-    by_set = common.groupBy("key", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("found"))
-    by_set = by_set.where(f"size(found) >= {_SHARED_AT_LEAST}")
-    rare = by_set.select("key", "n", F.explode(F.expr(f"slice(found, 1, cast(size(found) - {_SHARED_AT_LEAST} + 1 as int))")).alias("x"))
-    index = scratch.save(rare.select(F.col("x.token").alias("token"), "key", "n"), "index")
+    def common(dealt: DataFrame) -> DataFrame:
+        found = dealt.repartition(width, "bucket").mapInArrow(_common, "key long, n long, token long, df long")
+        return found.groupBy("key", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("found"))
 
-    chosen = index.select("key").distinct()
-    ids = classes.join(chosen, "key", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
-    ids = scratch.save(ids, "ids")
+    hopeful = common(texts.mapInArrow(_prefixes(4 * width), "bucket int, payload binary")).where(f"size(found) >= {_SHARED_AT_LEAST}")
+    hopeful = scratch.save(hopeful.select("key"), "hopeful")
+    ids = scratch.save(classes.join(hopeful, "key", "left_semi").select(F.col("rep").alias("doc_id")).distinct(), "ids")
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     sets = texts.join(ids, "doc_id", "left_semi").mapInArrow(_token_sets, "key long, n long, tokens binary")
-    sets = scratch.save(sets.join(chosen, "key", "left_semi").dropDuplicates(["key"]), "sets")
+    sets = scratch.save(sets.where("n > 0").join(hopeful, "key", "left_semi").dropDuplicates(["key"]), "sets")
+
+    by_set = common(sets.mapInArrow(_whole(4 * width), "bucket int, payload binary")).where(f"size(found) >= {_OVERLAP_NEEDED}")
+    rare = by_set.select("key", "n", F.explode(F.expr(f"slice(found, 1, cast(size(found) - {_OVERLAP_NEEDED} + 1 as int))")).alias("x"))
+    index = scratch.save(rare.select(F.col("x.token").alias("token"), "key", "n"), "index")
+    sets = scratch.save(sets.join(index.select("key").distinct(), "key", "left_semi"), "indexed")
+    scratch.drop("sets")
 
     # groups: links to the smallest and the largest key that share an indexed token
     ends = index.groupBy("token").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high")
