@@ -255,10 +255,10 @@ def q21_ambient_check(spark, d):
 
 
 @query("""
-WITH y AS (SELECT c_custkey, n_nationkey, r_regionkey, count(o_orderkey) / (abs(c_acctbal) / 1000 + 1) AS rate FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey LEFT JOIN orders ON o_custkey = c_custkey GROUP BY ALL, c_acctbal),
+WITH y AS (SELECT c_custkey, n_nationkey, r_regionkey, count(o_orderkey) / (abs(c_acctbal) / 1000 + 1) AS rate FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey, n_nationkey, r_regionkey, c_acctbal),
 t AS (SELECT n_nationkey, median(rate) AS m, count(*) AS n FROM y GROUP BY 1), f AS (SELECT r_regionkey, median(rate) AS m, count(*) AS n FROM y GROUP BY 1), c AS (SELECT median(rate) AS m, count(*) AS n FROM y)
 SELECT c_custkey, round(rate, 6) AS rate, round(CASE WHEN t.n >= 5 THEN t.m WHEN f.n >= 5 THEN f.m WHEN c.n >= 5 THEN c.m END, 6) AS median
-FROM y JOIN t USING (n_nationkey) JOIN f USING (r_regionkey), c WHERE rate < 0.35 * CASE WHEN t.n >= 5 THEN t.m WHEN f.n >= 5 THEN f.m WHEN c.n >= 5 THEN c.m END""".replace("GROUP BY ALL, c_acctbal", "GROUP BY c_custkey, n_nationkey, r_regionkey, c_acctbal"))
+FROM y JOIN t USING (n_nationkey) JOIN f USING (r_regionkey), c WHERE rate < 0.35 * CASE WHEN t.n >= 5 THEN t.m WHEN f.n >= 5 THEN f.m WHEN c.n >= 5 THEN c.m END""")
 def q22_yield_low(spark, d):
     made = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n"))
     c = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("n_nationkey") == F.col("c_nationkey")).join(made, "c_custkey", "left")
