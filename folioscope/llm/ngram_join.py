@@ -7,11 +7,12 @@ Documents are sets of distinct five-word shingles ("tokens", 64-bit hashes); two
    prefix tokens. Prefixes are dealt by token in packed arrays; only tokens that two sets hold come back. A set with too few of
    them can have no partner. The sets that are left are dealt whole in the same way: the tokens of all of them together bound what
    a set can share with any one, so a set with less than 0.75 n of them goes too. Of the others, the rarest few tokens are the index.
-3. Groups: each indexed set is compared with the smallest and the largest key that share a token with it. Verified links give
-   components of similar sets: the groups. Each is cut into rows of about ``GROUP_TOKENS`` tokens that store the tokens' union.
-4. The matrix: a token in the index of sets of different groups pairs a query set with a group row. The query's
-   overlap with the union bounds its similarity to every member; only qualifying groups are opened, and a query needs one link
-   to a group, as the group's members are linked already.
+3. Each indexed set is compared with the smallest and the largest key that share a token with it. Verified links give first components.
+4. Groups: sets that share a token with another component are grouped by the commonest token of their index, which brings similar ones
+   together, and each group is cut into rows of about ``GROUP_TOKENS`` tokens. A row is a matrix of its tokens' union and its members.
+5. A token of the index pairs a query set with the group rows that hold it. The query's overlap with a row's union bounds its similarity to
+   every member; only qualifying rows are opened, and then the matrix gives the overlap with all members at once. Components that a row
+   has linked once need no second link.
 
 No pair within a group is made, so copies cost rows in proportion to their number; no candidate is capped. Rarity by document
 frequency keeps tokens that a great many documents share (licences, common passages) out of the index, but for sets that consist of them.
@@ -200,22 +201,75 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(keep, pa.bool_())), b.column(1).filter(pa.array(keep, pa.bool_()))], names=["a", "b"])
 
 
+class _Group:
+    """A group row: the union of its members' tokens, and for each token the members that have it."""
+
+    def __init__(self, members: list[tuple[int, int, np.ndarray]]):
+        self.keys, self.parts = [m[0] for m in members], [m[1] for m in members]
+        self.size = np.array([len(m[2]) for m in members])
+        tokens = np.concatenate([m[2] for m in members])
+        order = np.argsort(tokens, kind="stable")
+        self.owner = np.repeat(np.arange(len(members)), self.size)[order]
+        self.union, self.start = np.unique(tokens[order], return_index=True)
+        self.stop = np.append(self.start[1:], len(tokens))
+        self.root: dict[int, int] = {}
+
+    def find(self, part: int) -> int:
+        while self.root.setdefault(part, part) != part:
+            self.root[part] = self.root[self.root[part]]
+            part = self.root[part]
+        return part
+
+    def links(self, key: int, part: int, q: np.ndarray) -> Iterator[tuple[int, int]]:
+        """A link for each other component of the row that the query links to, unless the row has joined them already."""
+        at = np.minimum(np.searchsorted(self.union, q), len(self.union) - 1)
+        at = at[self.union[at] == q]
+        if len(at) < overlap_needed(len(q)):
+            return
+        n = self.stop[at] - self.start[at]
+        owners = self.owner[np.repeat(self.start[at] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
+        common = np.bincount(owners, minlength=len(self.size))
+        for m in np.flatnonzero(100 * common >= 75 * (len(q) + self.size - common)).tolist():
+            a, b = self.find(part), self.find(self.parts[m])
+            if a != b:
+                self.root[b] = a
+                yield key, self.keys[m]
+
+
 def _open_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(query, member) of a link, for the groups whose union does not rule one out."""
+    """Links of the queries of each group row; a row's members come first, then its queries, one at a time."""
+    now, members, group = None, [], None
     for b in batches:
         links = []
-        for query, blob, members in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
-            q = np.frombuffer(blob.as_py(), np.uint64)
-            group = [(m["key"], np.frombuffer(m["tokens"], np.uint64)) for m in members.as_py()]
-            union = np.unique(np.concatenate([t for _, t in group])) if len(group) > 1 else group[0][1]
-            if len(np.intersect1d(q, union, assume_unique=True)) < overlap_needed(len(q)):
+        for g, p, query, key, part, blob in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if (g, p) != now:
+                now, members, group = (g, p), [], None
+            tokens = np.frombuffer(blob, np.uint64)
+            if not query:
+                members.append((key, part, tokens))
                 continue
-            link = next((k for k, t in group if _linked(q, t)), None)
-            if link is not None:
-                links.append((query, link))
+            if group is None:
+                group = _Group(members)
+            links += group.links(key, part, tokens)
         yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([x for _, x in links], pa.int64())], names=["a", "b"])
 
 
+def _matrix_links(placed: DataFrame, sets: DataFrame, scratch: Scratch, width: int) -> DataFrame:
+    """Links between components: ``placed`` has the (token, key, n, grp) index rows of tokens that more than one component holds."""
+    common = placed.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    home = placed.join(common, "token").groupBy("key", "n", "grp").agg(F.max_by("token", F.struct("df", "token")).alias("g"))
+    rows = home.groupBy("g").agg(F.ceil(F.sum("n") / GROUP_TOKENS).alias("rows"))
+    home = home.join(rows, "g").select("key", "grp", "g", F.pmod(F.xxhash64("key"), F.col("rows")).alias("p"))
+    home = scratch.save(home, "home")
+    matrix = placed.join(home.select("key", "g", "p"), "key").select("token", "g", "p").distinct()
+    cells = placed.join(matrix, "token").select("key", "grp", "g", "p").distinct()
+    order = ["g", "p", "query", "key", "grp", "tokens"]
+    members = home.join(sets, "key").withColumn("query", F.lit(0)).select(*order)
+    queries = cells.join(sets, "key").withColumn("query", F.lit(1)).select(*order)
+    both = members.unionByName(queries).repartition(width, "g", "p").sortWithinPartitions("g", "p", "query", "key")
+    return both.mapInArrow(_open_groups, "a long, b long")
+
+
 def jaccard_classes(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
@@ -261,21 +315,11 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     placed = of_group(index)
     shared = placed.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where("low < high").select("token")
     placed = scratch.save(placed.join(shared, "token", "left_semi"), "placed")
-    members = of_group(sets)
-    rows = members.groupBy("grp").agg(F.ceil(F.sum("n") / GROUP_TOKENS).alias("rows"))
-    members = members.join(rows, "grp").withColumn("part", F.pmod(F.xxhash64("key"), F.col("rows")))
-    part = members.select("key", "part")
-    matrix = placed.join(part, "key").select("token", F.col("grp").alias("g"), F.col("part").alias("p")).distinct()
-    cells = placed.join(matrix, "token").where("grp > g").select("key", "g", "p").distinct()
-    cells = scratch.save(cells, "cells")
-    touched = cells.select("g", "p").distinct()
-    group_rows = members.select(F.col("grp").alias("g"), F.col("part").alias("p"), "key", "tokens").join(touched, ["g", "p"], "left_semi")
-    group_rows = group_rows.groupBy("g", "p").agg(F.collect_list(F.struct("key", "tokens")).alias("members"))
-    opened = cells.join(sets.select("key", "tokens"), "key").join(group_rows, ["g", "p"]).select("key", "tokens", "members")
-    more = scratch.save(opened.mapInArrow(_open_groups, "a long, b long"), "more")
-
-    final = scratch.save(components(links.unionByName(more), scratch, "final"), "components")
-    keyed = classes.join(final.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    final = grouped
+    if not placed.isEmpty():
+        more = scratch.save(_matrix_links(placed, sets, scratch, width), "more")
+        final = scratch.save(components(links.unionByName(more), scratch, "final"), "components").withColumnsRenamed({"node": "key", "component": "grp"})
+    keyed = classes.join(final, "key", "left").select("key", "check", "n", "rep", F.coalesce("grp", "key").alias("component"))
     smallest = keyed.groupBy("component").agg(F.min("rep").alias("component_id"))
     answer = keyed.join(smallest, "component").select("key", "check", "n", "component_id")
     out = signatures.join(answer, ["key", "check", "n"], "left")
