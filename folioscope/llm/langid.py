@@ -59,12 +59,28 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(names), pa.string()), pa.array(kinds, pa.int32()), pa.array(names, pa.string()), pa.array(list(rows.values()), pa.int64())], names=["lang", "kind", "gram", "c"])
 
 
-class Model:
-    """Log frequencies of words and n-grams for each language."""
-
-    def __init__(self, langs: list[str], tables: list[dict[str, np.ndarray]]):
-        self.langs, self.tables = langs, tables
-        self.cache: dict[str, np.ndarray] = {}
+class Model(dict):
+    """Log frequencies of words and n-grams for each language. As a dict: word -> its row in ``scores``, at most about ``CACHE`` unseen ones."""
+
+    def __init__(self, langs: list[str], words: dict[str, np.ndarray], grams_: list[dict[str, np.ndarray]]):
+        super().__init__()
+        self.langs = langs
+        self.known = {w: k for k, w in enumerate(words)}
+        empty = np.zeros((0, len(langs)))
+        self.scores = np.array(list(words.values())) if words else empty
+        #: n-gram -> its row, for each length; rows carry the penalty for stepping down
+        self.grams: list[dict[str, int]] = [{} for _ in range(MAX_GRAM + 1)]
+        rows: list[np.ndarray] = []
+        for n, table in enumerate(grams_):
+            for g, score in table.items():
+                self.grams[n][g] = len(rows)
+                rows.append(score * STEP_DOWN ** (MAX_GRAM - n))
+        self.gram_scores = np.array(rows) if rows else empty
+        self.pending: list[str] = []
+        self.update(self.known)
+
+    def __reduce__(self):
+        return _restore, (self.langs, self.known, self.scores[: len(self.known)], self.grams, self.gram_scores)
 
     @classmethod
     def fit(cls, rows: list[tuple[str, int, str, int]], totals: dict[tuple[str, int], int]) -> Model:
@@ -77,45 +93,64 @@ class Model:
             n = np.array([totals.get((x, kind), 0) for x in langs], float)
             for g, c in table.items():
                 table[g] = np.log((c + 0.1) / (n + 0.1 * (len(table) + 1)))
-        return cls(langs, tables)
-
-    def unseen(self, word: str) -> np.ndarray:
-        padded, n = f"_{word}_", 0
-        total = np.zeros(len(self.langs))
-        i = 0
-        while i < len(padded):
-            for k in range(min(MAX_GRAM, len(padded) - i), 0, -1):
-                known = self.tables[k].get(padded[i : i + k])
-                if known is not None:
-                    total += known * STEP_DOWN ** (MAX_GRAM - k)
-                    n += 1
+        return cls(langs, tables[0], [{}, *tables[1:]])
+
+    def __missing__(self, word: str) -> int:
+        self[word] = row = len(self)
+        self.pending.append(word)
+        return row
+
+    def backoff(self, word: str) -> list[int]:
+        """The row of the longest known n-gram at each place of the word; places without any are left out."""
+        padded, out = f"_{word}_", []
+        longest_first = [(k, self.grams[k]) for k in range(MAX_GRAM, 0, -1)]
+        for i in range(len(padded)):
+            for k, table in longest_first:
+                row = table.get(padded[i : i + k]) if i + k <= len(padded) else None
+                if row is not None:
+                    out.append(row)
                     break
-            i += 1
-        return total / max(n, 1)
-
-    def word(self, word: str) -> np.ndarray:
-        got = self.cache.get(word)
-        if got is None:
-            got = self.tables[0].get(word)
-            if got is None:
-                got = self.unseen(word)
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
-            self.cache[word] = got
-        return got
-
-    def predict(self, text: str) -> tuple[str, float]:
-        ws = words_in(text)
-        if not self.langs or not ws:
-            return "und", 0.0
-        total = np.zeros(len(self.langs))
-        for w, c in Counter(ws).items():
-            total += self.word(w) * c
-        # words of one text depend on each other, so evidence counts as the root of their number
-        scaled = (total - total.max()) / len(ws) ** 0.5
-        p = np.exp(scaled)
-        best = int(np.argmax(total))
-        return self.langs[best], float(p[best] / p.sum())
+        return out
+
+    def _settle(self) -> None:
+        """Rows for the words met first in this batch: the mean score of their n-grams."""
+        found = [self.backoff(w) for w in self.pending]
+        size = np.array([len(f) for f in found])
+        rows = np.zeros((len(found), len(self.langs)))
+        some = size > 0
+        if some.any():
+            flat = np.array([x for f in found for x in f])
+            rows[some] = np.add.reduceat(self.gram_scores[flat], (np.cumsum(size) - size)[some]) / size[some][:, None]
+        self.scores = np.concatenate([self.scores, rows])
+        self.pending = []
+
+    def predict(self, texts: list[str]) -> list[tuple[str, float]]:
+        if len(self) > len(self.known) + CACHE:
+            self.clear()
+            self.update(self.known)
+            self.scores = self.scores[: len(self.known)]
+        split = [words_in(t) if self.langs else [] for t in texts]
+        size = np.array([len(s) for s in split])
+        rows = np.fromiter(map(self.__getitem__, (w for s in split for w in s)), np.int64, int(size.sum()))
+        if self.pending:
+            self._settle()
+        out = [("und", 0.0)] * len(texts)
+        some = np.flatnonzero(size)
+        if len(some):
+            total = np.add.reduceat(self.scores[rows], (np.cumsum(size) - size)[some])
+            # words of one text depend on each other, so evidence counts as the root of their number
+            p = np.exp((total - total.max(1, keepdims=True)) / np.sqrt(size[some])[:, None])
+            p /= p.sum(1, keepdims=True)
+            for k, best, q in zip(some.tolist(), total.argmax(1).tolist(), p, strict=True):
+                out[k] = (self.langs[best], float(q[best]))
+        return out
+
+
+def _restore(langs, known, scores, grams_, gram_scores) -> Model:
+    model = Model(langs, {}, [{} for _ in range(MAX_GRAM + 1)])
+    model.known, model.scores, model.grams, model.gram_scores = known, scores, grams_, gram_scores
+    model.update(known)
+    return model
 
 
 def fit(train: DataFrame) -> Model:
@@ -150,7 +185,7 @@ def language_id(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         for b in slices(batches):
-            got = [m.predict(t) for t in b.column(1).to_pylist()]
+            got = m.predict(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=["doc_id", "lang_pred", "score"])
 
     scored = narrow(docs, "doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
@@ -169,7 +204,7 @@ def keep_recognised(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         for b in slices(batches):
-            got = [m.predict(t) for t in b.column(1).to_pylist()]
+            got = m.predict(b.column(1).to_pylist())
             keep = pa.array([p != "und" and s >= MIN_SCORE for p, s in got], pa.bool_())
             out = {c: b.column(2 + k) for k, c in enumerate(columns)}
             out["lang"] = pa.array([x if x is not None else p for x, (p, _) in zip(out["lang"].to_pylist(), got, strict=True)], out["lang"].type)
