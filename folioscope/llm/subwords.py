@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
+from array import array
 
 import numpy as np
 
@@ -14,21 +16,37 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-class WordBpe:
-    """A BPE tokenizer whose words never cross white space: each word's ids are computed once and kept.
+def byte_characters() -> dict[int, str]:
+    """The printable character that stands for each byte in a byte-level vocabulary: itself, or the next free one from U+0100."""
+    plain = [b for b in range(256) if chr(b).isprintable() and chr(b) not in " \xa0\xad"]
+    spare = iter(range(256, 512))
+    return {b: chr(b) if b in plain else chr(next(spare)) for b in range(256)}
 
-    The cache holds at most ``LIMIT`` words and is emptied when full, so memory is bounded and results don't depend on it.
+
+class WordBpe(dict):
+    """A lower-casing byte-level BPE tokenizer whose words never cross white space: the ids of each word, computed once and kept.
+
+    Words of plain Latin letters go straight to the merge table, as their normalisation and splitting are known; all others
+    go through the whole tokenizer. The caches hold at most ``LIMIT`` words and ``LIMIT_PARTS`` parts and are emptied when full, so memory is
+    bounded and results don't depend on them.
     """
 
-    LIMIT = 400_000
+    LIMIT, LIMIT_PARTS = 400_000, 800_000
     _shared: dict[str, WordBpe] = {}
+    #: Below U+0250 every character is composed already and lower-cases by itself.
+    _PLAIN = re.compile(r"[\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-įĲ-ňŊ-ž]+\Z")
+    # The tokenizer's own split of a word (fixed value), for those characters.
+    _SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-ſ]+|[0-9]|[^\sa-z\xdf-\xf6\xf8-ſ0-9]+")
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.merge = self.tokenizer.model.tokenize
+        self.parts: dict[str, bytes] = {}
+        self.to_bytes = str.maketrans({chr(b): c for b, c in byte_characters().items()})
 
     @classmethod
     def shared(cls, name: str) -> WordBpe:
@@ -37,18 +55,34 @@ class WordBpe:
             cls._shared[name] = cls(name if os.sep in name else vocabulary_path(name))
         return cls._shared[name]
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= self.LIMIT:
+            self.clear()
+        core, tail = (word, "") if word[-1] not in ".,!?" else (word[:-1], word[-1])
+        if core.isalpha() and max(core) < "\u0130":  # nearly all words: letters that compose and lower-case by themselves
+            got = self._part(core.lower()) + (self._part(tail) if tail else b"")
+        elif "<|" in word or not self._PLAIN.match(word):
+            got = self.whole(word)
+        else:
+            got = b"".join(self._part(p) for p in self._SPLIT.findall(word.lower()))
+        self[word] = got
+        return got
+
+    def _part(self, part: str) -> bytes:
+        got = self.parts.get(part)
+        if got is None:
+            raw = part if part.isascii() else part.encode().decode("latin-1").translate(self.to_bytes)
+            got = array("I", [t.id for t in self.merge(raw)]).tobytes()
+            if len(self.parts) >= self.LIMIT_PARTS:
+                self.parts.clear()
+            self.parts[part] = got
+        return got
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
+        get = self.__getitem__
         # Python splits at four control characters that the tokenizer takes as ordinary ones
-        split = [None if any(c in t for c in "\x1c\x1d\x1e\x1f") else t.split() for t in texts]
-        if len(self.known) > self.LIMIT:
-            self.known.clear()
-        missing = list(set().union(*(s for s in split if s)).difference(self.known))
-        for at in range(0, len(missing), 20_000):
-            part = missing[at : at + 20_000]
-            self.known.update(zip(part, self._ids(part), strict=True))
-        get = self.known.__getitem__
-        return [self._ids([t])[0] if s is None else b"".join(map(get, s)) for t, s in zip(texts, split, strict=True)]
+        return [self.whole(t) if any(c in t for c in "\x1c\x1d\x1e\x1f") else b"".join(map(get, t.split())) for t in texts]
