@@ -29,6 +29,8 @@ from .subwords import WordBpe
 from .wordhash import mix
 
 STRIDE, SHARD_SLOTS, END, KEY, ROUNDS = 256, 16_384, 1, 0x5EED, 6
+#: First numbers of up to so many tasks (12 bytes each) are broadcast; beyond, the packs are joined by shuffle.
+BROADCAST_TASKS = 500_000
 _MANIFEST = "slot long, shard long, byte_offset long, doc_id long, piece int, n_tokens int"
 SCHEMA = _MANIFEST + ", ids_crc32 long"
 
@@ -55,12 +57,13 @@ def feistel(index: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
 
 def _squeeze(ids: np.ndarray) -> bytes:
     """Compressed 16-bit ids: the distinct ones by falling frequency, then the low and the high bytes of each id's rank among them."""
-    kinds, at, counts = np.unique(ids, return_inverse=True, return_counts=True)
-    order = np.argsort(-counts, kind="stable")
-    rank = np.empty(len(kinds), "<u2")
-    rank[order] = np.arange(len(kinds))
-    low, high = (pa.compress(np.ascontiguousarray(p).tobytes(), codec="zstd", asbytes=True) for p in rank[at].view(np.uint8).reshape(-1, 2).T)
-    return b"".join((np.array([len(kinds), len(low)], "<u4").tobytes(), kinds[order].astype("<u2").tobytes(), low, high))
+    counts = np.bincount(ids, minlength=1 << 16)
+    kinds = np.flatnonzero(counts)
+    kinds = kinds[np.argsort(-counts[kinds], kind="stable")]
+    rank = np.zeros(1 << 16, "<u2")
+    rank[kinds] = np.arange(len(kinds))
+    low, high = (pa.compress(np.ascontiguousarray(p).tobytes(), codec="zstd", asbytes=True) for p in rank[ids].view(np.uint8).reshape(-1, 2).T)
+    return b"".join((np.array([len(kinds), len(low)], "<u4").tobytes(), kinds.astype("<u2").tobytes(), low, high))
 
 
 def _expand(blob: bytes, n: int) -> np.ndarray:
@@ -169,6 +172,8 @@ def write_shards(docs: DataFrame, vocabulary: str, scratch: Scratch, stride: int
     total = tasks.agg(F.sum("n")).first()[0] or 0
     before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)  # one row a task
     firsts = tasks.select("task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    if tasks.count() <= BROADCAST_TASKS:
+        firsts = F.broadcast(firsts)
     # a range is some whole shards, and small enough that the tasks get several each
     span = per_shard * max(1, -(-total // (per_shard * 4 * width)))
     dealt = packs.join(firsts, "task").select((F.col("first") + F.col("at")).alias("first"), "n", "n_ids", "meta", "ids").mapInArrow(_deal(total, span, key), "range long, n long, n_ids long, meta binary, ids binary")
