@@ -62,28 +62,32 @@ class Counter(dict):
         return cls._shared[name]
 
     def viterbi(self, text: str) -> tuple[int, float]:
-        best: list[float] = [0.0] + [-math.inf] * len(text)
-        count = [0] * (len(text) + 1)
-        done = 0
-        singles = set()
-        ends: dict[int, list[tuple[int, float]]] = {}
-        for end, found in self.automaton.iter(text):
-            ends.setdefault(end + 1, []).append(found)
-            if found[0] == 1:
-                singles.add(end)
-        for end in range(1, len(text) + 1):
-            top, n = -math.inf, 0
-            for length, score in ends.get(end, ()):  # from the longest
-                s = best[end - length] + score
-                if s > top:
-                    top, n = s, count[end - length] + 1
-            if end - 1 not in singles:
-                s = best[end - 1] + self.unknown
-                if s > top:
-                    top, n = s, count[end - 1] + len(text[end - 1].encode("utf-8", "surrogatepass"))
-            best[end], count[end] = top, n
-            done = end
-        return count[done], best[done]
+        n = len(text)
+        best, count = [0.0] + [-math.inf] * n, [0] * (n + 1)
+        now, single = 0, True  # the end whose pieces are coming in, and whether its last character is one
+        for end, (length, score) in self.automaton.iter(text):  # by end, from the longest piece
+            end += 1
+            while now < end:
+                if not single:
+                    self._unknown(text, now, best, count)
+                now += 1
+                single = False
+            s = best[end - length] + score
+            if s > best[end]:
+                best[end], count[end] = s, count[end - length] + 1
+            if length == 1:
+                single = True
+        while now <= n:
+            if not single:
+                self._unknown(text, now, best, count)
+            now += 1
+            single = False
+        return count[n], best[n]
+
+    def _unknown(self, text: str, end: int, best: list[float], count: list[int]) -> None:
+        s = best[end - 1] + self.unknown
+        if s > best[end]:
+            best[end], count[end] = s, count[end - 1] + len(text[end - 1].encode("utf-8", "surrogatepass"))
 
     def __missing__(self, word: str) -> tuple[int, float]:
         if len(self) >= self.LIMIT:
