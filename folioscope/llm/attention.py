@@ -11,6 +11,8 @@ so every token is scored once. Positions before the text hold the begin symbol.
 
 from __future__ import annotations
 
+from copy import copy
+
 import numpy as np
 
 WINDOW, STRIDE, DIM, HIDDEN, INPUTS, BANDS, MEMBERS = 32, 24, 24, 32, 2048, 32, 32
@@ -177,6 +179,35 @@ class Model:
             losses.append(self.train_step(x[pick], y[pick], live[pick], rate * (1 - 0.9 * k / steps), state))
         return losses
 
+    def train_all(self, ids: np.ndarray, lengths: np.ndarray, least: int, begin: float, end: float, size: int = 96, rate: float = 0.02, seed: int = 11) -> int:
+        """Every window once, and again until there are ``least`` steps; ``begin`` and ``end`` say which part of the rate's fall this is. Gives the steps."""
+        x, place, live, _ = self.batches(ids, lengths)
+        y = self.vocabulary.group[ids][place]
+        rng, state = np.random.default_rng(seed), {}
+        a_pass = -(-len(x) // size)
+        steps = max(1, -(-least // a_pass)) * a_pass
+        for k in range(steps):
+            if k % a_pass == 0:
+                order = rng.permutation(len(x))
+            pick = order[k % a_pass * size : (k % a_pass + 1) * size]
+            self.train_step(x[pick], y[pick], live[pick], rate * (1 - 0.9 * (begin + (end - begin) * k / steps)), state)
+        return steps
+
+    def copy(self) -> Model:
+        other = copy(self)
+        other.p = {k: v.copy() for k, v in self.p.items()}
+        return other
+
+    def packed(self) -> bytes:
+        return b"".join(v.tobytes() for v in self.p.values())
+
+    def unpack(self, flat: np.ndarray) -> None:
+        """The parameters from one flat array in the order of :meth:`packed`."""
+        at = 0
+        for k, v in self.p.items():
+            self.p[k] = flat[at : at + v.size].reshape(v.shape).copy()
+            at += v.size
+
     def score(self, ids: np.ndarray, lengths: np.ndarray, chunk: int = 256) -> np.ndarray:
         """Natural log probability of each id given those before it in its document."""
         out = np.zeros(len(ids), np.float32)

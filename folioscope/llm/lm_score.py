@@ -2,8 +2,10 @@
 
 1. Every training document's words and subword ids are counted: per task first, then by bucket of the word's hash. The word counts (the
    lexicon) stay distributed; of them only the ``HEAD_WORDS`` most frequent, and one count for each id of the vocabulary, reach the driver.
-2. The attention model is fitted on the driver, on the ids of about ``FIT_DOCS`` training documents chosen by a hash of their id and at most
-   ``FIT_TOKENS`` tokens. Its output layer is completed with the id counts of the whole corpus.
+2. The attention model is fitted on the ids of all training documents, in ``ROUNDS`` rounds. A hash deals the documents to the cells of a round; each
+   cell is trained by a task from the round's common parameters, and their mean, weighted by tokens, starts the next round. Cells and their steps grow
+   with the corpus; every window is trained on at least once, and ``FIT_STEPS`` steps are the least there are in a row. The output layer is
+   completed with the id counts of the whole corpus.
 3. Each document is scored whole, in overlapping windows (see ``attention``). A word's probability is the mean of what the attention model gives its
    subwords and of its share of the lexicon's tokens. Words outside the head go by bucket to the lexicon's rows, packed, and come back as sums.
 
@@ -31,7 +33,9 @@ from .scratch import Scratch, narrow, partitions, slices
 from .subwords import vocabulary_path
 from .wordhash import SPACE_FOLDED, Words, words
 
-HEAD_WORDS, FIT_DOCS, FIT_TOKENS, FIT_STEPS, ATTENTION_SHARE = 200_000, 1_000, 1_500_000, 800, 0.5
+HEAD_WORDS, ROUNDS, FIT_STEPS, ATTENTION_SHARE = 200_000, 8, 800, 0.5
+#: Tokens of a cell: so many times the root of the corpus, and so many at least.
+CELL_GROWTH, CELL_TOKENS = 50, 230_400
 FLUSH_WORDS, SLICE = 1_000_000, 2 << 20
 #: The hash that stands for the end of a text; no word is likelier to have it than any other.
 END_HASH = np.uint64(0x51AFD7ED558CCD25)
@@ -105,36 +109,43 @@ def _sum_by(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return unique, np.bincount(at, values, len(unique)).astype(np.int64)
 
 
+_GATHERED = "bucket int, id int, c long, payload binary, key long, ids binary"
+
+
 def _gather(vocabulary: str, buckets: int):
-    """Counts of a task: words by bucket, and subword ids."""
+    """Counts of a task: words by bucket, and subword ids; and the ids of each document under its key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces.shared(vocabulary)
         ids = np.zeros(pieces.size, np.int64)
         held: list[tuple[np.ndarray, np.ndarray]] = []
         n_held = n_docs = 0
+        names = [x.split()[0] for x in _GATHERED.split(", ")]
 
         def flush() -> pa.RecordBatch:
             h, c = _sum_by(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))
             rows = [(b, _pack(h[at], c[at])) for b, at in _bucketed(h, buckets)]
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), pa.array([None] * len(rows), pa.int32()), pa.array([None] * len(rows), pa.int64()), pa.array([x for _, x in rows], pa.binary())], names=["bucket", "id", "c", "payload"])
+            return pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), pa.array([None] * len(rows), pa.int32()), pa.array([None] * len(rows), pa.int64()), pa.array([x for _, x in rows], pa.binary()), pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.binary())], names=names)
 
         for b in slices(batches):
             w = words(b.column(1), SPACE_FOLDED)
             n_docs += b.num_rows
             held.append(np.unique(w.hashes, return_counts=True))
             n_held += len(held[-1][0])
-            _, counts, found, size = pieces.distinct(w, w.hashes)
-            ids += np.bincount(found, np.repeat(counts, size), pieces.size).astype(np.int64)
-            ids[pieces.end] += b.num_rows
+            stream, size, n_words = pieces.stream(w)
+            ids += np.bincount(stream, minlength=pieces.size)
+            ends = np.cumsum(np.add.reduceat(size, np.cumsum(n_words) - n_words)) * 2
+            raw = stream.astype(np.uint16).tobytes()
+            n = b.num_rows
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(n, k) for k in (pa.int32(), pa.int32(), pa.int64(), pa.binary())), b.column(2), pa.array([raw[s:e] for s, e in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)], pa.binary())], names=names)
             if n_held >= FLUSH_WORDS:
                 yield flush()
                 n_held = 0
         held.append((np.array([END_HASH]), np.array([n_docs])))
         yield flush()
         used = np.flatnonzero(ids)
-        yield pa.RecordBatch.from_arrays([pa.array([None] * len(used), pa.int32()), pa.array(used.astype(np.int32)), pa.array(ids[used]), pa.array([None] * len(used), pa.binary())], names=["bucket", "id", "c", "payload"])
+        yield pa.RecordBatch.from_arrays([pa.array([None] * len(used), pa.int32()), pa.array(used.astype(np.int32)), pa.array(ids[used]), pa.array([None] * len(used), pa.binary()), pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.binary())], names=names)
 
     return run
 
@@ -248,20 +259,48 @@ def _tail(total: int):
     return run
 
 
-def fit(train: DataFrame, n_train: int, id_counts: np.ndarray, vocabulary: str) -> Model:
-    """The attention model, from a bounded sample of the training documents."""
-    if n_train > FIT_DOCS:
-        train = train.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < int(FIT_DOCS / n_train * (1 << 40)))
-    pieces = Pieces.shared(vocabulary)
+def _train(shared, nth: int):
+    """The parameters that a round's common ones become in each cell of it, and the tokens they saw."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple[int, bytes]]] = {}
+        for b in batches:
+            for cell, key, ids in zip(*(c.to_pylist() for c in b.columns[:3]), strict=True):
+                held.setdefault(cell, []).append((key, ids))
+        for cell in list(held):
+            docs = [np.frombuffer(x, np.uint16) for _, x in sorted(held.pop(cell))]
+            model = shared.value.copy()
+            ids = np.concatenate(docs).astype(np.int64)
+            model.train_all(ids, np.array([len(x) for x in docs]), -(-FIT_STEPS // ROUNDS), nth / ROUNDS, (nth + 1) / ROUNDS, seed=cell)
+            yield pa.RecordBatch.from_arrays([pa.array([cell], pa.int32()), pa.array([len(ids)], pa.int64()), pa.array([model.packed()], pa.binary())], names=["cell", "n", "payload"])
+
+    return run
+
+
+def fit(sequences: DataFrame, id_counts: np.ndarray, scratch: Scratch) -> Model:
+    """The attention model, from the (key, ids) of all training documents."""
+    sc = sequences.sparkSession.sparkContext
     model = Model(Vocabulary(id_counts))
-    sample, n = [], 0
-    for r in train.orderBy(F.xxhash64("doc_id"), "doc_id").toLocalIterator():
-        sample.append(pieces.stream(words(pa.array([r.text]), SPACE_FOLDED))[0])
-        n += len(sample[-1])
-        if n >= FIT_TOKENS:
-            break
-    if sample:
-        model.train(np.concatenate(sample), np.array([len(x) for x in sample]), FIT_STEPS)
+    n = int(id_counts.sum())
+    if not n:
+        return model
+    cells = -(-n // int(ROUNDS * max(CELL_TOKENS, CELL_GROWTH * n**0.5)))
+    small = n < ROUNDS * CELL_TOKENS  # all documents in every round
+    dealt = sequences.select(F.pmod("key", F.lit(cells * (1 if small else ROUNDS))).cast("int").alias("cell"), "key", "ids")
+    for nth in range(ROUNDS):
+        shared = sc.broadcast(model)
+        mine = dealt if small else dealt.where(F.col("cell") % ROUNDS == nth)
+        trained = mine.repartition(max(cells, partitions(sequences.sparkSession)), "cell").mapInArrow(_train(shared, nth), "cell int, n long, payload binary")
+        trained = scratch.save(trained, f"round{nth}")
+        total, seen = 0.0, 0
+        for r in trained.orderBy("cell").toLocalIterator():
+            total = total + np.frombuffer(r.payload, np.float32).astype(np.float64) * r.n
+            seen += r.n
+        if seen:
+            model = model.copy()
+            model.unpack((total / seen).astype(np.float32))
+        shared.unpersist()
+        scratch.drop(f"round{nth}")
     return model
 
 
@@ -272,15 +311,14 @@ def lm_scores(docs: DataFrame, vocabulary: str) -> DataFrame:
     width = partitions(spark)
     buckets = 4 * width
     texts = narrow(docs, "doc_id", "text")
-    train = texts.where(~held_out("doc_id", 7, 2))
+    train = texts.where(~held_out("doc_id", 7, 2)).select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
 
-    gathered = scratch.save(train.mapInArrow(_gather(vocabulary, buckets), "bucket int, id int, c long, payload binary"), "gathered")
+    gathered = scratch.save(train.mapInArrow(_gather(vocabulary, buckets), _GATHERED), "gathered")
     id_counts = np.zeros(Pieces.shared(vocabulary).size)
     for r in gathered.where("id is not null").groupBy("id").agg(F.sum("c").alias("c")).collect():  # at most one row for each id of the vocabulary
         id_counts[r.id] = r.c
     lexicon = gathered.where("bucket is not null").select("bucket", "payload").repartition(width, "bucket")
     lexicon = scratch.save(lexicon.mapInArrow(_merge, "bucket int, payload binary, n_words long, n_tokens long, sizes array<long>"), "lexicon")
-    scratch.drop("gathered")
     n_words, total = (x or 0 for x in lexicon.agg(F.sum("n_words"), F.sum("n_tokens")).first())
     sizes = {r.at: r.n for r in lexicon.select(F.inline(F.filter(F.transform("sizes", lambda n, at: F.struct(at.alias("at"), n.alias("n"))), lambda x: x["n"] > 0))).groupBy("at").agg(F.sum("n").alias("n")).collect()}
     least, n = 512, 0
@@ -291,7 +329,8 @@ def lm_scores(docs: DataFrame, vocabulary: str) -> DataFrame:
     head = rows.column(0).to_numpy().view(np.uint64) if n else np.zeros(0, np.uint64)
     counts = rows.column(1).to_numpy() if n else np.zeros(0, np.int64)
     order = np.argsort(head)
-    model = fit(train, train.count(), id_counts, vocabulary)
+    model = fit(gathered.where("key is not null").select("key", "ids"), id_counts, scratch)
+    scratch.drop("gathered")
     shared = spark.sparkContext.broadcast((model, head[order], counts[order], total))
 
     scored = scratch.save(texts.mapInArrow(_score(vocabulary, shared, buckets), _SCORED), "scored")
