@@ -4,12 +4,11 @@ Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kep
 
 * quality rules: rejected documents go; of the others, the lines that fail a rule go, and ``n_chars`` follows the text.
 * language ID: documents without a recognised language go; a missing ``lang`` is filled in.
-* n-gram Jaccard join: of each class of near copies, the document with the smallest id stays (one row of it).
+* n-gram Jaccard join: of each class of near copies, one row with the smallest id stays.
 * decontamination: documents that hold a benchmark window go.
 * best-fit packing: the pieces of what is left, each with its sequence and offset.
 
-A document is a row; stages that decide by a table of verdicts join it back on ``doc_id``, so ids are taken to be unique, and rows that
-repeat an id share the strictest verdict. Null texts fail the quality rules; an empty table gives empty results of the same columns.
+A document is a row, judged by itself whatever its id, so ids may be null or repeat; a null id comes after the others. Null texts fail the quality rules; an empty table gives empty results of the same columns.
 """
 
 from __future__ import annotations
@@ -31,8 +30,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    classes = ngram_join.jaccard_classes(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.dropDuplicates(["doc_id"]).join(classes, "doc_id", "left_semi").select(*docs.columns)
+    from folioscope.llm.scratch import Scratch
+
+    rows = Scratch(spark, "rows").save(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    classes = ngram_join.jaccard_classes(rows.select(F.col("_row").alias("doc_id"), "text"))
+    by_row = classes.withColumnsRenamed({"doc_id": "_row"}).join(rows.select("_row", F.col("doc_id").alias("_id")), "_row")
+    first = by_row.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")).alias("x"))
+    return rows.join(first.select("x._row"), "_row", "left_semi").select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -172,23 +172,24 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a hit, by the verdicts of :func:`decontaminate`; same columns.
 
-    With a benchmark of one block nothing is shuffled: the rows travel through the search and the hit ones stay behind.
+    Nothing is shuffled: the rows travel through the search of each block and the hit ones stay behind.
     """
-    compiled = list(map(compile_patterns, blocks_of(benchmark)))
-    if len(compiled) > 1:
-        hits = decontaminate(docs, benchmark).where("contaminated").select("doc_id").distinct()
-        return docs.join(hits, "doc_id", "left_anti").select(*docs.columns)
     spark = docs.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
     columns = docs.columns
-    patterns = spark.sparkContext.broadcast(compiled[0])
-    search = _scan(patterns, True)
-    ready = docs.select(F.lit(0).cast("long").alias("_row"), F.coalesce("text", F.lit("")).alias("_text"), *columns)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
-            (verdict,) = search(iter([b.select([0, 1])]))
-            clean = pa.array(~np.asarray(verdict.column("contaminated")))
-            yield pa.RecordBatch.from_arrays(b.columns[2:], names=columns).filter(clean)
+    def kept(search):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in slices(batches):
+                (verdict,) = search(iter([b.select([0, 1])]))
+                clean = pa.array(~np.asarray(verdict.column("contaminated")))
+                yield pa.RecordBatch.from_arrays(b.columns[2:], names=columns).filter(clean)
 
-    return ready.mapInArrow(run, docs.schema)
+        return run
+
+    out = docs
+    for block in blocks_of(benchmark):
+        patterns = spark.sparkContext.broadcast(compile_patterns(block))
+        ready = out.select(F.lit(0).cast("long").alias("_row"), F.coalesce("text", F.lit("")).alias("_text"), *columns)
+        out = ready.mapInArrow(kept(_scan(patterns, True)), docs.schema)
+    return out

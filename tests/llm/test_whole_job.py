@@ -2,7 +2,8 @@
 
 import zlib
 
-from folioscope.llm import lm_score, queries
+import corpus_pipeline as cp
+from folioscope.llm import decontaminate, lm_score, queries
 
 
 def test_lm_learns_from_every_training_document(spark, monkeypatch):
@@ -22,3 +23,15 @@ def test_lm_learns_from_every_training_document(spark, monkeypatch):
     (model,) = kept
     moved = (model.p["E"] != Model(model.vocabulary).p["E"]).any(1)
     assert all(moved[model.vocabulary.symbol[k]] for i, k in enumerate(own) if zlib.crc32(str(i).encode()) % 7 != 2)
+
+
+def test_pipeline_stages_judge_rows_not_ids(spark, monkeypatch):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(40)) for x in "abcd")
+    docs = spark.createDataFrame([(1, a), (1, b), (2, b), (None, c), (None, c), (None, d), (7, d)], "doc_id long, text string")
+    kept = cp.ngram_jaccard_join(spark, docs, "")
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, a), (1, b), (None, c), (7, d)], key=str)
+    bench = spark.createDataFrame([(1, a), (2, c)], "item_id long, text string")
+    rows = spark.createDataFrame([(1, a), (1, b), (None, c), (None, d)], docs.schema)
+    for block in (decontaminate.BLOCK_BYTES, 8):
+        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+        assert sorted(r.text for r in decontaminate.keep_uncontaminated(rows, bench).collect()) == [b, d]
