@@ -29,7 +29,8 @@ from .scratch import ROWS_PER_BATCH, slices
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|svg|iframe|title|object|math)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|noscript|template|textarea|iframe|title)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
+    r"|<svg(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:(?<=/)>|(?<!/)>.*?(?:</svg\s*>|\Z))"
     r"|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S | re.I,
@@ -37,7 +38,10 @@ _TAG = re.compile(
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
 # Elements that end a block of text, those without content, and what a start tag closes.
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br input".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br input object".split())
+#: Parts of a formula; they end no block, and "/>" closes them.
+FORMULA = frozenset("math mi mn mo ms mtext mspace mrow msub msup msubsup munder mover munderover mmultiscripts mprescripts mfrac msqrt mroot mtable mtr mtd mstyle mpadded mphantom menclose mfenced semantics annotation annotation-xml".split())
+INLINE |= FORMULA
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: A closed element never reaches beyond these.
@@ -128,7 +132,7 @@ def blocks_of(page: str) -> list[Block]:
                 if not block and stack[k][0] not in INLINE:
                     break
             continue
-        if tag in VOID:
+        if tag in VOID or (tag in FORMULA and m[4].endswith("/")):
             continue
         if block:
             shut = CLOSES.get(tag)

@@ -3,7 +3,7 @@
 import zlib
 
 import corpus_pipeline as cp
-from folioscope.llm import decontaminate, lm_score, queries
+from folioscope.llm import decontaminate, html_extract, lm_score, queries
 
 
 def test_lm_learns_from_every_training_document(spark, monkeypatch):
@@ -35,3 +35,11 @@ def test_pipeline_stages_judge_rows_not_ids(spark, monkeypatch):
     for block in (decontaminate.BLOCK_BYTES, 8):
         monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
         assert sorted(r.text for r in decontaminate.keep_uncontaminated(rows, bench).collect()) == [b, d]
+
+
+def test_html_keeps_text_after_and_inside_what_is_no_raw_element():
+    whole = lambda inside: html_extract.extract(f"<article><p>One sentence that is long enough to stay.</p>{inside}<p>Two sentences, long enough to stay as well.</p></article>")
+    for empty in ('<svg class="i"/>', "<svg/>", "<math/>", "<svg-icon></svg-icon>", "<title-card></title-card>", "<svg><text>drawn</text></svg>"):
+        assert "Two sentences" in whole(empty) and "drawn" not in whole(empty), empty
+    assert "E=m" in whole("<p>Energy is <math><mi>E</mi><mo>=</mo><mi>m</mi></math> here, as everyone knows.</p>")
+    assert "fallback text" in whole("<p>Some <object data='x'>fallback text</object> that is shown to all.</p>")
