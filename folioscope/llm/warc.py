@@ -89,12 +89,6 @@ def _open(root: str):
     return fs.FileSystem.from_uri(root)
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in slices(batches):
-        raw = [h.encode() for h in b.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in raw], pa.int64()), pa.array([digest_of(x) for x in raw], pa.string())], names=["page_id", "size", "digest"])
-
-
 def _writer(root: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = _open(root)
@@ -128,12 +122,12 @@ def _arrow(ddl: str) -> pa.Schema:
 
 def write_archives(pages: DataFrame, scratch: Scratch, min_bytes: int = 0) -> tuple[DataFrame, str]:
     """The index of the archives and the folder they are in."""
-    texts = pages.select(F.coalesce(F.col("page_id").cast("long"), F.lit(-1)).alias("page_id"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"), F.col("url").cast("string").alias("url"))
-    digests = scratch.save(texts.mapInArrow(_digests, "page_id long, size long, digest string"), "digests").where(F.col("size") >= min_bytes)
+    texts = pages.select(F.coalesce(F.col("page_id").cast("long"), F.lit(-1)).alias("page_id"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"), F.col("url").cast("string").alias("url")).withColumn("digest", F.sha1("html"))
+    digests = scratch.save(texts.select("page_id", F.octet_length("html").alias("size"), "digest"), "digests").where(F.col("size") >= min_bytes)
     chosen = digests.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    revisits = scratch.save(digests.join(chosen, "digest").where("page_id <> refers_to").groupBy("page_id").agg(F.max("refers_to").alias("refers_to")), "revisits")
+    revisits = scratch.save(digests.join(chosen, "digest").where("page_id <> refers_to").select("page_id", "digest", "refers_to").distinct(), "revisits")
     root = f"{scratch.base}/warc"
-    joined = texts.join(revisits, "page_id", "left")
+    joined = texts.join(revisits, ["page_id", "digest"], "left")
     index = joined.select("page_id", "html", "url", "refers_to").mapInArrow(_writer(root), INDEX)
     return scratch.save(index, "index"), root
 

@@ -3,7 +3,7 @@
 import zlib
 
 import corpus_pipeline as cp
-from folioscope.llm import decontaminate, html_extract, lm_score, queries
+from folioscope.llm import decontaminate, html_extract, lm_score, queries, warc
 
 
 def test_lm_learns_from_every_training_document(spark, monkeypatch):
@@ -43,3 +43,10 @@ def test_html_keeps_text_after_and_inside_what_is_no_raw_element():
         assert "Two sentences" in whole(empty) and "drawn" not in whole(empty), empty
     assert "E=m" in whole("<p>Energy is <math><mi>E</mi><mo>=</mo><mi>m</mi></math> here, as everyone knows.</p>")
     assert "fallback text" in whole("<p>Some <object data='x'>fallback text</object> that is shown to all.</p>")
+
+
+def test_warc_revisits_only_own_payload(spark):
+    pages = spark.createDataFrame([(7, "u", "a"), (7, "u", "b"), (8, "u", "a"), (None, "u", "a"), (None, "u", "c")], "page_id long, url string, html string")
+    got = {(r.page_id, r.payload_digest, r.record_type, r.refers_to) for r in warc.archive_round_trip(pages).collect()}
+    a, b, c = (warc.digest_of(x) for x in (b"a", b"b", b"c"))
+    assert got == {(7, a, "revisit", 8), (7, b, "response", None), (8, a, "response", None), (-1, a, "revisit", 8), (-1, c, "response", None)}
