@@ -4,8 +4,8 @@ A word that the model knows scores by its log frequency in each language. An uns
 n-grams: at each place the longest known n-gram, of ``MAX_GRAM`` characters down to one, scores with a penalty for each step down.
 
 The model is a classifier fitted on about ``FIT_DOCS`` labelled documents, chosen by a hash of their id (all of them
-where there are fewer); it keeps the ``KEEP_WORDS`` most frequent words and ``KEEP_GRAMS`` n-grams of each order, so its
-broadcast is bounded whatever the corpus. Every document is scored over its whole text.
+where there are fewer); it keeps up to ``KEEP_WORDS`` words and ``KEEP_GRAMS`` n-grams of each order, so its
+broadcast is bounded whatever the corpus. Languages share these bounds evenly, each by its own counts; what a small one leaves goes to the others. Every document is scored over its whole text.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; so is everything if nothing is labelled.
 Ties go to the language that sorts first. Repeated rows are scored each by itself; other columns are ignored.
@@ -153,6 +153,15 @@ def _restore(langs, known, scores, grams_, gram_scores) -> Model:
     return model
 
 
+def shares(sizes: dict[str, int], bound: int) -> dict[str, int]:
+    """How many of each language's entries stay: all of a small one, and an even share of the rest of the bound."""
+    out = {}
+    for k, lang in enumerate(sorted(sizes, key=lambda x: (sizes[x], x))):
+        out[lang] = min(sizes[lang], bound // (len(sizes) - k))
+        bound -= out[lang]
+    return out
+
+
 def fit(train: DataFrame) -> Model:
     """``train`` has lang and text; only rows with a language teach."""
     labelled = train.where(F.col("lang").isNotNull())
@@ -163,11 +172,15 @@ def fit(train: DataFrame) -> Model:
     counts = texts.mapInArrow(_count, "lang string, kind int, gram string, c long").groupBy("lang", "kind", "gram").agg(F.sum("c").alias("c"))
     wide = counts.groupBy("kind", "gram").agg(F.sum("c").alias("n"), F.collect_list(F.struct("lang", "c")).alias("by"))
     wide = wide.persist()
-    totals = {(r.lang, r.kind): r.n for r in wide.select("kind", F.explode("by").alias("x")).groupBy("x.lang", "kind").agg(F.sum("x.c").alias("n")).collect()}
+    found = wide.select("kind", F.explode("by").alias("x")).groupBy("x.lang", "kind").agg(F.sum("x.c").alias("n"), F.count(F.lit(1)).alias("distinct")).collect()
+    totals = {(r.lang, r.kind): r.n for r in found}
     rows = []
     for kind in range(MAX_GRAM + 1):
-        top = wide.where(F.col("kind") == kind).orderBy(F.desc("n"), "gram").limit(KEEP_GRAMS if kind else KEEP_WORDS)
-        rows += [(x["lang"], kind, r.gram, x["c"]) for r in top.collect() for x in r.by]
+        of_kind, kept = wide.where(F.col("kind") == kind), {}
+        for lang, share in shares({r.lang: r.distinct for r in found if r.kind == kind}, KEEP_GRAMS if kind else KEEP_WORDS).items():
+            mine = of_kind.withColumn("own", F.get(F.filter("by", lambda x: x["lang"] == F.lit(lang)), F.lit(0))["c"]).where("own is not null")
+            kept |= {r.gram: r.by for r in mine.orderBy(F.desc("own"), "gram").limit(share).collect()}
+        rows += [(x["lang"], kind, gram, x["c"]) for gram, by in kept.items() for x in by]
     wide.unpersist()
     return Model.fit(rows, totals)
 

@@ -3,7 +3,7 @@
 import zlib
 
 import corpus_pipeline as cp
-from folioscope.llm import decontaminate, html_extract, lm_score, queries, warc
+from folioscope.llm import decontaminate, html_extract, langid, lm_score, queries, warc
 
 
 def test_lm_learns_from_every_training_document(spark, monkeypatch):
@@ -50,3 +50,10 @@ def test_warc_revisits_only_own_payload(spark):
     got = {(r.page_id, r.payload_digest, r.record_type, r.refers_to) for r in warc.archive_round_trip(pages).collect()}
     a, b, c = (warc.digest_of(x) for x in (b"a", b"b", b"c"))
     assert got == {(7, a, "revisit", 8), (7, b, "response", None), (8, a, "response", None), (-1, a, "revisit", 8), (-1, c, "response", None)}
+
+
+def test_languages_have_their_own_share(spark, monkeypatch):
+    monkeypatch.setattr(langid, "KEEP_WORDS", 6)
+    rows = [(k, "en", f"big large huge vast wide tall {'ab'[k % 2]}x") for k in range(20)] + [(30, "es", "casa perro gato"), (31, "es", "casa perro")]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, lang string, text string"))
+    assert {"casa", "perro", "gato"} <= set(model.known) and len(model.known) == 6
