@@ -1,12 +1,12 @@
 """A small causal self-attention language model in numpy: its training and its batched, masked scoring.
 
-One attention layer over learned embeddings with a bias for each distance, a ReLU layer and a softmax in two steps: a band of
-frequency, then a class of the band. The most frequent ids are classes of their own; the others share the last band's classes, within
-which the corpus counts decide. All inputs are gathered from tables that hold the projected embeddings, so scoring a window costs two
-batched products and the output layer.
+One attention layer over learned embeddings of all ids with a bias for each distance, a ReLU layer and a softmax in two steps: a band
+of frequency, then a class of the band. The most frequent ids are classes of their own; the others share the last band's classes, within
+which the corpus counts decide.
 
-A text's ids are cut into windows that overlap: each scores its last ``STRIDE`` positions and sees ``WINDOW - STRIDE`` earlier ones at least,
-so every token is scored once. Positions before the text hold the begin symbol.
+Training cuts a text's ids into runs of ``WINDOW``, each position of which is a target once. Scoring uses windows that overlap: each scores
+its last ``STRIDE`` positions and sees ``WINDOW - STRIDE`` earlier ones at least, so every token is scored once. Positions before the text
+hold the begin symbol.
 """
 
 from __future__ import annotations
@@ -15,46 +15,72 @@ from copy import copy
 
 import numpy as np
 
-WINDOW, STRIDE, DIM, HIDDEN, INPUTS, BANDS, MEMBERS = 32, 24, 24, 32, 2048, 32, 32
+WINDOW, STRIDE, DIM, HIDDEN, BANDS, MEMBERS = 16, 12, 16, 16, 32, 32
 CLASSES = BANDS * MEMBERS
 #: Ids that are classes of their own, and classes that the others share.
 SINGLES, BINS = CLASSES - MEMBERS, MEMBERS
-_FAR = np.float32(-1e9)
+#: Windows of a training step and of a scoring chunk, small enough for a core's cache.
+STEP, CHUNK = 512, 512
+_FAR, _MOST = np.float32(-1e9), np.float32(60)
 
 
 class Vocabulary:
-    """Output classes and input symbols of ids, from their counts in the corpus."""
+    """Output classes of ids, from their counts in the corpus."""
 
     def __init__(self, counts: np.ndarray):
         order = np.argsort(-counts, kind="stable")
         rank = np.empty(len(counts), np.int64)
         rank[order] = np.arange(len(counts))
         spread = np.minimum(np.log2(np.maximum(rank - SINGLES, 0) + 1) * 2, BINS - 1).astype(np.int64)
-        self.group = np.where(rank < SINGLES, rank, SINGLES + spread)
+        group = np.where(rank < SINGLES, rank, SINGLES + spread)
         smooth = counts + 0.5
-        self.prior = np.bincount(self.group, smooth, CLASSES)
-        self.inside = np.log(smooth / self.prior[self.group]).astype(np.float32)
-        band = np.maximum(self.prior, 1e-9).reshape(BANDS, MEMBERS)
+        prior = np.bincount(group, smooth, CLASSES)
+        self.size = len(counts)
+        self.band, self.member = (group // MEMBERS).astype(np.uint8), (group % MEMBERS).astype(np.uint8)
+        self.inside = np.log(smooth / prior[group]).astype(np.float32)
+        band = np.maximum(prior, 1e-9).reshape(BANDS, MEMBERS)
         self.band_prior = np.log(band.sum(1) / band.sum()).astype(np.float32)
         self.prior = np.log(band / band.sum(1, keepdims=True)).astype(np.float32)
-        #: 0 is the begin symbol; ids beyond the table share its last entries.
-        self.symbol = np.where(rank < INPUTS - 65, rank + 1, INPUTS - 64 + rank % 64)
 
 
-def windows_of(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of documents laid end to end: the place of each window's first scored position, and the end of its document."""
-    n = -(-lengths // STRIDE)
-    first = np.cumsum(lengths) - lengths
+def windows(ids: np.ndarray, lengths: np.ndarray, stride: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of documents laid end to end: the symbols of all windows, the places of their last ``stride`` positions, and which of those are in the text.
+
+    The symbol at a position is the id before it plus one, or 0 at and before a text's begin.
+    """
+    n = -(-lengths // stride)
+    ends = np.cumsum(lengths)
     doc = np.repeat(np.arange(len(lengths)), n)
     nth = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
-    return first[doc] + nth * STRIDE, doc
-
-
-def _log_softmax(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
-    np.minimum(logits, 60, out=logits)  # keeps the exponentials finite without a pass for their maximum
-    picked = logits[np.arange(len(target)), target]
+    begin, end = (ends - lengths)[doc], ends[doc]
+    place = (begin + nth * stride)[:, None] + np.arange(stride - WINDOW, stride)
+    symbols = np.zeros(len(ids) + 1, np.uint32)
+    symbols[1:] = ids
+    symbols[1:] += 1
+    x = symbols[np.clip(place, 0, len(ids))]
+    x[place <= begin[:, None]] = 0
+    scored = place[:, -stride:]
+    return x, np.minimum(scored, max(0, len(ids) - 1)), scored < end[:, None]
+
+
+def by_band(band: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """An order of the rows by band, and each band's rows in it."""
+    order = np.argsort(band, kind="stable")
+    edge = np.concatenate([[0], np.cumsum(np.bincount(band, minlength=BANDS))]).tolist()
+    return order, [(b, slice(edge[b], edge[b + 1])) for b in range(BANDS) if edge[b] < edge[b + 1]]
+
+
+def _softmax_loss(logits: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[float, np.ndarray]:
+    """Weighted loss, and its gradient in the logits' place."""
+    at = np.arange(len(target))
+    np.minimum(logits, _MOST, out=logits)  # keeps the exponentials finite without a pass for their maximum
+    picked = logits[at, target]
     np.exp(logits, out=logits)
-    return picked - np.log(logits @ np.ones(logits.shape[1], np.float32))
+    total = logits @ np.ones(logits.shape[1], np.float32)
+    loss = float((np.log(total) - picked) @ weight)
+    logits *= (weight / total)[:, None]
+    logits[at, target] -= weight
+    return loss, logits
 
 
 class Model:
@@ -63,167 +89,161 @@ class Model:
         make = lambda *shape: (rng.standard_normal(shape) / np.sqrt(shape[0])).astype(np.float32)
         self.vocabulary = vocabulary
         self.p = {
-            "E": (rng.standard_normal((INPUTS, DIM)) * 0.3).astype(np.float32), "Wq": make(DIM, DIM), "Wk": make(DIM, DIM), "Wv": make(DIM, DIM),
-            "W1": make(DIM, HIDDEN), "W2": make(HIDDEN, DIM) * 0.5, "U1": make(DIM, BANDS), "b1": vocabulary.band_prior.copy(), "U2": make(BANDS, DIM, MEMBERS) * np.float32(np.sqrt(BANDS / DIM)), "b2": vocabulary.prior.copy(), "far": (-0.1 * np.arange(WINDOW)).astype(np.float32),
+            "E": (rng.standard_normal((vocabulary.size + 1, DIM)) * 0.3).astype(np.float32), "Wq": make(DIM, DIM) / np.float32(np.sqrt(DIM)), "Wkv": make(DIM, 2 * DIM),
+            "W1": make(DIM, HIDDEN), "W2": make(HIDDEN, DIM) * np.float32(0.5), "U1": make(DIM, BANDS), "b1": vocabulary.band_prior.copy(),
+            "U2": make(BANDS, DIM, MEMBERS) * np.float32(np.sqrt(BANDS / DIM)), "b2": vocabulary.prior.copy(), "far": (-0.1 * np.arange(WINDOW)).astype(np.float32),
         }
-        distance = np.arange(WINDOW - STRIDE, WINDOW)[:, None] - np.arange(WINDOW)
-        self.distance, self.mask = np.maximum(distance, 0), distance < 0
-
-    def _bias(self) -> np.ndarray:
-        return np.where(self.mask, _FAR, self.p["far"][self.distance]).astype(np.float32)
 
-    def tables(self) -> tuple[np.ndarray, ...]:
-        e = self.p["E"]
-        return e @ self.p["Wq"] / np.float32(np.sqrt(DIM)), e @ self.p["Wk"], e @ self.p["Wv"], self._bias()
+    def _bias(self, stride: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What distance adds to the attention of the last ``stride`` positions, the distances, and which positions lie ahead."""
+        distance = np.arange(WINDOW - stride, WINDOW)[:, None] - np.arange(WINDOW)
+        ahead, distance = distance < 0, np.maximum(distance, 0)
+        return np.where(ahead, _FAR, self.p["far"][distance]).astype(np.float32), distance, ahead
 
-    def forward(self, x: np.ndarray, tables: tuple[np.ndarray, ...]):
-        """x: (windows, WINDOW) symbols; gives the state of the last STRIDE positions and what training needs."""
-        tq, tk, tv, bias = tables
-        q, k, v = tq[x[:, -STRIDE:]], tk[x], tv[x]
+    def _state(self, last: np.ndarray, q: np.ndarray, k: np.ndarray, v: np.ndarray, bias: np.ndarray):
+        """The last layer's input at each position, and what training needs. Shapes: (rows, DIM), (windows, stride, DIM), twice (windows, WINDOW, DIM)."""
         a = q @ k.transpose(0, 2, 1)
         a += bias
-        np.minimum(a, 60, out=a)  # keeps the exponentials finite without a pass for their maximum
+        np.minimum(a, _MOST, out=a)
         np.exp(a, out=a)
-        total = a.sum(-1, keepdims=True)
-        o = (a @ v) / total
-        h = (self.p["E"][x[:, -STRIDE:]] + o).reshape(-1, DIM)
-        z = np.maximum(h @ self.p["W1"], 0)
-        g = h + z @ self.p["W2"]
-        return g, (q, k, v, a, total, o, h, z)
-
-    @staticmethod
-    def by_band(y: np.ndarray):
-        """(band, rows) for the classes y."""
-        band = (y // MEMBERS).astype(np.uint8)
-        order = np.argsort(band, kind="stable")
-        edge = np.searchsorted(band[order], np.arange(BANDS + 1))
-        return [(b, order[edge[b] : edge[b + 1]]) for b in range(BANDS) if edge[b] < edge[b + 1]]
+        a /= (a @ np.ones(WINDOW, np.float32))[..., None]
+        h = (a @ v).reshape(-1, DIM)
+        h += last
+        z = h @ self.p["W1"]
+        np.maximum(z, 0, out=z)
+        g = z @ self.p["W2"]
+        g += h
+        return g, a, h, z
 
     def train_step(self, x: np.ndarray, y: np.ndarray, live: np.ndarray, rate: float, state: dict) -> float:
-        """One Adam step on the classes y of the scored positions; returns the mean loss in nats."""
-        p = self.p
-        g, (q, k, v, a, total, o, h, z) = self.forward(x, self.tables())
+        """One step on the ids y of all positions of the windows x; returns the mean loss in nats. Adam, but AdaGrad by row for the embeddings."""
+        p, grad = self.p, {}
+        rows = x.reshape(-1)
+        e = np.take(p["E"], rows, axis=0)
+        shape = (*x.shape, DIM)
+        q = (e @ p["Wq"]).reshape(shape)
+        kv = e @ p["Wkv"]
+        k, v = kv[:, :DIM].reshape(shape), kv[:, DIM:].reshape(shape)
+        bias, distance, ahead = self._bias(WINDOW)
+        g, a, h, z = self._state(e, q, k, v, bias)
+
         y, live = y.reshape(-1), live.reshape(-1)
-        n = max(1, int(live.sum()))
-        weight = (live / n).astype(np.float32)[:, None]
-        loss, grad = 0.0, {"U2": np.zeros_like(p["U2"]), "b2": np.zeros_like(p["b2"])}
-
-        def softmax_loss(logits: np.ndarray, target: np.ndarray, w: np.ndarray) -> np.ndarray:
-            nonlocal loss
-            logits -= logits.max(-1, keepdims=True)
-            e = np.exp(logits)
-            s = e.sum(-1, keepdims=True)
-            at = np.arange(len(target))
-            loss += float(((np.log(s[:, 0]) - logits[at, target]) * w[:, 0]).sum())
-            e /= s
-            e[at, target] -= 1
-            return e * w
-
-        d = softmax_loss(g @ p["U1"] + p["b1"], y // MEMBERS, weight)
+        band, member = self.vocabulary.band[y], self.vocabulary.member[y]
+        weight = (live / max(1, int(live.sum()))).astype(np.float32)
+        loss, d = _softmax_loss(g @ p["U1"] + p["b1"], band, weight)
         grad["U1"], grad["b1"] = g.T @ d, d.sum(0)
         dg = d @ p["U1"].T
-        for b, rows in self.by_band(y):
-            d = softmax_loss(g[rows] @ p["U2"][b] + p["b2"][b], y[rows] % MEMBERS, weight[rows])
-            grad["U2"][b], grad["b2"][b] = g[rows].T @ d, d.sum(0)
-            dg[rows] += d @ p["U2"][b].T
+        order, parts = by_band(band)
+        gs, logits = g[order], np.empty((len(y), MEMBERS), np.float32)
+        for b, s in parts:
+            np.matmul(gs[s], p["U2"][b], out=logits[s])
+            logits[s] += p["b2"][b]
+        more, d = _softmax_loss(logits, member[order], weight[order])
+        grad["U2"], grad["b2"] = np.zeros_like(p["U2"]), np.zeros_like(p["b2"])
+        grad["b2"][[b for b, _ in parts]] = np.add.reduceat(d, [s.start for _, s in parts], axis=0)
+        ds = np.empty_like(g)
+        for b, s in parts:
+            np.matmul(gs[s].T, d[s], out=grad["U2"][b])
+            np.matmul(d[s], p["U2"][b].T, out=ds[s])
+        dg[order] += ds
         grad["W2"] = z.T @ dg
-        dz = (dg @ p["W2"].T) * (z > 0)
+        dz = dg @ p["W2"].T
+        dz *= z > 0
         grad["W1"] = h.T @ dz
-        dh = (dg + dz @ p["W1"].T).reshape(o.shape)
-        w = a / total
-        dv = w.transpose(0, 2, 1) @ dh
-        dw = dh @ v.transpose(0, 2, 1)
-        da = w * (dw - (dw * w).sum(-1, keepdims=True))
-        grad["far"] = np.bincount(self.distance[~self.mask], da.sum(0)[~self.mask], WINDOW).astype(np.float32)
-        scale = np.float32(1 / np.sqrt(DIM))
-        dq, dk = (da @ k) * scale, da.transpose(0, 2, 1) @ q
-        emb = p["E"][x]
-        last = emb[:, -STRIDE:].reshape(-1, DIM)
-        grad["Wq"] = last.T @ dq.reshape(-1, DIM)
-        grad["Wk"] = emb.reshape(-1, DIM).T @ dk.reshape(-1, DIM)
-        grad["Wv"] = emb.reshape(-1, DIM).T @ dv.reshape(-1, DIM)
-        de = dk @ p["Wk"].T + dv @ p["Wv"].T
-        de[:, -STRIDE:] += dq @ p["Wq"].T + dh
-        order = np.argsort(x.reshape(-1), kind="stable")
-        ids = x.reshape(-1)[order]
-        start = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-        grad["E"] = np.zeros_like(p["E"])
-        grad["E"][ids[start]] = np.add.reduceat(de.reshape(-1, DIM)[order], start, axis=0)
+        dh = dz @ p["W1"].T
+        dh += dg
+        do = dh.reshape(shape)
+        dkv = np.empty((*x.shape, 2 * DIM), np.float32)
+        dkv[..., DIM:] = a.transpose(0, 2, 1) @ do
+        da = do @ v.transpose(0, 2, 1)
+        da -= np.einsum("bst,bst->bs", da, a)[..., None]
+        da *= a
+        grad["far"] = np.bincount(distance[~ahead], da.sum(0)[~ahead], WINDOW).astype(np.float32)
+        dq = (da @ k).reshape(-1, DIM)
+        dkv[..., :DIM] = da.transpose(0, 2, 1) @ q
+        flat = dkv.reshape(-1, 2 * DIM)
+        grad["Wq"], grad["Wkv"] = e.T @ dq, e.T @ flat
+        dh += dq @ p["Wq"].T
+        dh += flat @ p["Wkv"].T
+
         t = state["t"] = state.get("t", 0) + 1
         for name, gr in grad.items():
             m, r = state.setdefault(name, (np.zeros_like(p[name]), np.zeros_like(p[name])))
             m += 0.1 * (gr - m)
             r += 0.01 * (gr * gr - r)
-            p[name] -= (rate * (m / (1 - 0.9**t)) / (np.sqrt(r / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
-        return loss
-
-    def batches(self, ids: np.ndarray, lengths: np.ndarray):
-        """Symbols, places and validity of all windows of documents laid end to end."""
-        at, doc = windows_of(lengths)
-        ends = np.cumsum(lengths)
-        first = ends - lengths
-        symbols = np.concatenate([[0], self.vocabulary.symbol[ids]])  # the symbol before place i is symbols[i]
-        place = at[:, None] + np.arange(STRIDE - WINDOW, STRIDE)
-        begin, end = first[doc][:, None], ends[doc][:, None]
-        x = symbols[np.clip(place, 0, len(ids))]
-        x[place <= begin] = 0
-        scored = place[:, -STRIDE:]
-        return x, np.minimum(scored, len(ids) - 1), scored < end, doc
-
-    def train(self, ids: np.ndarray, lengths: np.ndarray, steps: int, size: int = 96, rate: float = 0.02, seed: int = 11) -> list[float]:
-        x, place, live, _ = self.batches(ids, lengths)
-        y = self.vocabulary.group[ids][place]
-        rng, state, losses = np.random.default_rng(seed), {}, []
-        for k in range(steps):
-            pick = rng.integers(0, len(x), size)
-            losses.append(self.train_step(x[pick], y[pick], live[pick], rate * (1 - 0.9 * k / steps), state))
-        return losses
-
-    def train_all(self, ids: np.ndarray, lengths: np.ndarray, least: int, begin: float, end: float, size: int = 96, rate: float = 0.02, seed: int = 11) -> int:
-        """Every window once, and again until there are ``least`` steps; ``begin`` and ``end`` say which part of the rate's fall this is. Gives the steps."""
-        x, place, live, _ = self.batches(ids, lengths)
-        y = self.vocabulary.group[ids][place]
-        rng, state = np.random.default_rng(seed), {}
-        a_pass = -(-len(x) // size)
-        steps = max(1, -(-least // a_pass)) * a_pass
-        for k in range(steps):
-            if k % a_pass == 0:
-                order = rng.permutation(len(x))
-            pick = order[k % a_pass * size : (k % a_pass + 1) * size]
-            self.train_step(x[pick], y[pick], live[pick], rate * (1 - 0.9 * (begin + (end - begin) * k / steps)), state)
-        return steps
+            p[name] -= np.float32(rate / (1 - 0.9**t)) * m / (np.sqrt(r / np.float32(1 - 0.99**t)) + np.float32(1e-8))
+        used = np.flatnonzero(np.bincount(rows, minlength=len(p["E"])))
+        place = state.setdefault("place", np.zeros(len(p["E"]), np.int64))
+        place[used] = np.arange(len(used)) * DIM
+        de = np.bincount((place[rows][:, None] + np.arange(DIM)).reshape(-1), dh.reshape(-1), len(used) * DIM).astype(np.float32).reshape(-1, DIM)
+        square = state.setdefault("E", np.zeros(len(p["E"]), np.float32))
+        square[used] += np.einsum("ud,ud->u", de, de) / DIM
+        p["E"][used] -= de * (np.float32(5 * rate) / (np.sqrt(square[used]) + np.float32(1e-8)))[:, None]
+        return loss + more
+
+    def train(self, ids: np.ndarray, lengths: np.ndarray, least: int, rate: float, state: dict, seed: int = 11) -> None:
+        """Every window once, and again until ``state`` has seen ``least`` steps."""
+        if not len(ids):
+            return
+        x, place, live = windows(ids, lengths, WINDOW)
+        y = ids[place]
+        rng = np.random.default_rng(seed)
+        while True:
+            order = rng.permutation(len(x))
+            for k in range(0, len(x), STEP):
+                pick = order[k : k + STEP]
+                self.train_step(x[pick], y[pick], live[pick], rate, state)
+            if state["t"] >= least:
+                return
 
     def copy(self) -> Model:
         other = copy(self)
         other.p = {k: v.copy() for k, v in self.p.items()}
         return other
 
-    def packed(self) -> bytes:
-        return b"".join(v.tobytes() for v in self.p.values())
+    def packed(self) -> np.ndarray:
+        return np.concatenate([v.reshape(-1) for v in self.p.values()])
 
     def unpack(self, flat: np.ndarray) -> None:
         """The parameters from one flat array in the order of :meth:`packed`."""
         at = 0
         for k, v in self.p.items():
-            self.p[k] = flat[at : at + v.size].reshape(v.shape).copy()
+            self.p[k] = flat[at : at + v.size].reshape(v.shape).astype(np.float32)
             at += v.size
 
-    def score(self, ids: np.ndarray, lengths: np.ndarray, chunk: int = 256) -> np.ndarray:
+    def score(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Natural log probability of each id given those before it in its document."""
         out = np.zeros(len(ids), np.float32)
         if not len(ids):
             return out
-        tables = self.tables()
-        x, place, live, _ = self.batches(ids, lengths)
-        y, inside = self.vocabulary.group[ids], self.vocabulary.inside[ids]
-        for at in range(0, len(x), chunk):
-            part = slice(at, at + chunk)
-            ok = np.flatnonzero(live[part].reshape(-1))
-            where = place[part].reshape(-1)[ok]
-            g = self.forward(x[part], tables)[0][ok]
-            target = y[where]
-            got = inside[where] + _log_softmax(g @ self.p["U1"] + self.p["b1"], target // MEMBERS)
-            for b, rows in self.by_band(target):
-                got[rows] += _log_softmax(g[rows] @ self.p["U2"][b] + self.p["b2"][b], target[rows] % MEMBERS)
-            out[where] = got
+        p, bias = self.p, self._bias(STRIDE)[0]
+        e = p["E"]
+        tq, tk, tv = e @ p["Wq"], e @ p["Wkv"][:, :DIM], e @ p["Wkv"][:, DIM:]
+        x, place, live = windows(ids, lengths, STRIDE)
+        for at in range(0, len(x), CHUNK):
+            part = slice(at, at + CHUNK)
+            own = np.ascontiguousarray(x[part, -STRIDE:])
+            last = np.take(e, own.reshape(-1), axis=0)
+            g = self._state(last, np.take(tq, own, axis=0), np.take(tk, x[part], axis=0), np.take(tv, x[part], axis=0), bias)[0]
+            y = ids[place[part].reshape(-1)]
+            band, member = self.vocabulary.band[y], self.vocabulary.member[y]
+            rows = np.arange(len(y))
+            logits = g @ p["U1"]
+            logits += p["b1"]
+            np.minimum(logits, _MOST, out=logits)
+            got = logits[rows, band] + self.vocabulary.inside[y]
+            np.exp(logits, out=logits)
+            got -= np.log(logits @ np.ones(BANDS, np.float32))
+            order, parts = by_band(band)
+            gs, logits = g[order], np.empty((len(y), MEMBERS), np.float32)
+            for b, s in parts:
+                np.matmul(gs[s], p["U2"][b], out=logits[s])
+                logits[s] += p["b2"][b]
+            np.minimum(logits, _MOST, out=logits)
+            picked = logits[rows, member[order]]
+            np.exp(logits, out=logits)
+            picked -= np.log(logits @ np.ones(MEMBERS, np.float32))
+            got[order] += picked
+            inside = live[part].reshape(-1)
+            out[place[part].reshape(-1)[inside]] = got[inside]
         return out

@@ -2,12 +2,13 @@
 
 1. Every training document's words and subword ids are counted: per task first, then by bucket of the word's hash. The word counts (the
    lexicon) stay distributed; of them only the ``HEAD_WORDS`` most frequent, and one count for each id of the vocabulary, reach the driver.
-2. The attention model is fitted on the ids of all training documents, in ``ROUNDS`` rounds. A hash deals the documents to the cells of a round; each
-   cell is trained by a task from the round's common parameters, and their mean, weighted by tokens, starts the next round. Cells and their steps grow
-   with the corpus; every window is trained on at least once, and ``FIT_STEPS`` steps are the least there are in a row. The output layer is
-   completed with the id counts of the whole corpus.
-3. Each document is scored whole, in overlapping windows (see ``attention``). A word's probability is the mean of what the attention model gives its
-   subwords and of its share of the lexicon's tokens. Words outside the head go by bucket to the lexicon's rows, packed, and come back as sums.
+2. The attention model is fitted on the ids of all training documents, in ``ROUNDS`` rounds. A hash deals the documents to the cells of a round; a task
+   streams a cell's documents in chunks and trains from the round's common parameters, and the cells' mean, weighted by tokens, starts the next round.
+   Cells and their sizes grow with the corpus; every token is a target at least once, and a cell takes its share of ``FIT_STEPS`` steps at least. The
+   output layer is completed with the id counts of the whole corpus.
+3. Each document is scored whole, in overlapping windows (see ``attention``). A word's probability is ``ATTENTION_SHARE`` of what the attention model
+   gives its subwords, and for the rest its share of the lexicon's tokens. Words outside the head go by bucket to the lexicon's rows, packed, and come
+   back as sums. A bucket is sorted by Spark and streamed; only its part of the lexicon is held.
 
 A training document is one whose crc32(doc_id as text) mod 7 is not 2. Words are lower-cased (A-Z) runs of non-space; the end of a text is a token.
 
@@ -20,6 +21,8 @@ from __future__ import annotations
 import os
 from array import array
 from collections.abc import Iterator
+from itertools import chain, groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +36,11 @@ from .scratch import Scratch, narrow, partitions, slices
 from .subwords import vocabulary_path
 from .wordhash import SPACE_FOLDED, Words, words
 
-HEAD_WORDS, ROUNDS, FIT_STEPS, ATTENTION_SHARE = 200_000, 8, 800, 0.5
-#: Tokens of a cell: so many times the root of the corpus, and so many at least.
-CELL_GROWTH, CELL_TOKENS = 50, 230_400
+HEAD_WORDS, ROUNDS, FIT_STEPS, RATE, ATTENTION_SHARE = 200_000, 8, 400, 0.02, 0.9
+#: Tokens of a cell: so many times the root of the corpus, and so many at least; with fewer tokens than that, every round reads all documents.
+CELL_GROWTH, CELL_TOKENS = 50, 1_000_000
+#: Tokens that a cell's task holds at once.
+CHUNK_TOKENS = 1 << 18
 FLUSH_WORDS, SLICE = 1_000_000, 2 << 20
 #: The hash that stands for the end of a text; no word is likelier to have it than any other.
 END_HASH = np.uint64(0x51AFD7ED558CCD25)
@@ -75,7 +80,7 @@ class Pieces(dict):
     def distinct(self, w: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The distinct words of a batch: place of each word among them, counts, ids of all laid end to end, and lengths."""
         _, at, inverse, counts = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
-        data = w.data.tobytes()
+        data = w.data.tobytes().replace(b"\xff", b"\0")  # how NUL is folded
         found = self.encode([data[b:e] for b, e in zip(w.begin[at].tolist(), w.end[at].tolist(), strict=True)])
         size = np.fromiter(map(len, found), np.int64, len(found)) // 2
         return inverse, counts, np.frombuffer(b"".join(found), np.uint16).astype(np.int64), size
@@ -160,14 +165,17 @@ def _magnitude(counts: np.ndarray) -> np.ndarray:
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One lexicon row for each bucket: sorted hashes and counts, their numbers, and how many words are of each magnitude."""
-    held: dict[int, list[bytes]] = {}
-    for b in batches:
-        for bucket, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            held.setdefault(bucket, []).append(blob)
-    for bucket in list(held):
-        parts = [_counts(x) for x in held.pop(bucket)]
-        h, c = _sum_by(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+    """One lexicon row for each bucket: sorted hashes and counts, their numbers, and how many words are of each magnitude. The rows come sorted by bucket."""
+    for bucket, rows in groupby(((x, y) for b in batches for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)), itemgetter(0)):
+        h, c = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        held, n_held = [], 0
+        for blob in chain((x for _, x in rows), [None]):
+            if blob is not None:
+                held.append(_counts(blob))
+                n_held += len(held[-1][0])
+            if blob is None or n_held > max(FLUSH_WORDS, len(h)):  # so that no more than twice the bucket's words are held
+                h, c = _sum_by(np.concatenate([h, *(p[0] for p in held)]), np.concatenate([c, *(p[1] for p in held)]))
+                held, n_held = [], 0
         h, c = h[c > 0], c[c > 0]
         size = np.bincount(_magnitude(c), minlength=512) if len(c) else np.zeros(512, np.int64)
         yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([_pack(h, c)], pa.binary()), pa.array([len(h)], pa.int64()), pa.array([int(c.sum())], pa.int64()), pa.array([size.tolist()], pa.list_(pa.int64()))], names=["bucket", "payload", "n_words", "n_tokens", "sizes"])
@@ -231,20 +239,17 @@ def _score(vocabulary: str, shared, buckets: int):
 
 
 def _tail(total: int):
-    """Sums for words outside the head: the lexicon's row of a bucket meets the words of the documents."""
+    """Sums for words outside the head: the lexicon's row of a bucket meets the words of the documents. The rows come sorted by bucket and kind."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon: dict[int, bytes] = {}
-        asked: dict[int, list[bytes]] = {}
+        own, h, c = None, *_counts(b"")
         for b in batches:
-            for kind, bucket, blob in zip(*(c.to_pylist() for c in b.columns[:3]), strict=True):
-                if kind == 0:
-                    lexicon[bucket] = blob
-                else:
-                    asked.setdefault(bucket, []).append(blob)
-        for bucket, blobs in asked.items():
-            h, c = _counts(lexicon.get(bucket, b""))
-            for blob in blobs:
+            for kind, bucket, blob in zip(*(x.to_pylist() for x in b.columns[:3]), strict=True):
+                if bucket != own:
+                    own, h, c = bucket, *_counts(b"")
+                if kind == 0:  # the lexicon's row is the first of a bucket
+                    h, c = _counts(blob)
+                    continue
                 n = len(blob) // 20
                 words_, uids, lp = np.frombuffer(blob, np.uint64, n), np.frombuffer(blob, np.int64, n, 8 * n), np.frombuffer(blob, np.float32, n, 16 * n)
                 if len(h):
@@ -260,45 +265,76 @@ def _tail(total: int):
 
 
 def _train(shared, nth: int):
-    """The parameters that a round's common ones become in each cell of it, and the tokens they saw."""
+    """The parameters that a round's common ones become in each cell of it, and the tokens they saw. The rows come sorted by cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple[int, bytes]]] = {}
+        model, cell, seen, state, held, n_held = None, None, 0, {}, [], 0
+        rate, least = RATE * (1 - 0.9 * nth / ROUNDS), -(-FIT_STEPS // ROUNDS)
+
+        def learn(least: int) -> None:
+            nonlocal held, n_held
+            ids = np.concatenate(held).astype(np.int64)
+            model.train(ids, np.array([len(x) for x in held]), least, rate, state, seed=cell + state.get("t", 0))
+            held, n_held = [], 0
+
+        def finished() -> pa.RecordBatch:
+            learn(least)
+            return pa.RecordBatch.from_arrays([pa.array([cell], pa.int32()), pa.array([seen], pa.int64()), pa.array([model.packed().tobytes()], pa.binary())], names=["cell", "n", "payload"])
+
         for b in batches:
-            for cell, key, ids in zip(*(c.to_pylist() for c in b.columns[:3]), strict=True):
-                held.setdefault(cell, []).append((key, ids))
-        for cell in list(held):
-            docs = [np.frombuffer(x, np.uint16) for _, x in sorted(held.pop(cell))]
-            model = shared.value.copy()
-            ids = np.concatenate(docs).astype(np.int64)
-            model.train_all(ids, np.array([len(x) for x in docs]), -(-FIT_STEPS // ROUNDS), nth / ROUNDS, (nth + 1) / ROUNDS, seed=cell)
-            yield pa.RecordBatch.from_arrays([pa.array([cell], pa.int32()), pa.array([len(ids)], pa.int64()), pa.array([model.packed()], pa.binary())], names=["cell", "n", "payload"])
+            for of, blob in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
+                if of != cell:
+                    if held:
+                        yield finished()
+                    model, cell, seen, state = shared.value.copy(), of, 0, {}
+                elif n_held >= CHUNK_TOKENS:
+                    learn(0)
+                held.append(np.frombuffer(blob, np.uint16))
+                n_held += len(held[-1])
+                seen += len(held[-1])
+        if held:
+            yield finished()
+
+    return run
+
+
+def _total(kind: type):
+    """One row for a partition: the tokens of all its parameters, and their sum weighted by tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, seen = 0.0, 0
+        for b in batches:
+            for n, blob in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                total = total + np.frombuffer(blob, kind) * np.float64(n)
+                seen += n
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([seen], pa.int64()), pa.array([(total / seen).tobytes()], pa.binary())], names=["cell", "n", "payload"])
 
     return run
 
 
 def fit(sequences: DataFrame, id_counts: np.ndarray, scratch: Scratch) -> Model:
     """The attention model, from the (key, ids) of all training documents."""
-    sc = sequences.sparkSession.sparkContext
+    spark = sequences.sparkSession
     model = Model(Vocabulary(id_counts))
     n = int(id_counts.sum())
     if not n:
         return model
     cells = -(-n // int(ROUNDS * max(CELL_TOKENS, CELL_GROWTH * n**0.5)))
-    small = n < ROUNDS * CELL_TOKENS  # all documents in every round
+    small = n < CELL_TOKENS  # all documents in every round
     dealt = sequences.select(F.pmod("key", F.lit(cells * (1 if small else ROUNDS))).cast("int").alias("cell"), "key", "ids")
+    kind = "cell int, n long, payload binary"
     for nth in range(ROUNDS):
-        shared = sc.broadcast(model)
+        shared = spark.sparkContext.broadcast(model)
         mine = dealt if small else dealt.where(F.col("cell") % ROUNDS == nth)
-        trained = mine.repartition(max(cells, partitions(sequences.sparkSession)), "cell").mapInArrow(_train(shared, nth), "cell int, n long, payload binary")
-        trained = scratch.save(trained, f"round{nth}")
-        total, seen = 0.0, 0
-        for r in trained.orderBy("cell").toLocalIterator():
-            total = total + np.frombuffer(r.payload, np.float32).astype(np.float64) * r.n
-            seen += r.n
-        if seen:
+        mine = mine.repartition(max(cells, partitions(spark)), "cell").sortWithinPartitions("cell", "key")
+        trained = scratch.save(mine.mapInArrow(_train(shared, nth), kind), f"round{nth}")
+        # two steps of sums, so that the driver gets the root of the cells at most
+        sums = trained.repartition(max(1, round(cells**0.5)), "cell").sortWithinPartitions("cell").mapInArrow(_total(np.float32), kind)
+        (mean,) = list(_total(np.float64)(sums.toArrow().to_batches())) or [None]
+        if mean is not None:
             model = model.copy()
-            model.unpack((total / seen).astype(np.float32))
+            model.unpack(np.frombuffer(mean.column(2)[0].as_py(), np.float64))
         shared.unpersist()
         scratch.drop(f"round{nth}")
     return model
@@ -317,7 +353,7 @@ def lm_scores(docs: DataFrame, vocabulary: str) -> DataFrame:
     id_counts = np.zeros(Pieces.shared(vocabulary).size)
     for r in gathered.where("id is not null").groupBy("id").agg(F.sum("c").alias("c")).collect():  # at most one row for each id of the vocabulary
         id_counts[r.id] = r.c
-    lexicon = gathered.where("bucket is not null").select("bucket", "payload").repartition(width, "bucket")
+    lexicon = gathered.where("bucket is not null").select("bucket", "payload").repartition(width, "bucket").sortWithinPartitions("bucket")
     lexicon = scratch.save(lexicon.mapInArrow(_merge, "bucket int, payload binary, n_words long, n_tokens long, sizes array<long>"), "lexicon")
     n_words, total = (x or 0 for x in lexicon.agg(F.sum("n_words"), F.sum("n_tokens")).first())
     sizes = {r.at: r.n for r in lexicon.select(F.inline(F.filter(F.transform("sizes", lambda n, at: F.struct(at.alias("at"), n.alias("n"))), lambda x: x["n"] > 0))).groupBy("at").agg(F.sum("n").alias("n")).collect()}
@@ -335,7 +371,7 @@ def lm_scores(docs: DataFrame, vocabulary: str) -> DataFrame:
 
     scored = scratch.save(texts.mapInArrow(_score(vocabulary, shared, buckets), _SCORED), "scored")
     asked = scored.where("bucket is not null").select(F.lit(1).alias("kind"), "bucket", "payload")
-    both = lexicon.select(F.lit(0).alias("kind"), "bucket", "payload").unionByName(asked).repartition(width, "bucket")
+    both = lexicon.select(F.lit(0).alias("kind"), "bucket", "payload").unionByName(asked).repartition(width, "bucket").sortWithinPartitions("bucket", "kind")
     tail = both.mapInArrow(_tail(total), "uid long, base double, score double, known long")
     tail = tail.groupBy("uid").agg(F.sum("base").alias("tail_base"), F.sum("score").alias("tail_score"), F.sum("known").alias("tail_known"))
     out = scored.where("uid is not null").join(tail, "uid", "left").na.fill(0, ["tail_base", "tail_score", "tail_known"])

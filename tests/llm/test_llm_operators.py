@@ -216,6 +216,8 @@ def test_language_id_held_out(spark, small, docs, nothing):
 def test_lm_scores(spark, docs, nothing, monkeypatch):
     monkeypatch.setattr(lm_score, "FIT_STEPS", 30)
     monkeypatch.setattr(lm_score, "HEAD_WORDS", 20)  # so that most words take the way over the lexicon's buckets
+    models, fit = [], lm_score.fit
+    monkeypatch.setattr(lm_score, "fit", lambda *a: models.append(fit(*a)) or models[-1])
     got = rows_by_id(lm_score.lm_scores(docs, queries.PIECES))
     tokens = [[*SPACE.findall((t or "").translate(UPPER)), None] for t in TEXTS]
     counts = Counter(w for i, t in enumerate(tokens) if zlib.crc32(str(i).encode()) % 7 != 2 for w in t)
@@ -225,18 +227,50 @@ def test_lm_scores(spark, docs, nothing, monkeypatch):
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(t), sum(w in counts for w in t), total)
         assert math.isclose(r.base_score, sum(math.log10((counts[w] + 1) / (total + distinct + 1)) for w in t), rel_tol=1e-9)
         assert r.score < 0 and math.isfinite(r.score)
+    pieces = lm_score.Pieces.shared(queries.PIECES)
+    for i in sorted(range(len(tokens)), key=lambda i: len(tokens[i]))[:-4]:
+        ids = [pieces.model.encode(w) or [0] if w is not None else [pieces.end] for w in tokens[i]]
+        lp, at, expected = plain_scores(models[0], [x for p in ids for x in p]), 0, 0.0
+        for w, p in zip(tokens[i], ids, strict=True):
+            expected += math.log10(0.9 * math.exp(sum(lp[at : at + len(p)])) + 0.1 * counts[w] / total)
+            at += len(p)
+        assert math.isclose(got[i].score, expected, rel_tol=1e-4, abs_tol=1e-3), i
     assert lm_score.lm_scores(nothing, queries.PIECES).count() == 0
 
 
+def plain_scores(model, ids):
+    """The natural log probability of each id, one position at a time in plain arithmetic."""
+    from folioscope.llm import attention as A
+
+    p, v, out = {k: x.astype(float) for k, x in model.p.items()}, model.vocabulary, []
+    before = [0, *(k + 1 for k in ids)]
+    for at, y in enumerate(ids):
+        first = at - at % A.STRIDE - (A.WINDOW - A.STRIDE)  # the window reaches before the text; there is the begin symbol
+        seen = [before[j] if j > 0 else 0 for j in range(first, at + 1)]
+        e = p["E"][seen]
+        q, kv = e[-1] @ p["Wq"], e @ p["Wkv"]
+        weight = np.exp(kv[:, : A.DIM] @ q + p["far"][np.arange(len(seen) - 1, -1, -1)])
+        h = e[-1] + weight / weight.sum() @ kv[:, A.DIM :]
+        g = h + np.maximum(h @ p["W1"], 0) @ p["W2"]
+        share = lambda logits, k: logits[k] - np.log(np.exp(logits).sum())
+        band, member = int(v.band[y]), int(v.member[y])
+        out.append(share(g @ p["U1"] + p["b1"], band) + share(g @ p["U2"][band] + p["b2"][band], member) + float(v.inside[y]))
+    return out
+
+
 def test_attention_is_causal_and_scores_once():
-    from folioscope.llm.attention import Model, Vocabulary
+    from folioscope.llm.attention import WINDOW, Model, Vocabulary, windows
 
     rng = np.random.default_rng(0)
     ids = rng.integers(0, 50, 300)
     model = Model(Vocabulary(np.bincount(ids, minlength=60)))
-    losses = model.train(ids, np.array([300]), 60)
-    assert np.mean(losses[-10:]) < np.mean(losses[:10])
+    x, place, live = windows(ids, np.array([300]), WINDOW)
+    loss = lambda: model.copy().train_step(x, ids[place], live, 0.0, {})
+    before = loss()
+    model.train(ids, np.array([300]), 60, 0.02, {})
+    assert loss() < before - 1
     whole = model.score(ids, np.array([300]))
+    assert np.allclose(whole, plain_scores(model, ids.tolist()), atol=1e-4)
     assert np.allclose(whole[:120], model.score(ids[:120], np.array([120])), atol=1e-4)
     split = model.score(ids, np.array([100, 200]))
     assert np.allclose(split[:100], whole[:100], atol=1e-4) and np.allclose(split[100:], model.score(ids[100:], np.array([200])), atol=1e-4)
@@ -244,6 +278,28 @@ def test_attention_is_causal_and_scores_once():
     assert abs(np.exp(every).sum() - 1) < 0.02
 
 
+def test_attention_gradients():
+    """A step's gradients, seen through its first moments, against differences of the loss."""
+    from folioscope.llm.attention import WINDOW, Model, Vocabulary, windows
+
+    rng = np.random.default_rng(1)
+    ids = rng.integers(0, 40, 50)
+    model = Model(Vocabulary(np.bincount(ids, minlength=40)))
+    x, place, live = windows(ids, np.array([30, 20]), WINDOW)
+    loss = lambda m: m.copy().train_step(x, ids[place], live, 0.0, {})
+    state = {}
+    model.train_step(x, ids[place], live, 0.0, state)
+    for name in ("Wq", "Wkv", "W1", "W2", "U1", "b1", "U2", "far"):
+        grad = state[name][0] * 10
+        for at in [np.unravel_index(k, grad.shape) for k in np.argsort(-np.abs(grad), axis=None)[:3]]:
+            sides = []
+            for step in (0.02, -0.02):
+                other = model.copy()
+                other.p[name][at] += step
+                sides.append(loss(other))
+            assert math.isclose((sides[0] - sides[1]) / 0.04, grad[at], rel_tol=0.05, abs_tol=2e-4), (name, at)
+
+
 def test_warc_round_trip(spark):
     rows = [(1, "http://a/1", "<p>x</p>"), (2, "http://a/ü x\r\n", "<p>x</p>"), (3, None, None), (4, "u", ""), (9, "u", "é😀" * 3000), (-5, "u", "<p>x</p>"), (2, "dup", "<p>x</p>")]
     pages = spark.createDataFrame([(i, u, h, "clash") for i, u, h in rows], "page_id long, url string, html string, digest string")
