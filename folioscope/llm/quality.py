@@ -1,18 +1,25 @@
 """Operator 4, quality rules: line-first cleaning.
 
-Each line with a word is judged by itself: punctuation (a line that is no sentence), navigation (separators
-between short labels) and boilerplate (licence and site phrases, shouting, symbol noise). Failing lines are
-removed; a document is then rejected if it lost more than ``MAX_LOSS_PERCENT`` of its words, or by the base rule
-(fewer than 20 words, or more than 30 % of its words in 8-word windows that occur twice).
-
-Defined cases: null and empty texts have no words, fail the base rule and have the empty clean text; a text of
-one line is judged as one line; repeated rows are judged each by itself; other columns are ignored.
-The operator is a narrow map: no shuffle, one document in memory besides its Arrow batch.
+Each line with a word is judged by itself and by how often its text repeats it:
+
+* punctuation: a line without an end mark that is shorter than ``SHORT`` words, or that has more than ``RUN_ON`` words for each mark; a line of
+  ``CHOPPED`` words or more of which every second one ends a sentence.
+* navigation: separators between short labels; a line of at most ``MENU_WORDS`` words that the text holds ``MENU_TIMES`` times or more.
+* boilerplate: licence and site phrases in four languages, shouting, symbol noise.
+
+Failing lines are removed, whole lines at a time; a document is then rejected if it lost more than ``MAX_LOSS_PERCENT`` of its words, or by the
+base rule (fewer than 20 words, or more than 30 % of its words in 8-word windows that occur twice).
+
+Defined cases: null and empty texts have no words, fail the base rule and have the empty clean text; a text of one line, however long, is judged
+as one line; an empty table gives an empty one; there are no ties: a limit that is just met is no failure; repeated rows and ids, null ids
+included, are judged each by itself; other columns are ignored. The operator is a narrow map: no shuffle, one document in memory besides its
+Arrow batch.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +32,8 @@ from .wordhash import SPACE_EXACT, utf8, windows, words
 
 MIN_WORDS, MAX_REPEAT_PERCENT, MAX_LOSS_PERCENT, WINDOW = 20, 30, 40, 8
 
+SHORT, RUN_ON, CHOPPED, MENU_WORDS, MENU_TIMES = 4, 25, 16, 8, 3
+
 # Phrases that mark a short line as boilerplate.
 BOILERPLATE = (
     "all rights reserved",
@@ -41,6 +50,21 @@ BOILERPLATE = (
     "click here",
     "copyright (c)",
     "©",
+    "tous droits réservés",
+    "conditions d'utilisation",
+    "politique de confidentialité",
+    "utilisons des cookies",
+    "cliquez ici",
+    "alle rechte vorbehalten",
+    "nutzungsbedingungen",
+    "datenschutzerklärung",
+    "verwenden cookies",
+    "klicken sie hier",
+    "todos los derechos reservados",
+    "términos de uso",
+    "política de privacidad",
+    "usamos cookies",
+    "haga clic aquí",
 )
 #: A boilerplate phrase condemns a line of at most so many words.
 BOILERPLATE_WORDS = 25
@@ -50,6 +74,9 @@ _TERMINAL = tuple(".!?…\"'”’»):;")
 _SPACE = " \t\n\r\x0b\x0c"
 _LINE_MARK = re.compile(r"[|»•›>]")
 _LOUD = re.compile(r"!!|[#*$%&]{2,}")
+_PAUSE = re.compile(r"[.!?…,;:]")
+_SENTENCE_END = re.compile(r"[.!?…][\"'”’»)]*[ \t\n\r\x0b\x0c]")
+_PHRASE = re.compile("|".join(map(re.escape, BOILERPLATE)))
 
 SCHEMA = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -57,48 +84,38 @@ SCHEMA = (
 )
 
 
-def line_failure(line: str, n_words: int) -> str | None:
-    """Why a line goes, or None."""
+def line_failure(line: str, n_words: int, times: int = 1) -> str | None:
+    """Why a line goes, or None. ``times`` is how often its text holds it."""
     marks = len(_LINE_MARK.findall(line))
-    if marks >= 1 and marks * 6 >= n_words:
+    if marks >= 1 and marks * 6 >= n_words or times >= MENU_TIMES and n_words <= MENU_WORDS:
         return "navigation"
-    if len(_LOUD.findall(line)) * 2 > n_words:
+    if len(_LOUD.findall(line)) * 2 > n_words or n_words <= BOILERPLATE_WORDS and _PHRASE.search(line.lower()):
         return "boilerplate"
-    if n_words <= BOILERPLATE_WORDS:
-        low = line.lower()
-        if any(p in low for p in BOILERPLATE):
-            return "boilerplate"
-    if n_words < 4 and not line.rstrip(_SPACE).endswith(_TERMINAL):
+    if not line.rstrip(_SPACE).endswith(_TERMINAL) and (n_words < SHORT or n_words > RUN_ON and n_words > RUN_ON * len(_PAUSE.findall(line))):
+        return "punctuation"
+    if n_words >= CHOPPED and 2 * len(_SENTENCE_END.findall(line + " ")) > n_words:
         return "punctuation"
     return None
 
 
-def clean(text: str) -> tuple[str, int, int, int]:
-    """The text without failing lines, its lines with words, lines removed, and words removed."""
-    kept, n_lines, removed, lost = [], 0, 0, 0
-    for line in text.split("\n"):
+def clean(text: str) -> tuple[str, int, int, int, int]:
+    """The text without failing lines, its lines with words, lines removed, words removed, and lines with words that equal an earlier one."""
+    lines = text.split("\n")
+    times = Counter(lines)
+    kept, n_lines, removed, lost, distinct = [], 0, 0, 0, set()
+    for line in lines:
         n = len(line.encode("utf-8", "surrogatepass").split())
         if n == 0:
             kept.append(line)
             continue
         n_lines += 1
-        if line_failure(line, n):
+        distinct.add(line)
+        if line_failure(line, n, times[line]):
             removed += 1
             lost += n
         else:
             kept.append(line)
-    return ("\n".join(kept) if removed else text), n_lines, removed, lost
-
-
-def duplicate_lines(text: str) -> int:
-    seen: set[str] = set()
-    dup = 0
-    for line in text.split("\n"):
-        if line in seen:
-            dup += 1
-        elif line.strip(_SPACE):
-            seen.add(line)
-    return dup
+    return ("\n".join(kept) if removed else text), n_lines, removed, lost, n_lines - len(distinct)
 
 
 def _repeat_words(hashes: np.ndarray, first: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -144,7 +161,7 @@ def assess(batch: pa.RecordBatch) -> pa.RecordBatch:
     ints = lambda x: pa.array(np.asarray(x, np.int64))
     return pa.RecordBatch.from_arrays(
         [
-            batch.column(0), ints(n_words), ints(word_chars), ints(symbols), ints([duplicate_lines(t) for t in texts]), ints(repeat),
+            batch.column(0), ints(n_words), ints(word_chars), ints(symbols), ints([c[4] for c in cleaned]), ints(repeat),
             pa.array(base_failed), pa.array(kept), ints([c[1] for c in cleaned]), ints([c[2] for c in cleaned]), ints(lost), pa.array([c[0] for c in cleaned], pa.string()),
         ],
         names=[c.split()[0] for c in SCHEMA.split(", ")],

@@ -84,11 +84,12 @@ SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(least(m.m, w.d
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT node AS doc_id, min(seen) AS m FROM r GROUP BY node) m USING (doc_id)""",
     "op4_quality_rules": r"""
 WITH l AS (SELECT doc_id, i, ls[i] AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls, unnest(generate_series(1, len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents)),
-c AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n, row_number() OVER (PARTITION BY doc_id, line ORDER BY i) AS nth FROM l),
+c AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n, row_number() OVER (PARTITION BY doc_id, line ORDER BY i) AS nth, count(*) OVER (PARTITION BY doc_id, line) AS times FROM l),
 f AS (SELECT *, n > 0 AND (
-    (len(regexp_extract_all(line, '[|»•›>]')) >= 1 AND len(regexp_extract_all(line, '[|»•›>]')) * 6 >= n) OR len(regexp_extract_all(line, '!!|[#*$%&]{2,}')) * 2 > n
-    OR (n <= 25 AND regexp_matches(lower(line), 'all rights reserved|licensed under|released under the|terms of use|terms of service|privacy policy|cookie policy|use cookies|enable javascript|subscribe to our|sign up for|click here|copyright \(c\)|©'))
-    OR (n < 4 AND NOT regexp_matches(line, '[.!?…"''”’»):;][ \t\n\r\x0b\x0c]*$'))) AS fails FROM c),
+    (len(regexp_extract_all(line, '[|»•›>]')) >= 1 AND len(regexp_extract_all(line, '[|»•›>]')) * 6 >= n) OR (times >= 3 AND n <= 8) OR len(regexp_extract_all(line, '!!|[#*$%&]{2,}')) * 2 > n
+    OR (n <= 25 AND regexp_matches(lower(line), 'all rights reserved|licensed under|released under the|terms of use|terms of service|privacy policy|cookie policy|use cookies|enable javascript|subscribe to our|sign up for|click here|copyright \(c\)|©|tous droits réservés|conditions d''utilisation|politique de confidentialité|utilisons des cookies|cliquez ici|alle rechte vorbehalten|nutzungsbedingungen|datenschutzerklärung|verwenden cookies|klicken sie hier|todos los derechos reservados|términos de uso|política de privacidad|usamos cookies|haga clic aquí'))
+    OR ((n < 4 OR (n > 25 AND n > 25 * len(regexp_extract_all(line, '[.!?…,;:]')))) AND NOT regexp_matches(line, '[.!?…"''”’»):;][ \t\n\r\x0b\x0c]*$'))
+    OR (n >= 16 AND 2 * len(regexp_extract_all(line || ' ', '[.!?…]["''”’»)]*[ \t\n\r\x0b\x0c]')) > n)) AS fails FROM c),
 g AS (SELECT doc_id, count(*) FILTER (n > 0) AS n_lines, count(*) FILTER (fails) AS n_lines_removed, coalesce(sum(n) FILTER (fails), 0) AS words_removed, count(*) FILTER (n > 0 AND nth > 1) AS n_dup_lines FROM f GROUP BY 1),
 w AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
 v AS (SELECT doc_id, i, array_to_string(ws[i:i+7], ' ') AS win FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 7)) AS i FROM w)),
