@@ -3,31 +3,36 @@
 A word that the model knows scores by its log frequency in each language. An unseen word falls back to character
 n-grams: at each place the longest known n-gram, of ``MAX_GRAM`` characters down to one, scores with a penalty for each step down.
 
-The model is a classifier fitted on about ``FIT_DOCS`` labelled documents, chosen by a hash of their id (all of them
-where there are fewer); it keeps up to ``KEEP_WORDS`` words and ``KEEP_GRAMS`` n-grams of each order, so its
-broadcast is bounded whatever the corpus. Languages share these bounds evenly, each by its own counts; what a small one leaves goes to the others. Every document is scored over its whole text.
+The model is a classifier fitted on about ``FIT_DOCS`` labelled documents of each language, chosen by a hash (all of them where there are fewer).
+Every word and every n-gram of those documents is kept, so the broadcast is bounded by that parameter and no language crowds out another's
+words. Every document is scored over its whole text, however long. A word is a run of letters as Unicode has them.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; so is everything if nothing is labelled.
-Ties go to the language that sorts first. Repeated rows are scored each by itself; other columns are ignored.
+Ties go to the language that sorts first. Repeated rows and ids, null ids included, are scored each by itself; an empty table gives an empty one;
+other columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import ROWS_PER_BATCH, narrow, slices
 
-FIT_DOCS, KEEP_WORDS, KEEP_GRAMS, MAX_GRAM, STEP_DOWN, CACHE = 20_000, 60_000, 20_000, 4, 0.9, 200_000
+FIT_DOCS, MAX_GRAM, STEP_DOWN, CACHE = 2_000, 4, 0.9, 200_000
 #: Below this the pipeline's stage treats the language as unknown.
 MIN_SCORE = 0.4
-_WORD = re.compile(r"[^\W\d_]+")
+#: Characters that ``re`` takes for parts of words though they are neither letters nor decimal digits, such as fractions.
+_NO_LETTERS = "".join(re.escape(c) for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_WORD = re.compile(rf"[^\W\d_{_NO_LETTERS}]+")
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
@@ -83,16 +88,19 @@ class Model(dict):
         return _restore, (self.langs, self.known, self.scores[: len(self.known)], self.grams, self.gram_scores)
 
     @classmethod
-    def fit(cls, rows: list[tuple[str, int, str, int]], totals: dict[tuple[str, int], int]) -> Model:
-        langs = sorted({lang for lang, _ in totals})
+    def fit(cls, counts: pa.Table) -> Model:
+        """From the counts (lang, kind, gram, c) of all words and n-grams, in any order."""
+        langs = sorted(set(counts.column("lang").unique().to_pylist()))
         at = {x: i for i, x in enumerate(langs)}
-        tables: list[dict[str, np.ndarray]] = [{} for _ in range(MAX_GRAM + 1)]
-        for lang, kind, gram, c in rows:
-            tables[kind].setdefault(gram, np.zeros(len(langs)))[at[lang]] += c
-        for kind, table in enumerate(tables):
-            n = np.array([totals.get((x, kind), 0) for x in langs], float)
-            for g, c in table.items():
-                table[g] = np.log((c + 0.1) / (n + 0.1 * (len(table) + 1)))
+        tables: list[dict[str, np.ndarray]] = []
+        for kind in range(MAX_GRAM + 1):
+            mine = counts.filter(pc.equal(counts.column("kind"), kind)).sort_by("gram")
+            names = mine.column("gram").unique().to_pylist()
+            row = {x: i for i, x in enumerate(names)}
+            c = np.zeros((len(names), len(langs)))
+            for name, lang, n in zip(mine.column("gram").to_pylist(), mine.column("lang").to_pylist(), mine.column("c").to_pylist(), strict=True):
+                c[row[name], at[lang]] += n
+            tables.append(dict(zip(names, np.log((c + 0.1) / (c.sum(0) + 0.1 * (len(names) + 1))), strict=True)))
         return cls(langs, tables[0], [{}, *tables[1:]])
 
     def __missing__(self, word: str) -> int:
@@ -153,40 +161,20 @@ def _restore(langs, known, scores, grams_, gram_scores) -> Model:
     return model
 
 
-def shares(sizes: dict[str, int], bound: int) -> dict[str, int]:
-    """How many of each language's entries stay: all of a small one, and an even share of the rest of the bound."""
-    out = {}
-    for k, lang in enumerate(sorted(sizes, key=lambda x: (sizes[x], x))):
-        out[lang] = min(sizes[lang], bound // (len(sizes) - k))
-        bound -= out[lang]
-    return out
-
-
 def fit(train: DataFrame) -> Model:
     """``train`` has lang and text; only rows with a language teach."""
-    labelled = train.where(F.col("lang").isNotNull())
-    n = labelled.count()
-    if n > FIT_DOCS:
-        labelled = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < int(FIT_DOCS / n * (1 << 40)))
-    texts = labelled.select(F.col("lang").cast("string").alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    counts = texts.mapInArrow(_count, "lang string, kind int, gram string, c long").groupBy("lang", "kind", "gram").agg(F.sum("c").alias("c"))
-    wide = counts.groupBy("kind", "gram").agg(F.sum("c").alias("n"), F.collect_list(F.struct("lang", "c")).alias("by"))
-    wide = wide.persist()
-    found = wide.select("kind", F.explode("by").alias("x")).groupBy("x.lang", "kind").agg(F.sum("x.c").alias("n"), F.count(F.lit(1)).alias("distinct")).collect()
-    totals = {(r.lang, r.kind): r.n for r in found}
-    rows = []
-    for kind in range(MAX_GRAM + 1):
-        of_kind, kept = wide.where(F.col("kind") == kind), {}
-        for lang, share in shares({r.lang: r.distinct for r in found if r.kind == kind}, KEEP_GRAMS if kind else KEEP_WORDS).items():
-            mine = of_kind.withColumn("own", F.get(F.filter("by", lambda x: x["lang"] == F.lit(lang)), F.lit(0))["c"]).where("own is not null")
-            kept |= {r.gram: r.by for r in mine.orderBy(F.desc("own"), "gram").limit(share).collect()}
-        rows += [(x["lang"], kind, gram, x["c"]) for gram, by in kept.items() for x in by]
-    wide.unpersist()
-    return Model.fit(rows, totals)
+    texts = train.where(F.col("lang").isNotNull()).select(F.col("lang").cast("string").alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)).alias("at"))
+    sizes = {r.lang: r["count"] for r in texts.groupBy("lang").count().collect()}  # one row for each language
+    chosen = F.lit(False)
+    for lang, n in sizes.items():
+        chosen = chosen | ((F.col("lang") == lang) & (F.col("at") < min(1 << 40, int(FIT_DOCS / n * (1 << 40)))))
+    counts = texts.where(chosen).mapInArrow(_count, "lang string, kind int, gram string, c long")
+    return Model.fit(counts.groupBy("lang", "kind", "gram").agg(F.sum("c").alias("c")).toArrow())
 
 
 def held_out(doc_id: str, modulus: int, rest: int):
-    return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(modulus)) == rest
+    """Whether a document is kept from training; one without an id is not."""
+    return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(modulus)) == rest, F.lit(False))
 
 
 def language_id(docs: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -121,9 +122,19 @@ def test_quality_base_figures(docs, nothing):
     assert quality.quality_rules(nothing).count() == 0 and quality.keep_clean(nothing).columns == nothing.columns
 
 
+def test_quality_rules_for_a_line():
+    run_on = "word " * 30
+    for line, times, why in [
+        ("Short end", 1, "punctuation"), ("Short end.", 1, None), ("four words of text", 1, None), (run_on, 1, "punctuation"), (run_on + ".", 1, None), ("word, " * 13 + "word " * 13, 1, None),
+        ("No. " * 15, 1, None), ("No. " * 16, 1, "punctuation"), ("Home | News | About", 1, "navigation"), ("read the next part of it", 2, None), ("read the next part of it", 3, "navigation"),
+        ("Nous utilisons des cookies pour vous.", 1, "boilerplate"), ("Alle Rechte vorbehalten.", 1, "boilerplate"), ("BUY!! NOW!!", 1, "boilerplate"),
+    ]:
+        assert quality.line_failure(line, len(line.split()), times) == why, line
+
+
 def test_quality_lines():
     text = "This is a sentence that stands by itself.\nHome | News | Sport | More\nAll rights reserved.\nAnother plain sentence ends here."
-    cleaned, n, removed, lost = quality.clean(text)
+    cleaned, n, removed, lost, _ = quality.clean(text)
     assert cleaned == "This is a sentence that stands by itself.\nAnother plain sentence ends here." and (n, removed, lost) == (4, 2, 10)
 
 
@@ -213,6 +224,51 @@ def test_language_id_held_out(spark, small, docs, nothing):
     assert langid.language_id(nothing).count() == 0 and langid.keep_recognised(docs).columns == docs.columns
 
 
+def plain_language(train, text):
+    """The prediction in plain arithmetic, from all (lang, text) of the training documents."""
+    letters = lambda t: "".join(c if unicodedata.category(c)[0] == "L" else " " for c in t.lower()).split()
+    langs = sorted({x for x, _ in train})
+    tables = [{} for _ in range(5)]
+    for lang, t in train:
+        for w in letters(t):
+            padded = f"_{w}_"
+            for kind, g in [(0, w)] + [(n, padded[i : i + n]) for n in range(1, 5) for i in range(len(padded) - n + 1)]:
+                tables[kind].setdefault(g, Counter())[lang] += 1
+    total = [{x: sum(c[x] for c in t.values()) for x in langs} for t in tables]
+    log = lambda kind, g, x: math.log((tables[kind][g][x] + 0.1) / (total[kind][x] + 0.1 * (len(tables[kind]) + 1)))
+    sums, words_ = dict.fromkeys(langs, 0.0), letters(text)
+    if not words_ or not langs:
+        return "und", 0.0
+    for w in words_:
+        if w in tables[0]:
+            for x in langs:
+                sums[x] += log(0, w, x)
+            continue
+        padded, found = f"_{w}_", []
+        for i in range(len(padded)):
+            found += [(n, g) for n in range(4, 0, -1) if len(g := padded[i : i + n]) == n and g in tables[n]][:1]
+        for x in langs:
+            sums[x] += sum(0.9 ** (4 - n) * log(n, g, x) for n, g in found) / max(1, len(found))
+    best = max(langs, key=lambda x: sums[x])
+    return best, 1 / sum(math.exp((sums[x] - sums[best]) / math.sqrt(len(words_))) for x in langs)
+
+
+def test_language_id_against_plain_arithmetic(spark):
+    rng = random.Random(3)
+    sound = {"aa": "ptkaio", "bb": "bdgeou", "cc": "ßéaoptñ"}
+    word = lambda x: "".join(rng.choice(sound[x]) for _ in range(rng.randint(1, 6)))
+    rows = [(i, " ".join(word(x) for _ in range(rng.randint(1, 12))), x) for i in range(90) for x in [rng.choice("aa bb cc".split())]]
+    rows += [(100, "½ ² Ⅷ 12 _", "aa"), (101, "pt½ka Tk", "bb"), (102, None, "cc"), (103, "x" * 50_000 + " pot", None), (None, "Pa tk", "aa"), (104, "pa " * 3000, "aa"), (104, "pa " * 3000, "aa")]
+    held = lambda i: zlib.crc32(str(i).encode()) % 3 == 1 if i is not None else False
+    train = [(x, t or "") for i, t, x in rows if x is not None and not held(i)]
+    got = langid.language_id(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        for t in {t or "" for i, t, _ in rows if i == r.doc_id}:
+            lang, score = plain_language(train, t)
+            assert r.lang_pred == lang and math.isclose(r.score, score, rel_tol=1e-6), (r, t[:40])
+
+
 def test_lm_scores(spark, docs, nothing, monkeypatch):
     monkeypatch.setattr(lm_score, "FIT_STEPS", 30)
     monkeypatch.setattr(lm_score, "HEAD_WORDS", 20)  # so that most words take the way over the lexicon's buckets
