@@ -14,16 +14,25 @@ Documents are sets of distinct five-word shingles ("tokens", 64-bit hashes); two
    every member; only qualifying rows are opened, and then the matrix gives the overlap with all members at once. Components that a row
    has linked once need no second link.
 
+A token, group or row of the matrix that very many sets share is dealt with by many tasks: what is known of it is broadcast (fewer than
+``BROADCAST_IDS`` keys can have more than that fraction of all rows) or repeated for each salt, and its sets stay where they are or are salted.
+
 No pair within a group is made, so copies cost rows in proportion to their number; no candidate is capped. Rarity by document
 frequency keeps tokens that a great many documents share (licences, common passages) out of the index, but for sets that consist of them.
 
-Defined cases: null, empty and wordless texts have the empty set and stand alone; fewer than five words make one shingle; equal
-rows are each returned, as one class; other columns are ignored.
+Tokens travel as 32 bits within a bucket of the hash. Tokens of one set that agree in them count as often as there are, so no bound falls short
+and chance makes candidates, never loses links. Two different sets pass for one only if their 64-bit sums of mixed hashes agree.
+
+Defined cases: null, empty and wordless texts have the empty set and stand alone; fewer than five words make one shingle; a text of any
+length is one set; an empty table gives an empty one; a similarity of exactly 0.75 links; equal rows are each returned, as one class; a row
+with a null doc_id belongs to the class of its equals that have one, and else has a null component and no near copies; other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +46,8 @@ from .wordhash import SPACE_FOLDED, mix, shingle_sets, words
 WORDS, GROUP_TOKENS, FLUSH_TOKENS = 5, 65_536, 1 << 20
 #: Up to so many representatives (8 bytes each) are broadcast to pick their texts; beyond, the texts are joined by shuffle.
 BROADCAST_IDS = 500_000
+#: A key with more rows than that is dealt to several tasks.
+HOT_ROWS = 4096
 
 
 def overlap_needed(n):
@@ -160,26 +171,28 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens that two sets or more hold, with the number of those sets."""
-    by_bucket: dict[int, list] = {}
-    for b in batches:
-        for bucket, blob in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-            by_bucket.setdefault(bucket, []).append(_unpack(blob.as_py()))
-    for bucket in list(by_bucket):
-        tokens, keys, sizes = (np.concatenate(x) for x in zip(*by_bucket.pop(bucket), strict=True))
-        order = np.lexsort((keys, tokens))
-        tokens, keys, sizes = tokens[order], keys[order], sizes[order]
+    """Tokens that two sets or more hold, with the number of those sets. The rows come sorted by bucket, of which one is held.
+
+    A set may come from several tasks, each with all of its tokens of the bucket; those of one of them count, as often as they are there.
+    """
+    rows = ((k, x) for b in batches for k, x in zip(b.column(0).to_pylist(), b.column(1), strict=True))
+    for bucket, mine in groupby(rows, itemgetter(0)):
+        parts = [_unpack(x.as_py()) for _, x in mine]
+        tokens, keys, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
+        part = np.repeat(np.arange(len(parts)), [len(x[0]) for x in parts])
+        order = np.lexsort((part, keys, tokens))
+        tokens, keys, sizes, part = tokens[order], keys[order], sizes[order], part[order]
         fresh = np.ones(len(tokens), bool)
         fresh[1:] = (tokens[1:] != tokens[:-1]) | (keys[1:] != keys[:-1])
-        tokens, keys, sizes = tokens[fresh], keys[fresh], sizes[fresh]
+        mine_ = part == np.repeat(part[fresh], np.diff(np.append(np.flatnonzero(fresh), len(part))))
+        tokens, keys, sizes, fresh = tokens[mine_], keys[mine_], sizes[mine_], fresh[mine_]
         start = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
-        df = np.diff(np.append(start, len(tokens)))
-        df = np.repeat(df, df)
+        df = np.repeat(np.add.reduceat(fresh, start, dtype=np.int64), np.diff(np.append(start, len(tokens))))
         many = df > 1
         tokens = tokens.astype(np.uint64) | np.uint64(bucket << 32)
         for at in range(0, int(many.sum()), 100_000):
-            part = slice(at, at + 100_000)
-            yield pa.RecordBatch.from_arrays([_long(keys[many][part]), _long(sizes[many][part]), _long(tokens[many][part]), _long(df[many][part])], names=["key", "n", "token", "df"])
+            cut = slice(at, at + 100_000)
+            yield pa.RecordBatch.from_arrays([_long(keys[many][cut]), _long(sizes[many][cut]), _long(tokens[many][cut]), _long(df[many][cut])], names=["key", "n", "token", "df"])
 
 
 def _token_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,9 +254,9 @@ def _open_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     now, members, group = None, [], None
     for b in batches:
         links = []
-        for g, p, query, key, part, blob in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            if (g, p) != now:
-                now, members, group = (g, p), [], None
+        for *at, query, key, part, blob in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if at != now:
+                now, members, group = at, [], None
             tokens = np.frombuffer(blob, np.uint64)
             if not query:
                 members.append((key, part, tokens))
@@ -254,19 +267,41 @@ def _open_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([x for _, x in links], pa.int64())], names=["a", "b"])
 
 
+def join_skewed(rows: DataFrame, facts: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` with the ``facts`` of their key; a row of ``facts`` is a key and its number of rows, ``df``.
+
+    Keys of many rows are joined by broadcast, so that their rows are not dealt by key. More than one in ``BROADCAST_IDS`` of all rows
+    can be had by fewer than ``BROADCAST_IDS`` keys only.
+    """
+    n, most = facts.agg(F.sum("df"), F.max("df")).first()
+    least = max(HOT_ROWS, (n or 0) // BROADCAST_IDS)
+    if (most or 0) <= least:
+        return rows.join(facts, on)
+    hot, cold = facts.where(F.col("df") > least), facts.where(F.col("df") <= least)
+    return rows.join(F.broadcast(hot), on).unionByName(rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(cold, on))
+
+
+def salts(df: str):
+    """Tasks for a key of so many rows."""
+    return F.ceil(F.col(df) / HOT_ROWS).cast("int")
+
+
 def _matrix_links(placed: DataFrame, sets: DataFrame, scratch: Scratch, width: int) -> DataFrame:
-    """Links between components: ``placed`` has the (token, key, n, grp) index rows of tokens that more than one component holds."""
-    common = placed.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    home = placed.join(common, "token").groupBy("key", "n", "grp").agg(F.max_by("token", F.struct("df", "token")).alias("g"))
-    rows = home.groupBy("g").agg(F.ceil(F.sum("n") / GROUP_TOKENS).alias("rows"))
-    home = home.join(rows, "g").select("key", "grp", "g", F.pmod(F.xxhash64("key"), F.col("rows")).alias("p"))
-    home = scratch.save(home, "home")
-    matrix = placed.join(home.select("key", "g", "p"), "key").select("token", "g", "p").distinct()
-    cells = placed.join(matrix, "token").select("key", "grp", "g", "p").distinct()
-    order = ["g", "p", "query", "key", "grp", "tokens"]
-    members = home.join(sets, "key").withColumn("query", F.lit(0)).select(*order)
-    queries = cells.join(sets, "key").withColumn("query", F.lit(1)).select(*order)
-    both = members.unionByName(queries).repartition(width, "g", "p").sortWithinPartitions("g", "p", "query", "key")
+    """Links between components: ``placed`` has the (token, df, key, n, grp) index rows of tokens that more than one component holds."""
+    home = scratch.save(placed.groupBy("key", "n", "grp").agg(F.max_by("token", F.struct("df", "token")).alias("g")), "homes")
+    rows = scratch.save(home.groupBy("g").agg(F.ceil(F.sum("n") / GROUP_TOKENS).alias("rows"), F.count(F.lit(1)).alias("df")), "rows")
+    home = scratch.save(join_skewed(home, rows, ["g"]).select("key", "grp", "g", F.pmod(F.xxhash64("key"), F.col("rows")).alias("p")), "home")
+    matrix = placed.join(home.select("key", "g", "p"), "key").select("token", "df", "g", "p").distinct()
+    matrix = matrix.withColumn("salt", F.explode(F.sequence(F.lit(0), salts("df") - 1))).drop("df")
+    asked = placed.withColumn("salt", F.pmod(F.xxhash64("key"), salts("df")).cast("int"))
+    cells = scratch.save(asked.join(matrix, ["token", "salt"]).select("key", "grp", "g", "p").distinct(), "cells")
+    load = scratch.save(cells.groupBy("g", "p").agg(F.count(F.lit(1)).alias("df")), "load")
+    order = ["g", "p", "salt", "query", "key", "grp", "tokens"]
+    members = home.join(load, ["g", "p"]).withColumn("salt", F.explode(F.sequence(F.lit(0), salts("df") - 1)))
+    queries = join_skewed(cells, load, ["g", "p"]).withColumn("salt", F.pmod(F.xxhash64("key"), salts("df")).cast("int"))
+    members = members.join(sets, "key").withColumn("query", F.lit(0)).select(*order)
+    queries = queries.join(sets, "key").withColumn("query", F.lit(1)).select(*order)
+    both = members.unionByName(queries).repartition(width, "g", "p", "salt").sortWithinPartitions("g", "p", "salt", "query", "key")
     return both.mapInArrow(_open_groups, "a long, b long")
 
 
@@ -281,7 +316,7 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     classes = scratch.save(signatures.where("n > 0").groupBy("key", "check", "n").agg(F.min("doc_id").alias("rep")), "classes")
 
     def common(dealt: DataFrame) -> DataFrame:
-        found = dealt.repartition(width, "bucket").mapInArrow(_common, "key long, n long, token long, df long")
+        found = dealt.repartition(width, "bucket").sortWithinPartitions("bucket").mapInArrow(_common, "key long, n long, token long, df long")
         return found.groupBy("key", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("found"))
 
     hopeful = common(texts.mapInArrow(_prefixes(4 * width), "bucket int, payload binary")).where(f"size(found) >= {_SHARED_AT_LEAST}")
@@ -299,8 +334,8 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     scratch.drop("sets")
 
     # groups: links to the smallest and the largest key that share an indexed token
-    ends = index.groupBy("token").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high")
-    near = index.join(ends, "token").groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    ends = scratch.save(index.groupBy("token").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count(F.lit(1)).alias("df")).where("low < high"), "ends")
+    near = join_skewed(index, ends, ["token"]).groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     pairs = near.select("key", F.explode(F.array("low", "high")).alias("other")).where("key <> other")
     pairs = pairs.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
     left = sets.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
@@ -313,14 +348,16 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     # the token-group matrix, for tokens that more than one group holds
     of_group = lambda df: df.join(grouped, "key", "left").withColumn("grp", F.coalesce("grp", "key"))
     placed = of_group(index)
-    shared = placed.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where("low < high").select("token")
-    placed = scratch.save(placed.join(shared, "token", "left_semi"), "placed")
+    shared = placed.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high"), F.count(F.lit(1)).alias("df")).where("low < high")
+    shared = scratch.save(shared.select("token", "df"), "shared")
+    placed = scratch.save(join_skewed(placed, shared, ["token"]), "placed")
     final = grouped
     if not placed.isEmpty():
         more = scratch.save(_matrix_links(placed, sets, scratch, width), "more")
         final = scratch.save(components(links.unionByName(more), scratch, "final"), "components").withColumnsRenamed({"node": "key", "component": "grp"})
     keyed = classes.join(final, "key", "left").select("key", "check", "n", "rep", F.coalesce("grp", "key").alias("component"))
     smallest = keyed.groupBy("component").agg(F.min("rep").alias("component_id"))
-    answer = keyed.join(smallest, "component").select("key", "check", "n", "component_id")
+    answer = scratch.save(keyed.join(smallest, "component").select("key", "check", "n", "component_id"), "answer")
+    scratch.keep("signatures", "answer")
     out = signatures.join(answer, ["key", "check", "n"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

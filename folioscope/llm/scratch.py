@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,9 +16,11 @@ ROWS_PER_BATCH = 500
 
 
 def shared_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; where it is unset (tests), a temporary folder."""
+    """``spark.checkpoint.dir`` of the session; a temporary folder only where it is unset and all of Spark is one process, as in tests."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = _LOCAL.setdefault("root", "file://" + tempfile.mkdtemp(prefix="folioscope-"))
     return root.rstrip("/")
 
@@ -28,11 +31,13 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.base = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+        self.names: set[str] = set()
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.base}/{name}"
         df.write.mode("overwrite").parquet(path)
+        self.names.add(name)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:
@@ -40,6 +45,12 @@ class Scratch:
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}")
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.names.discard(name)
+
+    def keep(self, *names: str) -> None:
+        """Forget all tables but these."""
+        for name in self.names - set(names):
+            self.drop(name)
 
 
 def partitions(spark: SparkSession) -> int:

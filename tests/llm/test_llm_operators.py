@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from folioscope.llm import decontaminate, html_extract, langid, lm_score, ngram_join, packing, quality, queries, scratch, token_output, unigram, warc
@@ -85,6 +86,25 @@ def test_ngram_join_is_exact(docs, nothing):
     assert ngram_join.jaccard_classes(nothing).count() == 0
 
 
+def test_ngram_join_with_every_key_hot(spark, docs, monkeypatch):
+    plain = sorted(map(tuple, ngram_join.jaccard_classes(docs).collect()))
+    monkeypatch.setattr(ngram_join, "HOT_ROWS", 1)
+    assert sorted(map(tuple, ngram_join.jaccard_classes(docs).collect())) == plain
+    text = " ".join(f"w{k}" for k in range(30))
+    odd = spark.createDataFrame([(None, text), (None, text + " more"), (4, text), (5, text + " more"), (None, "alone")], "doc_id long, text string")
+    assert sorted(((r.doc_id, r.component_id) for r in ngram_join.jaccard_classes(odd).collect()), key=str) == sorted([(None, 4), (None, 4), (4, 4), (5, 4), (None, None)], key=str)
+
+
+def test_tokens_that_agree_in_their_short_form_count_as_often_as_they_are():
+    tokens = np.array([7, 7 + (1 << 32), 9, 11], np.uint64)  # the first two agree in 32 bits and in the bucket
+    keys, n = np.array([1, 2], np.uint64), np.array([4, 4])
+    pack = ngram_join._pack([(keys, n, np.concatenate([tokens, tokens]), n)], 4)
+    again = ngram_join._pack([(keys[:1], n[:1], tokens, n[:1])], 4)
+    rows = pa.Table.from_batches([b for b in ngram_join._common(iter([pack, again]))])
+    assert Counter(zip(rows.column("key").to_pylist(), rows.column("token").to_pylist(), strict=True)) == {(1, 7): 2, (2, 7): 2, (1, 9): 1, (2, 9): 1, (1, 11): 1, (2, 11): 1}
+    assert set(rows.column("df").to_pylist()) == {2}
+
+
 def test_ngram_join_opens_groups_of_other_components(spark):
     """A chain whose links only the token-group matrix finds, and two groups that share much but do not link."""
     rng = random.Random(4)
