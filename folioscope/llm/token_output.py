@@ -9,7 +9,8 @@ is sequential and resumes anywhere.
 Sequences are numbered by the task that wrote them and their place in it; the table of a task's first number has one row a task.
 A shard is written under a name of its own and renamed, with the same bytes each time, so a lost or repeated task does no harm.
 
-Defined cases: null and empty texts are the end id alone; a null doc_id reads back as -1; repeated rows are separate sequences; an empty table writes no shard; other columns are ignored.
+Defined cases: null and empty texts are the end id alone; a long text has as many sequences as it needs; a null doc_id reads back as -1; repeated
+rows are separate sequences; no two sequences tie for a slot; an empty table writes no shard; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +34,10 @@ from .wordhash import mix
 STRIDE, SHARD_SLOTS, END, KEY, ROUNDS = 256, 16_384, 1, 0x5EED, 6
 #: First numbers of up to so many tasks (12 bytes each) are broadcast; beyond, the packs are joined by shuffle.
 BROADCAST_TASKS = 500_000
+#: A range has so many shards at most (64 MB), whatever the corpus; a writing task gets so many ranges at most, one after the other.
+RANGE_SHARDS, TASK_RANGES = 8, 64
+#: So few ids are not worth compressing: with many ranges a pack holds a sequence or two.
+RAW_IDS = 1024
 _MANIFEST = "slot long, shard long, byte_offset long, doc_id long, piece int, n_tokens int"
 SCHEMA = _MANIFEST + ", ids_crc32 long"
 
@@ -56,7 +63,9 @@ def feistel(index: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
 
 
 def _squeeze(ids: np.ndarray) -> bytes:
-    """Compressed 16-bit ids: the distinct ones by falling frequency, then the low and the high bytes of each id's rank among them."""
+    """Compressed 16-bit ids: the distinct ones by falling frequency, then the low and the high bytes of each id's rank among them; few ids as they are."""
+    if len(ids) <= RAW_IDS:
+        return ids.astype("<u2").tobytes()
     counts = np.bincount(ids, minlength=1 << 16)
     kinds = np.flatnonzero(counts)
     kinds = kinds[np.argsort(-counts[kinds], kind="stable")]
@@ -67,6 +76,8 @@ def _squeeze(ids: np.ndarray) -> bytes:
 
 
 def _expand(blob: bytes, n: int) -> np.ndarray:
+    if n <= RAW_IDS:
+        return np.frombuffer(blob, "<u2", n)
     n_kinds, n_low = np.frombuffer(blob, "<u4", 2).tolist()
     kinds = np.frombuffer(blob, "<u2", n_kinds, 8)
     at = 8 + 2 * n_kinds
@@ -127,22 +138,19 @@ def _deal(total: int, span: int, key: int):
 
 
 def _write(root: str, total: int, span: int, stride: int, per_shard: int):
-    """Whole shards of each range, and the manifest's rows."""
+    """Whole shards of each range, and the manifest's rows. The rows come sorted by range, of which one is held."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
         store, base = fs.FileSystem.from_uri(root)
         store.create_dir(base, recursive=True)
-        held: dict[int, list[tuple]] = {}
-        for b in batches:
-            for k, *pack in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                held.setdefault(k, []).append(pack)
-        for k in sorted(held):
+        packs = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        for k, mine in groupby(packs, itemgetter(0)):
             begin, end = k * span, min((k + 1) * span, total)
             place = np.zeros((end - begin, stride), "<u2")
             rows = []
-            for n, n_ids, meta, ids in held.pop(k):
+            for _, n, n_ids, meta, ids in mine:
                 doc, piece, length = _meta(meta, n)
                 slot = np.frombuffer(meta, np.int64, n, 16 * n)
                 row = np.repeat(slot - begin, length)
@@ -174,11 +182,12 @@ def write_shards(docs: DataFrame, vocabulary: str, scratch: Scratch, stride: int
     firsts = tasks.select("task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     if tasks.count() <= BROADCAST_TASKS:
         firsts = F.broadcast(firsts)
-    # a range is some whole shards, and small enough that the tasks get several each
-    span = per_shard * max(1, -(-total // (per_shard * 4 * width)))
+    # a range is some whole shards, small enough that the tasks get several each, and of bounded size
+    span = per_shard * min(RANGE_SHARDS, max(1, -(-total // (per_shard * 4 * width))))
+    width = max(width, -(-total // (span * TASK_RANGES)))
     dealt = packs.join(firsts, "task").select((F.col("first") + F.col("at")).alias("first"), "n", "n_ids", "meta", "ids").mapInArrow(_deal(total, span, key), "range long, n long, n_ids long, meta binary, ids binary")
     root = f"{scratch.base}/shards"
-    manifest = scratch.save(dealt.repartition(width, "range").mapInArrow(_write(root, total, span, stride, per_shard), _MANIFEST), "manifest")
+    manifest = scratch.save(dealt.repartition(width, "range").sortWithinPartitions("range").mapInArrow(_write(root, total, span, stride, per_shard), _MANIFEST), "manifest")
     scratch.drop("packs")
     return manifest, root
 
