@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import ROWS_PER_BATCH, narrow, slices
+from .scratch import ROWS_PER_BATCH, Scratch, narrow, slices
 from .wordhash import ALNUM, Words, windows, words
 
 WINDOW, BLOCK_BYTES, LANE, TABLE_BITS = 10, 8 << 20, 256, 18
@@ -108,6 +108,15 @@ def blocks_of(benchmark: DataFrame) -> Iterator[list[tuple[str, str]]]:
     yield rows
 
 
+def numbered(blocks: Iterator) -> Iterator[tuple[int, list, bool]]:
+    """(number, block, whether it is the last)."""
+    before = next(blocks)
+    for k, block in enumerate(blocks):
+        yield k, before, False
+        before = block
+    yield -1, before, True
+
+
 _HITS = "doc_id long, text string, hits binary, items array<string>"
 
 
@@ -160,12 +169,16 @@ def _scan(patterns, last: bool):
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document: the words and items of the benchmark that it holds."""
-    sc = docs.sparkSession.sparkContext
-    blocks = list(map(sc.broadcast, map(compile_patterns, blocks_of(benchmark))))
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "decontaminate")
     out = narrow(docs, "doc_id", "text")
-    for k, patterns in enumerate(blocks):
-        last = k == len(blocks) - 1
+    for k, block, last in numbered(blocks_of(benchmark)):
+        patterns = spark.sparkContext.broadcast(compile_patterns(block))
         out = out.mapInArrow(_scan(patterns, last), SCHEMA if last else _HITS)
+        if not last:
+            out = scratch.save(out, f"hits{k}")
+            patterns.unpersist()
+            scratch.drop(f"hits{k - 1}")
     return out
 
 
@@ -187,9 +200,14 @@ def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         return run
 
+    scratch = Scratch(spark, "uncontaminated")
     out = docs
-    for block in blocks_of(benchmark):
+    for k, block, last in numbered(blocks_of(benchmark)):
         patterns = spark.sparkContext.broadcast(compile_patterns(block))
         ready = out.select(F.lit(0).cast("long").alias("_row"), F.coalesce("text", F.lit("")).alias("_text"), *columns)
         out = ready.mapInArrow(kept(_scan(patterns, True)), docs.schema)
+        if not last:
+            out = scratch.save(out, f"kept{k}")
+            patterns.unpersist()
+            scratch.drop(f"kept{k - 1}")
     return out
