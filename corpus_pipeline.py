@@ -68,4 +68,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = scratch.save(docs, f"{k}-{name}")
+            scratch.keep(f"{k}-{name}")
     return docs
