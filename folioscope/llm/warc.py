@@ -8,8 +8,9 @@ ranges that touch or nearly touch into one read, and cuts the records out of it.
 Of records with equal payloads (SHA-1) of at least ``min_bytes``, the one with the largest page_id is the response and the others
 are revisits that hold its id and no payload.
 
-Defined cases: a null payload is empty; a null page_id is -1; a null or odd URL is percent-encoded; rows that repeat both page_id and payload are all responses where that page is
-the response; no pages give an empty index; other columns are ignored.
+Defined cases: a null payload is empty, and one of any length is one record; a null page_id reads back as null and is smaller than all others, so that
+pages without ids revisit one with an id, or are all responses; a null or odd URL is percent-encoded; rows that repeat both page_id and payload
+are all responses where that page is the response, and else all revisits; no pages give an empty index; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,13 +37,18 @@ INDEX = "file string, offset long, length long, page_id long, url string, payloa
 RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string"
 
 
-def record_id(page_id: int) -> str:
-    """A UUID whose lower half is the page's id."""
+def record_id(page_id: int | None, digest: str = "") -> str:
+    """A UUID whose lower half is the page's id; for a page without one, a UUID of its payload's digest."""
+    if page_id is None:
+        return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, digest)}>"
     return f"<urn:uuid:{uuid.UUID(int=_NAMESPACE << 64 | (page_id & (1 << 64) - 1))}>"
 
 
-def page_of(record: str) -> int:
-    low = uuid.UUID(record.strip().removeprefix("<urn:uuid:").removesuffix(">")).int & (1 << 64) - 1
+def page_of(record: str) -> int | None:
+    number = uuid.UUID(record.strip().removeprefix("<urn:uuid:").removesuffix(">")).int
+    if number >> 64 != _NAMESPACE:
+        return None
+    low = number & (1 << 64) - 1
     return low - (1 << 64) if low >> 63 else low
 
 
@@ -50,16 +56,16 @@ def digest_of(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload, usedforsecurity=False).digest()).decode()
 
 
-def encode_record(page_id: int, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
+def encode_record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
     """One gzip member: a response, or a revisit with the HTTP header alone."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     target = quote(url or "", safe=":/?#[]@!$&'()*+,;=%~-._")
-    head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {record_id(page_id)}", f"WARC-Date: {_DATE}", f"WARC-Target-URI: {target}", f"WARC-Payload-Digest: sha1:{digest}"]
+    head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {record_id(page_id, digest)}", f"WARC-Date: {_DATE}", f"WARC-Target-URI: {target}", f"WARC-Payload-Digest: sha1:{digest}"]
     body = http
     if refers_to is None:
         body += payload
     else:
-        head += [f"WARC-Profile: {_PROFILE}", f"WARC-Refers-To: {record_id(refers_to)}", f"WARC-Refers-To-Target-URI: {target}"]
+        head += [f"WARC-Profile: {_PROFILE}", f"WARC-Refers-To: {record_id(refers_to)}"]
     head += ["Content-Type: application/http;msgtype=response", f"Content-Length: {len(body)}"]
     packer = zlib.compressobj(1, zlib.DEFLATED, 31)
     return packer.compress("\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n") + packer.flush()
@@ -122,12 +128,13 @@ def _arrow(ddl: str) -> pa.Schema:
 
 def write_archives(pages: DataFrame, scratch: Scratch, min_bytes: int = 0) -> tuple[DataFrame, str]:
     """The index of the archives and the folder they are in."""
-    texts = pages.select(F.coalesce(F.col("page_id").cast("long"), F.lit(-1)).alias("page_id"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"), F.col("url").cast("string").alias("url")).withColumn("digest", F.sha1("html"))
+    texts = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"), F.col("url").cast("string").alias("url")).withColumn("digest", F.sha1("html"))
     digests = scratch.save(texts.select("page_id", F.octet_length("html").alias("size"), "digest"), "digests").where(F.col("size") >= min_bytes)
     chosen = digests.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    revisits = scratch.save(digests.join(chosen, "digest").where("page_id <> refers_to").select("page_id", "digest", "refers_to").distinct(), "revisits")
+    revisits = scratch.save(digests.join(chosen, "digest").where("refers_to is not null and not page_id <=> refers_to").select("page_id", "digest", "refers_to").distinct(), "revisits")
     root = f"{scratch.base}/warc"
-    joined = texts.join(revisits, ["page_id", "digest"], "left")
+    own = revisits.withColumnsRenamed({"page_id": "_page", "digest": "_digest"})
+    joined = texts.join(own, F.col("page_id").eqNullSafe(F.col("_page")) & (F.col("digest") == F.col("_digest")), "left")
     index = joined.select("page_id", "html", "url", "refers_to").mapInArrow(_writer(root), INDEX)
     return scratch.save(index, "index"), root
 

@@ -49,7 +49,7 @@ def test_warc_revisits_only_own_payload(spark):
     pages = spark.createDataFrame([(7, "u", "a"), (7, "u", "b"), (8, "u", "a"), (None, "u", "a"), (None, "u", "c")], "page_id long, url string, html string")
     got = {(r.page_id, r.payload_digest, r.record_type, r.refers_to) for r in warc.archive_round_trip(pages).collect()}
     a, b, c = (warc.digest_of(x) for x in (b"a", b"b", b"c"))
-    assert got == {(7, a, "revisit", 8), (7, b, "response", None), (8, a, "response", None), (-1, a, "revisit", 8), (-1, c, "response", None)}
+    assert got == {(7, a, "revisit", 8), (7, b, "response", None), (8, a, "response", None), (None, a, "revisit", 8), (None, c, "response", None)}
 
 
 def test_languages_have_their_own_share(spark, monkeypatch):
