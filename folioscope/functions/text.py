@@ -5,10 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Words that carry no content in overlap scores.
-STOPWORDS = "a an and are as at be been by for from had has have he her his i in is it its of on or our she that the their them there they this to was we were what when where which who with you your".split()
-RANKS = "mr mrs ms dr prof sir capt captain cmdr commander col colonel gen general lt lieutenant maj major sgt sergeant adm admiral sen senator rep".split()
-OPENERS = "The A An This That These Those It He She They We I You In On At But And Or If When While After Before As For From With".split()
+# Words that carry no content in account scores, and in loose name matches.
+STOPWORDS = "a an and at by for from in into near of on the to two who with".split()
+LOOSE_STOPWORDS = "the a an of for to in on and or by with re at as from about into".split()
+# Ranks before a name, and plural node types.
+RANKS = "dr mr mrs ms prof professor president senator sir the".split()
+TYPES = {
+    "people": "person",
+    "persons": "person",
+    "organisations": "organisation",
+    "organizations": "organisation",
+    "places": "place",
+    "events": "event",
+    "matters": "matter",
+    "objects": "object",
+    "documents": "document",
+    "concepts": "concept",
+    "records": "record",
+}
+# Node types whose names are phrased in many ways.
+LOOSE_TYPES = ("event", "document", "concept")
+# Capitalised words that open sentences and name nobody.
+OPENERS = (
+    "The A An This That These Those It He She They There Here When Then But And So If As At In On Of To We You I "
+    "His Her Their What Who Why How Because Since After Before"
+).split()
 
 
 def lowered(c: Column) -> Column:
@@ -23,14 +44,14 @@ def tokens(c: Column) -> Column:
 
 def content_tokens(c: Column) -> Column:
     """Distinct tokens without possessives, stopwords and plural s (of words longer than four)."""
-    bare = F.regexp_replace(lowered(c), "'s\\b", "")
+    bare = F.replace(F.lower(F.coalesce(c, F.lit(""))), F.lit("'s"), F.lit(""))
     kept = F.filter(F.regexp_extract_all(bare, F.lit("[a-z0-9]+"), F.lit(0)), lambda t: ~t.isin(STOPWORDS))
     return F.array_distinct(F.transform(kept, lambda t: F.when((F.length(t) > 4) & t.endswith("s"), t.substr(F.lit(1), F.length(t) - 1)).otherwise(t)))
 
 
 def loose_tokens(c: Column) -> Column:
-    """Distinct tokens of three letters or more, or years, without stopwords."""
-    return F.array_distinct(F.filter(tokens(c), lambda t: (((F.length(t) >= 3) & ~t.rlike("^[0-9]+$")) | t.rlike("^[0-9]{4}$")) & ~t.isin(STOPWORDS)))
+    """Distinct words of three characters or more of the normal form, years among them, without stopwords."""
+    return F.array_distinct(F.filter(F.split(name_normal(c), " "), lambda t: (F.length(t) >= 3) & ~t.isin(LOOSE_STOPWORDS)))
 
 
 def dice(a: Column, b: Column) -> Column:
@@ -54,15 +75,15 @@ def straight_quotes(c: Column) -> Column:
 
 def name_normal(c: Column) -> Column:
     """Lowered, punctuation as spaces, leading rank words stripped."""
-    plain = F.trim(F.regexp_replace(lowered(c), "[^a-z0-9]+", " "))
+    plain = F.trim(F.regexp_replace(F.regexp_replace(F.lower(c), "(?U)[^\\w\\s]", " "), "(?U)\\s+", " "))
     return F.regexp_replace(plain, f"^(?:(?:{'|'.join(RANKS)}) )+", "")
 
 
 def name_variants(c: Column) -> Column:
-    """Distinct normal forms: as given, without parentheses, and 'Last, First' turned round."""
-    bare = F.trim(F.regexp_replace(c, "\\([^)]*\\)", ""))
-    turned = F.when(bare.rlike("^[^,]+,[^,]+$"), F.concat_ws(" ", F.trim(F.regexp_extract(bare, "^([^,]+),([^,]+)$", 2)), F.trim(F.regexp_extract(bare, "^([^,]+),([^,]+)$", 1))))
-    return F.array_distinct(F.filter(F.array(name_normal(c), name_normal(bare), name_normal(turned)), lambda v: v.isNotNull() & (v != "")))
+    """Distinct normal forms: as given and without parentheses, and of both 'Last, First' turned round at the first comma."""
+    bare = F.trim(F.regexp_replace(c, "\\s*\\([^)]*\\)", ""))
+    turned = lambda x: F.when(x.contains(","), F.concat_ws(" ", F.trim(F.regexp_extract(x, "^([^,]*),(?s)(.*)$", 2)), F.trim(F.regexp_extract(x, "^([^,]*),(?s)(.*)$", 1))))
+    return F.array_distinct(F.filter(F.array(name_normal(c), name_normal(bare), name_normal(turned(c)), name_normal(turned(bare))), lambda v: v.isNotNull() & (v != "")))
 
 
 def proper_nouns(c: Column) -> Column:
@@ -72,7 +93,7 @@ def proper_nouns(c: Column) -> Column:
 
 def canonical_type(c: Column) -> Column:
     """Plural node types to their singular."""
-    return F.when(c == "people", "person").when(c.isin("organisations", "organizations", "projects", "places", "events", "objects", "documents", "topics", "persons"), F.regexp_replace(F.regexp_replace(c, "organization", "organisation"), "s$", "")).otherwise(c)
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in TYPES.items() for x in kv]), c), c)
 
 
 def padded_contains(haystack: Column, needle: Column) -> Column:
@@ -90,9 +111,13 @@ def safe_name(c: Column) -> Column:
     return F.regexp_replace(c, "[^A-Za-z0-9._-]+", "_")
 
 
+# Fixed value: a speaker's label before a quotation.
+SPEAKER = "^[A-Z][A-Za-z.'-]+(?: [A-Z][A-Za-z.'-]+){0,3}:\\s+"
+
+
 def strip_speaker(c: Column) -> Column:
     """'Name: words' to 'words'."""
-    return F.regexp_replace(c, "^[A-Z][A-Za-z .'-]{0,40}: +", "")
+    return F.regexp_replace(c, SPEAKER, "")
 
 
 def display_context(body: Column, start: Column, end: Column, around: int = 240) -> Column:

@@ -6,8 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions import text as T
 
@@ -35,33 +38,84 @@ def alias_matches(extracted: DataFrame, golden: DataFrame) -> DataFrame:
 def loose_matches(extracted: DataFrame, golden: DataFrame, least_shared: int = 2, least_coverage: float = 0.6) -> DataFrame:
     """Names that share two content tokens or more and 0.6 of a golden form's; best coverage, then the earliest.
 
-    Tokens that a great many names share are salted by nothing: rows meet on (token), are counted per pair, and only pairs with a
-    common token exist. Golden forms are distinct token sets, so equal ones cost once.
+    Equal token sets meet once. A match has at least ``need`` of a golden form's n tokens, so one of its n - need + 1 rarest: they alone are
+    the join's keys, and tokens that a great many names share are keys only of forms that have no others.
     """
-    e = extracted.select("ext_id", T.loose_tokens(F.col("name")).alias("ts"))
-    e = e.groupBy("ts").agg(F.collect_list("ext_id").alias("ids"))
-    g = golden.select("golden_id", T.loose_tokens(F.col("name")).alias("ts")).groupBy("ts").agg(F.min("golden_id").alias("golden_id")).withColumn("n", F.size("ts"))
-    shared = e.select("ts", F.explode("ts").alias("t")).join(g.select("golden_id", "n", F.explode("ts").alias("t")), "t").groupBy("ts", "golden_id", "n").agg(F.count(F.lit(1)).alias("common"))
-    kept = shared.where((F.col("common") >= least_shared) & (F.col("common") >= F.lit(least_coverage) * F.col("n")))
+    e = extracted.select("ext_id", T.loose_tokens(F.col("name")).alias("ts")).withColumn("ts", F.array_sort("ts"))
+    g = golden.select("golden_id", T.loose_tokens(F.col("name")).alias("ts")).withColumn("gs", F.array_sort("ts")).groupBy("gs").agg(F.min("golden_id").alias("golden_id"))
+    g = g.withColumn("n", F.size("gs")).withColumn("need", F.greatest(F.lit(least_shared), F.ceil(F.lit(least_coverage) * F.col("n") - 1e-9))).where("n >= need")
+    forms = e.select("ts").distinct()
+    df = forms.select(F.explode("ts").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("df"))
+    ranked = g.select("gs", "golden_id", "n", "need", F.explode("gs").alias("t")).join(df, "t", "left")
+    rare = ranked.groupBy("gs", "golden_id", "n", "need").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "t"))).alias("xs"))
+    keys = rare.select("gs", "golden_id", "n", "need", F.explode(F.slice("xs", F.lit(1), (F.col("n") - F.col("need") + 1).cast("int"))).alias("x")).where("x.df > 0").select("gs", "golden_id", "n", "need", F.col("x.t").alias("t"))
+    pairs = forms.select("ts", F.explode("ts").alias("t")).join(keys, "t").select("ts", "gs", "golden_id", "n", "need").distinct()
+    kept = pairs.withColumn("common", F.size(F.array_intersect("ts", "gs")).cast("long")).where("common >= need")
     best = kept.groupBy("ts").agg(F.min_by(F.struct("golden_id", "common", "n"), F.struct((-F.col("common") / F.col("n")).alias("c"), "golden_id")).alias("m"))
-    return best.join(e, "ts").select(F.explode("ids").alias("ext_id"), F.col("m.golden_id").alias("golden_id"), F.col("m.common").alias("common"), F.col("m.n").alias("n"))
+    return e.join(best, "ts").select("ext_id", F.col("m.golden_id").alias("golden_id"), F.col("m.common").alias("common"), F.col("m.n").alias("n"))
+
+
+#: Tokens of a block of the right side.
+BLOCK_TOKENS, CELLS = 2_000_000, 4_000_000
+
+
+def _token_blocks(right: DataFrame) -> Iterator[tuple[list, np.ndarray, list[str]]]:
+    """(ids, sizes, tokens end to end) of the right side's rows, in blocks of bounded size."""
+    ids, sizes, tokens = [], [], []
+    for r in right.select("b", "tb").where("size(tb) > 0").toLocalIterator():
+        ids.append(r.b)
+        sizes.append(len(r.tb))
+        tokens += r.tb
+        if len(tokens) >= BLOCK_TOKENS:
+            yield ids, np.array(sizes), tokens
+            ids, sizes, tokens = [], [], []
+    yield ids, np.array(sizes, np.int64), tokens
+
+
+def _overlaps(shared, least: float, kind: pa.DataType):
+    """Pairs of a batch's sets with a block's, by counting the shared tokens of all of them at once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, sizes, tokens = shared.value
+        coded = pa.array(tokens, pa.string()).dictionary_encode()
+        holder = np.repeat(np.arange(len(ids)), sizes)
+        order = np.argsort(coded.indices.to_numpy(zero_copy_only=False), kind="stable")
+        holder, code = holder[order], coded.indices.to_numpy(zero_copy_only=False)[order]
+        first = np.searchsorted(code, np.arange(len(coded.dictionary) + 1))
+        names = pa.array(ids, kind)
+        for b in batches:
+            for at in range(0, b.num_rows, step := max(1, CELLS // max(1, len(ids)))):
+                part = b.slice(at, step)
+                sets = part.column(1)
+                n = pc.list_value_length(sets).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                row = np.repeat(np.arange(part.num_rows), n)
+                found = pc.index_in(sets.flatten(), value_set=coded.dictionary)
+                hit = pc.is_valid(found).to_numpy(zero_copy_only=False)
+                got, row = found.drop_null().to_numpy(zero_copy_only=False), row[hit]
+                many = first[got + 1] - first[got]
+                who = holder[np.repeat(first[got] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))]
+                common = np.bincount(np.repeat(row, many) * len(ids) + who, minlength=part.num_rows * len(ids)).reshape(part.num_rows, -1)
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    similarity = common / (n[:, None] + sizes[None, :] - common)
+                i, j = np.nonzero((common > 0) & (similarity >= least))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(i)), names.take(pa.array(j)), pa.array(similarity[i, j])], names=["a", "b", "similarity"])
+
+    return run
 
 
 def jaccard_matches(left: DataFrame, right: DataFrame, least: float = 0.4) -> DataFrame:
-    """Pairs of (a, ta) and (b, tb) token sets with a Jaccard similarity of ``least`` or more.
+    """Pairs of (a, ta) and (b, tb) sets of distinct tokens with a Jaccard similarity of ``least`` (above 0) or more.
 
-    Prefix filter: in one order of tokens, sets that similar share one of their first |s| - ceil(least·|s|) + 1 tokens.
+    The right side (the smaller) goes out in blocks of ``BLOCK_TOKENS`` tokens, and each block is one narrow pass over the left side:
+    nothing is shuffled, and a token that very many sets hold costs counting alone.
     """
-    rare = left.select(F.explode("ta").alias("t")).unionByName(right.select(F.explode("tb").alias("t"))).groupBy("t").agg(F.count(F.lit(1)).alias("df"))
-
-    def prefix(df: DataFrame, key: str, ts: str) -> DataFrame:
-        rows = df.select(key, F.size(ts).alias("n"), F.explode(ts).alias("t")).join(rare, "t")
-        w = Window.partitionBy(key).orderBy("df", "t")
-        return rows.withColumn("r", F.row_number().over(w)).where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * least) + 1).select(key, "t")
-
-    pairs = prefix(left, "a", "ta").join(prefix(right, "b", "tb"), "t").select("a", "b").distinct()
-    scored = pairs.join(left, "a").join(right, "b").withColumn("similarity", T.jaccard(F.col("ta"), F.col("tb")))
-    return scored.where(F.col("similarity") >= least).select("a", "b", "similarity")
+    sc, kind = left.sparkSession.sparkContext, to_arrow_type(right.schema["b"].dataType)
+    shape = f"a {dict(left.dtypes)['a']}, b {dict(right.dtypes)['b']}, similarity double"
+    out = None
+    for block in _token_blocks(right):
+        one = left.select("a", "ta").mapInArrow(_overlaps(sc.broadcast(block), least, kind), shape)
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def expand_sources(claims: DataFrame, sources: DataFrame, key: str = "source_id") -> DataFrame:
@@ -77,7 +131,8 @@ def violations(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
 def assignment(weights: list[list[float]]) -> list[int]:
     """For each row its column in the heaviest one-to-one assignment (-1: none); weights of 0 or less are no candidates.
 
-    Shortest augmenting paths with potentials, one for each row of the shorter side; on equal weight, rows and then columns come first.
+    The textbook method of shortest augmenting paths with potentials, one for each row of the shorter side, over whole numpy rows; on equal
+    weight, rows and then columns come first.
     """
     n, m = len(weights), max((len(r) for r in weights), default=0)
     if not n or not m:
@@ -139,11 +194,3 @@ def optimal_matches(candidates: DataFrame, group: str) -> DataFrame:
 
     kinds = dict(candidates.dtypes)
     return candidates.select(group, "gold", "predicted", F.col("score").cast("double").alias("score")).groupBy(group).applyInPandas(solve, f"{group} {kinds[group]}, gold {kinds['gold']}, predicted {kinds['predicted']}, score double")
-
-
-def batches_sorted(batches: Iterator[pd.DataFrame], by: str, size: int, run) -> Iterator[pd.DataFrame]:
-    """Length-sorted sub-batches through ``run``, restored to input order."""
-    for df in batches:
-        order = df[by].str.len().sort_values(kind="stable").index
-        parts = [run(df.loc[order[i : i + size]]) for i in range(0, len(order), size)]
-        yield pd.concat(parts).loc[df.index] if parts else df

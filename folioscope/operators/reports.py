@@ -55,7 +55,7 @@ def sweep_grade(records: DataFrame, highlights: DataFrame, claims: DataFrame) ->
     hits = located(claims, records).withColumn("ok", F.col("start") >= 0)
     spans = located(highlights, records, "text").where("start >= 0").select("record_key", "unit_id", F.col("start").alias("g0"), F.col("end").alias("g1"))
     touched = hits.where("ok").join(spans, "record_key").where("not (end < g0 or start > g1)").groupBy("digest_key").agg(F.countDistinct("unit_id").alias("touched"))
-    out = hits.groupBy("digest_key").agg(F.count_if("ok").alias("located"), F.avg(F.length("quote")).alias("mean_chars"), F.avg(F.col("quote").rlike(lint.FLAGS["compound"]).cast("double")).alias("compound"))
+    out = hits.groupBy("digest_key").agg(F.count_if("ok").alias("located"), F.avg(F.length("quote")).alias("mean_chars"), F.avg(lint.two_assertions(F.col("text" if "text" in hits.columns else "quote")).cast("double")).alias("compound"))
     return out.join(touched, "digest_key", "left").na.fill(0, ["touched"])
 
 
@@ -100,8 +100,10 @@ def stage_trajectory(scores: DataFrame, lints: DataFrame) -> DataFrame:
 
 
 def run_log(lines: DataFrame) -> DataFrame:
-    """Rounds and usage from a run's output lines."""
-    pattern = "^(nodes|claims) iter(?:ation)? ([0-9]+): ([0-9]+) new"
-    get = lambda i: F.nullif(F.regexp_extract("value", pattern, i), F.lit(""))
-    usage = F.from_json(F.nullif(F.regexp_extract("value", "USAGE_JSON: *(\\{.*\\})", 1), F.lit("")), "model string, calls int, cost double")
-    return lines.select(get(1).alias("stage"), get(2).try_cast("int").alias("round"), get(3).try_cast("int").alias("fresh"), usage.alias("usage")).where("stage is not null or usage is not null")
+    """Rounds, traces and usage from a run's output lines: (stage, round, fresh), or a trace's steps, or usage."""
+    pattern = "(nodes|claims) iter ([0-9]+): [+]([0-9]+) (?:nodes|claims)"
+    get = lambda p, i: F.nullif(F.regexp_extract("value", p, i), F.lit(""))
+    trace = F.from_json(get("TRACE_JSON: (\\[.*\\])", 1), "array<map<string,string>>")
+    usage = F.from_json(get("USAGE_JSON: *(\\{.*\\})", 1), "map<string,string>")
+    out = lines.select(get(pattern, 1).alias("stage"), get(pattern, 2).try_cast("int").alias("round"), get(pattern, 3).try_cast("int").alias("fresh"), trace.alias("trace"), usage.alias("usage"))
+    return out.where("stage is not null or trace is not null or usage is not null")

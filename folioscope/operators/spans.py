@@ -2,18 +2,48 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions import text as T
 
 
+def _ascii_words(column: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+    """Of a string column: the row, text, place in the row and code-point offset of each run of a-z, 0-9 (A-Z folded)."""
+    column = column.cast(pa.large_string())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    raw = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if column.buffers()[2] is not None else np.zeros(0, np.uint8)
+    offsets = offsets - offsets[0]
+    fold = np.zeros(256, np.uint8)
+    fold[48:58], fold[97:123], fold[65:91] = np.arange(48, 58), np.arange(97, 123), np.arange(97, 123)
+    data = fold[raw]
+    inside = np.concatenate([[False], data != 0, [False]])
+    border = np.zeros(len(raw) + 1, bool)  # a word ends with its row
+    border[offsets] = True
+    begin = np.flatnonzero(inside[1:] & (~inside[:-1] | border))
+    end = np.flatnonzero(inside[:-1] & (~inside[1:] | border))
+    points = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+    row = np.searchsorted(offsets, begin, side="right") - 1
+    letters = data[data != 0].tobytes()
+    text = pa.StringArray.from_buffers(len(begin), pa.py_buffer(np.concatenate([[0], np.cumsum(end - begin)]).astype(np.int32).tobytes()), pa.py_buffer(letters))
+    first = np.searchsorted(row, np.arange(len(column)))
+    return row, text, np.arange(len(row)) - first[row], points[begin] - points[offsets[row]]
+
+
 def word_offsets(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, pos, word, at): tokens with their code-point offset. Linear: a running sum over the runs between tokens, no cumulative slices."""
-    runs = docs.select(key, F.posexplode(F.regexp_extract_all(T.lowered(F.col(text)), F.lit("[^a-z0-9]*[a-z0-9]+"), F.lit(0))).alias("pos", "run"))
-    word = F.regexp_extract("run", "[a-z0-9]+$", 0)
-    end = F.sum(F.length("run")).over(Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
-    return runs.select(key, "pos", word.alias("word"), (end - F.length(word)).cast("int").alias("at"))
+    """(key, pos, word, at): tokens with their code-point offset. A narrow map over whole texts: no shuffle, no sort."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            row, word, pos, at = _ascii_words(b.column(1))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), pa.array(pos.astype(np.int32)), word, pa.array(at.astype(np.int32))], names=[key, "pos", "word", "at"])
+
+    return docs.select(key, F.coalesce(F.col(text), F.lit("")).alias(text)).mapInArrow(run, f"{key} {dict(docs.dtypes)[key]}, pos int, word string, at int")
 
 
 def timed_words(docs: DataFrame, key: str, body: str) -> DataFrame:
@@ -36,50 +66,124 @@ def line_words(docs: DataFrame, key: str, body: str) -> DataFrame:
     return words.select(key, (F.row_number().over(order) - 1).alias("pos"), "word", "at")
 
 
+def _bare(quote: Column) -> Column:
+    return F.regexp_replace(quote, "[.,;:!?\"' ]+$", "")
+
+
 def locate(text: Column, quote: Column, start: Column | None = None) -> Column:
     """0-based start of a quote at or after ``start``, retried without closing punctuation; -1 if broken."""
     at = F.lit(1) if start is None else start + 1
     found = lambda q: F.call_function("locate", q, text, at)
-    bare = F.regexp_replace(quote, "[.,;:!?\"' ]+$", "")
+    bare = _bare(quote)
     return F.when(found(quote) > 0, found(quote) - 1).when((F.length(bare) > 0) & (found(bare) > 0), found(bare) - 1).otherwise(F.lit(-1))
 
 
 def quote_status(text: Column, quote: Column) -> Column:
-    """contiguous, elided (fragments in order), reordered (all there, not in order) or broken."""
+    """contiguous (the whole quote), elided (fragments in order), reordered (a fragment stands only before its predecessor) or broken (nowhere)."""
     parts = F.filter(F.transform(F.split(quote, "\\.\\.\\.|…"), lambda p: F.trim(p)), lambda p: p != "")
-    walk = F.aggregate(parts, F.lit(1), lambda cursor, p: F.when(cursor > 0, F.when(F.call_function("locate", p, text, cursor) > 0, F.call_function("locate", p, text, cursor) + F.length(p)).otherwise(0)).otherwise(0))
-    everywhere = F.forall(parts, lambda p: F.contains(text, p))
-    return (
-        F.when(F.size(parts) == 0, "broken")
-        .when((F.size(parts) == 1) & everywhere, "contiguous")
-        .when((F.size(parts) > 1) & (walk > 0), "elided")
-        .when((F.size(parts) > 1) & everywhere, "reordered")
-        .otherwise("broken")
-    )
+    begin = F.struct(F.lit(0).cast("int").alias("cursor"), F.lit("elided").alias("status"))
+
+    def step(acc: Column, p: Column) -> Column:
+        at = locate(text, p, acc["cursor"])
+        lost = F.when(locate(text, p) >= 0, "reordered").otherwise("broken")
+        bare = F.when(F.call_function("locate", p, text, acc["cursor"] + 1) > 0, p).otherwise(_bare(p))
+        found = F.when(at >= 0, F.struct((at + F.length(bare)).cast("int").alias("cursor"), F.lit("elided").alias("status"))).otherwise(F.struct(acc["cursor"].alias("cursor"), lost.alias("status")))
+        return F.when(acc["status"] == "elided", found).otherwise(acc)
+
+    walk = F.aggregate(parts, begin, step, lambda acc: acc["status"])
+    return F.when((F.trim(quote) != "") & (locate(text, quote) >= 0), "contiguous").when(F.size(parts) > 1, walk).otherwise("broken")
+
+
+def _blocks(quotes: DataFrame) -> Iterator[list[tuple]]:
+    """(item, quote, quote without closing punctuation) rows, in blocks of bounded text."""
+    rows, n = [], 0
+    for r in quotes.toLocalIterator():
+        rows.append((r[0], r[1], r[2]))
+        n += len(r[1])
+        if n >= QUOTE_CHARS:
+            yield rows
+            rows, n = [], 0
+    yield rows
+
+
+class _Finder:
+    """Where any of some quotes stands in a text: an automaton over their first characters finds the places, a comparison confirms."""
+
+    _kept: dict[int, _Finder] = {}
+
+    def __init__(self, rows: list[tuple]):
+        import ahocorasick
+
+        self.rows = rows
+        self.heads = ahocorasick.Automaton()
+        by_head: dict[str, list[tuple[int, bool, str]]] = {}
+        for k, (_, quote, bare) in enumerate(rows):
+            for plain, form in ((False, quote), (True, bare)):
+                if form and not (plain and form == quote):
+                    by_head.setdefault(form[:HEAD_CHARS], []).append((k, plain, form))
+        for head, forms in by_head.items():
+            self.heads.add_word(head, (len(head), forms))
+        if by_head:
+            self.heads.make_automaton()
+
+    @classmethod
+    def of(cls, shared) -> _Finder:
+        """One for each worker process and block."""
+        if id(shared.value) not in cls._kept:
+            cls._kept.clear()
+            cls._kept[id(shared.value)] = cls(shared.value)
+        return cls._kept[id(shared.value)]
+
+    def search(self, text: str) -> list[tuple[int, int]]:
+        """(row, first place) of each quote; one found only without its closing punctuation stands there."""
+        whole: dict[int, int] = {}
+        bare: dict[int, int] = {}
+        if len(self.heads):
+            for last, (n, forms) in self.heads.iter(text):
+                at = last + 1 - n
+                for k, plain, form in forms:
+                    found = bare if plain else whole
+                    if k not in found and text.startswith(form, at):
+                        found[k] = at
+        return sorted((bare | whole).items())
 
 
 def quote_locations(docs: DataFrame, quotes: DataFrame) -> DataFrame:
-    """Where each quote stands in any document; quotes found nowhere come once, as broken.
+    """Where each quote stands first in any document; quotes found nowhere come once, as broken.
 
-    Verbatim search across all documents has no equi-key of its own. Documents and quotes meet on the hash of the quote's first
-    ``ANCHOR_WORDS`` words, so the join is a hash join whose probe side is one row per word, and only real candidates are compared.
+    Documents never meet quotes in a join: the quotes go out in blocks of ``QUOTE_CHARS`` characters, and each block is one narrow pass over
+    the documents. Case and runs of white space don't count; an empty quote stands nowhere.
     """
-    anchor = lambda words, i: F.xxhash64(F.array_join(F.slice(words, i, ANCHOR_WORDS), " "))
-    q = quotes.withColumn("quote", T.collapsed(T.lowered(F.col("text")))).withColumn("w", F.split("quote", " "))
-    # a quote may begin within a word of the document, or end so: its first inner words are matched whole
-    q = q.select("item_id", "quote", F.when(F.size("w") >= ANCHOR_WORDS + 2, anchor(F.col("w"), F.lit(2))).alias("anchor"))
-    d = docs.select("doc_id", T.collapsed(T.lowered(F.col("text"))).alias("text")).withColumn("w", F.split("text", " "))
-    keys = d.select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - ANCHOR_WORDS + 1, F.lit(1))), lambda i: anchor(F.col("w"), i)))).alias("anchor"))
-    pairs = keys.join(q.where("anchor is not null"), "anchor").select("doc_id", "item_id", "quote").distinct()
-    short = q.where("anchor is null").select("item_id", "quote")
-    found = pairs.join(d.select("doc_id", "text"), "doc_id").unionByName(d.select("doc_id", "text").join(short, F.contains("text", "quote")))
-    hits = found.withColumn("start", locate(F.col("text"), F.col("quote"))).where("start >= 0")
-    hits = hits.select("item_id", "doc_id", "start", (F.col("start") + F.length("quote")).alias("end"), F.lit("contiguous").alias("status"))
-    rest = q.select("item_id").join(hits.select("item_id").distinct(), "item_id", "left_anti")
-    return hits.unionByName(rest.select("item_id", F.lit(None).cast("long").alias("doc_id"), F.lit(-1).alias("start"), F.lit(-1).alias("end"), F.lit("broken").alias("status")))
-
-
-ANCHOR_WORDS = 4
+    sc = docs.sparkSession.sparkContext
+    q = quotes.select("item_id", T.collapsed(T.lowered(F.coalesce("text", F.lit("")))).alias("quote"))
+    q = q.select("item_id", "quote", _bare(F.col("quote")).alias("bare"))
+    d = docs.select("doc_id", T.collapsed(T.lowered(F.coalesce("text", F.lit("")))).alias("text"))
+    item, doc = dict(q.dtypes)["item_id"], dict(d.dtypes)["doc_id"]
+
+    def passing(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            finder = _Finder.of(shared)
+            for b in batches:
+                rows = [(finder.rows[k][0], i, at, at + len(finder.rows[k][1])) for i, t in enumerate(b.column(1).to_pylist()) for k, at in finder.search(t)]
+                items, place, start, end = zip(*rows, strict=True) if rows else ((), (), (), ())
+                yield pa.RecordBatch.from_arrays([pa.array(items, kind), b.column(0).take(pa.array(place, pa.int64())), pa.array(start, pa.int64()), pa.array(end, pa.int64())], names=["item_id", "doc_id", "start", "end"])
+
+        return run
+
+    kind = to_arrow_type(q.schema["item_id"].dataType)
+    hits = None
+    for block in _blocks(q):
+        one = d.mapInArrow(passing(sc.broadcast(block)), f"item_id {item}, doc_id {doc}, start long, end long")
+        hits = one if hits is None else hits.unionByName(one)
+    hits = hits.withColumn("status", F.lit("contiguous"))
+    # one search for both uses: a quote's row without a document says that it exists
+    every = q.select("item_id", F.lit(None).cast(doc).alias("doc_id"), F.lit(-1).cast("long").alias("start"), F.lit(-1).cast("long").alias("end"), F.lit("broken").alias("status"))
+    found = Window.partitionBy("item_id")
+    out = hits.unionByName(every.distinct()).withColumn("_n", F.count("doc_id").over(found))
+    return out.where("doc_id is not null or _n = 0").drop("_n")
+
+
+QUOTE_CHARS, HEAD_CHARS = 8 << 20, 32
 
 
 def union_coverage(gold: DataFrame, spans: DataFrame, keys: list[str], gold_id: str) -> DataFrame:
@@ -94,9 +198,20 @@ def union_coverage(gold: DataFrame, spans: DataFrame, keys: list[str], gold_id:
     return g.join(covered, [*keys, gold_id], "left").select(*keys, gold_id, (F.col("g1") - F.col("g0")).alias("length"), F.coalesce("covered", F.lit(0)).alias("covered"))
 
 
+def _on_axis(points: DataFrame, spans: DataFrame, keys: list[str], at: str) -> DataFrame:
+    """Points with the spans of their key round them, both ends included. Key and stretch of the axis are the join's key.
+
+    A stretch is as long as the mean span, so spans reach over three stretches on average, whatever their lengths.
+    """
+    width = spans.agg(F.greatest(F.avg(F.col("end") - F.col("start")), F.lit(1.0)).alias("w")).first().w or 1.0
+    stretch = lambda c: F.floor(F.col(c) / F.lit(width))
+    reach = spans.where("end >= start").withColumn("_stretch", F.explode(F.sequence(stretch("start"), stretch("end"))))
+    return points.withColumn("_stretch", stretch(at)).join(reach, [*keys, "_stretch"]).where(F.col(at).between(F.col("start"), F.col("end"))).drop("_stretch")
+
+
 def smallest_container(points: DataFrame, spans: DataFrame, keys: list[str], point_id: str, at: str, span_id: str, first: list[str]) -> DataFrame:
     """The narrowest closed span round each point, ties to the first in ``first`` order; points outside all are kept with null."""
-    inside = points.join(spans, keys).where(F.col(at).between(F.col("start"), F.col("end")))
+    inside = _on_axis(points, spans, keys, at)
     best = inside.groupBy(*keys, point_id).agg(F.min_by(span_id, F.struct((F.col("end") - F.col("start")).alias("width"), *first)).alias("bound"))
     return points.join(best, [*keys, point_id], "left")
 
@@ -104,7 +219,7 @@ def smallest_container(points: DataFrame, spans: DataFrame, keys: list[str], poi
 def exact_container(points: DataFrame, spans: DataFrame, keys: list[str], point_id: str, at: str, span_id: str) -> DataFrame:
     """Half-open containment, narrowest by the *sum* of a container's spans; bound only if one container is narrowest."""
     total = spans.groupBy(*keys, span_id).agg(F.sum(F.col("end") - F.col("start")).alias("total"))
-    inside = points.join(spans, keys).where((F.col(at) >= F.col("start")) & (F.col(at) < F.col("end"))).select(*keys, point_id, span_id).distinct().join(total, [*keys, span_id])
+    inside = _on_axis(points, spans, keys, at).where(F.col(at) < F.col("end")).select(*keys, point_id, span_id).distinct().join(total, [*keys, span_id])
     low = inside.groupBy(*keys, point_id).agg(F.min("total").alias("total"))
     best = inside.join(low, [*keys, point_id, "total"]).groupBy(*keys, point_id).agg(F.count(F.lit(1)).alias("n"), F.min(span_id).alias("bound"))
     return points.join(best.where("n = 1").drop("n"), [*keys, point_id], "left")

@@ -42,7 +42,7 @@ def low(c: str) -> str:
 @query(rf"""
 WITH d AS (SELECT doc_id, trim(regexp_replace({low('text')}, '[ \t\r\n]+', ' ', 'g')) AS t FROM documents),
 q AS (SELECT item_id, trim(regexp_replace({low('text')}, '[ \t\r\n]+', ' ', 'g')) AS q FROM benchmark),
-h AS (SELECT item_id, doc_id, strpos(t, q) - 1 AS s, length(q) AS n FROM d JOIN q ON contains(t, q))
+h AS (SELECT item_id, doc_id, CASE WHEN contains(t, q) THEN strpos(t, q) ELSE strpos(t, rtrim(q, '.,;:!?"'' ')) END - 1 AS s, length(q) AS n FROM d JOIN q ON q <> '' AND (contains(t, q) OR (rtrim(q, '.,;:!?"'' ') <> '' AND contains(t, rtrim(q, '.,;:!?"'' ')))))
 SELECT item_id, doc_id, s::INT AS "start", (s + n)::INT AS "end", 'contiguous' AS status FROM h
 UNION ALL SELECT item_id, NULL, -1, -1, 'broken' FROM q WHERE item_id NOT IN (SELECT item_id FROM h)""")
 def q01_quote_location(spark, d):
@@ -202,9 +202,7 @@ SELECT a.p_brand, a.k AS gold, b.k AS predicted, round(2.0 * len(list_intersect(
 FROM t a JOIN t b ON a.p_brand = b.p_brand AND a.k < b.k WHERE len(list_intersect(a.ts, b.ts)) > 0 AND 2.0 * len(list_intersect(a.ts, b.ts)) / (len(a.ts) + len(b.ts)) >= 0.28""")
 def q16_dice_semantic_candidates(spark, d):
     names = table(spark, d, "part").groupBy("p_brand", "p_name").agg(F.min("p_partkey").alias("k")).withColumn("ts", F.array_distinct(T.tokens(F.col("p_name"))))
-    right = names.select("p_brand", F.col("k").alias("predicted"), F.col("ts").alias("tb"))
-    pairs = names.select("p_brand", F.col("k").alias("gold"), "ts").join(right, "p_brand").where("gold < predicted")
-    return evaluation.candidates(pairs, F.col("ts"), F.col("tb")).select("p_brand", "gold", "predicted", F.round("score", 9).alias("dice"))
+    return evaluation.dice_pairs(names, "p_brand", "k", "ts").select("p_brand", "gold", "predicted", F.round("score", 9).alias("dice"))
 
 
 @query(f"""
@@ -218,13 +216,13 @@ def q17_name_variants_alias_join(spark, d):
 
 @query(f"""
 WITH p AS (SELECT p_partkey, list_distinct(list_filter(regexp_extract_all({low("p_name || ' ' || p_type")}, '[a-z0-9]+'), lambda x: length(x) >= 3)) AS ts FROM part),
-g AS (SELECT min(p_partkey) AS k, list_sort(ts) AS ts FROM p WHERE p_partkey < 200 GROUP BY 2),
+g AS (SELECT min(p_partkey) AS k, list_sort(ts) AS ts FROM p GROUP BY 2),
 m AS (SELECT p.p_partkey AS ext_id, g.k AS golden_id, len(list_intersect(p.ts, g.ts)) AS common, len(g.ts) AS n FROM p, g),
 r AS (SELECT *, row_number() OVER (PARTITION BY ext_id ORDER BY common / n DESC, golden_id) AS r FROM m WHERE common >= 2 AND common >= 0.6 * n)
 SELECT ext_id, golden_id, common::INT AS common, n::INT AS n FROM r WHERE r = 1""")
 def q18_loose_token_match(spark, d):
     names = table(spark, d, "part").select("p_partkey", F.concat_ws(" ", "p_name", "p_type").alias("name"))
-    found = joins.loose_matches(names.withColumnRenamed("p_partkey", "ext_id"), names.where("p_partkey < 200").withColumnRenamed("p_partkey", "golden_id"))
+    found = joins.loose_matches(names.withColumnRenamed("p_partkey", "ext_id"), names.withColumnRenamed("p_partkey", "golden_id"))
     return found.select("ext_id", "golden_id", F.col("common").cast("int").alias("common"), "n")
 
 
@@ -326,11 +324,11 @@ def q28_fixture_dimensions(spark, d):
 
 
 @query("""
-WITH a AS (SELECT l_suppkey AS key, count(*) AS v FROM lineitem WHERE l_linenumber = 1 GROUP BY 1), b AS (SELECT l_suppkey AS key, count(*) AS v FROM lineitem WHERE l_linenumber = 2 GROUP BY 1)
+WITH a AS (SELECT l_suppkey AS key, count(*) AS v FROM lineitem WHERE l_orderkey % 2 = 0 GROUP BY 1), b AS (SELECT l_suppkey AS key, count(*) AS v FROM lineitem WHERE l_orderkey % 2 <> 0 GROUP BY 1)
 SELECT coalesce(a.key, b.key) AS key, CASE WHEN a.v IS NULL THEN 'better' WHEN b.v IS NULL THEN 'worse' WHEN b.v > a.v THEN 'better' WHEN b.v < a.v THEN 'worse' ELSE 'unchanged' END AS outcome FROM a FULL JOIN b ON a.key = b.key""")
 def q29_score_compare(spark, d):
-    half = lambda n: table(spark, d, "lineitem").where(F.col("l_linenumber") == n).groupBy(F.col("l_suppkey").alias("key")).agg(F.count(F.lit(1)).alias("value"))
-    return evaluation.compare_scores(half(1), half(2), "key").select("key", "outcome")
+    half = lambda odd: table(spark, d, "lineitem").where((F.col("l_orderkey") % 2 != 0) == odd).groupBy(F.col("l_suppkey").alias("key")).agg(F.count(F.lit(1)).alias("value"))
+    return evaluation.compare_scores(half(False), half(True), "key").select("key", "outcome")
 
 
 @query("""
@@ -382,9 +380,24 @@ def q35_variant_codec(spark, d):
     return table(spark, d, "part").select("p_partkey", codes.split_stem(stem).alias("s")).select("p_partkey", "s.head", "s.prompt_sha8", "s.run_label")
 
 
-@query("SELECT count(*)::BIGINT AS claims, round(avg(length(text)), 6) AS mean_chars, " + ", ".join(f"count(*) FILTER (regexp_matches(text, '{p}'))::BIGINT AS {n}" for n, p in lint.FLAGS.items()) + " FROM conversations")
+def _lint_sql() -> str:
+    times = lambda p: f"len(regexp_extract_all(text, '{p}'))"
+    compound = f"(length(text) > {lint.LONG} AND ({times('(?i) and ')} >= {lint.ANDS} OR {times(',')} >= {lint.COMMAS})) OR {times(lint.MEASUREMENT)} + {times(lint.IMPERIAL)} >= {lint.MEASUREMENTS}"
+    flags = {n: f"regexp_matches(text, '{p}')" for n, p in lint.PATTERNS.items()} | {"compound": compound}
+    # the stand-ins hold no measurements, so each text comes with one of some sentences that raise flags
+    return "SELECT count(*)::BIGINT AS claims, round(avg(length(text)), 6) AS mean_chars, " + ", ".join(f"count(*) FILTER ({c})::BIGINT AS {n}" for n, c in flags.items()) + f" FROM ({_LINTED})"
+
+
+_SAMPLES = ("It flew 30 feet above 200 miles of color", "Dr. Ann Lee stated that the incident lasted 5 km at 90 knots", "The Department of Defense organized 3 metres, 4 km, and 5 seconds of it, and more, and so on")
+_LINTED = "SELECT CASE turn % 4 " + " ".join(f"WHEN {k} THEN '{x}. ' || text" for k, x in enumerate(_SAMPLES)) + " ELSE text END AS text FROM conversations"
+
+
+@query(_lint_sql())
 def q36_lint_flags(spark, d):
-    return lint.totals(table(spark, d, "conversations"), "text").withColumn("mean_chars", F.round("mean_chars", 6))
+    said = F.when(F.lit(False), "")
+    for k, x in enumerate(_SAMPLES):
+        said = said.when(F.col("turn") % 4 == k, F.concat(F.lit(f"{x}. "), "text"))
+    return lint.totals(table(spark, d, "conversations").select(said.otherwise(F.col("text")).alias("text")), "text").withColumn("mean_chars", F.round("mean_chars", 6))
 
 
 @query("""
@@ -452,11 +465,13 @@ def q45_run_cost_table(spark, d):
 
 
 @query(r"""
-WITH q AS (SELECT doc_id, text, trim(substr(text, 11, 20)) AS a, trim(substr(text, 61, 20)) AS b FROM documents WHERE length(text) >= 100),
-f AS (SELECT doc_id, text, CASE WHEN doc_id % 3 = 0 THEN b ELSE a END AS x, CASE WHEN doc_id % 3 = 0 THEN a ELSE b END AS y FROM q WHERE a <> '' AND b <> '' AND NOT contains(a || b, '...') AND NOT contains(a || b, '…'))
-SELECT doc_id, CASE WHEN strpos(substr(text, strpos(text, x) + length(x)), y) > 0 THEN 'elided' ELSE 'reordered' END AS status FROM f""")
+WITH q AS (SELECT doc_id, text, trim(substr(text, length(text) // 10 + 1, length(text) // 5 + 1)) AS a, trim(substr(text, length(text) * 6 // 10 + 1, length(text) // 5 + 1)) AS b FROM documents),
+f AS (SELECT doc_id, text, CASE WHEN doc_id % 3 = 0 THEN b ELSE a END AS x, CASE WHEN doc_id % 3 = 0 THEN a ELSE b END AS y FROM q WHERE a <> '' AND b <> '' AND NOT contains(a || b, '...') AND NOT contains(a || b, '…')),
+g AS (SELECT *, substr(text, strpos(text, x) + length(x)) AS rest, rtrim(y, '.,;:!?"'' ') AS bare FROM f)
+SELECT doc_id, CASE WHEN contains(rest, y) OR (bare <> '' AND contains(rest, bare)) THEN 'elided' ELSE 'reordered' END AS status FROM g""")
 def q46_quote_status_fold(spark, d):
-    q = table(spark, d, "documents").where("length(text) >= 100").select("doc_id", "text", F.expr("trim(substr(text, 11, 20))").alias("a"), F.expr("trim(substr(text, 61, 20))").alias("b"))
+    fragment = lambda tenths, name: F.expr(f"trim(substr(text, cast(length(text) * {tenths} div 10 as int) + 1, cast(length(text) div 5 as int) + 1))").alias(name)
+    q = table(spark, d, "documents").select("doc_id", "text", fragment(1, "a"), fragment(6, "b"))
     q = q.where("a <> '' and b <> '' and not contains(a || b, '...') and not contains(a || b, '…')")
     quote = F.when(F.col("doc_id") % 3 == 0, F.concat_ws(" ... ", "b", "a")).otherwise(F.concat_ws(" … ", "a", "b"))
     return q.select("doc_id", spans.quote_status(F.col("text"), quote).alias("status"))

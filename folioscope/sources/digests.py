@@ -51,9 +51,10 @@ def claims(digests: DataFrame) -> DataFrame:
     d = digests.where("issue is null").select("digest_key", F.from_json("doc", shape).alias("d")).select("digest_key", "d.*")
     tagged = lambda c, tag: F.transform(F.coalesce(F.col(c), F.array().cast(f"array<{_CLAIM}>")), lambda x: F.struct(F.lit(tag).alias("category"), x.alias("c")))
     both = F.when(F.col("claims").isNotNull(), tagged("claims", None)).otherwise(F.concat(tagged("domain_claims", "domain"), tagged("infrastructure_claims", "infrastructure")))
+    known = lambda c, values, default: F.when(F.col(c).isin(*values), F.col(c)).otherwise(default)
     rows = d.select("digest_key", F.posexplode(both).alias("pos", "x")).select("digest_key", "pos", "x.category", "x.c.*")
     return rows.select(
-        "digest_key", F.col("id").alias("claim_id"), F.col("category").cast("string").alias("category"), F.coalesce("type", F.lit("administrative")).alias("type"), F.coalesce("attestation", F.lit("first_hand")).alias("attestation"),
+        "digest_key", F.col("id").alias("claim_id"), F.col("category").cast("string").alias("category"), known("type", CLAIM_TYPES, "administrative").alias("type"), known("attestation", ATTESTATIONS, "first_hand").alias("attestation"),
         "speaker", "provenance_chain", "attribution_in_text", F.coalesce("location", "location_in_record").alias("location"), "date", "date_range", F.coalesce("refs", F.array().cast("array<struct<id:string,name:string,role:string>>")).alias("refs"),
         F.nullif(F.trim(F.coalesce("quote", "original_excerpt")), F.lit("")).alias("quote"), F.coalesce("text", "content").alias("text"), "entailment", F.struct(F.lit(0).alias("chunk"), F.lit(0).alias("round"), F.col("pos").alias("pos")).alias("ord"),
     ).to(spark_schema(digests.sparkSession, CLAIM))

@@ -173,7 +173,7 @@ def context_edges(records: DataFrame, key: str = "record_key", body: str = "body
     """(key, dependent, ancestor) of ``{{highlight-context: [a, b, …]}}``; lists of one say nothing."""
     lists = records.select(key, F.explode(F.regexp_extract_all(body, F.lit("\\{\\{highlight-context: *\\[([^\\]]*)\\] *\\}\\}"), F.lit(1))).alias("l"))
     ids = lists.select(key, F.transform(F.split("l", ","), lambda x: F.trim(x)).alias("ids")).where(F.size("ids") >= 2)
-    return ids.select(key, F.element_at("ids", 1).alias("dependent"), F.explode(F.slice("ids", 2, 1_000_000)).alias("ancestor")).distinct()
+    return ids.select(key, F.element_at("ids", 1).alias("dependent"), F.explode(F.slice("ids", F.lit(2), F.greatest(F.size("ids") - 1, F.lit(0)))).alias("ancestor")).distinct()
 
 
 def transcript(records: DataFrame, key: str = "record_key", body: str = "body") -> DataFrame:

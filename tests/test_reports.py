@@ -12,9 +12,9 @@ def test_reports(spark):
     assert {r.node_type: r.names for r in reports.found_by_type(nodes).collect()} == {"person": ["Ann"], "gadget": ["X"]}
     claims = spark.createDataFrame([("c", "r", "00:00:01.250"), ("e", "r", "char:1-2")], "claim_id string, record_key string, location string")
     assert {r.claim_id: r.position_ms for r in reports.materialised_claims(claims).collect()} == {"c": 1250, "e": None}
-    log = spark.createDataFrame([("nodes iter 2: 7 new",), ('USAGE_JSON: {"model": "m", "calls": 3, "cost": 0.5}',), ("noise",)], "value string")
+    log = spark.createDataFrame([("  nodes iter 2: +7 nodes (cached)",), ('TRACE_JSON: [{"pass": "nodes", "cost": 0.5}, {"pass": "claims"}]',), ('USAGE_JSON: {"model": "m", "calls": 3, "cost": 0.5}',), ("noise",)], "value string")
     got = reports.run_log(log).collect()
-    assert len(got) == 2 and got[0].fresh == 7 and got[1].usage.calls == 3
+    assert len(got) == 3 and (got[0].stage, got[0].round, got[0].fresh) == ("nodes", 2, 7) and len(got[1].trace) == 2 and got[2].usage["calls"] == "3"
     deltas = spark.createDataFrame([(0.01,), (1.0,), (30.0,), (None,)], "delta double")
     assert abs(reports.delta_buckets(deltas).first().exact - 1 / 3) < 1e-9
     side = spark.createDataFrame([("r1", 0.9, "h"), ("r2", 0.95, "old")], "record_key string, observed_coverage double, reviewed_body_sha256 string")
