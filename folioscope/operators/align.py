@@ -1,17 +1,31 @@
-"""Quote alignment: the place in a word stream that a quotation most likely comes from."""
+"""Quote alignment: the place in a word stream that a quotation most likely comes from, and locations written anew from it."""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.text import SPEAKER
 
 _WORD = re.compile("[a-z0-9]+")
-_SPEAKER = re.compile(r"^[A-Z][A-Za-z .'-]{0,40}: +")
-LEAST_COVERAGE, BAND, APART, SEEDS = 0.5, 0.05, 5, 4
+_SPEAKER = re.compile(SPEAKER)
+# Least coverage, the band and distance (in the stream's units) of rivals, leading words, and how far a match may spread.
+LEAST_COVERAGE, BAND, APART, SEEDS, SPREAD, SPREAD_WORDS = 0.5, 0.05, 5.0, 4, 4, 40
+
+
+class Alignment(NamedTuple):
+    start: float  # where the first and the last matched word stand, in the stream's units
+    end: float
+    coverage: float
+    ambiguous: bool
+    first: int  # their places in the stream
+    last: int
 
 
 def tokens_at(text: str) -> tuple[list[str], list[int], list[int]]:
@@ -20,47 +34,52 @@ def tokens_at(text: str) -> tuple[list[str], list[int], list[int]]:
 
 
 def seeds(words: list[str], quote: list[str]) -> list[int]:
-    """Places where all but one of the quote's first tokens match, in position."""
+    """Places where all but one of the quote's first words match, in position."""
     head = quote[:SEEDS]
-    need = max(2, len(head) - 1) if len(head) > 1 else 1
+    wanted: dict[str, list[int]] = {}
+    for k, w in enumerate(head):
+        wanted.setdefault(w, []).append(k)
     votes: dict[int, int] = {}
-    where: dict[str, list[int]] = {}
     for i, w in enumerate(words):
-        if w in head:
-            where.setdefault(w, []).append(i)
-    for k, w in enumerate(head):
-        for i in where.get(w, ()):
-            if i >= k:
-                votes[i - k] = votes.get(i - k, 0) + 1
-    return sorted(i for i, n in votes.items() if n >= need)
+        for k in wanted.get(w, ()):
+            votes[i - k] = votes.get(i - k, 0) + 1
+    need = max(2, len(head) - 1)
+    return sorted(i for i, n in votes.items() if n >= need and 0 <= i <= len(words) - len(head))
 
 
-def align(text: str, quote: str) -> tuple[int, int, float, str] | None:
-    """(start, end, coverage, state) in code points, or None; state is aligned or ambiguous."""
-    words, begin, end = tokens_at(text)
-    q = tokens_at(_SPEAKER.sub("", quote))[0]
+def _matched(words: list[str], quote: list[str], shift: int) -> tuple[float, int, int] | None:
+    """Coverage, and the first and last matched place, of a stretch of the stream that begins at ``shift``."""
+    blocks = [b for b in SequenceMatcher(None, words, quote, autojunk=False).get_matching_blocks() if b.size]
+    if not blocks:
+        return None
+    return sum(b.size for b in blocks) / len(quote), shift + blocks[0].a, shift + blocks[-1].a + blocks[-1].size - 1
+
+
+def align_words(words: list[str], at: list[float], quote: str) -> Alignment | None:
+    """The best place of a quote in a stream of words, ``at`` seconds or characters; None where nothing fits."""
+    q = tokens_at(_SPEAKER.sub("", quote, count=1))[0]
     if not q or not words:
         return None
-    span = len(q) + max(4, len(q) // 2)
-    scored = []
-    for s in seeds(words, q):
-        blocks = [b for b in SequenceMatcher(None, q, words[s : s + span], autojunk=False).get_matching_blocks() if b.size]
-        if blocks:
-            scored.append((sum(b.size for b in blocks) / len(q), s + blocks[0].b, s + blocks[-1].b + blocks[-1].size - 1))
-    if not scored:
-        blocks = [b for b in SequenceMatcher(None, q, words, autojunk=False).get_matching_blocks() if b.size]
-        if not blocks:
+    reach = len(q) + max(4, len(q) // 4)
+    found = [x for s in seeds(words, q) if (x := _matched(words[s : s + reach], q, s))]
+    if not found:
+        whole = _matched(words, q, 0)
+        if whole is None or whole[2] - whole[1] + 1 > max(SPREAD * len(q), len(q) + SPREAD_WORDS):  # scattered hits are no quotation
             return None
-        first, last = blocks[0].b, blocks[-1].b + blocks[-1].size - 1
-        if last - first + 1 > max(4 * len(q), len(q) + 40):  # scattered hits are no quotation
-            return None
-        scored = [(sum(b.size for b in blocks) / len(q), first, last)]
-    scored.sort(key=lambda x: (-x[0], x[1]))
-    coverage, first, last = scored[0]
+        found = [whole]
+    found.sort(key=lambda x: -x[0])
+    coverage, first, last = found[0]
     if coverage < LEAST_COVERAGE:
         return None
-    rivals = [x for x in scored[1:] if coverage - x[0] <= BAND and abs(x[1] - first) > APART]
-    return begin[first], end[last], round(coverage, 4), "ambiguous" if rivals else "aligned"
+    rival = any(c >= coverage - BAND and abs(at[f] - at[first]) > APART for c, f, _ in found[1:])
+    return Alignment(round(at[first], 2), round(at[last], 2), round(coverage, 3), rival, first, last)
+
+
+def align(text: str, quote: str) -> tuple[int, int, float, str] | None:
+    """(start, end, coverage, state) in code points, the end after the last word; state is aligned or ambiguous."""
+    words, begin, end = tokens_at(text)
+    got = align_words(words, begin, quote)
+    return got and (begin[got.first], end[got.last], got.coverage, "ambiguous" if got.ambiguous else "aligned")
 
 
 def align_quotes(rows: DataFrame, keys: list[str], text: str, quote: str) -> DataFrame:
@@ -78,7 +97,51 @@ def align_quotes(rows: DataFrame, keys: list[str], text: str, quote: str) -> Dat
     return rows.select(*keys, text, quote).mapInPandas(run, ", ".join(f"{k} {kinds[k]}" for k in keys) + ", start long, end long, coverage double, state string")
 
 
-def alignment_counts(aligned: DataFrame) -> DataFrame:
-    from pyspark.sql import functions as F
-
-    return aligned.agg(F.count_if(F.col("state") != "unaligned").alias("aligned"), F.count_if(F.col("state") == "unaligned").alias("unaligned"), F.count_if(F.col("state") == "ambiguous").alias("ambiguous"), F.count(F.lit(1)).alias("total"))
+def timecode_of(seconds: float) -> str:
+    """HH:MM:SS.d, as the column function writes it."""
+    tenths = round(max(seconds, 0.0) * 10)
+    return f"{tenths // 36000:02d}:{tenths // 600 % 60:02d}:{tenths // 10 % 60:02d}.{tenths % 10}"
+
+
+def span_of(start: int, end: int, chapters: list[tuple[str, int, int]]) -> str:
+    """``chL:s-e`` within the first chapter that holds the start, else ``char:s-e``."""
+    for label, c0, c1 in chapters:
+        if c0 <= start < c1:
+            return f"ch{label}:{start - c0}-{max(end, start) - c0}"
+    return f"char:{start}-{end}"
+
+
+def relocated(claims: DataFrame, words: DataFrame, timed: bool, chapters: DataFrame | None = None, key: str = "record_key") -> DataFrame:
+    """The claims with ``location`` written from where their ``quote`` aligns, and ``state``; one that doesn't align keeps what it has.
+
+    ``words`` has (key, pos, word, at), ``at`` in seconds if ``timed`` and else in characters; ``chapters`` has (key, label, start, end). Claims
+    meet their record's words in one task, a record at a time; the words travel once, not with every claim.
+    """
+    schema = claims.schema
+    if not timed and chapters is not None:
+        marks = chapters.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("start", "end", "label"))).alias("_chapters"))
+        asked = claims.join(marks, key, "left")
+    else:
+        asked = claims.withColumn("_chapters", F.lit(None).cast("array<struct<start:bigint,end:bigint,label:string>>"))
+
+    def run(mine: pd.DataFrame, stream: pd.DataFrame) -> pd.DataFrame:
+        stream = stream.sort_values("pos")
+        text, at = stream["word"].tolist(), stream["at"].astype(float).tolist()
+        states, places = [], []
+        for quote, location, marks in zip(mine["quote"], mine["location"], mine["_chapters"], strict=True):
+            got = align_words(text, at, quote or "")
+            states.append("unaligned" if got is None else "ambiguous" if got.ambiguous else "aligned")
+            if got is None:
+                places.append(location)
+            elif timed:
+                places.append(f"{timecode_of(got.start)}-{timecode_of(got.end)}")
+            else:
+                places.append(span_of(int(got.start), int(got.end), [] if marks is None else [(m["label"], m["start"], m["end"]) for m in marks]))
+        return mine.assign(location=pd.Series(places, mine.index, "object"), state=pd.Series(states, mine.index, "object"))[[*schema.names, "state"]]
+
+    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + ", state string"
+    return asked.groupBy(key).cogroup(words.select(key, "pos", "word", "at").groupBy(key)).applyInPandas(run, shape)
+
+
+def alignment_counts(aligned: DataFrame, *keys: str) -> DataFrame:
+    return aligned.groupBy(*keys).agg(F.count_if(F.col("state") != "unaligned").alias("aligned"), F.count_if(F.col("state") == "unaligned").alias("unaligned"), F.count_if(F.col("state") == "ambiguous").alias("ambiguous"), F.count(F.lit(1)).alias("total"))

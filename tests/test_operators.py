@@ -176,8 +176,8 @@ def test_evaluation(spark):
 def test_accounts(spark):
     bodies = spark.createDataFrame([("r", "It began at dawn. We saw a light. Later we went home. The end came at noon.")], "record_key string, body string")
     acc = spark.createDataFrame([("r", "a1", "It began", None), ("r", "a2", "Later we", "at noon")], "record_key string, account_id string, span_start string, span_end string")
-    got = {r.account_id: (r.start, r.end) for r in accounts.resolve_all(acc, bodies).collect()}
-    assert got == {"a1": (0, 34), "a2": (34, 74)}
+    got = {r.account_id: (r.part, r.start, r.end) for r in accounts.resolve_all(acc, bodies).collect()}
+    assert got == {"a1": (0, 0, 34), "a2": (0, 34, 74)}
     claims = spark.createDataFrame([("r", "c1", "char:5-9"), ("r", "c2", "char:900-910"), ("r", "c3", "nowhere")], "record_key string, claim_id string, location string")
     sp = spark.createDataFrame([("r", "a1", 0.0, 34.0)], "record_key string, account_id string, start double, end double")
     assert {r.claim_id: r.state for r in accounts.bind(claims, sp).collect()} == {"c1": "bound", "c2": "outside", "c3": "unbindable"}
