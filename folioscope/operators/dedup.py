@@ -32,10 +32,10 @@ def numbered(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return rows.withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
 
-def replay_rounds(items: DataFrame, key: str = "record_key") -> DataFrame:
+def replay_rounds(items: DataFrame, key: str = "record_key", least: int = LEAST_NEW) -> DataFrame:
     """What an extraction that stops by rule would have kept: (key, chunk, round, pos, identity, complete) rows.
 
-    Within a chunk, rounds go on until one says it is complete, brings fewer than two new items, or is the 40th; items are new if no
+    Within a chunk, rounds go on until one says it is complete, brings fewer than ``least`` new items, or is the 40th; items are new if no
     earlier round of any chunk kept them. Rounds after a stop never ran, so they suppress nothing. Sequential within a record.
     """
 
@@ -46,7 +46,7 @@ def replay_rounds(items: DataFrame, key: str = "record_key") -> DataFrame:
                 fresh = ~batch["identity"].isin(seen) & ~batch["identity"].duplicated()
                 keep.append(batch[fresh])
                 seen.update(batch["identity"])
-                if bool(batch["complete"].any()) or int(fresh.sum()) < LEAST_NEW or n + 1 >= MAX_ROUNDS:
+                if bool(batch["complete"].any()) or int((fresh & batch["identity"].notna()).sum()) < least or n + 1 >= MAX_ROUNDS:
                     break
         return pd.concat(keep) if keep else rows.iloc[:0]
 

@@ -40,12 +40,37 @@ def window_text(body: Column, start: Column, end: Column, around: int = 800) ->
     return body.substr((begin + 1).cast("int"), (end + around - begin).cast("int"))
 
 
-def cascade(claims: DataFrame, text: str, quote: str, window: str | None = None, classify: Callable[[Column, Column], Column] = lexical_support) -> DataFrame:
-    """``label`` and ``premise`` (quote or window). The second stage is a filter before the classifier runs, so it costs only what it must."""
-    again_on = F.col(window or quote)
-    first = claims.withColumn("_first", classify(F.col(quote), F.col(text))).withColumn("_again", (label(F.col("_first")) == "neutral") & again_on.isNotNull())
-    scored = first.withColumn("score", F.when(F.col("_again"), classify(again_on, F.col(text))).otherwise(F.col("_first")))
-    return scored.withColumn("label", label(F.col("score"))).withColumn("premise", F.when(F.col("_again"), "window").otherwise("quote")).drop("_first", "_again")
+def cascade(claims: DataFrame, text: str, quote: str, window: str | None = None, classify: Callable[[Column, Column], Column] = lexical_support, at: str | None = None, force: bool = False, redo_unlocated: bool = False) -> DataFrame:
+    """``label``, ``score`` and ``premise`` (quote or window; null where nothing was asked).
+
+    All eligible claims get a first verdict against their quote; those that come out neutral and were located get a second against the window
+    round it. The second classifier runs on their rows alone: they are filtered out and united again. ``at`` is the column that says whether a
+    claim was located (its window, if there is none). A claim that already has a valid ``entailment`` keeps it, unless ``force``, or unless
+    ``redo_unlocated`` and its premise was no window.
+    """
+    where = F.col(at or window or quote)
+    ready = claims.withColumn("_ask", eligible(F.col(quote), F.col(text)))
+    if "entailment" in claims.columns and not force:
+        settled = F.coalesce(F.col("entailment.label").isin("entails", "neutral", "contradicts"), F.lit(False))
+        if redo_unlocated:
+            settled &= F.coalesce(F.col("entailment.premise") == "window", F.lit(False)) | (F.col("entailment.label") != "neutral")
+        ready = ready.withColumn("_ask", F.col("_ask") & ~settled)
+    asked = ready.where("_ask").drop("_ask")
+    first = asked.withColumn("score", classify(F.col(quote), F.col(text)))
+    again = F.coalesce((label(F.col("score")) == "neutral") & where.isNotNull() & F.lit(window is not None or at is None), F.lit(False))
+    once = first.where(~again).withColumn("premise", F.lit("quote"))
+    twice = first.where(again).withColumn("score", classify(F.col(window or quote), F.col(text))).withColumn("premise", F.lit("window"))
+    out = once.unionByName(twice).withColumn("label", label(F.col("score")))
+    rest = ready.where(~F.col("_ask")).drop("_ask")
+    if "entailment" in claims.columns:
+        rest = rest.withColumn("score", F.col("entailment.score")).withColumn("premise", F.col("entailment.premise")).withColumn("label", F.col("entailment.label"))
+    return out.unionByName(rest, allowMissingColumns=True)
+
+
+def counts(claims: DataFrame, quote: str, text: str, located: str) -> DataFrame:
+    """How many claims were assessed, are ineligible, or could not be located."""
+    ok = eligible(F.col(quote), F.col(text))
+    return claims.agg(F.count_if(F.col("label").isNotNull()).alias("assessed"), F.count_if(~ok).alias("ineligible"), F.count_if(ok & F.col(located).isNull()).alias("unlocated"))
 
 
 def histogram(assessed: DataFrame) -> DataFrame:

@@ -46,6 +46,11 @@ def cache_ratio(usage: DataFrame) -> DataFrame:
     return out.withColumn("collapsed", F.col("ratio") < LOW_CACHE)
 
 
+def stale_records(states: DataFrame, key: str = "record") -> DataFrame:
+    """The records that must be read again: their text changed, or the preparation of it did."""
+    return states.where(F.col("state").isin("record_changed", "prep_version")).select(key, "state").distinct()
+
+
 def survival(records: DataFrame) -> DataFrame:
     """Characters that preparation leaves, over those of the text without timestamps."""
     return records.withColumn("survival", F.try_divide(F.length("materialised").cast("double"), F.length("plain"))).withColumn("over_marked", F.col("survival") < LOW_SURVIVAL)

@@ -38,11 +38,23 @@ def union_of_names(runs: list[DataFrame]) -> DataFrame:
 
 
 def materialised_claims(claims: DataFrame) -> DataFrame:
-    """(claim_id, record_key, position_ms): exact, null where the location is no time."""
+    """(claim_id, record_key, position_ms): exact, null where the location is no time. Check with :func:`claim_id_violations` first."""
     seconds = F.regexp_extract("location", "^([0-9:.]+)", 1)
     return claims.select("claim_id", "record_key", milliseconds(parse_timecode(seconds).cast("decimal(18,3)").cast("string")).alias("position_ms"))
 
 
+def claim_id_violations(claims: DataFrame) -> DataFrame:
+    """(key, rule) of claims without an id, or with one that another claim of their record has."""
+    from .validation import unique_ids, violations
+
+    return violations(claims, "record_key", claim_id=F.trim("claim_id") != "").unionByName(unique_ids(claims.where("claim_id is not null"), ["record_key", "claim_id"]))
+
+
+def category_counts(claims: DataFrame) -> DataFrame:
+    """(digest_key, domain, infrastructure)."""
+    return claims.groupBy("digest_key").agg(F.count_if(F.col("category") == "domain").alias("domain"), F.count_if(F.col("category") == "infrastructure").alias("infrastructure"))
+
+
 def flat_claims(claims: DataFrame, nodes: DataFrame) -> DataFrame:
     """A row for each reference, with its node's type."""
     refs = claims.select("digest_key", "claim_id", "text", "location", F.explode_outer("refs").alias("r"))
@@ -75,10 +87,18 @@ def coverage_listing(records: DataFrame, sidecars: DataFrame, threshold: float)
 
 
 def delta_buckets(deltas: DataFrame, delta: str = "delta") -> DataFrame:
-    """Shares of alignment differences by size."""
+    """Shares of alignment differences by size; of ambiguous and of well covered ones too, where the rows say."""
     d, n = F.abs(F.col(delta)), F.count(delta)
-    share = lambda c: F.try_divide(F.count_if(c).cast("double"), n)
-    return deltas.agg(share(d < 0.05).alias("exact"), share(d <= 2).alias("within_2"), share(d <= 5).alias("within_5"), share(d <= 10).alias("within_10"), share(d > 10).alias("beyond"))
+    share = lambda c, over=n: F.try_divide(F.count_if(c).cast("double"), over)
+    more = [share(F.col("state") == "ambiguous", F.count(F.lit(1))).alias("ambiguous")] if "state" in deltas.columns else []
+    if "coverage" in deltas.columns:
+        more += [share(F.col("coverage") >= least, F.count(F.lit(1))).alias(f"covered_{int(least * 100)}") for least in (0.99, 0.9, 0.5)]
+    return deltas.agg(share(d < 0.05).alias("exact"), share(d <= 2).alias("within_2"), share(d <= 5).alias("within_5"), share(d <= 10).alias("within_10"), share(d > 10).alias("beyond"), *more)
+
+
+def worst_deltas(deltas: DataFrame, delta: str = "delta", most: int = 12) -> DataFrame:
+    """The largest differences; the limit is the feature."""
+    return deltas.where(F.col(delta).isNotNull()).orderBy(F.desc(F.abs(F.col(delta))), *[c for c in deltas.columns if c != delta][:1]).limit(most)
 
 
 def failed_expectations(rows: DataFrame, labels: dict[str, str]) -> DataFrame:
