@@ -1,6 +1,6 @@
 import pytest
 
-from folioscope.plans import catalogue
+from folioscope.plans import catalogue, evidence  # noqa: F401 - registers its queries in the catalogue
 
 from oracle import same
 
