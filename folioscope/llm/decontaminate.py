@@ -5,11 +5,12 @@ of a block of words, tells how far a window may move; where it may not move, the
 test strings, and their bytes are compared. All documents of a batch move their windows together, as lanes of
 numpy arrays, so a step of the search costs no Python call a document.
 
-The benchmark reaches the executors in blocks of at most ``BLOCK_BYTES`` of text; a larger benchmark makes more
-passes over the text in the same stage, so no broadcast grows with it.
+The benchmark is compiled, broadcast and searched a block of about ``BLOCK_BYTES`` of text at a time. A larger benchmark makes as many passes over the
+documents, with what was hit so far written to the shared folder in between, so no broadcast grows with it and one block is in memory at once.
 
-Defined cases: null or wordless documents have no hits; null or wordless items give no window; items of fewer
-than ``WINDOW`` words are one window; an item id given twice counts once; no hits give the SHA-256 of the empty string.
+Defined cases: null or wordless documents have no hits; a document of any length is searched whole; null or wordless items give no window; items
+of fewer than ``WINDOW`` words are one window; an item id given twice counts once; no hits give the SHA-256 of the empty string; an empty table or
+benchmark gives no row or no hit; there are no ties; repeated rows and ids, null ids included, are judged each by itself; other columns are ignored.
 """
 
 from __future__ import annotations

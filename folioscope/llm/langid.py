@@ -30,14 +30,30 @@ from .scratch import ROWS_PER_BATCH, narrow, slices
 FIT_DOCS, MAX_GRAM, STEP_DOWN, CACHE = 2_000, 4, 0.9, 200_000
 #: Below this the pipeline's stage treats the language as unknown.
 MIN_SCORE = 0.4
+_WORD = re.compile(r"[^\W\d_]+")
 #: Characters that ``re`` takes for parts of words though they are neither letters nor decimal digits, such as fractions.
-_NO_LETTERS = "".join(re.escape(c) for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_WORD = re.compile(rf"[^\W\d_{_NO_LETTERS}]+")
+_ODD = frozenset(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_ODD_LATIN = [c.encode("latin-1") for c in sorted(_ODD) if c < "\u0100"]
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
+def _odd(text: str) -> bool:
+    """Whether a text has a character of ``_ODD``; quick for texts of Latin letters alone."""
+    if text.isascii():
+        return False
+    try:
+        raw = text.encode("latin-1")
+    except UnicodeEncodeError:
+        return not _ODD.isdisjoint(text)
+    return any(c in raw for c in _ODD_LATIN)
+
+
 def words_in(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """Runs of letters of the lowered text."""
+    text = text.lower()
+    if _odd(text):
+        text = "".join(" " if c in _ODD else c for c in text)
+    return _WORD.findall(text)
 
 
 def grams(word: str) -> Iterator[str]:
