@@ -22,8 +22,9 @@ def closure(edges: DataFrame, keys: list[str], source: str = "a", target: str =
     n = paths.count()
     for _ in range(most):
         longer = paths.alias("x").join(paths.select(*keys, F.col("a").alias("b"), F.col("b").alias("c")).alias("y"), [*keys, "b"]).select(*keys, "a", F.col("c").alias("b"))
-        paths = _saved(paths.unionByName(longer).distinct())
+        before, paths = paths, _saved(paths.unionByName(longer).distinct())
         now = paths.count()
+        before.unpersist()
         if now == n:
             break
         n = now

@@ -484,13 +484,6 @@ def q47_review_batch(spark, d):
     return evaluation.review_batch(units, "range_id", ["deferred", "unit", "text"], 3).select("range_id", "unit", "nth")
 
 
-@query("""
-WITH p AS (SELECT a.vec_id, b.vec_id AS neighbour, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS s FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id),
-r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(s, 5) DESC, neighbour) AS r FROM p) SELECT vec_id, count(*)::BIGINT AS near, round(max(s), 4) AS best FROM p GROUP BY 1""")
-def qx1_embedding_neighbours(spark, d):
-    return evaluation.label_neighbours(table(spark, d, "embeddings"))
-
-
 @query(f"""
 SELECT min(doc_id) AS doc_id, count(*)::BIGINT AS copies FROM documents GROUP BY {low('trim(text)')}, lang""")
 def qx2_claim_support(spark, d):

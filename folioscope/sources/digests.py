@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -136,7 +135,3 @@ def memo(missing_key: list[str], wanted: DataFrame, stored: DataFrame, compute)
     """Stored results, and computed ones for keys that have none."""
     fresh = compute(wanted.join(stored.select(*missing_key), missing_key, "left_anti"))
     return stored.join(wanted.select(*missing_key).distinct(), missing_key, "left_semi").unionByName(fresh)
-
-
-def new_id() -> str:
-    return str(uuid.uuid4())
