@@ -6,8 +6,9 @@ feasible combination of the others, found by subset sums on a bitset; the combin
 and becomes one line of the plan. Pieces of one length are numbered in salted groups, and the plan, bounded by the number of lengths,
 turns a piece's number into a sequence and an offset.
 
-Defined cases: a null or empty text is the end token alone; repeated rows are packed each by itself; equal lengths go in order of a hash of the
-piece, then of its id.
+Defined cases: a null or empty text is the end token alone; a text of any length is cut into as many pieces as it needs; an empty table gives an empty
+one; repeated rows and ids, null ids included, are packed each by itself; equal lengths go in order of a hash of the piece, then of its id; other
+columns are ignored.
 """
 
 from __future__ import annotations

@@ -8,7 +8,10 @@ costs the lowest score less 10 and counts as its UTF-8 bytes (byte fallback).
 The vocabulary is the pieces of a public SentencePiece file. That file ranks pieces and has no probabilities, so the scores are
 set by rule, not trained: piece number r has ln(1 / (r + 2)), Zipf's law. Words are split at Unicode white space and begin with U+2581.
 
-Defined cases: null, empty and blank texts have no tokens and score 0; repeated rows are counted each by itself; other columns are ignored.
+Control and byte pieces of the file (``<s>``, ``<0x0A>``) are ordinary strings here: a text that holds them literally matches them.
+
+Defined cases: null, empty and blank texts have no tokens and score 0; a text of any length is counted whole, word by word; an empty table gives an
+empty one; repeated rows and ids, null ids included, are counted each by itself; other columns are ignored.
 The operator is a narrow map; each worker keeps a bounded cache of words.
 """
 
