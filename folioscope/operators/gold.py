@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import collapsed
 from ..schemas import DECISIONS
 from . import graph
 from .grade import crosses, inside_all
@@ -78,6 +79,30 @@ def highlight_gold_violations(records: DataFrame, ranges: DataFrame, units: Data
     return _union([whole, bounds, twice, each, again, finished, overlapping(ranges, ["record_key"], "ranges overlap")])
 
 
+def next_batch(ranges: DataFrame, highlights: DataFrame, units: DataFrame, closures: DataFrame, claims: DataFrame, limit: int = 5) -> DataFrame:
+    """What to review next: of each record's first incomplete range the first ``limit`` units (3 to 5) that are undecided, and then those deferred.
+
+    (record_key, range_id, nth, unit_id, linked, proposals): the units it leans on in order of place, and the facts that claims over its parts
+    propose, once for each normal text with every model that made it. ``claims`` has (record_key, model, text, spans, ord).
+    """
+    if not 3 <= limit <= 5:
+        raise ValueError("a batch is of 3 to 5 units")
+    first = ranges.where("not complete").groupBy("record_key").agg(F.min_by(F.struct("range_id", "start", "end"), F.struct("start", "range_id")).alias("r")).select("record_key", "r.*")
+    inside = first.join(highlights.select("record_key", "unit_id", F.col("pos").alias("_at"), "spans"), "record_key").where(inside_all(F.col("spans"), F.col("start"), F.col("end")))
+    state = inside.join(units.select("record_key", "range_id", "unit_id", "decision"), ["record_key", "range_id", "unit_id"], "left").where("decision is null or decision = 'defer'")
+    order = Window.partitionBy("record_key").orderBy(F.col("decision").isNotNull(), "_at")
+    chosen = state.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= limit)
+    ahead = highlights.select("record_key", F.col("unit_id").alias("ancestor"), F.col("pos").alias("_place"))
+    linked = closures.withColumnRenamed("dependent", "unit_id").join(ahead, ["record_key", "ancestor"]).groupBy("record_key", "unit_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("_place", "ancestor"))), lambda x: x["ancestor"]).alias("linked"))
+    parts = chosen.select("record_key", "unit_id", F.explode("spans").alias("p"))
+    said = claims.where("trim(text) <> ''").select("record_key", "model", "text", "ord", F.explode("spans").alias("c"))
+    near = parts.join(said, "record_key").where("greatest(p.start, c.start) < least(p.end, c.end)").withColumn("_norm", collapsed(F.lower("text")))
+    facts = near.groupBy("record_key", "unit_id", "_norm").agg(F.min("ord").alias("_first"), F.min_by("text", "ord").alias("fact"), F.array_sort(F.collect_set("model")).alias("models"))
+    proposed = facts.groupBy("record_key", "unit_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("_first", "fact", "models"))), lambda x: F.struct(x["fact"].alias("fact"), x["models"].alias("models"))).alias("proposals"))
+    out = chosen.join(linked, ["record_key", "unit_id"], "left").join(proposed, ["record_key", "unit_id"], "left")
+    return out.select("record_key", "range_id", "nth", "unit_id", F.coalesce("linked", F.array().cast("array<string>")).alias("linked"), "proposals")
+
+
 def accepted_facts(units: DataFrame) -> DataFrame:
     """(record_key, range_id, unit_id, fact) of units that were accepted as they are, adjusted or split."""
     return units.where(F.col("decision").isin(*FACTS)).select("record_key", "range_id", "unit_id", F.explode("facts").alias("fact"))

@@ -48,6 +48,25 @@ def contradictions(first: DataFrame, second: DataFrame, keys: list[str]) -> Data
     return first.select(*keys, "before", "after").intersect(turned)
 
 
+def narration_fill(pairs: DataFrame, claims: DataFrame, keys: list[str], least: int = 3) -> DataFrame:
+    """(keys, before, after, source): stated order first, then the order of telling. Not coded in what this engine follows, only described there.
+
+    Stated pairs are closed. A claim is displaced if more than half of its ``least`` or more stated pairs run against the telling; a pair that
+    nothing states follows the telling (``position``), unless it touches a displaced claim.
+    """
+    stated = closure(pairs, keys, "before", "after").where("a <> b").select(*keys, F.col("a").alias("before"), F.col("b").alias("after"))
+    at = lambda tag: claims.select(*keys, F.col("claim_id").alias(tag), F.col("position").alias(f"_{tag}"))
+    told = stated.join(at("before"), [*keys, "before"]).join(at("after"), [*keys, "after"]).withColumn("_against", F.col("_before") > F.col("_after"))
+    each = told.select(*keys, F.explode(F.array("before", "after")).alias("claim_id"), "_against")
+    moved = each.groupBy(*keys, "claim_id").agg(F.count(F.lit(1)).alias("n"), F.count_if("_against").alias("x")).where((F.col("n") >= least) & (2 * F.col("x") > F.col("n")))
+    still = claims.where("position is not null").join(moved, [*keys, "claim_id"], "left_anti")
+    side = lambda tag: still.select(*keys, F.col("claim_id").alias(tag), F.col("position").alias(f"_{tag}"))
+    filled = side("before").join(side("after"), keys).where("_before < _after").select(*keys, "before", "after")
+    turned = stated.select(*keys, F.col("after").alias("before"), F.col("before").alias("after"))
+    free = filled.join(stated.unionByName(turned), [*keys, "before", "after"], "left_anti")
+    return stated.withColumn("source", F.lit("stated")).unionByName(free.withColumn("source", F.lit("narration")))
+
+
 def order_score(truth: DataFrame, predicted: DataFrame, keys: list[str]) -> DataFrame:
     """Of (keys, before, after) truth pairs: correct, wrong_direction or abstained, by the predicted pairs."""
     same = predicted.select(*keys, "before", "after").distinct().withColumn("_ok", F.lit(True))

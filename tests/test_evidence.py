@@ -292,3 +292,40 @@ def test_chronology_score_by_plain_loops(spark):
     put = spark.createDataFrame([("r", "c1", "a", "bound"), ("r", "c2", None, "outside"), ("r", "c3", "a", "bound"), ("r", "c4", "a", "bound")], "record_key string, claim_id string, account_id string, status string")
     mine = spark.createDataFrame([("r", "c1", "pa", "bound"), ("r", "c2", None, "outside"), ("r", "c3", None, "outside"), ("r", "c4", "pb", "bound")], put.schema)
     assert rows(gold.assignment_score(put, mine, spark.createDataFrame(pairs, "record_key string, gold string, predicted string")), "claim_id", "outcome") == [("c1", "correct"), ("c2", "correct"), ("c3", "abstained"), ("c4", "wrong_account")]
+
+
+def test_next_batch(spark):
+    ranges = spark.createDataFrame([("r", "a", 0, 10, True), ("r", "b", 10, 90, False), ("r", "c", 90, 99, False)], "record_key string, range_id string, start int, end int, complete boolean")
+    highlights = spark.createDataFrame([("r", f"u{k}", k, [(10 * k, 10 * k + 5)]) for k in range(9)], "record_key string, unit_id string, pos int, spans array<struct<start:bigint,end:bigint>>")
+    units = spark.createDataFrame([("r", "b", "u1", "defer"), ("r", "b", "u2", "accept"), ("r", "b", "u4", "defer")], "record_key string, range_id string, unit_id string, decision string")
+    closures = spark.createDataFrame([("r", "u3", "u2"), ("r", "u3", "u0")], "record_key string, dependent string, ancestor string")
+    claims = spark.createDataFrame([("r", "m", "It flew.", [(31, 33)], 2), ("r", "n", "it  FLEW.", [(34, 50)], 1), ("r", "m", "Other", [(32, 33)], 3), ("r", "m", "Off", [(36, 38)], 4)], "record_key string, model string, text string, spans array<struct<start:bigint,end:bigint>>, ord int")
+    got = gold.next_batch(ranges, highlights, units, closures, claims, 5).orderBy("nth").collect()
+    assert [r.unit_id for r in got] == ["u3", "u5", "u6", "u7", "u8"] and {r.range_id for r in got} == {"b"}
+    assert got[0].linked == ["u0", "u2"] and [(p.fact, p.models) for p in got[0].proposals] == [("it  FLEW.", ["m", "n"]), ("Other", ["m"])] and got[1].proposals is None
+    assert [r.unit_id for r in gold.next_batch(ranges, highlights.where("pos < 6"), units, closures, claims, 3).orderBy("nth").collect()] == ["u3", "u5", "u1"]
+    with pytest.raises(ValueError):
+        gold.next_batch(ranges, highlights, units, closures, claims, 9)
+
+
+def test_narration_fill(spark):
+    from folioscope.operators import graph
+
+    claims = spark.createDataFrame([("a", c, k) for k, c in enumerate("vwxyz")], "account string, claim_id string, position int")
+    pairs = spark.createDataFrame([("a", "z", "v"), ("a", "z", "w"), ("a", "z", "x"), ("a", "w", "v")], "account string, before string, after string")
+    got = {(r.before, r.after): r.source for r in graph.narration_fill(pairs, claims, ["account"]).collect()}
+    assert got == {("z", "v"): "stated", ("z", "w"): "stated", ("z", "x"): "stated", ("w", "v"): "stated"} | {p: "narration" for p in [("v", "x"), ("v", "y"), ("w", "x"), ("w", "y"), ("x", "y")]}
+
+
+def test_workbench_grade(spark):
+    from folioscope.operators import reports
+
+    claims = spark.createDataFrame([("r", "c1", 0, 10), ("r", "c2", 8, 28), ("r", "c3", None, None)], "record_key string, claim_id string, start int, end int")
+    marks = spark.createDataFrame([("r", 0, 12), ("r", 26, 40), ("s", 0, 5)], "record_key string, start int, end int")
+    got = {r.record_key: r for r in reports.workbench_grade(claims, marks).collect()}
+    assert (got["r"].highlights, got["r"].covered, got["r"].coverage, got["r"].claims, got["r"].unmarked, got["r"].unlocated) == (2, 1, 0.5, 3, 2, 1)
+    assert (got["s"].coverage, got["s"].claims) == (0.0, 0)
+    bare = reports.overlap_fractions(claims.where("claim_id = 'c1'"), marks.where("record_key = 's'")).first()
+    assert bare.inside == 0.0 and not bare.on_target
+    nodes = spark.createDataFrame([("d", "n2", "person", "B"), ("d", "n1", "person", "A")], "digest_key string, node_id string, node_type string, name string")
+    assert [(r.n, [x.name for x in r.nodes]) for r in reports.nodes_by_type(nodes).collect()] == [(2, ["A", "B"])]

@@ -152,3 +152,43 @@ def test_small_reports(spark):
     r = reports.delta_buckets(deltas).first()
     assert (r.exact, r.beyond, r.covered_99, r.covered_50) == (0.5, 0.5, 1 / 3, 2 / 3) and abs(r.ambiguous - 1 / 3) < 1e-9
     assert [x.k for x in reports.worst_deltas(deltas, most=1).collect()] == ["b"]
+
+
+def test_inputs(tmp_path):
+    import json
+
+    from folioscope.sources import inputs
+
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "a.yaml").write_text("claims: []")
+    (tmp_path / "set.json").write_text(json.dumps({"schema": inputs.MANIFEST, "predictions": {"a": "sub/a.yaml", "b": "../x.yaml", "c": "/x.yaml"}}))
+    got = inputs.predictions(tmp_path / "set.json", ["a", "b"], "a")
+    assert got["a"][0] == {"claims": []} and len(got["a"][1]) == 64
+    assert list(inputs.predictions(tmp_path / "sub" / "a.yaml", ["z"])) == ["z"]
+    for cases, only in ((["b"], None), (["c"], None), (["d"], None), (["a"], "q")):
+        with pytest.raises(ValueError):
+            inputs.predictions(tmp_path / "set.json", cases, only)
+    with pytest.raises(ValueError):
+        inputs.predictions(tmp_path / "sub" / "a.yaml", ["y", "z"])
+    (tmp_path / "registry.yaml").write_text("nodes: {active: 3, file: n.txt}")
+    (tmp_path / "n.txt").write_text("hello")
+    pinned = inputs.Pinned.read(str(tmp_path), {})
+    (tmp_path / "n.txt").write_text("changed")
+    assert pinned.passes["nodes"]["text"] == "hello" and pinned.provenance()[0]["version"] == "3"
+    with pytest.raises(TypeError):
+        pinned.passes["nodes"]["text"] = "x"
+    key = inputs.register(tmp_path / "reg", {"b": 1, "a": [1]})
+    assert inputs.register(tmp_path / "reg", {"a": [1], "b": 1}) == key and inputs.registered(tmp_path / "reg") == {key: {"a": [1], "b": 1}}
+    old = tmp_path / "reg" / "configurations.json"
+    old.write_text(json.dumps({key: {"a": [1], "b": 1}}))  # without a schema
+    assert len({inputs.register(tmp_path / "reg", {"c": 2}), *inputs.registered(tmp_path / "reg")}) == 2
+    old.write_text(json.dumps({key: {"a": [2]}}))
+    with pytest.raises(ValueError):
+        inputs.registered(tmp_path / "reg")
+    base = tmp_path / "base.json"
+    inputs.accept_baseline(base, {"dates": {"passed": 1, "total": 3}, "context": {"passed": 0, "total": 0}}, {"fixture": "f"}, "Ann")
+    assert inputs.against_baseline(base, {"dates": {"passed": 2, "total": 3}, "context": {"passed": 0, "total": 0}}, {"fixture": "f"}) == {"context": "unchanged", "dates": "better"}
+    assert inputs.against_baseline(base, {}, {"fixture": "f"}) == {"context": "unchanged", "dates": "worse"}
+    with pytest.raises(ValueError):
+        inputs.against_baseline(base, {}, {"fixture": "g"})
+    assert set(inputs.fingerprints({"x": 1}, [tmp_path / "n.txt"], {})) == {"schema", "code", "config"}
