@@ -70,10 +70,24 @@ def by_band(band: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
     return order, [(b, slice(edge[b], edge[b + 1])) for b in range(BANDS) if edge[b] < edge[b + 1]]
 
 
+def _bounded(x: np.ndarray) -> None:
+    """Keep exponentials finite: larger entries, which hardly occur, are cut to the same bound."""
+    if x.size and x.max() > _MOST:
+        np.minimum(x, _MOST, out=x)
+
+
+def _with_one(g: np.ndarray) -> np.ndarray:
+    """A column of ones behind, for the biases."""
+    out = np.empty((len(g), g.shape[1] + 1), np.float32)
+    out[:, :-1] = g
+    out[:, -1] = 1
+    return out
+
+
 def _softmax_loss(logits: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[float, np.ndarray]:
     """Weighted loss, and its gradient in the logits' place."""
     at = np.arange(len(target))
-    np.minimum(logits, _MOST, out=logits)  # keeps the exponentials finite without a pass for their maximum
+    _bounded(logits)
     picked = logits[at, target]
     np.exp(logits, out=logits)
     total = logits @ np.ones(logits.shape[1], np.float32)
@@ -90,8 +104,9 @@ class Model:
         self.vocabulary = vocabulary
         self.p = {
             "E": (rng.standard_normal((vocabulary.size + 1, DIM)) * 0.3).astype(np.float32), "Wq": make(DIM, DIM) / np.float32(np.sqrt(DIM)), "Wkv": make(DIM, 2 * DIM),
-            "W1": make(DIM, HIDDEN), "W2": make(HIDDEN, DIM) * np.float32(0.5), "U1": make(DIM, BANDS), "b1": vocabulary.band_prior.copy(),
-            "U2": make(BANDS, DIM, MEMBERS) * np.float32(np.sqrt(BANDS / DIM)), "b2": vocabulary.prior.copy(), "far": (-0.1 * np.arange(WINDOW)).astype(np.float32),
+            "W1": make(DIM, HIDDEN), "W2": make(HIDDEN, DIM) * np.float32(0.5), "far": (-0.1 * np.arange(WINDOW)).astype(np.float32),
+            # both output layers end in a row of biases
+            "U1": np.concatenate([make(DIM, BANDS), vocabulary.band_prior[None]]), "U2": np.concatenate([make(BANDS, DIM, MEMBERS) * np.float32(np.sqrt(BANDS / DIM)), vocabulary.prior[:, None]], axis=1),
         }
 
     def _bias(self, stride: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -104,7 +119,7 @@ class Model:
         """The last layer's input at each position, and what training needs. Shapes: (rows, DIM), (windows, stride, DIM), twice (windows, WINDOW, DIM)."""
         a = q @ k.transpose(0, 2, 1)
         a += bias
-        np.minimum(a, _MOST, out=a)
+        _bounded(a)
         np.exp(a, out=a)
         a /= (a @ np.ones(WINDOW, np.float32))[..., None]
         h = (a @ v).reshape(-1, DIM)
@@ -130,21 +145,20 @@ class Model:
         y, live = y.reshape(-1), live.reshape(-1)
         band, member = self.vocabulary.band[y], self.vocabulary.member[y]
         weight = (live / max(1, int(live.sum()))).astype(np.float32)
-        loss, d = _softmax_loss(g @ p["U1"] + p["b1"], band, weight)
-        grad["U1"], grad["b1"] = g.T @ d, d.sum(0)
-        dg = d @ p["U1"].T
+        g = _with_one(g)
+        loss, d = _softmax_loss(g @ p["U1"], band, weight)
+        grad["U1"] = g.T @ d
+        dg = d @ p["U1"][:DIM].T
         order, parts = by_band(band)
         gs, logits = g[order], np.empty((len(y), MEMBERS), np.float32)
         for b, s in parts:
             np.matmul(gs[s], p["U2"][b], out=logits[s])
-            logits[s] += p["b2"][b]
         more, d = _softmax_loss(logits, member[order], weight[order])
-        grad["U2"], grad["b2"] = np.zeros_like(p["U2"]), np.zeros_like(p["b2"])
-        grad["b2"][[b for b, _ in parts]] = np.add.reduceat(d, [s.start for _, s in parts], axis=0)
-        ds = np.empty_like(g)
+        grad["U2"] = np.zeros_like(p["U2"])
+        ds = np.empty_like(dg)
         for b, s in parts:
             np.matmul(gs[s].T, d[s], out=grad["U2"][b])
-            np.matmul(d[s], p["U2"][b].T, out=ds[s])
+            np.matmul(d[s], p["U2"][b, :DIM].T, out=ds[s])
         dg[order] += ds
         grad["W2"] = z.T @ dg
         dz = dg @ p["W2"].T
@@ -218,19 +232,18 @@ class Model:
             return out
         p, bias = self.p, self._bias(STRIDE)[0]
         e = p["E"]
-        tq, tk, tv = e @ p["Wq"], e @ p["Wkv"][:, :DIM], e @ p["Wkv"][:, DIM:]
+        own_table, seen_table = np.concatenate([e, e @ p["Wq"]], axis=1), e @ p["Wkv"]
         x, place, live = windows(ids, lengths, STRIDE)
         for at in range(0, len(x), CHUNK):
             part = slice(at, at + CHUNK)
-            own = np.ascontiguousarray(x[part, -STRIDE:])
-            last = np.take(e, own.reshape(-1), axis=0)
-            g = self._state(last, np.take(tq, own, axis=0), np.take(tk, x[part], axis=0), np.take(tv, x[part], axis=0), bias)[0]
+            own = np.take(own_table, x[part, -STRIDE:], axis=0)
+            seen = np.take(seen_table, x[part], axis=0)
+            g = _with_one(self._state(own[..., :DIM].reshape(-1, DIM), own[..., DIM:], seen[..., :DIM], seen[..., DIM:], bias)[0])
             y = ids[place[part].reshape(-1)]
             band, member = self.vocabulary.band[y], self.vocabulary.member[y]
             rows = np.arange(len(y))
             logits = g @ p["U1"]
-            logits += p["b1"]
-            np.minimum(logits, _MOST, out=logits)
+            _bounded(logits)
             got = logits[rows, band] + self.vocabulary.inside[y]
             np.exp(logits, out=logits)
             got -= np.log(logits @ np.ones(BANDS, np.float32))
@@ -238,8 +251,7 @@ class Model:
             gs, logits = g[order], np.empty((len(y), MEMBERS), np.float32)
             for b, s in parts:
                 np.matmul(gs[s], p["U2"][b], out=logits[s])
-                logits[s] += p["b2"][b]
-            np.minimum(logits, _MOST, out=logits)
+            _bounded(logits)
             picked = logits[rows, member[order]]
             np.exp(logits, out=logits)
             picked -= np.log(logits @ np.ones(MEMBERS, np.float32))

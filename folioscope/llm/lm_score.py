@@ -47,8 +47,8 @@ END_HASH = np.uint64(0x51AFD7ED558CCD25)
 SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-class Pieces(dict):
-    """word (UTF-8) -> its subword ids as 16-bit bytes; about ``LIMIT`` words are kept."""
+class Pieces:
+    """The subword ids of words, kept by the words' hashes in sorted arrays; of about ``LIMIT`` words at most."""
 
     LIMIT = 500_000
     _shared: dict[str, Pieces] = {}
@@ -56,9 +56,14 @@ class Pieces(dict):
     def __init__(self, path: str):
         import sentencepiece
 
-        super().__init__()
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.size, self.end = self.model.get_piece_size(), self.model.eos_id()
+        self.forget()
+
+    def forget(self) -> None:
+        self.known, self.at, self.length = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        #: Ids of all known words, laid end to end, behind the end id.
+        self.pool = np.array([self.end], np.uint16)
 
     @classmethod
     def shared(cls, name: str) -> Pieces:
@@ -66,33 +71,37 @@ class Pieces(dict):
             cls._shared[name] = cls(name if os.sep in name else vocabulary_path(name))
         return cls._shared[name]
 
-    def encode(self, words_: list[bytes]) -> list[bytes]:
-        """The ids of each word. One that normalises to nothing is the unknown piece, so that every word has an id."""
-        missing = [w for w in words_ if w not in self]
-        if missing:
-            if len(self) + len(missing) > self.LIMIT:
-                self.clear()
-                missing = words_
-            ids = self.model.encode([w.decode("utf-8", "replace") for w in missing], num_threads=1)
-            self.update((w, array("H", x or [0]).tobytes()) for w, x in zip(missing, ids, strict=True))
-        return list(map(self.__getitem__, words_))
-
-    def distinct(self, w: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The distinct words of a batch: place of each word among them, counts, ids of all laid end to end, and lengths."""
-        _, at, inverse, counts = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
-        data = w.data.tobytes().replace(b"\xff", b"\0")  # how NUL is folded
-        found = self.encode([data[b:e] for b, e in zip(w.begin[at].tolist(), w.end[at].tolist(), strict=True)])
-        size = np.fromiter(map(len, found), np.int64, len(found)) // 2
-        return inverse, counts, np.frombuffer(b"".join(found), np.uint16).astype(np.int64), size
-
-    def stream(self, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of the batch's documents laid end to end, each closed by the end id; the ids of each token; the tokens of each document."""
-        inverse, _, ids, size = self.distinct(w, w.hashes)
-        ids, size = np.append(ids, self.end), np.append(size, 1)
-        kind = np.insert(inverse, w.first[1:], len(size) - 1)
-        length = size[kind]
-        place = np.repeat((np.cumsum(size) - size)[kind] - np.cumsum(length) + length, length) + np.arange(int(length.sum()))
-        return ids[place], length, np.diff(w.first) + 1
+    def _learn(self, hashes: np.ndarray, words_: list[bytes]) -> None:
+        """Keep the ids of new words. One that normalises to nothing is the unknown piece, so that every word has an id."""
+        found = [array("H", x or [0]) for x in self.model.encode([w.decode("utf-8", "replace") for w in words_], num_threads=1)]
+        length = np.fromiter(map(len, found), np.int64, len(found))
+        at = len(self.pool) + np.cumsum(length) - length
+        self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(x.tobytes() for x in found), np.uint16)])
+        place = np.searchsorted(self.known, hashes)
+        self.known, self.at, self.length = np.insert(self.known, place, hashes), np.insert(self.at, place, at), np.insert(self.length, place, length)
+
+    def _missing(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.known):
+            return np.ones(len(hashes), bool)
+        return self.known[np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)] != hashes
+
+    def stream(self, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the batch's documents laid end to end, each closed by the end id; the ids of each token; the tokens of each document; the distinct words and their counts."""
+        distinct, first, inverse, counts = np.unique(w.hashes, return_index=True, return_inverse=True, return_counts=True)
+        new = self._missing(distinct)
+        if new.any():
+            if len(self.known) + int(new.sum()) > self.LIMIT:
+                self.forget()
+                new[:] = True
+            data = w.data.tobytes().replace(b"\xff", b"\0")  # how NUL is folded
+            which = first[new]
+            self._learn(distinct[new], [data[b:e] for b, e in zip(w.begin[which].tolist(), w.end[which].tolist(), strict=True)])
+        row = np.searchsorted(self.known, distinct)
+        at, length = np.append(self.at[row], 0), np.append(self.length[row], 1)  # the end token comes last
+        kind = np.insert(inverse, w.first[1:], len(length) - 1)
+        size = length[kind]
+        place = np.repeat(at[kind] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+        return self.pool[place].astype(np.int64), size, np.diff(w.first) + 1, distinct, counts
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -136,9 +145,9 @@ def _gather(vocabulary: str, buckets: int):
         for b in slices(batches):
             w = words(b.column(1), SPACE_FOLDED)
             n_docs += b.num_rows
-            held.append(np.unique(w.hashes, return_counts=True))
-            n_held += len(held[-1][0])
-            stream, size, n_words = pieces.stream(w)
+            stream, size, n_words, *counted = pieces.stream(w)
+            held.append(tuple(counted))
+            n_held += len(counted[0])
             ids += np.bincount(stream, minlength=pieces.size)
             ends = np.cumsum(np.add.reduceat(size, np.cumsum(n_words) - n_words)) * 2
             raw = stream.astype(np.uint16).tobytes()
@@ -210,7 +219,7 @@ def _score(vocabulary: str, shared, buckets: int):
         for b in slices(batches, SLICE):
             n_docs = b.num_rows
             w = words(b.column(1), SPACE_FOLDED)
-            ids, size, n_words = pieces.stream(w)
+            ids, size, n_words, _, _ = pieces.stream(w)
             first = np.cumsum(n_words) - n_words
             lengths = np.add.reduceat(size, first)
             lp = np.add.reduceat(model.score(ids, lengths).astype(np.float64), np.cumsum(size) - size)

@@ -330,7 +330,8 @@ def plain_scores(model, ids):
         g = h + np.maximum(h @ p["W1"], 0) @ p["W2"]
         share = lambda logits, k: logits[k] - np.log(np.exp(logits).sum())
         band, member = int(v.band[y]), int(v.member[y])
-        out.append(share(g @ p["U1"] + p["b1"], band) + share(g @ p["U2"][band] + p["b2"][band], member) + float(v.inside[y]))
+        g = np.append(g, 1.0)
+        out.append(share(g @ p["U1"], band) + share(g @ p["U2"][band], member) + float(v.inside[y]))
     return out
 
 
@@ -365,7 +366,7 @@ def test_attention_gradients():
     loss = lambda m: m.copy().train_step(x, ids[place], live, 0.0, {})
     state = {}
     model.train_step(x, ids[place], live, 0.0, state)
-    for name in ("Wq", "Wkv", "W1", "W2", "U1", "b1", "U2", "far"):
+    for name in ("Wq", "Wkv", "W1", "W2", "U1", "U2", "far"):
         grad = state[name][0] * 10
         for at in [np.unravel_index(k, grad.shape) for k in np.argsort(-np.abs(grad), axis=None)[:3]]:
             sides = []
