@@ -274,3 +274,45 @@ def q75_differing_labels(spark, d):
     one, two = lab.select(F.col("doc_id").alias("idx"), F.col("quality").cast("string").alias("name")), lab.select(F.col("doc_id").alias("idx"), F.col("toxic").cast("string").alias("name"))
     drift = evaluation.label_drift(one, two).where("problem = 'name drifted'")
     return drift.join(one, "idx").groupBy(F.col("name").alias("gold")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+SELECT doc_id, length(text)::BIGINT AS chars, TRUE AS gapless, sha256(text) AS sha FROM documents WHERE text <> ''""")
+def q76_chunk_reassembly(spark, d):
+    """The chunks of each document, put together again: none overlap, none leave a gap, and their texts are the document."""
+    from ..operators.chunks import chunk_rows
+
+    rows = chunk_rows(table(spark, d, "documents").where("text <> ''").select("doc_id", "text"), "doc_id", "text", 4000, 1000)
+    whole = rows.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("idx", "start", "end", "text"))).alias("xs"))
+    follows = F.forall(F.sequence(F.lit(1), F.size("xs")), lambda i: F.element_at("xs", i)["start"] == F.when(i == 1, F.lit(0)).otherwise(F.get("xs", i - 2)["end"]))
+    text = F.array_join(F.transform("xs", lambda x: x["text"]), "")
+    return whole.select("doc_id", F.length(text).cast("long").alias("chars"), follows.alias("gapless"), F.sha2(text, 256).alias("sha"))
+
+
+@query("""
+WITH v AS (SELECT l_suppkey, l_linenumber, avg(l_quantity) AS v FROM lineitem GROUP BY ALL),
+g AS (SELECT l_suppkey AS model, list(v ORDER BY l_linenumber) AS vs, count(*) AS n, count(*) FILTER (l_linenumber <= 3) AS k, sum(v) FILTER (l_linenumber <= 3) AS seen, sum(v) AS total FROM v GROUP BY 1),
+s AS (SELECT *, unnest(range(0, (1 << n)::BIGINT)) AS mask FROM g),
+t AS (SELECT model, seen - 1e-9 * greatest(1, abs(total)) AS least, coalesce(list_sum(list_filter(vs, lambda x, i: (mask >> (i - 1)) & 1 = 1)), 0) AS total, k, n FROM s WHERE bit_count(mask) = k)
+SELECT model, CASE WHEN min(k) = 0 OR min(k) = min(n) THEN NULL ELSE round(count(*) FILTER (total >= least) / count(*)::DOUBLE, 9) END AS p FROM t GROUP BY 1""")
+def q77_permutation_p(spark, d):
+    runs = table(spark, d, "lineitem").groupBy("l_suppkey", "l_linenumber").agg(F.avg("l_quantity").alias("value"))
+    out = health.permutation_test(runs.select(F.col("l_suppkey").alias("model"), F.when(F.col("l_linenumber") <= 3, "a").otherwise("b").alias("arm"), "value"), "model")
+    return out.select("model", F.round("p", 9).alias("p"))
+
+
+@query("""
+WITH p AS (SELECT doc_id, ps, unnest(generate_series(1, len(ps))) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ps FROM documents WHERE contains(text, chr(10)))),
+n AS (SELECT doc_id, i, length(ps[i]) + (i < len(ps))::INT AS n FROM p)
+SELECT doc_id, (i - 1)::INT AS part, (sum(n) OVER (PARTITION BY doc_id ORDER BY i) - n)::INT AS "start", n::INT AS chars FROM n""")
+def q78_chapter_parts(spark, d):
+    """Documents whose lines are chapters: a chunk for each, split before its marker."""
+    from ..operators.chunks import chunk_rows
+
+    marker = "<!-- chapter: "
+    docs = table(spark, d, "documents").where(F.contains("text", F.lit("\n"))).select("doc_id", F.replace("text", F.lit("\n"), F.lit(f"\n{marker}")).alias("text"))
+    rows = chunk_rows(docs, "doc_id", "text", 150_000)
+    # each part but the first begins with a marker, which is taken off the lengths and offsets
+    n = F.length("text") - F.when(F.col("idx") > 0, len(marker)).otherwise(0)
+    before = F.col("start") - F.greatest(F.col("idx") - 1, F.lit(0)) * len(marker)
+    return rows.select("doc_id", F.col("idx").alias("part"), before.cast("int").alias("start"), n.cast("int").alias("chars"))
