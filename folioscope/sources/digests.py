@@ -11,7 +11,7 @@ import yaml
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..schemas import CLAIM, NODE
+from ..schemas import ATTESTATIONS, CLAIM, CLAIM_TYPES, NODE
 
 _LOADER = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
 

@@ -85,8 +85,8 @@ def test_optimal_matches_is_global(spark):
 
 def test_names(spark):
     assert one(spark, T.name_variants(F.col("n")), n="Dr. Smith, John (Jack)")[0] == "smith john jack"
-    assert one(spark, T.name_normal(F.col("n")), n="Lt. Col. O'Neil-Ray") == "o neil ray"
-    assert one(spark, T.content_tokens(F.col("n")), n="The pilot's reports reports of it") == ["pilot", "report"]
+    assert one(spark, T.name_normal(F.col("n")), n="Prof. Sir O'Neil-Ray") == "o neil ray"
+    assert one(spark, T.content_tokens(F.col("n")), n="The pilot's reports reports of the") == ["pilot", "report"]
     assert one(spark, T.padded_contains(F.col("a"), F.col("b")), a="a near-miss, then", b="miss then")
     assert one(spark, T.canonical_type(F.col("n")), n="people") == "person"
 
