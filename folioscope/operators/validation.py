@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schemas import DECISIONS
+from ..schemas import DECISIONS, OPEN_RIGHTS
 
 
 def violations(rows: DataFrame, key: str, **rules: Column) -> DataFrame:
@@ -80,3 +80,38 @@ def proposals(rows: DataFrame) -> DataFrame:
 def rollup_status(items: DataFrame, key: str) -> DataFrame:
     """The status of a corpus: ready only if all its items are, with a hash over their evidence in order."""
     return items.groupBy(key).agg(F.when(F.bool_and(F.col("status") == "ready"), "ready").otherwise("blocked").alias("status"), F.sum("units").alias("units"), F.sha2(F.array_join(F.array_sort(F.collect_list("evidence")), "\n"), 256).alias("evidence"))
+
+
+# What evaluation input may be used for, and on what ground a record is admitted.
+USES = ("local-deterministic-grading", "hosted-model-inference")
+GROUNDS = ("public_domain", "open_licence", "internal_evaluation_permission", "local_information_analysis")
+
+
+def dispatch(records: DataFrame, entries: DataFrame, reviews: DataFrame, gold: DataFrame, use: str, provider: str | None = None, route: str | None = None) -> DataFrame:
+    """(record_hash, scope, reason) of each record: what of it may be used (whole-record or partial-units-only), or the first reason why nothing may.
+
+    ``records`` has (record_hash, rights); ``entries`` (record_hash, rights, basis, controlled, permission struct<provider,route,use>); ``reviews``
+    (record_hash, coverage, digestible); ``gold`` (record_hash, gold_units). Local grading needs a ground, and a permission that covers it where the
+    ground is a licence or a permission; hosted models need a whole review and rights that are open by themselves. It fails closed.
+    """
+    e = entries.select("record_hash", F.lit(True).alias("_entry"), F.col("rights").alias("_rights"), "basis", "controlled", "permission")
+    rows = records.join(e, "record_hash", "left").join(reviews, "record_hash", "left").join(gold, "record_hash", "left")
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    whole = yes((F.col("coverage") == 1.0) & F.col("digestible"))
+    p = F.col("permission")
+    covered = yes((p["provider"] == "local") & (p["route"] == "local") & (p["use"] == use))
+    basis = F.col("basis")
+    grounds = [
+        (yes(basis == "local_information_analysis") & ~yes((F.col("rights") == "publicly_accessible") & F.col("controlled")), "local analysis lacks its controls"),
+        (yes(basis.isin("open_licence", "internal_evaluation_permission")) & ~covered, "no permission for this record"),
+        (~yes(basis.isin(*GROUNDS)), "not admitted for local grading"),
+    ]
+    hosted = [(F.lit(not provider or not route), "no route"), (~whole, "source review is not complete"), (~yes(F.col("rights").isin(*OPEN_RIGHTS)), "rights do not permit hosted input")]
+    checks = [
+        (F.lit(use not in USES), "unknown use"), (F.col("_entry").isNull(), "not in the manifest"), (~F.col("rights").eqNullSafe(F.col("_rights")), "rights differ from the manifest"),
+        (~yes(F.trim(basis) != ""), "no ground"), (~yes((F.col("coverage") > 0) & (F.col("coverage") <= 1)), "no usable review"), (~yes(F.col("gold_units") > 0), "no gold"),
+        *(grounds if use == USES[0] else hosted),
+    ]
+    reason = F.coalesce(*(F.when(c, why) for c, why in checks))
+    scope = F.when(reason.isNull(), F.when(whole, "whole-record").otherwise("partial-units-only"))
+    return rows.select("record_hash", scope.alias("scope"), reason.alias("reason"))

@@ -329,3 +329,24 @@ def test_workbench_grade(spark):
     assert bare.inside == 0.0 and not bare.on_target
     nodes = spark.createDataFrame([("d", "n2", "person", "B"), ("d", "n1", "person", "A")], "digest_key string, node_id string, node_type string, name string")
     assert [(r.n, [x.name for x in r.nodes]) for r in reports.nodes_by_type(nodes).collect()] == [(2, ["A", "B"])]
+
+
+def test_dispatch(spark):
+    from folioscope.operators import validation
+
+    names = ["ok", "part", "open", "permitted", "analysis", "loose", "differ", "bare", "unread", "ungraded", "alien"]
+    right = {"open": "open_licence", "permitted": "restricted", "analysis": "publicly_accessible", "loose": "publicly_accessible"}
+    records = spark.createDataFrame([(n, right.get(n, "public_domain")) for n in names], "record_hash string, rights string")
+    basis = {"open": "open_licence", "permitted": "internal_evaluation_permission", "analysis": "local_information_analysis", "loose": "local_information_analysis", "bare": " "}
+    use = "local-deterministic-grading"
+    entries = spark.createDataFrame([(n, "licensed" if n == "differ" else right.get(n, "public_domain"), basis.get(n, "public_domain"), n == "analysis", ("local", "local", use) if n == "permitted" else None) for n in names[:-1]], "record_hash string, rights string, basis string, controlled boolean, permission struct<provider:string,route:string,use:string>")
+    reviews = spark.createDataFrame([(n, 0.5 if n == "part" else 1.0, n != "part") for n in names if n != "unread"], "record_hash string, coverage double, digestible boolean")
+    units = spark.createDataFrame([(n, 3) for n in names if n != "ungraded"], "record_hash string, gold_units int")
+    got = {r.record_hash: r.scope or r.reason for r in validation.dispatch(records, entries, reviews, units, use).collect()}
+    assert got == {
+        "ok": "whole-record", "part": "partial-units-only", "open": "no permission for this record", "permitted": "whole-record", "analysis": "whole-record", "loose": "local analysis lacks its controls",
+        "differ": "rights differ from the manifest", "bare": "no ground", "unread": "no usable review", "ungraded": "no gold", "alien": "not in the manifest",
+    }
+    hosted = {r.record_hash: r.scope or r.reason for r in validation.dispatch(records, entries, reviews, units, "hosted-model-inference", "p", "r").collect()}
+    assert hosted["ok"] == hosted["open"] == "whole-record" and hosted["part"] == "source review is not complete" and hosted["permitted"] == "rights do not permit hosted input"
+    assert {r.reason for r in validation.dispatch(records, entries, reviews, units, "training").collect()} == {"unknown use"}
