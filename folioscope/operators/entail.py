@@ -40,6 +40,11 @@ def window_text(body: Column, start: Column, end: Column, around: int = 800) ->
     return body.substr((begin + 1).cast("int"), (end + around - begin).cast("int"))
 
 
+def premise(speaker: Column, body: Column) -> Column:
+    """What is asked about: the words, after who said them where that is known."""
+    return F.when(F.coalesce(speaker, F.lit("")) != "", F.concat(speaker, F.lit(": "), body)).otherwise(body)
+
+
 def cascade(claims: DataFrame, text: str, quote: str, window: str | None = None, classify: Callable[[Column, Column], Column] = lexical_support, at: str | None = None, force: bool = False, redo_unlocated: bool = False) -> DataFrame:
     """``label``, ``score`` and ``premise`` (quote or window; null where nothing was asked).
 

@@ -14,6 +14,7 @@ from .spans import union_coverage
 FULL = 0.5
 # Line framing that is no text, and what may close a quote.
 _STAMP, _COMMENT, _CLOSING = re.compile(r"^\d\d:\d\d:\d\d\.\d+\s?"), re.compile(r"^<!--.*-->\s*$"), ".,;:!?\"' "
+_ANNOTATION = re.compile(r"\{\{[^}]*\}\}")
 _SPANS = "array<struct<start:bigint,end:bigint>>"
 
 
@@ -104,6 +105,16 @@ def located_claims(claims: DataFrame, records: DataFrame) -> DataFrame:
     return _by_record(claims, records, lambda r, search, at: quote_spans(r["quote"], search, at))
 
 
+def raw_claims(claims: DataFrame, records: DataFrame) -> DataFrame:
+    """Claims with their spans in raw bodies, whose annotations are blanked to equal length before the search; all of a quote's fragments, or none."""
+
+    def run(batches):
+        for df in batches:
+            yield df.assign(body=[_ANNOTATION.sub(lambda m: " " * len(m[0]), t or "") for t in df["body"]])
+
+    return located_claims(claims, records.select("record_key", "body").mapInPandas(run, f"record_key {dict(records.dtypes)['record_key']}, body string"))
+
+
 def located_gold(gold: DataFrame, records: DataFrame) -> DataFrame:
     """Gold units with the spans of their ``parts`` (array of text); a unit of which a part is not there is ``unlocatable``."""
 

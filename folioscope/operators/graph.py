@@ -32,10 +32,24 @@ def closure(edges: DataFrame, keys: list[str], source: str = "a", target: str =
 
 
 def ancestors(edges: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
-    """Transitive (dependent, ancestor) pairs: edges to unknown ids go first, nobody is their own ancestor."""
+    """Transitive (dependent, ancestor) pairs of known ids; a path may lead through ids that are gone. Nobody is their own ancestor."""
     ids = known.select(*keys, "id").distinct()
-    kept = edges.join(ids.withColumnRenamed("id", "dependent"), [*keys, "dependent"], "left_semi").join(ids.withColumnRenamed("id", "ancestor"), [*keys, "ancestor"], "left_semi")
-    return closure(kept, keys, "dependent", "ancestor").where("a <> b").select(*keys, F.col("a").alias("dependent"), F.col("b").alias("ancestor"))
+    pairs = closure(edges, keys, "dependent", "ancestor").where("a <> b").select(*keys, F.col("a").alias("dependent"), F.col("b").alias("ancestor"))
+    return pairs.join(ids.withColumnRenamed("id", "dependent"), [*keys, "dependent"], "left_semi").join(ids.withColumnRenamed("id", "ancestor"), [*keys, "ancestor"], "left_semi")
+
+
+def context_dependencies(edges: DataFrame, known: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(dependent, ancestor) pairs along sound edges alone, and the (dependent, target) ends of unsound ones, its own or its ancestors'.
+
+    An edge is sound if both ids are known and the ancestor begins earlier (``start``).
+    """
+    at = lambda tag: known.select(*keys, F.col("id").alias(tag), F.col("start").alias(f"_{tag}"))
+    both = edges.select(*keys, "dependent", "ancestor").distinct().join(at("dependent"), [*keys, "dependent"]).join(at("ancestor"), [*keys, "ancestor"], "left")
+    sound = F.coalesce(F.col("_ancestor") < F.col("_dependent"), F.lit(False))
+    good = closure(both.where(sound), keys, "dependent", "ancestor").select(*keys, F.col("a").alias("dependent"), F.col("b").alias("ancestor"))
+    bad = both.where(~sound).select(*keys, "dependent", F.col("ancestor").alias("target"))
+    inherited = good.join(bad.withColumnRenamed("dependent", "ancestor"), [*keys, "ancestor"]).select(*keys, "dependent", "target")
+    return good, bad.unionByName(inherited).distinct()
 
 
 def cycles(edges: DataFrame, keys: list[str], source: str = "before", target: str = "after") -> DataFrame:

@@ -350,3 +350,32 @@ def test_dispatch(spark):
     hosted = {r.record_hash: r.scope or r.reason for r in validation.dispatch(records, entries, reviews, units, "hosted-model-inference", "p", "r").collect()}
     assert hosted["ok"] == hosted["open"] == "whole-record" and hosted["part"] == "source review is not complete" and hosted["permitted"] == "rights do not permit hosted input"
     assert {r.reason for r in validation.dispatch(records, entries, reviews, units, "training").collect()} == {"unknown use"}
+
+
+def test_context_dependencies(spark):
+    from folioscope.operators import graph
+
+    edges = spark.createDataFrame([("r", "c", "b"), ("r", "b", "a"), ("r", "d", "c"), ("r", "c", "gone"), ("r", "gone", "a"), ("r", "a", "d")], "rec string, dependent string, ancestor string")
+    known = spark.createDataFrame([("r", x, k) for k, x in enumerate("abcde")], "rec string, id string, start int")
+    good, bad = graph.context_dependencies(edges, known, ["rec"])
+    assert rows(good, "dependent", "ancestor") == [("b", "a"), ("c", "a"), ("c", "b"), ("d", "a"), ("d", "b"), ("d", "c")]
+    assert rows(bad, "dependent", "target") == [("a", "d"), ("b", "d"), ("c", "d"), ("c", "gone"), ("d", "d"), ("d", "gone")]
+    through = graph.ancestors(edges.where("ancestor in ('gone') or dependent = 'gone'"), known, ["rec"])
+    assert rows(through, "dependent", "ancestor") == [("c", "a")]
+
+
+def test_lines_premises_and_raw_claims(spark):
+    from folioscope.operators import entail
+
+    body = "One two.\n\nThree-four five.\nSix seven.\n"
+    assert accounts.line_range("one-six seven", body) == (1, 3) and accounts.line_range("three-four-SEVEN", body) == (2, 3)
+    assert accounts.line_range("six-one", body) is None and accounts.line_range(None, body) is None
+    told = spark.createDataFrame([("r", "a", 4, 9, "one-two"), ("r", "b", None, None, "three-six"), ("r", "c", None, None, "x-y"), ("s", "d", None, None, "one-two")], "record_key string, account_id string, line_start int, line_end int, span string")
+    got = accounts.with_lines(told, spark.createDataFrame([("r", body)], "record_key string, body string"))
+    assert rows(got, "account_id", "l0", "l1") == [("a", 4, 9), ("b", 2, 3), ("c", None, None), ("d", None, None)]
+    raw = "He {{highlight-start: a1}}saw it{{highlight-end: a1}} fly."
+    claims = spark.createDataFrame([("r", "c1", "he saw it fly"), ("r", "c2", "he ... fly"), ("r", "c3", "he ... swam")], "record_key string, claim_id string, quote string")
+    found = {r.claim_id: [raw[x.start : x.end] for x in r.spans] for r in grade.raw_claims(claims, spark.createDataFrame([("r", raw)], "record_key string, body string")).collect()}
+    assert found == {"c1": [raw[:-1]], "c2": ["He", "fly"], "c3": []}
+    said = spark.createDataFrame([("Ann", "It flew."), ("", "It flew."), (None, "It flew.")], "s string, b string").select(entail.premise(F.col("s"), F.col("b")).alias("p"))
+    assert [r.p for r in said.collect()] == ["Ann: It flew.", "It flew.", "It flew."]
