@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_extract, langid, lm_score, ngram_join, packing, quality, token_output, unigram, warc
+from . import centroids, cross_tokens, decontaminate, gam, html_extract, langid, lm_score, ngram_join, packing, quality, token_output, unigram, warc
 
-WORD_BPE, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
+WORD_BPE, PIECES, BYTE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model", "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,18 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.lloyd(table(spark, sf_dir, "embeddings"))
+
+
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_tokens.cross_alignment(table(spark, sf_dir, "documents"), BYTE_BPE, PIECES)
+
+
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gam.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -66,9 +78,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_token_output": op9_token_output,
     "op10_html_extraction": op10_html_extraction,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_cross_tokenizer_alignment": op12_cross_tokenizer_alignment,
+    "op13_quality_classifier": op13_quality_classifier,
 }
 
 ORACLES: dict[str, str] = {
+    "op11_centroid_clustering": centroids.oracle(),
     "op2_ngram_jaccard_join": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
