@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from .spans import union_coverage
+from .sweep import both_ends, sums_upto
 
 FULL = 0.5
 # Line framing that is no text, and what may close a quote.
@@ -205,10 +206,12 @@ def unsupported(claims: DataFrame, ranges: DataFrame, accepted: DataFrame) -> Da
     """
     if "spans" not in claims.columns:
         claims = claims.withColumn("spans", F.array(F.struct(F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))))
-    whole = ranges.where("complete").select("record_key", F.col("start").alias("r0"), F.col("end").alias("r1"))
-    inside = claims.join(whole, "record_key").where(inside_all(F.col("spans"), F.col("r0"), F.col("r1"))).select("record_key", "claim_id", "spans").dropDuplicates(["record_key", "claim_id"])
-    flat = inside.select("record_key", "claim_id", F.explode("spans").alias("x"))
-    touch = flat.join(accepted.select("record_key", F.col("start").alias("a0"), F.col("end").alias("a1")), "record_key").where("greatest(x.start, a0) < least(x.end, a1)").select("record_key", "claim_id").distinct()
+    whole = ranges.where("complete").select("record_key", "start", "end")
+    outer = claims.where(F.size("spans") > 0).select("record_key", "claim_id", "spans", F.array_min("spans.start").alias("_first"), F.array_max("spans.end").alias("_last"))
+    # some range that begins at or before the claim reaches beyond its end
+    inside = sums_upto(outer, whole, ["record_key"], "_first", F.lit(True)).where("reach >= _last").select("record_key", "claim_id", "spans").dropDuplicates(["record_key", "claim_id"])
+    flat = inside.select("record_key", "claim_id", F.explode("spans").alias("x")).select("record_key", "claim_id", "x.start", "x.end")
+    touch = both_ends(flat, accepted.select("record_key", "start", "end"), ["record_key"], ["claim_id"]).where("touched > 0").select("record_key", "claim_id").distinct()
     state = inside.join(touch.withColumn("_ok", F.lit(True)), ["record_key", "claim_id"], "left").groupBy("record_key").agg(F.count("claim_id").alias("bounded"), F.count_if(F.col("_ok").isNull()).alias("unsupported"))
     out = whole.select("record_key").distinct().join(state, "record_key", "left").na.fill(0, ["bounded", "unsupported"])
     return out.withColumn("rate", F.try_divide(F.col("unsupported").cast("double"), F.col("bounded")))

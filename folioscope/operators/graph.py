@@ -2,27 +2,32 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _saved(df: DataFrame) -> DataFrame:
-    """Cut the lineage of an iteration in the session's checkpoint folder; without one (local tests), keep the plan."""
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        root = df.sparkSession.sparkContext.getConf().get("spark.checkpoint.dir", None)
+def saved(df: DataFrame) -> DataFrame:
+    """Cut the lineage of an iteration in the session's checkpoint folder; where all of Spark is one process, as in tests, it may do without one."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        root = sc.getConf().get("spark.checkpoint.dir", None)
         if root is None:
+            if not re.match(r"local(\[|$)", sc.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             return df.persist()
-        df.sparkSession.sparkContext.setCheckpointDir(root)
+        sc.setCheckpointDir(root)
     return df.checkpoint()
 
 
 def closure(edges: DataFrame, keys: list[str], source: str = "a", target: str = "b", most: int = 64) -> DataFrame:
     """All (keys, a, b) with a path from a to b: paths double in length each round, so rounds grow with the logarithm of the longest path."""
-    paths = _saved(edges.select(*keys, F.col(source).alias("a"), F.col(target).alias("b")).distinct())
+    paths = saved(edges.select(*keys, F.col(source).alias("a"), F.col(target).alias("b")).distinct())
     n = paths.count()
     for _ in range(most):
         longer = paths.alias("x").join(paths.select(*keys, F.col("a").alias("b"), F.col("b").alias("c")).alias("y"), [*keys, "b"]).select(*keys, "a", F.col("c").alias("b"))
-        before, paths = paths, _saved(paths.unionByName(longer).distinct())
+        before, paths = paths, saved(paths.unionByName(longer).distinct())
         now = paths.count()
         before.unpersist()
         if now == n:

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import medians
+
 LOW_SHARE, LEAST_PEERS, LEAST_CHARS, LOW_CACHE, LEAST_CALLS, LOW_SURVIVAL = 0.35, 5, 20_000, 0.30, 6, 0.5
 
 
@@ -16,22 +15,6 @@ def claim_yield(digests: DataFrame) -> DataFrame:
     return digests.where(F.col("chars") >= LEAST_CHARS).withColumn("rate", F.col("claims") / (F.col("chars") / 1000))
 
 
-def medians(rows: DataFrame, keys: list[str], value: str, tag: str) -> DataFrame:
-    """The exact median and number of each group, as m_ and n_: a sketch brackets the middle, and only the values within are gathered.
-
-    So no task holds a group's values, but for about one in a hundred of them.
-    """
-    sketch = F.percentile_approx(value, F.array(F.lit(0.495), F.lit(0.505)), F.lit(10_000))
-    bounds = rows.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias(f"n_{tag}"), sketch.alias("_s"))
-    both = rows.join(bounds, keys) if keys else rows.crossJoin(F.broadcast(bounds))  # one row
-    v = F.col(value).cast("double")
-    inside = F.array_sort(F.collect_list(F.when((v >= F.col("_s")[0]) & (v <= F.col("_s")[1]), v)))
-    got = both.groupBy(*keys, f"n_{tag}").agg(F.count_if(v < F.col("_s")[0]).alias("_below"), inside.alias("_v"))
-    n = F.col(f"n_{tag}")
-    at = lambda k: F.try_element_at("_v", (F.floor(k) - F.col("_below")).cast("int"))
-    return got.select(*keys, ((at((n + 1) / 2) + at((n + 2) / 2)) / 2).alias(f"m_{tag}"), f"n_{tag}")
-
-
 def low_yield(rows: DataFrame, kind: str, family: str, rate: str) -> DataFrame:
     """Rows under 0.35 of the median of their kind, or of their family or the corpus where there are fewer than five peers."""
 
@@ -84,25 +67,6 @@ def complete_separation(rows: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(key).agg(((of("a", F.min) > of("b", F.max)) | (of("b", F.min) > of("a", F.max))).alias("separated"))
 
 
-def permutation_p(a: list[float], b: list[float]) -> float:
-    """One-sided exact p: the share of splits whose difference of means is at least the observed one."""
-    pool, n = a + b, len(a)
-    total, seen = sum(pool), sum(a)
-    # with fixed sizes the difference of means grows with the sum of the first arm
-    splits = [sum(c) for c in combinations(pool, n)]
-    return sum(s >= seen - 1e-9 * max(1.0, abs(total)) for s in splits) / len(splits)
-
-
-def permutation_test(rows: DataFrame, key: str) -> DataFrame:
-    """(key, p) for (key, arm in a/b, value); a key has a handful of runs, as all splits are counted."""
-
-    def run(df: pd.DataFrame) -> pd.DataFrame:
-        a, b = (sorted(df.loc[df["arm"] == x, "value"].tolist()) for x in ("a", "b"))
-        return pd.DataFrame({key: [df[key].iloc[0]], "p": [permutation_p(a, b) if a and b else None]})
-
-    return rows.groupBy(key).applyInPandas(run, f"{key} {dict(rows.dtypes)[key]}, p double")
-
-
 def run_costs(rows: DataFrame, model: str, node: str, cost: str) -> DataFrame:
     """Nodes, claims and cost of each model, and claims for each unit of cost."""
     cents = F.sum(F.round(F.col(cost) * 100).cast("long"))

@@ -1,4 +1,4 @@
-"""Joins beyond plain equality: nearest in time, aliases, loose token overlap, similarity, expansion, violations, assignment."""
+"""Joins beyond plain equality: nearest in time, aliases, loose token overlap, similarity, expansion, violations."""
 
 from __future__ import annotations
 
@@ -126,71 +126,3 @@ def expand_sources(claims: DataFrame, sources: DataFrame, key: str = "source_id"
 
 def violations(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     return child.join(parent.select(key).distinct(), key, "left_anti")
-
-
-def assignment(weights: list[list[float]]) -> list[int]:
-    """For each row its column in the heaviest one-to-one assignment (-1: none); weights of 0 or less are no candidates.
-
-    The textbook method of shortest augmenting paths with potentials, one for each row of the shorter side, over whole numpy rows; on equal
-    weight, rows and then columns come first.
-    """
-    n, m = len(weights), max((len(r) for r in weights), default=0)
-    if not n or not m:
-        return [-1] * n
-    if n > m:
-        of_column = assignment([[r[j] if j < len(r) else 0.0 for r in weights] for j in range(m)])
-        at = {i: j for j, i in enumerate(of_column) if i >= 0}
-        return [at.get(i, -1) for i in range(n)]
-    full = np.zeros((n, m))
-    for i, r in enumerate(weights):
-        full[i, : len(r)] = np.maximum(r, 0.0)
-    cost = full.max() - full
-    u, v, match = np.zeros(n + 1), np.zeros(m + 1), np.zeros(m + 1, np.int64)
-    for i in range(1, n + 1):
-        match[0], j0 = i, 0
-        least, via, used = np.full(m + 1, np.inf), np.zeros(m + 1, np.int64), np.zeros(m + 1, bool)
-        while True:
-            used[j0] = True
-            i0 = match[j0]
-            slack = cost[i0 - 1] - u[i0] - v[1:]
-            nearer = ~used[1:] & (slack < least[1:])
-            least[1:][nearer], via[1:][nearer] = slack[nearer], j0
-            j1 = int(np.where(used[1:], np.inf, least[1:]).argmin()) + 1
-            delta = least[j1]
-            u[match[used]] += delta
-            v[used] -= delta
-            least[~used] -= delta
-            j0 = j1
-            if match[j0] == 0:
-                break
-        while j0:
-            match[j0] = match[via[j0]]
-            j0 = via[j0]
-    out = [-1] * n
-    for j in range(1, m + 1):
-        i = int(match[j]) - 1
-        if i >= 0 and full[i, j - 1] > 0:
-            out[i] = j - 1
-    return out
-
-
-def optimal_matches(candidates: DataFrame, group: str) -> DataFrame:
-    """Most pairs first, then the highest total score: (group, gold, predicted, score) candidates, one assignment a group.
-
-    A group is one record's gold and predicted accounts, a few dozen rows; groups spread over the tasks.
-    """
-
-    def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["predicted", "gold"])
-        gold, predicted = sorted(rows["gold"].unique()), sorted(rows["predicted"].unique())
-        weights = [[0.0] * len(gold) for _ in predicted]
-        at_g, at_p = {x: i for i, x in enumerate(gold)}, {x: i for i, x in enumerate(predicted)}
-        score = {}
-        for g, p, s in zip(rows["gold"], rows["predicted"], rows["score"], strict=True):
-            weights[at_p[p]][at_g[g]] = 1000.0 + s
-            score[g, p] = s
-        found = [(gold[j], predicted[i]) for i, j in enumerate(assignment(weights)) if j >= 0]
-        return pd.DataFrame({group: [rows[group].iloc[0]] * len(found), "gold": [g for g, _ in found], "predicted": [p for _, p in found], "score": [score[x] for x in found]})
-
-    kinds = dict(candidates.dtypes)
-    return candidates.select(group, "gold", "predicted", F.col("score").cast("double").alias("score")).groupBy(group).applyInPandas(solve, f"{group} {kinds[group]}, gold {kinds['gold']}, predicted {kinds['predicted']}, score double")

@@ -9,6 +9,7 @@ from ..functions import lint
 from ..functions.codes import milliseconds, parse_timecode
 from ..schemas import NODE_TYPES
 from .grade import located
+from .sweep import both_ends
 
 
 def dirty_digests(nodes: DataFrame) -> DataFrame:
@@ -72,11 +73,10 @@ def sweep_grade(records: DataFrame, highlights: DataFrame, claims: DataFrame) ->
 
 
 def overlap_fractions(claims: DataFrame, highlights: DataFrame, most: float = 0.8) -> DataFrame:
-    """Per claim the share of it inside highlights, summed part by part: it may exceed 1 where highlights overlap."""
-    both = claims.join(highlights.select("record_key", F.col("start").alias("g0"), F.col("end").alias("g1")), "record_key", "left")
-    shared = F.when(F.col("g0").isNotNull(), F.greatest(F.lit(0), F.least("end", "g1") - F.greatest("start", "g0")))  # least and greatest pass over nulls
-    share = F.sum(shared) / (F.max("end") - F.max("start"))
-    return both.groupBy("record_key", "claim_id").agg(F.coalesce(share, F.lit(0.0)).alias("inside")).withColumn("on_target", F.col("inside") >= most)
+    """Per claim the share of it inside highlights, summed part by part: it may exceed 1 where highlights overlap. Repeated rows count once."""
+    found = both_ends(claims, highlights, ["record_key"], ["claim_id"])
+    share = F.try_divide(F.sum("length"), (F.max("end") - F.max("start")).cast("double"))
+    return found.groupBy("record_key", "claim_id").agg(F.coalesce(share, F.lit(0.0)).alias("inside")).withColumn("on_target", F.col("inside") >= most)
 
 
 def workbench_grade(claims: DataFrame, highlights: DataFrame, least: float = 0.5, most: float = 0.8) -> DataFrame:
@@ -85,11 +85,11 @@ def workbench_grade(claims: DataFrame, highlights: DataFrame, least: float = 0.5
     Overlaps are summed part by part, on both sides, so they may exceed 1. Claims without a place (null start) count as unlocated and unmarked.
     """
     placed = claims.where("start is not null")
-    spans = placed.select("record_key", F.col("start").alias("c0"), F.col("end").alias("c1"))
-    marks = highlights.select("record_key", F.monotonically_increasing_id().alias("_h"), "start", "end")
-    shared = F.when(F.col("c0").isNotNull(), F.greatest(F.lit(0), F.least("end", "c1") - F.greatest("start", "c0")))  # least and greatest pass over nulls
-    share = F.coalesce(F.sum(shared), F.lit(0)) / F.greatest(F.lit(1), F.max("end") - F.max("start"))
-    covered = marks.join(spans, "record_key", "left").groupBy("record_key", "_h").agg(share.alias("share")).groupBy("record_key").agg(F.count(F.lit(1)).alias("highlights"), F.count_if(F.col("share") >= least).alias("covered"))
+    # highlights that repeat a place count each, at the share of one
+    marks = both_ends(highlights, placed.select("record_key", "start", "end"), ["record_key"], [])
+    share = F.col("length") / F.greatest(F.lit(1), F.col("end") - F.col("start"))
+    shares = highlights.join(marks.withColumn("share", share).select("record_key", "start", "end", "share"), ["record_key", "start", "end"], "left")
+    covered = shares.groupBy("record_key").agg(F.count(F.lit(1)).alias("highlights"), F.count_if(F.col("share") >= least).alias("covered"))
     inside = overlap_fractions(placed, highlights, most).groupBy("record_key").agg(F.count_if(~F.col("on_target")).alias("_off"))
     total = claims.groupBy("record_key").agg(F.count(F.lit(1)).alias("claims"), F.count_if(F.col("start").isNull()).alias("unlocated"))
     out = covered.join(total, "record_key", "full").join(inside, "record_key", "left").na.fill(0, ["highlights", "covered", "claims", "unlocated", "_off"])

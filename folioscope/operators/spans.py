@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions import text as T
+from .sweep import both_ends, disjoint, overlap_pairs
 
 
 def _ascii_words(column: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]:
@@ -187,15 +188,10 @@ QUOTE_CHARS, HEAD_CHARS = 8 << 20, 32
 
 
 def union_coverage(gold: DataFrame, spans: DataFrame, keys: list[str], gold_id: str) -> DataFrame:
-    """Length of each gold span that the union of the key's spans covers: clip, islands by running maximum, sum."""
-    g = gold.select(*keys, gold_id, F.col("start").alias("g0"), F.col("end").alias("g1"))
-    clipped = spans.join(g, keys).where("start < g1 and end > g0").select(*keys, gold_id, F.greatest("start", "g0").alias("s"), F.least("end", "g1").alias("e"))
-    w = Window.partitionBy(*keys, gold_id).orderBy("s", "e")
-    reach = F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    # what a span adds lies beyond all that begin before it
-    added = clipped.withColumn("add", F.greatest(F.lit(0), F.col("e") - F.greatest(F.col("s"), F.coalesce(reach, F.col("s")))))
-    covered = added.groupBy(*keys, gold_id).agg(F.sum("add").alias("covered"))
-    return g.join(covered, [*keys, gold_id], "left").select(*keys, gold_id, (F.col("g1") - F.col("g0")).alias("length"), F.coalesce("covered", F.lit(0)).alias("covered"))
+    """Length of each gold span that the union of the key's spans covers: sums up to both its ends over spans made disjoint, without pairs."""
+    found = both_ends(gold, disjoint(spans, keys), keys, [gold_id])
+    kind = "long" if dict(gold.dtypes)["start"] in ("int", "bigint", "smallint", "tinyint") else "double"
+    return found.select(*keys, gold_id, (F.col("end") - F.col("start")).alias("length"), F.col("length").cast(kind).alias("covered"))
 
 
 def _on_axis(points: DataFrame, spans: DataFrame, keys: list[str], at: str) -> DataFrame:
@@ -226,8 +222,8 @@ def exact_container(points: DataFrame, spans: DataFrame, keys: list[str], point_
 
 
 def overlaps(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Pairs of half-open spans (l0, l1) and (r0, r1) of one key that share something."""
-    return left.join(right, keys).where("greatest(l0, r0) < least(l1, r1)")
+    """Pairs of half-open spans (l0, l1) and (r0, r1) of one key that share something, by a plane sweep."""
+    return overlap_pairs(left, right, keys)
 
 
 def neighbour_overlaps(spans: DataFrame, keys: list[str]) -> DataFrame:

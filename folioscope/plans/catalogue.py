@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes, lint
 from ..functions import text as T
-from ..operators import dedup, entail, evaluation, graph, health, joins, salience, spans
+from ..operators import assignment, dedup, entail, evaluation, graph, health, joins, permutation, salience, spans
 from ..operators.align import align_quotes
 from ..operators.chunks import chunk_rows
 from ..session import table
@@ -350,7 +350,7 @@ def q31_repeat_statistics(spark, d):
 def q32_permutation_test(spark, d):
     few = table(spark, d, "lineitem").withColumn("arm", F.when(F.col("l_linenumber") <= 3, "a").otherwise("b"))
     first = few.groupBy("l_suppkey", "arm", "l_linenumber").agg(F.avg("l_quantity").alias("value"))
-    return health.permutation_test(first.select(F.col("l_suppkey").alias("model"), "arm", "value"), "model")
+    return permutation.permutation_test(first.select(F.col("l_suppkey").alias("model"), "arm", "value"), "model")
 
 
 @query("""
@@ -436,7 +436,7 @@ def q42_account_assignment(spark, d):
     c = table(spark, d, "customer").select("c_nationkey", F.col("c_custkey").alias("gold"), "c_acctbal")
     s = table(spark, d, "supplier").select(F.col("s_nationkey").alias("c_nationkey"), F.col("s_suppkey").alias("predicted"), "s_acctbal")
     pairs = c.join(s, "c_nationkey").withColumn("score", 1 / (1 + F.abs(F.col("c_acctbal") - F.col("s_acctbal")) / 1000)).where("score >= 0.28")
-    return joins.optimal_matches(pairs, "c_nationkey")
+    return assignment.optimal_matches(pairs, "c_nationkey")
 
 
 @query()

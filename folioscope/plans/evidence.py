@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes, lint
 from ..functions import text as T
-from ..operators import accounts, dedup, evaluation, fixtures, gold, grade, graph, health, ordering, reports, salience, spans, validation
+from ..operators import accounts, dedup, evaluation, fixtures, gold, grade, graph, health, permutation, ordering, reports, salience, spans, validation
 from ..session import table
 from .catalogue import _INTERVALS, intervals, low, query
 
@@ -297,7 +297,7 @@ t AS (SELECT model, seen - 1e-9 * greatest(1, abs(total)) AS least, coalesce(lis
 SELECT model, CASE WHEN min(k) = 0 OR min(k) = min(n) THEN NULL ELSE round(count(*) FILTER (total >= least) / count(*)::DOUBLE, 9) END AS p FROM t GROUP BY 1""")
 def q77_permutation_p(spark, d):
     runs = table(spark, d, "lineitem").groupBy("l_suppkey", "l_linenumber").agg(F.avg("l_quantity").alias("value"))
-    out = health.permutation_test(runs.select(F.col("l_suppkey").alias("model"), F.when(F.col("l_linenumber") <= 3, "a").otherwise("b").alias("arm"), "value"), "model")
+    out = permutation.permutation_test(runs.select(F.col("l_suppkey").alias("model"), F.when(F.col("l_linenumber") <= 3, "a").otherwise("b").alias("arm"), "value"), "model")
     return out.select("model", F.round("p", 9).alias("p"))
 
 

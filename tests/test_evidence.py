@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from folioscope.operators import accounts, align, evaluation, fixtures, gold, grade, joins, spans
+from folioscope.operators import accounts, align, assignment, evaluation, fixtures, gold, grade, spans
 
 
 def rows(df, *names):
@@ -136,7 +136,7 @@ def test_account_candidates_and_score(spark):
     assert got["g1", "p3"].semantic_score == 1.0 and not got["g1", "p3"].eligible  # apart
     assert got["g2", "p2"].eligible and got["g2", "p2"].iou is None and not got["g3", "p1"].eligible
     pairs = evaluation.account_candidates(g, p, "rec").where("eligible").select("rec", "gold", "predicted", "score", "iou")
-    found = joins.optimal_matches(pairs, "rec").join(pairs.select("rec", "gold", "predicted", "iou"), ["rec", "gold", "predicted"])
+    found = assignment.optimal_matches(pairs, "rec").join(pairs.select("rec", "gold", "predicted", "iou"), ["rec", "gold", "predicted"])
     bound = spark.createDataFrame([("r", 6, 1, 3)], "rec string, bound long, unbindable long, outside long")
     s = accounts.account_score(found, g, p, "rec", bound).first()
     assert (s.matched, s.precision, s.recall, s.mean_iou, s.ranged, s.coverage, s.resolvable_coverage) == (2, 0.6667, 0.6667, 0.3333, 1, 0.6, 0.6667)

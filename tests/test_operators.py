@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from folioscope.functions import codes
 from folioscope.functions import text as T
-from folioscope.operators import accounts, chunks, dedup, evaluation, extract, grade, graph, health, joins, salience, spans, validation
+from folioscope.operators import accounts, chunks, dedup, evaluation, extract, grade, graph, health, joins, permutation, salience, spans, validation
 from folioscope.operators.align import align
 
 
@@ -66,23 +66,6 @@ def test_nearest_forward_clamps(spark):
     assert {(r.k, r.t): r.v for r in joins.nearest_forward(p, a, ["k"], "t", "at", "v").collect()} == {(1, 5): "x", (1, 50): "y", (2, 1): None}
 
 
-def test_assignment_is_optimal():
-    rng = random.Random(3)
-    for _ in range(60):
-        n, m = rng.randint(1, 5), rng.randint(1, 5)
-        w = [[rng.choice([0, 0, 1000 + rng.random()]) for _ in range(m)] for _ in range(n)]
-        got = joins.assignment(w)
-        assert len({j for j in got if j >= 0}) == sum(j >= 0 for j in got)
-        size = max(n, m)
-        best = max(sum(w[i][p[i]] for i in range(n) if p[i] < m) for p in permutations(range(size)))
-        assert abs(sum(w[i][j] for i, j in enumerate(got) if j >= 0) - best) < 1e-6
-
-
-def test_optimal_matches_is_global(spark):
-    c = spark.createDataFrame([("r", 1, 1, 0.9), ("r", 1, 2, 0.8), ("r", 2, 1, 0.7)], "g string, gold int, predicted int, score double")
-    assert {(r.gold, r.predicted) for r in joins.optimal_matches(c, "g").collect()} == {(1, 2), (2, 1)}
-
-
 def test_names(spark):
     assert one(spark, T.name_variants(F.col("n")), n="Dr. Smith, John (Jack)")[0] == "smith john jack"
     assert one(spark, T.name_normal(F.col("n")), n="Prof. Sir O'Neil-Ray") == "o neil ray"
@@ -154,7 +137,7 @@ def test_codes(spark):
 def test_health(spark):
     rows = spark.createDataFrame([(f"d{i}", "video", "spoken", 1.0) for i in range(6)] + [("low", "video", "spoken", 0.1), ("odd", "pdf", "document", 9.0)], "id string, kind string, family string, rate double")
     assert [r.id for r in health.low_yield(rows, "kind", "family", "rate").collect()] == ["low"]
-    assert health.permutation_p([3.0, 4.0], [1.0, 2.0]) == 1 / 6
+    assert permutation.permutation_p([3.0, 4.0], [1.0, 2.0]) == 1 / 6
     arms = spark.createDataFrame([("m", "a", 3.0), ("m", "a", 4.0), ("m", "b", 1.0)], "model string, arm string, value double")
     assert health.complete_separation(arms, "model").first().separated
     none = spark.createDataFrame([], "key string, detail string")
