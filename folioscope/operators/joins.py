@@ -1,16 +1,9 @@
-"""Joins beyond plain equality: nearest in time, aliases, loose token overlap, similarity, expansion, violations."""
+"""Joins beyond plain equality: nearest in time, aliases, loose token overlap, expansion, violations."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions import text as T
 
@@ -55,69 +48,6 @@ def loose_matches(extracted: DataFrame, golden: DataFrame, least_shared: int = 2
     return e.join(best, "ts").select("ext_id", F.col("m.golden_id").alias("golden_id"), F.col("m.common").alias("common"), F.col("m.n").alias("n"))
 
 
-#: Tokens of a block of the right side.
-BLOCK_TOKENS, CELLS = 2_000_000, 4_000_000
-
-
-def _token_blocks(right: DataFrame) -> Iterator[tuple[list, np.ndarray, list[str]]]:
-    """(ids, sizes, tokens end to end) of the right side's rows, in blocks of bounded size."""
-    ids, sizes, tokens = [], [], []
-    for r in right.select("b", "tb").where("size(tb) > 0").toLocalIterator():
-        ids.append(r.b)
-        sizes.append(len(r.tb))
-        tokens += r.tb
-        if len(tokens) >= BLOCK_TOKENS:
-            yield ids, np.array(sizes), tokens
-            ids, sizes, tokens = [], [], []
-    yield ids, np.array(sizes, np.int64), tokens
-
-
-def _overlaps(shared, least: float, kind: pa.DataType):
-    """Pairs of a batch's sets with a block's, by counting the shared tokens of all of them at once."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, sizes, tokens = shared.value
-        coded = pa.array(tokens, pa.string()).dictionary_encode()
-        holder = np.repeat(np.arange(len(ids)), sizes)
-        order = np.argsort(coded.indices.to_numpy(zero_copy_only=False), kind="stable")
-        holder, code = holder[order], coded.indices.to_numpy(zero_copy_only=False)[order]
-        first = np.searchsorted(code, np.arange(len(coded.dictionary) + 1))
-        names = pa.array(ids, kind)
-        for b in batches:
-            for at in range(0, b.num_rows, step := max(1, CELLS // max(1, len(ids)))):
-                part = b.slice(at, step)
-                sets = part.column(1)
-                n = pc.list_value_length(sets).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-                row = np.repeat(np.arange(part.num_rows), n)
-                found = pc.index_in(sets.flatten(), value_set=coded.dictionary)
-                hit = pc.is_valid(found).to_numpy(zero_copy_only=False)
-                got, row = found.drop_null().to_numpy(zero_copy_only=False), row[hit]
-                many = first[got + 1] - first[got]
-                who = holder[np.repeat(first[got] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))]
-                common = np.bincount(np.repeat(row, many) * len(ids) + who, minlength=part.num_rows * len(ids)).reshape(part.num_rows, -1)
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    similarity = common / (n[:, None] + sizes[None, :] - common)
-                i, j = np.nonzero((common > 0) & (similarity >= least))
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(i)), names.take(pa.array(j)), pa.array(similarity[i, j])], names=["a", "b", "similarity"])
-
-    return run
-
-
-def jaccard_matches(left: DataFrame, right: DataFrame, least: float = 0.4) -> DataFrame:
-    """Pairs of (a, ta) and (b, tb) sets of distinct tokens with a Jaccard similarity of ``least`` (above 0) or more.
-
-    The right side (the smaller) goes out in blocks of ``BLOCK_TOKENS`` tokens, and each block is one narrow pass over the left side:
-    nothing is shuffled, and a token that very many sets hold costs counting alone.
-    """
-    sc, kind = left.sparkSession.sparkContext, to_arrow_type(right.schema["b"].dataType)
-    shape = f"a {dict(left.dtypes)['a']}, b {dict(right.dtypes)['b']}, similarity double"
-    out = None
-    for block in _token_blocks(right):
-        one = left.select("a", "ta").mapInArrow(_overlaps(sc.broadcast(block), least, kind), shape)
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
 def expand_sources(claims: DataFrame, sources: DataFrame, key: str = "source_id") -> DataFrame:
     """A claim's source id becomes its chain; unmatched claims stay, with ``resolved`` false."""
     s = sources.withColumn("resolved", F.lit(True))

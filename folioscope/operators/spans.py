@@ -189,7 +189,8 @@ QUOTE_CHARS, HEAD_CHARS = 8 << 20, 32
 
 def union_coverage(gold: DataFrame, spans: DataFrame, keys: list[str], gold_id: str) -> DataFrame:
     """Length of each gold span that the union of the key's spans covers: sums up to both its ends over spans made disjoint, without pairs."""
-    found = both_ends(gold, disjoint(spans, keys), keys, [gold_id])
+    most = 3 * spans.count() + 2 * gold.count()  # endpoints that either sweep meets
+    found = both_ends(gold, disjoint(spans, keys, most=most), keys, [gold_id], most=most)
     kind = "long" if dict(gold.dtypes)["start"] in ("int", "bigint", "smallint", "tinyint") else "double"
     return found.select(*keys, gold_id, (F.col("end") - F.col("start")).alias("length"), F.col("length").cast(kind).alias("covered"))
 

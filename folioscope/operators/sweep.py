@@ -4,7 +4,8 @@ The axis of a key with very many rows is cut into cells at quantiles of its endp
 window within a cell plus what the cells before it hold: one row for each cell. Pairs are swept cell by cell: a span lies in every cell
 it crosses, so what is active at a border is carried across it, and a pair is counted in the cell where its later start lies.
 
-Spans are half-open, (start, end); those with a null or with end <= start hold nothing, and rows with a null key meet nothing.
+Spans are half-open, (start, end); those with a null or with end <= start hold nothing, and rows with a null key meet nothing. Sums of whole positions are longs: enough for
+a key of 10^9 spans at places up to 10^9; beyond that the sum is an error, never a wrong number.
 """
 
 from __future__ import annotations
@@ -27,10 +28,13 @@ def _known(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.dropna(subset=keys) if keys else df
 
 
-def with_cells(endpoints: DataFrame, keys: list[str], at: str, cell_rows: int | None = None, cells: int | None = None):
-    """(borders, cell): a table (keys, _borders) of hot keys, or None, and a function from a joined row's position to its cell."""
+def with_cells(endpoints: DataFrame, keys: list[str], at: str, cell_rows: int | None = None, cells: int | None = None, most: int | None = None):
+    """(borders, cell): a table (keys, _borders) of hot keys, or None, and a function from a joined row's position to its cell.
+
+    ``most`` is a number that the endpoints don't exceed, where the caller knows one.
+    """
     limit = CELL_ROWS if cell_rows is None else cell_rows
-    if endpoints.count() <= limit:
+    if (endpoints.count() if most is None else most) <= limit:
         return None, lambda c: F.lit(0)
     sizes = endpoints.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = sizes.agg(F.sum("_n").alias("n"), F.max("_n").alias("top")).first()
@@ -51,26 +55,33 @@ def _cut(df: DataFrame, keys: list[str], borders: DataFrame | None) -> DataFrame
     return df.join(F.broadcast(borders), keys, "left") if keys else df.crossJoin(F.broadcast(borders))  # at most MOST_HOT rows of CELLS numbers
 
 
-def _marks(spans: DataFrame, keys: list[str]) -> DataFrame:
+def _number(*columns: tuple[DataFrame, str]) -> str:
+    """The type in which positions are added up: longs if all are whole numbers, else decimals of six places."""
+    whole = all(dict(df.dtypes)[c] in ("tinyint", "smallint", "int", "bigint") for df, c in columns)
+    return "long" if whole else "decimal(38,6)"
+
+
+def _marks(spans: DataFrame, keys: list[str], kind: str) -> DataFrame:
     """Endpoints as (keys, _at, _order, _starts, _s, _ends, _e, _reach), equal ones added up."""
-    good = _known(spans, keys).where("end > start")
-    big = lambda c: F.col(c).cast("decimal(38,6)")
-    zero, none = F.lit(0).cast("decimal(38,6)"), F.lit(None).cast("decimal(38,6)")
-    first = good.select(*keys, big("start").alias("_at"), F.lit(1).alias("_starts"), big("start").alias("_s"), F.lit(0).alias("_ends"), zero.alias("_e"), big("end").alias("_reach"))
-    last = good.select(*keys, big("end").alias("_at"), F.lit(0).alias("_starts"), zero.alias("_s"), F.lit(1).alias("_ends"), big("end").alias("_e"), none.alias("_reach"))
+    good = _known(spans, keys).where("end > start").select(*keys, F.col("start").cast(kind).alias("_a"), F.col("end").cast(kind).alias("_b"))
+    zero, none = F.lit(0).cast(kind), F.lit(None).cast(kind)
+    row = lambda at, starts, s, ends, e, reach: F.struct(at.alias("_at"), F.lit(starts).alias("_starts"), s.alias("_s"), F.lit(ends).alias("_ends"), e.alias("_e"), reach.alias("_reach"))
+    a, b = F.col("_a"), F.col("_b")
+    every = good.select(*keys, F.inline(F.array(row(a, 1, a, 0, zero, b), row(b, 0, zero, 1, b, none))))
     added = [F.sum(c).alias(c) for c in ("_starts", "_s", "_ends", "_e")]
-    return first.unionByName(last).groupBy(*keys, "_at").agg(*added, F.max("_reach").alias("_reach")).withColumn("_order", F.lit(1))
+    return every.groupBy(*keys, "_at").agg(*added, F.max("_reach").alias("_reach")).withColumn("_order", F.lit(1))
 
 
-def sums_upto(points: DataFrame, spans: DataFrame, keys: list[str], at: str, after: str | Column | None = None, cell_rows: int | None = None, cells: int | None = None) -> DataFrame:
+def sums_upto(points: DataFrame, spans: DataFrame, keys: list[str], at: str, after: str | Column | None = None, cell_rows: int | None = None, cells: int | None = None, most: int | None = None) -> DataFrame:
     """The points with ``starts`` and ``ends``, the spans' endpoints before them, ``covered``, the spans' summed length before them, and ``reach``, the farthest end of those begun.
 
     Endpoints at a point itself count where ``after`` is true. A point with a null key or position has no endpoints before it.
     """
     names = points.columns
-    asked = points.withColumn("_at", F.col(at).cast("decimal(38,6)")).withColumn("_order", F.when(F.lit(False) if after is None else F.col(after) if isinstance(after, str) else after, 2).otherwise(0))
-    marks = _marks(spans, keys)
-    borders, cell = with_cells(marks.select(*keys, "_at").unionByName(asked.select(*keys, "_at")), keys, "_at", cell_rows, cells)
+    kind = _number((points, at), (spans, "start"), (spans, "end"))
+    asked = points.withColumn("_at", F.col(at).cast(kind)).withColumn("_order", F.when(F.lit(False) if after is None else F.col(after) if isinstance(after, str) else after, 2).otherwise(0))
+    marks = _marks(spans, keys, kind)
+    borders, cell = with_cells(marks.select(*keys, "_at").unionByName(asked.select(*keys, "_at")), keys, "_at", cell_rows, cells, most)
     every = asked.withColumn("_asked", F.lit(True)).unionByName(marks.withColumn("_asked", F.lit(False)), allowMissingColumns=True)
     every = _cut(every, keys, borders).withColumn("_cell", cell(F.col("_at")))
     # without hot keys the rows stay clustered by the keys alone, for whatever groups by them next
@@ -92,25 +103,25 @@ def sums_upto(points: DataFrame, spans: DataFrame, keys: list[str], at: str, aft
     return run.select(*names, upto("_starts").cast("long").alias("starts"), upto("_ends").cast("long").alias("ends"), covered.cast("double").alias("covered"), reach.cast("double").alias("reach"))
 
 
-def both_ends(ranges: DataFrame, spans: DataFrame, keys: list[str], ids: list[str], cell_rows: int | None = None, cells: int | None = None) -> DataFrame:
+def both_ends(ranges: DataFrame, spans: DataFrame, keys: list[str], ids: list[str], cell_rows: int | None = None, cells: int | None = None, most: int | None = None) -> DataFrame:
     """(keys, ids, start, end, length, touched): the spans' summed length within each distinct range (start, end), and how many of them share something with it.
 
     Up to a range's end count the spans begun before it; up to its start, those that have ended there. An empty range touches nothing.
     """
     whole = [*keys, *ids, "start", "end"]
     ends = ranges.select(*whole).select("*", F.explode(F.array(F.struct(F.col("start").alias("x"), F.lit(True).alias("first")), F.struct(F.col("end").alias("x"), F.lit(False).alias("first")))).alias("_p"))
-    found = sums_upto(ends.select(*whole, F.col("_p.x").alias("_x"), F.col("_p.first").alias("_first")), spans, keys, "_x", "_first", cell_rows, cells)
+    found = sums_upto(ends.select(*whole, F.col("_p.x").alias("_x"), F.col("_p.first").alias("_first")), spans, keys, "_x", "_first", cell_rows, cells, most)
     at = lambda c, first: F.max(F.when(F.col("_first") == first, F.col(c)))
     out = found.groupBy(*whole).agg((at("covered", False) - at("covered", True)).alias("length"), (at("starts", False) - at("ends", True)).alias("touched"))
     empty = ~F.coalesce(F.col("end") > F.col("start"), F.lit(False))
     return out.withColumn("length", F.when(empty, 0.0).otherwise(F.col("length"))).withColumn("touched", F.when(empty, 0).otherwise(F.col("touched")))
 
 
-def disjoint(spans: DataFrame, keys: list[str], cell_rows: int | None = None, cells: int | None = None) -> DataFrame:
+def disjoint(spans: DataFrame, keys: list[str], cell_rows: int | None = None, cells: int | None = None, most: int | None = None) -> DataFrame:
     """(keys, start, end): the union of each key's spans as spans that don't overlap: of each, what lies beyond all that begin before it."""
     good = _known(spans, keys).where("end > start").groupBy(*keys, "start").agg(F.max("end").alias("end"))
     kind = dict(spans.dtypes)["start"]
-    out = sums_upto(good, good, keys, "start", None, cell_rows, cells).select(*keys, F.greatest("start", F.col("reach").cast(kind)).alias("start"), "end")
+    out = sums_upto(good, good, keys, "start", None, cell_rows, cells, most).select(*keys, F.greatest("start", F.col("reach").cast(kind)).alias("start"), "end")
     return out.where("end > start")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes, lint
 from ..functions import text as T
-from ..operators import assignment, dedup, entail, evaluation, graph, health, joins, permutation, salience, spans
+from ..operators import assignment, dedup, entail, evaluation, graph, health, joins, permutation, salience, similarity, spans
 from ..operators.align import align_quotes
 from ..operators.chunks import chunk_rows
 from ..session import table
@@ -193,7 +193,7 @@ SELECT a AS doc_id, b AS item_id, round(i / u, 9) AS similarity FROM p WHERE u >
 def q15_jaccard_match(spark, d):
     left = table(spark, d, "documents").select(F.col("doc_id").alias("a"), F.array_distinct(T.tokens(F.col("text"))).alias("ta"))
     right = table(spark, d, "benchmark").select(F.col("item_id").alias("b"), F.array_distinct(T.tokens(F.col("text"))).alias("tb"))
-    return joins.jaccard_matches(left, right, 0.2).select(F.col("a").alias("doc_id"), F.col("b").alias("item_id"), F.round("similarity", 9).alias("similarity"))
+    return similarity.jaccard_matches(left, right, 0.2).select(F.col("a").alias("doc_id"), F.col("b").alias("item_id"), F.round("similarity", 9).alias("similarity"))
 
 
 @query(f"""
