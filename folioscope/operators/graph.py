@@ -7,6 +7,8 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import reach
+
 
 def saved(df: DataFrame) -> DataFrame:
     """Cut the lineage of an iteration in the session's checkpoint folder; where all of Spark is one process, as in tests, it may do without one."""
@@ -21,9 +23,9 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def closure(edges: DataFrame, keys: list[str], source: str = "a", target: str = "b", most: int = 64) -> DataFrame:
-    """All (keys, a, b) with a path from a to b: paths double in length each round, so rounds grow with the logarithm of the longest path."""
-    paths = saved(edges.select(*keys, F.col(source).alias("a"), F.col(target).alias("b")).distinct())
+def doubled(edges: DataFrame, keys: list[str], most: int = 64) -> DataFrame:
+    """All (keys, a, b) with a path from a to b, by joins: paths double in length each round, so rounds grow with the logarithm of the longest path."""
+    paths = saved(edges.select(*keys, "a", "b").distinct())
     n = paths.count()
     for _ in range(most):
         longer = paths.alias("x").join(paths.select(*keys, F.col("a").alias("b"), F.col("b").alias("c")).alias("y"), [*keys, "b"]).select(*keys, "a", F.col("c").alias("b"))
@@ -36,6 +38,15 @@ def closure(edges: DataFrame, keys: list[str], source: str = "a", target: str =
     return paths
 
 
+def closure(edges: DataFrame, keys: list[str], source: str = "a", target: str = "b", wide: int = reach.WIDE) -> DataFrame:
+    """All (keys, a, b) with a path from a to b. Records go by bit vectors in one shuffle; those of more than ``wide`` edges by doubling joins. Edges with a null, or of a null key, lead nowhere."""
+    clean = edges.select(*keys, F.col(source).alias("a"), F.col(target).alias("b")).dropna().distinct()
+    many = clean.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > wide).select(*keys)
+    if many.isEmpty():
+        return reach.narrow_closure(clean, keys)
+    return reach.narrow_closure(clean.join(many, keys, "left_anti"), keys).unionByName(doubled(clean.join(many, keys, "left_semi"), keys))
+
+
 def ancestors(edges: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
     """Transitive (dependent, ancestor) pairs of known ids; a path may lead through ids that are gone. Nobody is their own ancestor."""
     ids = known.select(*keys, "id").distinct()
