@@ -6,7 +6,9 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.functions import udtf
 
 MOST, LEAST_HARD, LEAST_CHUNK = 150_000, 20_000, 50_000
 # In order of preference: a page marker, a heading, a blank line, a line break; the split comes after the match's first newline.
@@ -60,3 +62,26 @@ def chunk_rows(docs: DataFrame, key: str, text: str, most: int, least: int | Non
             yield pd.DataFrame(rows, columns=[key, "idx", "start", "end", "text"])
 
     return docs.select(key, text).mapInPandas(run, f"{key} {dict(docs.dtypes)[key]}, idx int, start int, end int, text string")
+
+
+class Chunks:
+    """The table function ``chunks(text, most, least)``: idx, start, end and text of each window; without ``least``, by chapter first. Null is the empty text."""
+
+    def eval(self, text: str, most: int, least: int | None = None):
+        text = text or ""
+        for i, (s, e) in enumerate(build(text, most) if least is None else windows(text, most, least)):
+            yield i, s, e, text[s:e]
+
+
+def register(spark: SparkSession) -> None:
+    """Makes ``chunks`` known to SQL; rows travel in Arrow batches."""
+    spark.udtf.register("chunks", udtf(Chunks, returnType="idx int, start int, end int, text string", useArrow=True))
+
+
+def chunked(docs: DataFrame, key: str, text: str, most: int, least: int | None = None) -> DataFrame:
+    """(key, idx, start, end, text) by the table function, joined laterally: a narrow plan, one row's text at a time."""
+    spark = docs.sparkSession
+    register(spark)
+    docs = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    limit = "null" if least is None else int(least)
+    return spark.sql(f"SELECT d._key, c.* FROM {{docs}} d, LATERAL chunks(d._text, {int(most)}, {limit}) c", docs=docs).withColumnRenamed("_key", key)

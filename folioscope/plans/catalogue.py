@@ -13,10 +13,14 @@ from pyspark.sql import functions as F
 
 from ..functions import codes, lint
 from ..functions import text as T
-from ..operators import assignment, dedup, entail, evaluation, graph, health, joins, permutation, salience, similarity, spans
+from ..operators import assignment, dedup, entail, evaluation, graph, health, joins, neighbours, permutation, salience, similarity, spans
 from ..operators.align import align_quotes
-from ..operators.chunks import chunk_rows
+from ..operators.chunks import chunked
+from ..operators.sequences import matched_words
 from ..session import table
+from ..sources.digests import values_by_path
+from ..streaming import stopping
+from ..streaming.ingest import watch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -166,7 +170,7 @@ def q11_word_offsets(spark, d):
 @query()
 def q12_chunk_documents(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
-    return chunk_rows(docs, "doc_id", "text", 4000, 1000).select("doc_id", "idx", "start", "end", F.sha2("text", 256).alias("sha"))
+    return chunked(docs, "doc_id", "text", 4000, 1000).select("doc_id", "idx", "start", "end", F.sha2("text", 256).alias("sha"))
 
 
 @query("""
@@ -489,3 +493,45 @@ SELECT min(doc_id) AS doc_id, count(*)::BIGINT AS copies FROM documents GROUP BY
 def qx2_claim_support(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "lang", F.sha2(T.lowered(F.trim("text")), 256).alias("proposition"))
     return docs.groupBy("proposition", "lang").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")).select("doc_id", "copies")
+
+
+@query()
+def q79_stop_rule_stream(spark, d):
+    """All events as rounds of a stream, run to the end. The path is a pattern, as the table may be a file or a folder."""
+    events = table(spark, d, "events")
+    return stopping.kept_now(stopping.rounds_of(watch(spark, f"{d}/event[s].parquet", events.schema)))
+
+
+@query("""
+SELECT event_type, '$.' || key AS path, CASE json_type(props, '$.' || key) WHEN 'UBIGINT' THEN 'BIGINT' ELSE json_type(props, '$.' || key) END AS kind, count(*)::BIGINT AS n FROM (SELECT event_type, props, unnest(json_keys(props)) AS key FROM events) GROUP BY ALL""")
+def q80_variant_fields(spark, d):
+    return values_by_path(table(spark, d, "events"), "props", ["event_type"])
+
+
+@query(f"""
+WITH w AS (SELECT doc_id, len(regexp_extract_all({low('text')}, '[a-z0-9]+')) AS n FROM documents)
+SELECT doc_id, n::BIGINT AS n_left, (n + (n + 23) // 29 + (n + 23) // 29)::BIGINT AS n_right, (n - (n + 13) // 17)::BIGINT AS matched FROM w WHERE n > (n + 13) // 17""")
+def q81_sequence_alignment(spark, d):
+    """Each document's words against a copy with every 17th word replaced and two words put in after every 29th."""
+    ws = table(spark, d, "documents").select("doc_id", T.tokens(F.col("text")).alias("ws"))
+    new = F.lit("zqnew")
+    edited = F.flatten(F.transform("ws", lambda w, i: F.concat(F.array(F.when(i % 17 == 3, new).otherwise(w)), F.when(i % 29 == 5, F.array(new, new)).otherwise(F.array().cast("array<string>")))))
+    stream = lambda c: ws.select("doc_id", F.posexplode(c).alias("pos", "word"))
+    matched = matched_words(stream(F.col("ws")), stream(edited), "doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("matched"))
+    return ws.select("doc_id", F.size("ws").cast("long").alias("n_left"), F.size(edited).cast("long").alias("n_right")).join(matched, "doc_id")
+
+
+@query()
+def q82_minhash_match(spark, d):
+    """The similar pairs of q15 that share a band of MinHash signatures."""
+    left = table(spark, d, "documents").select(F.col("doc_id").alias("a"), F.array_distinct(T.tokens(F.col("text"))).alias("ta"))
+    right = table(spark, d, "benchmark").select(F.col("item_id").alias("b"), F.array_distinct(T.tokens(F.col("text"))).alias("tb"))
+    return similarity.minhash_matches(left, right, 0.5).select(F.col("a").alias("doc_id"), F.col("b").alias("item_id"), F.round("similarity", 9).alias("similarity"))
+
+
+@query()
+def qx1_embedding_neighbours(spark, d):
+    """The ten nearest vectors of every twentieth, by the index."""
+    v = table(spark, d, "embeddings")
+    found = neighbours.neighbours(v, v.where("vec_id % 20 = 0"), "vec_id", "embedding", 64)
+    return found.select(F.col("query").alias("vec_id"), "rank", "neighbour", F.round("distance", 9).alias("distance"))

@@ -17,7 +17,7 @@ _LOADER = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
 
 
 def load(texts: DataFrame, key: str = "digest_key", text: str = "value") -> DataFrame:
-    """(key, doc JSON, issue): each file parsed once; what can't be used is reported in ``issue`` and never dropped."""
+    """(key, doc, issue): each file parsed once, to a variant that all readers take typed paths from; what can't be used is reported in ``issue`` and never dropped."""
 
     def one(t: str | None) -> tuple[str | None, str | None]:
         if t is None:
@@ -33,7 +33,8 @@ def load(texts: DataFrame, key: str = "digest_key", text: str = "value") -> Data
             rows = [one(t) for t in df[text]]
             yield pd.DataFrame({key: df[key], "doc": [d for d, _ in rows], "issue": [i for _, i in rows]})
 
-    return texts.select(key, text).mapInPandas(run, f"{key} string, doc string, issue string")
+    parsed = texts.select(key, text).mapInPandas(run, f"{key} string, doc string, issue string")
+    return parsed.select(key, F.try_parse_json("doc").alias("doc"), "issue")
 
 
 def scan(spark: SparkSession, path: str) -> DataFrame:
@@ -46,8 +47,7 @@ _CLAIM = "struct<id:string,type:string,attestation:string,speaker:struct<id:stri
 
 def claims(digests: DataFrame) -> DataFrame:
     """Canonical claim rows. A ``claims`` list wins; otherwise domain then infrastructure claims, the category being the list."""
-    shape = f"claims array<{_CLAIM}>, domain_claims array<{_CLAIM}>, infrastructure_claims array<{_CLAIM}>"
-    d = digests.where("issue is null").select("digest_key", F.from_json("doc", shape).alias("d")).select("digest_key", "d.*")
+    d = digests.where("issue is null").select("digest_key", *[F.try_variant_get("doc", f"$.{c}", f"array<{_CLAIM}>").alias(c) for c in ("claims", "domain_claims", "infrastructure_claims")])
     tagged = lambda c, tag: F.transform(F.coalesce(F.col(c), F.array().cast(f"array<{_CLAIM}>")), lambda x: F.struct(F.lit(tag).alias("category"), x.alias("c")))
     both = F.when(F.col("claims").isNotNull(), tagged("claims", None)).otherwise(F.concat(tagged("domain_claims", "domain"), tagged("infrastructure_claims", "infrastructure")))
     known = lambda c, values, default: F.when(F.col(c).isin(*values), F.col(c)).otherwise(default)
@@ -63,10 +63,26 @@ def nodes(digests: DataFrame) -> DataFrame:
     """Node rows of known types only."""
     from ..schemas import NODE_TYPES
 
-    d = digests.where("issue is null").select("digest_key", F.explode(F.from_json(F.get_json_object("doc", "$.nodes"), "array<struct<id:string,type:string,name:string,metadata:map<string,string>>>")).alias("n"))
+    d = digests.where("issue is null").select("digest_key", F.explode(F.try_variant_get("doc", "$.nodes", "array<struct<id:string,type:string,name:string,metadata:map<string,string>>>")).alias("n"))
     return d.where(F.col("n.type").isin(*NODE_TYPES)).select("digest_key", F.col("n.id").alias("node_id"), F.col("n.type").alias("node_type"), F.col("n.name").alias("name"), F.col("n.metadata").alias("metadata")).to(spark_schema(digests.sparkSession, NODE))
 
 
+def usage(digests: DataFrame) -> DataFrame:
+    """(digest_key, calls, reads, writes): cache tokens of a digest's newest ``ai_usage`` entry; nulls where it has none."""
+    tokens = F.try_variant_get("doc", "$.ai_usage[0].tokens", "struct<calls:bigint,cache_read:bigint,cache_write:bigint>")
+    return digests.where("issue is null").select("digest_key", tokens.alias("t")).select("digest_key", F.col("t.calls").alias("calls"), F.col("t.cache_read").alias("reads"), F.col("t.cache_write").alias("writes"))
+
+
+def values_by_path(rows: DataFrame, text: str, keys: list[str]) -> DataFrame:
+    """(keys, path, kind, n): of the fields of JSON texts, how many values of each kind there are; a text that is no JSON counts at the path ``$`` as ``malformed``."""
+    doc = F.try_parse_json(text)
+    kind = F.schema_of_variant("_v.value")
+    bad = rows.where(F.col(text).isNotNull() & doc.isNull()).select(*keys, F.lit("$").alias("path"), F.lit("malformed").alias("kind"))
+    fields = rows.select(*keys, doc.alias("_doc")).where("_doc is not null").lateralJoin(rows.sparkSession.tvf.variant_explode(F.col("_doc").outer()).select(F.struct("pos", "key", "value").alias("_v")))
+    found = fields.select(*keys, F.concat(F.lit("$."), F.col("_v.key")).alias("path"), kind.alias("kind"))
+    return found.unionByName(bad).groupBy(*keys, "path", "kind").agg(F.count(F.lit(1)).alias("n"))
+
+
 def spark_schema(spark: SparkSession, ddl: str):
     return spark.createDataFrame([], ddl).schema
 
