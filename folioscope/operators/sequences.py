@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .graph import saved
+
 GRAM = 8
 
 
@@ -142,11 +144,12 @@ def matched_words(left: DataFrame, right: DataFrame, key: str, gram: int = GRAM)
     """
     w = Window.partitionBy(key).orderBy("pos")
     clean = lambda df: df.select(key, "pos", "word").dropna().select(key, F.col("pos").alias("_given"), (F.row_number().over(w) - 1).cast("long").alias("pos"), "word")
-    left, right = clean(left), clean(right)
+    left, right = saved(clean(left)), saved(clean(right))  # each is read for grams, sizes, stretches and places
     size = lambda df, name: df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
     sizes = size(left, "n_left").join(size(right, "n_right"), key)
     kind = dict(left.dtypes)[key]
     parts = sizes.join(_anchors(left, right, key, gram), key, "left").groupBy(key).applyInPandas(_chained(key, gram), f"{key} {kind}, matched boolean, l0 long, l1 long, r0 long, r1 long")
+    parts = saved(parts)
     runs = parts.where("matched").select(key, F.explode(F.sequence(F.lit(0).cast("long"), F.col("l1") - F.col("l0") - 1)).alias("_step"), "l0", "r0").select(key, (F.col("l0") + F.col("_step")).alias("l"), (F.col("r0") + F.col("_step")).alias("r"))
     gaps = parts.where("not matched")
 
@@ -159,9 +162,10 @@ def matched_words(left: DataFrame, right: DataFrame, key: str, gram: int = GRAM)
 
     def between(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in batches:
-            for one, l0, r0, lw, rw in zip(df[key], df["l0"], df["r0"], df["lw"], df["rw"], strict=True):
-                found = np.array(common_subsequence(list(lw), list(rw)), np.int64).reshape(-1, 2)
-                yield pd.DataFrame({key: pd.Series([one] * len(found), dtype=df[key].dtype), "l": found[:, 0] + l0, "r": found[:, 1] + r0})
+            found = [np.array(common_subsequence(list(lw), list(rw)), np.int64).reshape(-1, 2) + (l0, r0) for l0, r0, lw, rw in zip(df["l0"], df["r0"], df["lw"], df["rw"], strict=True)]
+            which = np.repeat(np.arange(len(df)), [len(f) for f in found])
+            pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+            yield pd.DataFrame({key: df[key].take(which).reset_index(drop=True), "l": pairs[:, 0], "r": pairs[:, 1]})
 
     places = runs.unionByName(both.mapInPandas(between, f"{key} {kind}, l long, r long"))
     given = lambda df, name: df.select(key, F.col("pos").alias(name), F.col("_given").alias(f"_{name}"))

@@ -257,10 +257,10 @@ def drop_overlapping(spans: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def chapter_spans(docs: DataFrame, key: str, body: str) -> DataFrame:
-    """(key, label, start, end): text after a ``<!-- chapter: L -->`` marker up to the next marker's end."""
+    """(key, label, start, end): text after a ``<!-- chapter: L -->`` marker up to the next marker."""
     marker = "<!-- chapter: ([^>]*?) -->"
-    pieces = docs.select(key, F.length(body).alias("n"), F.posexplode(F.regexp_extract_all(F.concat(F.col(body), F.lit("<!-- chapter: end -->")), F.lit("(?s).*?<!-- chapter: [^>]*? -->"), F.lit(0))).alias("_k", "piece"))
+    pieces = docs.select(key, F.posexplode(F.regexp_extract_all(F.concat(F.col(body), F.lit("<!-- chapter: end -->")), F.lit("(?s).*?<!-- chapter: [^>]*? -->"), F.lit(0))).alias("_k", "piece"))
     w = Window.partitionBy(key).orderBy("_k")
-    ends = pieces.select(key, "n", "_k", F.regexp_extract("piece", marker, 1).alias("label"), F.sum(F.length("piece")).over(w).alias("after"))
-    out = ends.withColumn("next", F.lead("after").over(w)).withColumn("end", F.least("next", "n"))
-    return out.where("next is not null").select(key, "label", F.col("after").alias("start"), "end")
+    ends = pieces.select(key, "_k", F.regexp_extract("piece", marker, 1).alias("label"), F.length(F.regexp_extract("piece", marker, 0)).alias("mark"), F.sum(F.length("piece")).over(w).alias("after"))
+    out = ends.withColumn("end", F.lead(F.col("after") - F.col("mark")).over(w))
+    return out.where("end is not null").select(key, "label", F.col("after").alias("start"), "end")

@@ -316,3 +316,32 @@ def q78_chapter_parts(spark, d):
     n = F.length("text") - F.when(F.col("idx") > 0, len(marker)).otherwise(0)
     before = F.col("start") - F.greatest(F.col("idx") - 1, F.lit(0)) * len(marker)
     return rows.select("doc_id", F.col("idx").alias("part"), before.cast("int").alias("start"), n.cast("int").alias("chars"))
+
+
+@query(f"""
+WITH b AS (SELECT doc_id, trim(regexp_replace(text, '[ \\t\\r\\n\\x0b\\x0c]+', ' ', 'g')) AS body FROM documents),
+f AS (SELECT doc_id, body, trim(substr(body, length(body) // 10 + 1, length(body) // 5 + 1)) AS x, trim(substr(body, length(body) * 6 // 10 + 1, length(body) // 5 + 1)) AS y FROM b),
+g AS (SELECT *, strpos(body, x) - 1 AS s FROM f WHERE x <> '' AND y <> '' AND NOT contains(body, '...') AND NOT contains(body, '…'))
+SELECT doc_id, s::BIGINT AS "start", (s + length(x) + strpos(substr(body, s + length(x) + 1), y) - 1 + length(y))::BIGINT AS "end" FROM g""")
+def q83_quote_places(spark, d):
+    """Elided quotes of two fragments, each with line breaks for its spaces, in their documents."""
+    b = table(spark, d, "documents").select("doc_id", F.trim(F.regexp_replace("text", "[ \\t\\r\\n\\x0b\\f]+", " ")).alias("body"))
+    part = lambda tenths: F.expr(f"trim(substr(body, cast(length(body) * {tenths} div 10 as int) + 1, cast(length(body) div 5 as int) + 1))")
+    q = b.select("doc_id", "body", part(1).alias("x"), part(6).alias("y")).where("x <> '' and y <> '' and not contains(body, '...') and not contains(body, '…')")
+    rows = q.select("doc_id", "body", F.translate(F.concat_ws(" ... ", "x", "y"), " ", "\n").alias("quote"), F.lit(None).cast("string").alias("location"))
+    return accounts.quote_places(rows, ["doc_id"], "body", "quote", "location")
+
+
+@query("""
+WITH c AS (SELECT user_id, event_id, CASE event_id % 3 WHEN 0 THEN 'seconds' WHEN 1 THEN 'char' ELSE 'chapter' END AS axis, CASE WHEN event_id % 3 = 0 THEN epoch_us(ts) // 1000000 % 86400 ELSE event_id END AS pt FROM events)
+SELECT axis, CASE WHEN axis = 'seconds' AND pt BETWEEN 20000 AND 60000 THEN 's' WHEN axis = 'char' AND pt BETWEEN 100 AND 5000 THEN 'c' WHEN axis = 'chapter' AND pt <= 3000 THEN 'h' END AS bound, count(*)::BIGINT AS n FROM c GROUP BY ALL""")
+def q84_binding_by_axis(spark, d):
+    """Claims at seconds, characters and offsets of a chapter, each bound by the spans of its own axis alone."""
+    second = F.expr("unix_micros(cast(ts as timestamp)) div 1000000 % 86400")
+    at, label = F.col("event_id"), F.concat(F.lit("b"), F.col("user_id").cast("string"))
+    where = F.when(at % 3 == 0, codes.timecode(second)).otherwise(codes.span_text(F.when(at % 3 == 1, at).otherwise(at + 50), F.when(at % 3 == 1, at + 9).otherwise(at + 59), F.when(at % 3 == 2, label), F.lit(50)))
+    events = table(spark, d, "events")
+    claims = events.select(F.col("user_id").alias("record_key"), at.alias("claim_id"), where.alias("location"))
+    told = F.array(*[F.struct(F.lit(a).alias("account_id"), F.lit(x).alias("axis"), name.alias("label"), F.lit(s).alias("start"), F.lit(e).alias("end")) for a, x, name, s, e in (("s", "seconds", F.lit(""), 20000.0, 60000.0), ("c", "char", F.lit(""), 100.0, 5000.0), ("h", "chapter", label, 0.0, 3000.0))])
+    spans_ = events.select("user_id").distinct().select(F.col("user_id").alias("record_key"), F.inline(told))
+    return accounts.bind(claims, spans_).groupBy("axis", "bound").agg(F.count(F.lit(1)).alias("n"))

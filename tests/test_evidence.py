@@ -121,10 +121,31 @@ def test_positions(spark):
     assert anchors.first().anchors[3].asDict() == {"seconds": 30.0, "offset": body.index("Then")}
     claims = spark.createDataFrame([("r", "c1", None, "00:00:31.0-00:00:40.0"), ("r", "c2", '"the light" went out', "x"), ("r", "c3", "unheard", "ch2:5-9"), ("r", "c4", "unheard", None), ("q", "c5", "a", "char:1-2")], "record_key string, claim_id string, quote string, location string")
     got = dict(rows(accounts.positions(claims, bodies, anchors), "claim_id", "position"))
-    assert got == {"c1": float(body.index("the light")), "c2": float(body.index("“the")), "c3": 5.0, "c4": None, "c5": 1.0}
+    assert got == {"c1": float(body.index("the light")), "c2": float(body.index("“the")), "c3": None, "c4": None, "c5": 1.0}
+    chapters = spark.createDataFrame([("r", "2", 14), ("r", "2", 30), ("q", "2", 90)], "record_key string, label string, start int")
+    assert dict(rows(accounts.positions(claims, bodies, anchors, chapters), "claim_id", "position"))["c3"] == 19.0
     assert accounts.locate_quote(body, "gone", "char:3-9") == (3, 9) and accounts.locate_quote(body, "gone", "char:3-900") is None
 
 
+def test_quotes_end_where_they_end():
+    """Elided quotes, other white space and other quotation marks, in offsets of the body."""
+    body = "At dusk the ship  went\ndown at night. Then a lot happened, and nobody came back. The end."
+    cut = lambda quote, location=None: (lambda x: x and body[x[0] : x[1]])(accounts.locate_quote(body, quote, location))
+    assert cut("the ship went down ... nobody came back") == "the ship  went\ndown at night. Then a lot happened, and nobody came back"
+    assert cut("the ship went down") == "the ship  went\ndown" and cut("The end ... the ship") == "The end" and cut("nowhere ... The end") is None
+    long = " ".join(f"w{i}" for i in range(40))
+    assert accounts.locate_quote(f"x {long}", long + " unheard", None) == (2, 2 + len(" ".join(f"w{i}" for i in range(12))))
+
+
+def test_claims_are_bound_on_their_own_axis(spark):
+    claims = spark.createDataFrame([("r", "c1", "char:10-20", None), ("r", "c2", "ch2:10-20", None), ("r", "c3", "00:00:15", None), ("r", "c4", "ch3:10-20", 12.0), ("r", "c5", "nowhere", None)], "record_key string, claim_id string, location string, position double")
+    told = [("r", "a", "char", "", 0.0, 20.0), ("r", "b", "chapter", "2", 5.0, 15.0), ("r", "s", "seconds", "", 14.0, 16.0)]
+    shape = "record_key string, account_id string, axis string, label string, start double, end double"
+    assert dict(rows(accounts.bind(claims, spark.createDataFrame(told, shape)), "claim_id", "bound")) == {"c1": "a", "c2": "b", "c3": "s", "c4": "a", "c5": None}
+    plain = accounts.bind(claims.drop("position"), spark.createDataFrame(told[:1], shape).drop("axis", "label"))
+    assert dict(rows(plain, "claim_id", "state")) == {"c1": "bound", "c2": "outside", "c3": "outside", "c4": "outside", "c5": "unbindable"}
+
+
 def test_account_candidates_and_score(spark):
     ddl = "rec string, account_id string, title string, subject string, l0 int, l1 int"
     g = spark.createDataFrame([("r", "g1", "The lights of the harbour", "Ann's pilots", 1, 10), ("r", "g2", "A quiet night", None, None, None), ("r", "g3", "Other matters", "x", 50, 60)], ddl)

@@ -53,7 +53,7 @@ def test_iou(spark):
 
 def test_chapters_and_words(spark):
     d = spark.createDataFrame([(1, "x<!-- chapter: A -->one two<!-- chapter: B -->three")], "k int, body string")
-    assert [(r.label, r.start) for r in spans.chapter_spans(d, "k", "body").orderBy("start").collect()] == [("A", 20), ("B", 46)]
+    assert [(r.label, r.start, r.end) for r in spans.chapter_spans(d, "k", "body").orderBy("start").collect()] == [("A", 20, 27), ("B", 46, 51)]
     t = spark.createDataFrame([(1, "{{t:1.5}}Hello {{t:2.0}}big world"), (2, "none")], "k int, body string")
     assert [(r.word, r.at) for r in spans.timed_words(t, "k", "body").orderBy("pos").collect()] == [("hello", 1.5), ("big", 2.0), ("world", 2.0)]
     line = spark.createDataFrame([(1, "00:00:07.5 Well then\nno stamp")], "k int, body string")
