@@ -9,7 +9,7 @@ The benchmark is compiled, broadcast and searched a block of about ``BLOCK_BYTES
 documents, with what was hit so far written to the shared folder in between, so no broadcast grows with it and one block is in memory at once.
 
 Defined cases: null or wordless documents have no hits; a document of any length is searched whole; null or wordless items give no window; items
-of fewer than ``WINDOW`` words are one window; an item id given twice counts once; no hits give the SHA-256 of the empty string; an empty table or
+of fewer than ``WINDOW`` words are one window; an item id given twice counts once, and a null one never, though its windows hit; no hits give the SHA-256 of the empty string; an empty table or
 benchmark gives no row or no hit; there are no ties; repeated rows and ids, null ids included, are judged each by itself; other columns are ignored.
 """
 
@@ -93,7 +93,7 @@ def compile_patterns(items: list[tuple[str, str]]) -> list[Patterns]:
         if ws:
             m = min(WINDOW, len(ws))
             for i in range(len(ws) - m + 1):
-                by_length[m][ws[i : i + m]].add(str(item_id))
+                by_length[m][ws[i : i + m]].update([] if item_id is None else [str(item_id)])
     return [Patterns(m, dict(s)) for m, s in sorted(by_length.items())]
 
 
@@ -197,7 +197,7 @@ def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             for b in slices(batches):
                 (verdict,) = search(iter([b.select([0, 1])]))
                 clean = pa.array(~np.asarray(verdict.column("contaminated")))
-                yield pa.RecordBatch.from_arrays(b.columns[2:], names=columns).filter(clean)
+                yield pa.RecordBatch.from_arrays(b.column(2).flatten(), names=columns).filter(clean)
 
         return run
 
@@ -205,7 +205,7 @@ def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     out = docs
     for k, block, last in numbered(blocks_of(benchmark)):
         patterns = spark.sparkContext.broadcast(compile_patterns(block))
-        ready = out.select(F.lit(0).cast("long").alias("_row"), F.coalesce("text", F.lit("")).alias("_text"), *columns)
+        ready = out.select(F.lit(0).cast("long").alias("key"), F.coalesce("text", F.lit("")).alias("text"), F.struct(*columns).alias("row"))  # any names go in the struct
         out = ready.mapInArrow(kept(_scan(patterns, True)), docs.schema)
         if not last:
             out = scratch.save(out, f"kept{k}")

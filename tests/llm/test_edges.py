@@ -67,3 +67,26 @@ def test_stages_keep_the_columns(spark, docs, tmp_path):
             assert kept == clean, name
         assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
     assert cp.best_fit_packing(spark, docs, str(tmp_path)).select("doc_id").distinct().count() == 5
+
+
+def test_stages_take_columns_of_any_name(spark, docs, tmp_path):
+    from pyspark.sql import functions as F
+
+    spark.createDataFrame([("i", "no such words at all")], "item_id string, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    names = ["_row", "_text", "_id", "row", "number", "id", "component_id", "lang_pred", "kept", "x", "none"]
+    odd = docs.select("*", *[F.concat(F.lit(n), F.coalesce(F.col("doc_id").cast("string"), F.lit("?"))).alias(n) for n in names])
+    for name, stage in cp.STAGES:
+        out = stage(spark, odd, str(tmp_path))
+        if name == "best_fit_packing":
+            assert out.count() > 0
+            continue
+        assert out.columns == odd.columns and out.dtypes == odd.dtypes, name
+        assert all(r[n] == n + ("?" if r.doc_id is None else str(r.doc_id)) for r in out.collect() for n in names), name
+        assert {tuple(r) for r in out.drop("text", "n_chars", "lang", *names).collect()} == {tuple(r) for r in stage(spark, docs, str(tmp_path)).drop("text", "n_chars", "lang").collect()}, name
+
+
+def test_items_without_an_id_hit_but_do_not_count(spark, docs):
+    words = prose(2, 240).split()[:12]
+    bench = spark.createDataFrame([(None, " ".join(words)), (None, None)], "item_id string, text string")
+    (row,) = [r for r in decontaminate.decontaminate(docs, bench).collect() if r.doc_id == 2]
+    assert (row.n_hit, row.n_items, row.contaminated) == (12, 0, True)
