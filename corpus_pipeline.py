@@ -32,11 +32,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     from folioscope.llm.scratch import Scratch
 
-    rows = Scratch(spark, "rows").save(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    classes = ngram_join.jaccard_classes(rows.select(F.col("_row").alias("doc_id"), "text"))
-    by_row = classes.withColumnsRenamed({"doc_id": "_row"}).join(rows.select("_row", F.col("doc_id").alias("_id")), "_row")
-    first = by_row.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")).alias("x"))
-    return rows.join(first.select("x._row"), "_row", "left_semi").select(*docs.columns)
+    # the row goes along as one struct, so its columns may have any names
+    whole = docs.select(F.monotonically_increasing_id().alias("number"), F.col("doc_id").alias("id"), "text", F.struct(*docs.columns).alias("row"))
+    rows = Scratch(spark, "rows").save(whole, "rows")
+    classes = ngram_join.jaccard_classes(rows.select(F.col("number").alias("doc_id"), "text"))
+    by_row = classes.select(F.col("doc_id").alias("number"), "component_id").join(rows.select("number", "id"), "number")
+    first = by_row.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "number")).alias("x"))
+    return rows.join(first.select("x.number"), "number", "left_semi").select("row.*")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
