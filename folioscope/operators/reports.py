@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import lint
 from ..functions.codes import milliseconds, parse_timecode
 from ..schemas import NODE_TYPES
+from .evaluation import matched_nodes
 from .grade import located
 from .sweep import both_ends
 
@@ -138,15 +139,50 @@ def joined_metrics(base: DataFrame, *others: DataFrame) -> DataFrame:
     return out
 
 
-def stage_trajectory(scores: DataFrame, lints: DataFrame) -> DataFrame:
-    return scores.join(lints, "stage", "full").orderBy("stage")
+def stage_trajectory(nodes: DataFrame, claims: DataFrame, golden: DataFrame) -> DataFrame:
+    """Per model and stage of its development: claims, node recall and precision against the golden names, and lint flags, all from the digests' rows.
+
+    ``nodes`` has (model, stage, type, node_id, name), ``claims`` (model, stage, text), ``golden`` (golden_id, type, canonical, aliases) and its must-find names alone.
+    """
+    ids = nodes.select("type", F.struct("model", "stage", "node_id").alias("ext_id"), "name")
+    found = matched_nodes(ids, golden).select("ext_id.model", "ext_id.stage", "golden_id")
+    must = golden.agg(F.countDistinct("golden_id").alias("must_find"))
+    rate = lambda part, over: F.bround(F.try_divide(F.col(part).cast("double"), F.col(over)), 3)
+    hits = found.groupBy("model", "stage").agg(F.count(F.lit(1)).alias("nodes"), F.countDistinct("golden_id").alias("matched"), F.count("golden_id").alias("_known")).crossJoin(F.broadcast(must))  # one row
+    hits = hits.select("model", "stage", "nodes", "matched", rate("matched", "must_find").alias("node_recall"), rate("_known", "nodes").alias("node_precision"))
+    said = claims.groupBy("model", "stage").agg(F.count(F.lit(1)).alias("claims"), *(F.count_if(c).alias(n) for n, c in lint.flags(F.col("text")).items()))
+    return hits.join(said, ["model", "stage"], "full")
+
+
+def run_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(run, line, value) of a folder's run outputs: each file's name and its lines in order."""
+    files = spark.read.text(path, wholetext=True).withColumn("run", F.regexp_extract(F.input_file_name(), "([^/]+)$", 1))
+    return files.select("run", F.posexplode(F.split("value", "\r?\n")).alias("line", "value"))
 
 
 def run_log(lines: DataFrame) -> DataFrame:
-    """Rounds, traces and usage from a run's output lines: (stage, round, fresh), or a trace's steps, or usage."""
+    """Rounds, traces and usage from a run's output lines: (stage, round, fresh), or a trace's steps, or usage; with the run and the line where the lines have them."""
     pattern = "(nodes|claims) iter ([0-9]+): [+]([0-9]+) (?:nodes|claims)"
     get = lambda p, i: F.nullif(F.regexp_extract("value", p, i), F.lit(""))
     trace = F.from_json(get("TRACE_JSON: (\\[.*\\])", 1), "array<map<string,string>>")
     usage = F.from_json(get("USAGE_JSON: *(\\{.*\\})", 1), "map<string,string>")
-    out = lines.select(get(pattern, 1).alias("stage"), get(pattern, 2).try_cast("int").alias("round"), get(pattern, 3).try_cast("int").alias("fresh"), trace.alias("trace"), usage.alias("usage"))
+    place = [c for c in ("run", "line") if c in lines.columns]
+    out = lines.select(*place, get(pattern, 1).alias("stage"), get(pattern, 2).try_cast("int").alias("round"), get(pattern, 3).try_cast("int").alias("fresh"), trace.alias("trace"), usage.alias("usage"))
     return out.where("stage is not null or trace is not null or usage is not null")
+
+
+def run_progression(log: DataFrame) -> DataFrame:
+    """(run, loop, stage, fresh, nodes, claims, items, cost, cum_cost, input, output) in the order of calls: what each round brought, and running totals.
+
+    The n-th round of a run goes with the n-th step of its trace, the last trace that it wrote; either may be longer. Counts that a step lacks are 0.
+    """
+    order = Window.partitionBy("run").orderBy("line")
+    rounds = log.where("stage is not null").select("run", F.row_number().over(order).alias("loop"), "stage", "fresh")
+    last = log.where("trace is not null").groupBy("run").agg(F.max_by("trace", "line").alias("trace"))
+    number = lambda c, kind: F.coalesce(F.try_element_at("step", F.lit(c)).try_cast(kind), F.lit(0).cast(kind))
+    steps = last.select("run", F.posexplode("trace").alias("at", "step")).select("run", (F.col("at") + 1).alias("loop"), number("cost_usd", "double").alias("cost"), number("input_tokens", "long").alias("_in"), number("output_tokens", "long").alias("_out"))
+    both = rounds.join(steps, ["run", "loop"], "full").na.fill(0, ["fresh", "cost", "_in", "_out"])
+    upto = Window.partitionBy("run").orderBy("loop").rowsBetween(Window.unboundedPreceding, 0)
+    of = lambda stage: F.sum(F.when(F.col("stage") == stage, F.col("fresh")).otherwise(0)).over(upto)
+    out = both.select("run", "loop", "stage", "fresh", of("nodes").alias("nodes"), of("claims").alias("claims"), "cost", F.round(F.sum("cost").over(upto), 6).alias("cum_cost"), F.sum("_in").over(upto).alias("input"), F.sum("_out").over(upto).alias("output"))
+    return out.withColumn("items", F.col("nodes") + F.col("claims"))

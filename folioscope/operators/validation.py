@@ -82,6 +82,62 @@ def rollup_status(items: DataFrame, key: str) -> DataFrame:
     return items.groupBy(key).agg(F.when(F.bool_and(F.col("status") == "ready"), "ready").otherwise("blocked").alias("status"), F.sum("units").alias("units"), F.sha2(F.array_join(F.array_sort(F.collect_list("evidence")), "\n"), 256).alias("evidence"))
 
 
+# Rights bases, and the codes of what is decided about a record and a corpus.
+LOCAL_BASIS, PERMITTED = "local_information_analysis", ("open_licence", "internal_evaluation_permission")
+ADMITTED, AWAITED, LOCAL_RIGHTS, BLOCKERS = "admitted-local-evaluation", "await-reference-highlights", "resolve-local-rights", "resolve-evaluation-blockers"
+
+
+def item_problems(items: DataFrame, bases: list[str]) -> DataFrame:
+    """(slot, rule) of manifest entries that contradict their evidence; the readiness of such a corpus is not to be believed.
+
+    ``items`` has (corpus, slot, review_id, basis, rights, controlled, permitted, manifest_hash, record_hash, record_rights, reviewed, coverage, digestible, digest_hash, gold_units, local, hosted).
+    """
+    local, hosted = _ready(F.lit(True))
+    said = lambda c, ready: F.col(c).eqNullSafe(F.when(ready, "ready").otherwise("blocked"))
+    rules = {
+        "no admitted rights basis": F.col("basis").isin(*bases), "record differs from the manifest": F.col("record_hash") == F.col("manifest_hash"), "rights differ from the record": F.col("record_rights").eqNullSafe(F.col("rights")),
+        "source review is not complete": F.col("reviewed") & (F.col("coverage") == 1.0) & F.col("digestible"), "digest of another record": F.col("digest_hash") == F.col("manifest_hash"),
+        "local readiness contradicts its evidence": said("local", local), "hosted readiness contradicts its evidence": said("hosted", hosted), "no slot": F.trim("slot") != "", "no review id": F.trim("review_id") != "",
+    }
+    broken = F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(rule)) for rule, ok in rules.items()]))
+    twice = lambda c: items.where(F.col(c).isNotNull()).groupBy("corpus", c).agg(F.count(F.lit(1)).alias("n"), F.min("slot").alias("_slot")).where("n > 1")
+    return items.select("slot", F.explode(broken).alias("rule")).unionByName(twice("slot").select(F.col("_slot").alias("slot"), F.lit("slot repeats").alias("rule"))).unionByName(twice("review_id").select(F.col("_slot").alias("slot"), F.lit("review id repeats").alias("rule")))
+
+
+def _ready(reviewed: Column) -> tuple[Column, Column]:
+    """Whether an item is ready for local and for hosted use: reviewed, with gold, and with rights for it."""
+    basis, permitted = F.col("basis"), F.coalesce("permitted", F.lit(False))
+    controlled = (basis == LOCAL_BASIS) & (F.col("rights") == "publicly_accessible") & F.coalesce("controlled", F.lit(False))
+    local = (basis == "public_domain") | controlled | (basis.isin(*PERMITTED) & permitted)
+    hosted = F.col("rights").isin("public_domain", "open_licence") | ((basis == PERMITTED[1]) & permitted)
+    gold = reviewed & (F.coalesce("gold_units", F.lit(0)) > 0)
+    return gold & F.coalesce(local, F.lit(False)), gold & F.coalesce(hosted, F.lit(False))
+
+
+def item_states(items: DataFrame) -> DataFrame:
+    """Per item: status (reviewed or blocked), gold (human-reviewed or unavailable), readiness, and what is decided about it; missing gold comes before missing rights."""
+    whole = F.coalesce(F.col("reviewed") & (F.col("coverage") == 1.0) & F.col("digestible"), F.lit(False))
+    local, hosted = _ready(whole)
+    gold = F.coalesce("gold_units", F.lit(0)) > 0
+    word = lambda ready: F.when(ready, "ready").otherwise("blocked")
+    return items.select(
+        "corpus", "slot", F.when(local, "reviewed").otherwise("blocked").alias("status"), F.when(gold, "human-reviewed").otherwise("unavailable").alias("gold"), F.coalesce("gold_units", F.lit(0)).cast("long").alias("units"),
+        word(local).alias("local"), word(hosted).alias("hosted"), F.when(~gold, AWAITED).when(~local, LOCAL_RIGHTS).otherwise(ADMITTED).alias("decision"), F.col("digest_hash").alias("evidence"),
+    )
+
+
+def corpus_state(states: DataFrame) -> DataFrame:
+    """The rollup of :func:`item_states`: a corpus is reviewed only if all its items are; what blocks it is one reason, or several."""
+    every = lambda c, value: F.bool_and(F.col(c) == value)
+    out = states.groupBy("corpus").agg(
+        F.when(every("status", "reviewed"), "reviewed").otherwise("blocked").alias("status"), F.when(every("gold", "human-reviewed"), "human-reviewed").otherwise("unavailable").alias("gold"), F.sum("units").alias("units"),
+        F.count_if(F.col("local") == "ready").alias("local_ready"), F.count_if(F.col("hosted") == "ready").alias("hosted_ready"), F.collect_set(F.when(F.col("decision") != ADMITTED, F.col("decision"))).alias("_open"),
+        F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "slot", "evidence"))), "\n"), 256).alias("evidence"),
+    )
+    decision = F.when(F.col("status") == "reviewed", ADMITTED).when((F.size("_open") == 1) & (F.col("_open")[0] == AWAITED), AWAITED).otherwise(BLOCKERS)
+    return out.withColumn("decision", decision).drop("_open")
+
+
 # What evaluation input may be used for, and on what ground a record is admitted.
 USES = ("local-deterministic-grading", "hosted-model-inference")
 GROUNDS = ("public_domain", "open_licence", "internal_evaluation_permission", "local_information_analysis")
