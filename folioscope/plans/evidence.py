@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codes, lint
 from ..functions import text as T
-from ..operators import accounts, dedup, evaluation, fixtures, gold, grade, graph, health, permutation, ordering, reports, salience, spans, validation
+from ..operators import accounts, align, dedup, evaluation, fixtures, gold, grade, graph, health, ordering, permutation, reports, salience, spans, validation
 from ..session import table
 from .catalogue import _INTERVALS, intervals, low, query
 
@@ -345,3 +346,50 @@ def q84_binding_by_axis(spark, d):
     told = F.array(*[F.struct(F.lit(a).alias("account_id"), F.lit(x).alias("axis"), name.alias("label"), F.lit(s).alias("start"), F.lit(e).alias("end")) for a, x, name, s, e in (("s", "seconds", F.lit(""), 20000.0, 60000.0), ("c", "char", F.lit(""), 100.0, 5000.0), ("h", "chapter", label, 0.0, 3000.0))])
     spans_ = events.select("user_id").distinct().select(F.col("user_id").alias("record_key"), F.inline(told))
     return accounts.bind(claims, spans_).groupBy("axis", "bound").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _numbered(spark, d) -> DataFrame:
+    """Documents of 50 words and more, each word with its place, so that every word stands once: (record_key, ws, body)."""
+    ws = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("record_key"), F.transform(T.tokens(F.col("text")), lambda w, i: F.concat(w, (i + 1).cast("string"))).alias("ws")).where("size(ws) >= 50")
+    return ws.withColumn("body", F.array_join("ws", " "))
+
+
+_NUMBERED = f"""n AS (SELECT doc_id::VARCHAR AS record_key, list_transform(regexp_extract_all({low('text')}, '[a-z0-9]+'), lambda x, i: x || i) AS ws FROM documents WHERE len(regexp_extract_all({low('text')}, '[a-z0-9]+')) >= 50)"""
+
+
+def _slice(a: int, b: int) -> str:
+    """Words a to b."""
+    return f"array_join(slice(ws, {a}, {b - a + 1}), ' ')"
+
+
+@query(f"""
+WITH {_NUMBERED},
+s AS (SELECT record_key, length(array_to_string(ws[4:10], ' ')) / length(array_to_string(ws[1:10], ' ')) AS s1, length(array_to_string(ws[30:32], ' ')) / length(array_to_string(ws[25:32], ' ')) AS s2 FROM n)
+SELECT record_key AS digest_key, round((s1 + s2) / 2, 9) AS recall, ((s1 >= 0.5)::INT + (s2 >= 0.5)::INT)::BIGINT AS fully_covered, 2::BIGINT AS units, 1::BIGINT AS unlocatable_gold, 5::BIGINT AS claims, 0.6::DOUBLE AS fidelity,
+  2::BIGINT AS contiguous, 1::BIGINT AS elided, 1::BIGINT AS reordered, 1::BIGINT AS broken, 1::BIGINT AS off_target, round(1 / 3, 9)::DOUBLE AS off_target_rate FROM s""")
+def q85_grade(spark, d):
+    """A generated digest for each document, graded end to end: overlapping, elided, reordered, broken and off-target quotes against three units of gold."""
+    docs = _numbered(spark, d)
+    units = F.array(*[F.struct(F.lit(k).alias("unit_id"), F.array(F.expr(p)).alias("parts")) for k, p in (("u1", _slice(1, 10)), ("u2", _slice(25, 32)), ("u3", "'no such words'"))])
+    said = (_slice(4, 15), f"concat({_slice(8, 9)}, ' ... ', {_slice(30, 33)})", f"concat({_slice(30, 31)}, ' ... ', {_slice(2, 3)})", "'nor such words'", _slice(40, 44))
+    quotes = F.array(*[F.struct(F.lit(f"c{k}").alias("claim_id"), F.expr(q).alias("quote")) for k, q in enumerate(said)])
+    gold = docs.select("record_key", F.inline(units))
+    claims = docs.select(F.col("record_key").alias("digest_key"), "record_key", F.inline(quotes))
+    out = grade.grade(docs.select("record_key", "body"), gold, claims)
+    figures = ["fully_covered", "units", "unlocatable_gold", "claims", "fidelity", "contiguous", "elided", "reordered", "broken", "off_target"]
+    return out.select("digest_key", F.round("recall", 9).alias("recall"), *figures, F.round("off_target_rate", 9).alias("off_target_rate"))
+
+
+@query(f"""
+WITH {_NUMBERED},
+o AS (SELECT record_key, length(array_to_string(ws[1:3], ' ')) + 1 AS a, length(array_to_string(ws[1:14], ' ')) + 1 AS b FROM n)
+SELECT record_key, claim_id, CASE claim_id WHEN 'lost' THEN 'p. 7' WHEN 'plain' THEN 'char:' || a || '-' || b ELSE '00:00:04.5-00:00:21.0' END AS location, CASE claim_id WHEN 'lost' THEN 'unaligned' ELSE 'aligned' END AS state
+FROM o, (VALUES ('plain'), ('timed'), ('lost')) c(claim_id)""")
+def q86_relocated(spark, d):
+    """Locations written anew from where quotes align, in characters of a body and in seconds of its words."""
+    docs = _numbered(spark, d)
+    words = docs.select("record_key", F.posexplode("ws").alias("pos", "word"))
+    claim = lambda name, quote: docs.select("record_key", F.lit(name).alias("claim_id"), F.expr(quote).alias("quote"), F.lit("p. 7").alias("location"))
+    plain = align.relocated(claim("plain", _slice(4, 15)).unionByName(claim("lost", "'nothing of the kind'")), spans.word_offsets(docs, "record_key", "body"), False)
+    timed = align.relocated(claim("timed", _slice(4, 15)), words.withColumn("at", F.col("pos") * 1.5), True)
+    return plain.unionByName(timed).select("record_key", "claim_id", "location", "state")
