@@ -191,13 +191,15 @@ def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
     columns = docs.columns
+    rest = [c for c in columns if c != "text"]
 
     def kept(search):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in slices(batches):
-                (verdict,) = search(iter([b.select([0, 1])]))
+                (verdict,) = search(iter([pa.RecordBatch.from_arrays([b.column(0), b.column(1).fill_null("")], names=["doc_id", "text"])]))
                 clean = pa.array(~np.asarray(verdict.column("contaminated")))
-                yield pa.RecordBatch.from_arrays(b.column(2).flatten(), names=columns).filter(clean)
+                out = dict(zip(rest, b.column(2).flatten(), strict=True)) | {"text": b.column(1)}
+                yield pa.RecordBatch.from_arrays([out[c] for c in columns], names=columns).filter(clean)
 
         return run
 
@@ -205,7 +207,7 @@ def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     out = docs
     for k, block, last in numbered(blocks_of(benchmark)):
         patterns = spark.sparkContext.broadcast(compile_patterns(block))
-        ready = out.select(F.lit(0).cast("long").alias("key"), F.coalesce("text", F.lit("")).alias("text"), F.struct(*columns).alias("row"))  # any names go in the struct
+        ready = out.select(F.lit(0).cast("long").alias("key"), "text", F.struct(*rest).alias("row"))  # any names go in the struct; the text travels once
         out = ready.mapInArrow(kept(_scan(patterns, True)), docs.schema)
         if not last:
             out = scratch.save(out, f"kept{k}")

@@ -216,14 +216,15 @@ def keep_recognised(docs: DataFrame) -> DataFrame:
     model = spark.sparkContext.broadcast(fit(base.where(~held_out("doc_id", 3, 1))))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
     columns = docs.columns
-    ready = docs.select(F.lit(0).cast("long").alias("key"), F.coalesce("text", F.lit("")).alias("text"), F.struct(*columns).alias("row"))  # any names go in the struct
+    rest = [c for c in columns if c != "text"]
+    ready = docs.select(F.lit(0).cast("long").alias("key"), "text", F.struct(*rest).alias("row"))  # any names go in the struct; the text travels once
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         for b in slices(batches):
-            got = m.predict(b.column(1).to_pylist())
+            got = m.predict(b.column(1).fill_null("").to_pylist())
             keep = pa.array([p != "und" and s >= MIN_SCORE for p, s in got], pa.bool_())
-            out = dict(zip(columns, b.column(2).flatten(), strict=True))
+            out = dict(zip(rest, b.column(2).flatten(), strict=True)) | {"text": b.column(1)}
             out["lang"] = pa.array([x if x is not None else p for x, (p, _) in zip(out["lang"].to_pylist(), got, strict=True)], out["lang"].type)
             yield pa.RecordBatch.from_arrays([out[c] for c in columns], names=columns).filter(keep)
 

@@ -181,16 +181,17 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 def keep_clean(docs: DataFrame) -> DataFrame:
     """The documents that pass, without their failing lines; same columns, ``n_chars`` of the new text.
 
-    Nothing is shuffled: the row travels through the map as one struct beside the text, so its columns may have any names.
+    Nothing is shuffled: the row travels through the map as one struct beside the text, so other columns may have any names.
     """
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
     columns, types = docs.columns, dict(docs.dtypes)
-    ready = docs.select(F.lit(0).cast("long").alias("key"), F.coalesce(F.col("text"), F.lit("")).alias("text"), F.struct(*columns).alias("row"))
+    rest = [c for c in columns if c != "text"]
+    ready = docs.select(F.lit(0).cast("long").alias("key"), F.coalesce(F.col("text"), F.lit("")).alias("text"), F.struct(*rest).alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             r = assess(b.select([0, 1]))
-            by_name = dict(zip(columns, b.column(2).flatten(), strict=True)) | {"text": r.column("clean_text")}
+            by_name = dict(zip(rest, b.column(2).flatten(), strict=True)) | {"text": r.column("clean_text")}
             yield pa.RecordBatch.from_arrays([by_name[c] for c in columns], names=columns).filter(r.column("kept"))
 
     out = ready.mapInArrow(run, docs.schema)
