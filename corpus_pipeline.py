@@ -33,10 +33,9 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     from folioscope.llm.scratch import Scratch
 
     # the row goes along as one struct, so its columns may have any names
-    whole = docs.select(F.monotonically_increasing_id().alias("number"), F.col("doc_id").alias("id"), "text", F.struct(*docs.columns).alias("row"))
-    rows = Scratch(spark, "rows").save(whole, "rows")
-    classes = ngram_join.jaccard_classes(rows.select(F.col("number").alias("doc_id"), "text"))
-    by_row = classes.select(F.col("doc_id").alias("number"), "component_id").join(rows.select("number", "id"), "number")
+    rows = Scratch(spark, "rows").save(docs.select(F.monotonically_increasing_id().alias("number"), F.struct(*docs.columns).alias("row")), "rows")
+    classes = ngram_join.jaccard_classes(rows.select(F.col("number").alias("doc_id"), F.col("row.text").alias("text")))
+    by_row = classes.select(F.col("doc_id").alias("number"), "component_id").join(rows.select("number", F.col("row.doc_id").alias("id")), "number")
     first = by_row.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "number")).alias("x"))
     return rows.join(first.select("x.number"), "number", "left_semi").select("row.*")
 
