@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,16 +12,16 @@ from . import reach
 
 
 def saved(df: DataFrame) -> DataFrame:
-    """Cut the lineage of an iteration in the session's checkpoint folder; where all of Spark is one process, as in tests, it may do without one."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        root = sc.getConf().get("spark.checkpoint.dir", None)
-        if root is None:
-            if not re.match(r"local(\[|$)", sc.master):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            return df.persist()
-        sc.setCheckpointDir(root)
-    return df.checkpoint()
+    """Cut the lineage by a table in the session's checkpoint folder, whose size the optimizer then knows; where all of Spark is one process, as in tests, it may do without one."""
+    spark = df.sparkSession
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        return df.persist()
+    path = f"{root.rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def doubled(edges: DataFrame, keys: list[str], most: int = 64) -> DataFrame:
