@@ -24,9 +24,10 @@ def sole_reference(refs: DataFrame, claim: str) -> DataFrame:
     return out.withColumn("wrong_rate", F.try_divide(F.col("wrong").cast("double"), F.col("assessed")))
 
 
-def subject_first(claims: DataFrame) -> DataFrame:
-    """Sole references whose head (before a comma or bracket) stands in the first 60 characters of the text."""
-    head = F.trim(F.regexp_extract(F.element_at("refs", 1)["name"], "^([^,(]*)", 1))
+def subject_first(claims: DataFrame, given: str | None = None) -> DataFrame:
+    """Sole references whose head stands in the first 60 characters of the text: their name before a comma or bracket, or, as it is, the ``given`` field of the reference."""
+    ref = F.element_at("refs", 1)
+    head = F.trim(F.regexp_extract(ref["name"], "^([^,(]*)", 1)) if given is None else ref[given]
     sole = claims.where(F.size("refs") == 1).select(F.element_at("refs", 1)["role"].alias("role"), F.contains(T.lowered(F.substring("text", 1, 60)), T.lowered(head)).alias("first"))
     return sole.agg(F.count_if("first").alias("named_first"), F.count_if(F.col("first") & (F.col("role") == "subject")).alias("subject"), F.try_divide(F.count_if(F.col("first") & (F.col("role") == "subject")).cast("double"), F.count_if("first")).alias("rate"))
 
