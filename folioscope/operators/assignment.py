@@ -5,7 +5,10 @@ leaves it unmatched. Seen this way every node gets exactly one node, both direct
 permutation takes the heaviest matching twice, so prices may be kept from one phase to the next. Weights are whole numbers, multiplied by the number of
 nodes + 1: an auction that ends with steps of 1 is exact.
 
-A group of at most ``BLOCK_EDGES`` edges is settled by one task. The bidders of a larger one are dealt to blocks of that size: in a round each block bids
+Of each node on a group's smaller side only the best candidates count, as many as that side has nodes: the others of the side take
+at most all but one of them, so a heaviest assignment can do without the rest.
+
+A group of at most ``WHOLE_EDGES`` edges that are left is settled by one task. The bidders of a larger one are dealt to blocks of ``BLOCK_EDGES``: in a round each block bids
 until its own bidders are content, each node goes to the highest bid of all blocks, and who was outbid bids again. A bid made at prices that have risen since
 stays a valid one, as risen prices only make the bidder's other choices worse.
 """
@@ -16,13 +19,15 @@ from collections import deque
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import saved
 
-#: Edges of a block; decimals of a score that count; how much smaller the steps of each phase are; the weight of a pair beside its score.
-BLOCK_EDGES, DIGITS, SHRINK, PAIR = 200_000, 6, 40, 1000
+#: Edges of a group in one task (some 30 bytes each), and of a block; decimals of a score that count; how much smaller the steps of each phase are; the weight of a pair beside its score.
+WHOLE_EDGES, BLOCK_EDGES, DIGITS, SHRINK, PAIR = 24_000_000, 200_000, 6, 40, 1000
 
 
 def settle(first: np.ndarray, node: np.ndarray, value: np.ndarray, price: np.ndarray, owner: np.ndarray, held: np.ndarray, step: int) -> None:
@@ -62,13 +67,34 @@ def _steps(top: int) -> list[int]:
 
 
 def _whole_group(group: str):
-    def run(edges: pd.DataFrame) -> pd.DataFrame:
-        bidders, nodes, first, node, value = _coded(edges)
-        price, held = np.zeros(len(nodes), np.int64), np.full(len(bidders), -1)
-        for step in _steps(int(edges["top"].iloc[0])):
+    def run(pairs: pa.Table) -> pa.Table:
+        names, codes = {}, {}
+        for side in ("gold", "predicted"):
+            coded = pairs.column(side).combine_chunks().dictionary_encode()
+            # nodes in their own order, so that equal input gives equal bids
+            order = np.asarray(pc.sort_indices(coded.dictionary))
+            rank = np.empty(len(order), np.int32)
+            rank[order] = np.arange(len(order), dtype=np.int32)
+            names[side], codes[side] = coded.dictionary.take(pa.array(order)), rank[np.asarray(coded.indices)]
+        n, m = len(names["gold"]), len(names["predicted"])
+        w = np.asarray(pairs.column("w")) * (n + m + 1)
+        key = pairs.column(group)[0]
+        del pairs, coded
+        # each side's candidates, and itself at 0
+        bidder = np.concatenate([codes["gold"], codes["predicted"] + n, np.arange(n + m, dtype=np.int32)]).astype(np.int32)
+        node = np.concatenate([codes["predicted"] + n, codes["gold"], np.arange(n + m, dtype=np.int32)]).astype(np.int32)
+        order = np.lexsort((node, bidder))
+        first = np.searchsorted(bidder, np.arange(n + m + 1), sorter=order)
+        del bidder, codes
+        node, value = node[order], np.concatenate([w, w, np.zeros(n + m, np.int64)])[order]
+        top = int(w.max())
+        del w, order
+        price, held = np.zeros(n + m, np.int64), np.full(n + m, -1)
+        for step in _steps(top):
             held[:] = -1
-            settle(first, node, value, price, np.full(len(nodes), -1), held, step)
-        return pd.DataFrame({group: edges[group].iloc[0], "node": nodes[held], "owner": bidders})
+            settle(first, node, value, price, np.full(n + m, -1), held, step)
+        mine = np.flatnonzero(held[:n] >= n)
+        return pa.table({group: pa.array([key.as_py()] * len(mine), key.type), "gold": names["gold"].take(pa.array(mine)), "predicted": names["predicted"].take(pa.array(held[mine] - n))})
 
     return run
 
@@ -90,10 +116,13 @@ def _block_bids(group: str, phase: int):
     return run
 
 
+def _weight() -> Column:
+    return F.round((F.lit(PAIR) + F.col("score")) * 10**DIGITS).cast("long")
+
+
 def _edges(best: DataFrame, group: str, block_edges: int) -> DataFrame:
     """(group, bidder, node, value, top, block, blocks): both directions of each candidate, and each node to itself."""
-    weight = F.round((F.lit(PAIR) + F.col("score")) * 10**DIGITS).cast("long")
-    one = best.select(group, F.concat(F.lit("g"), "gold").alias("bidder"), F.concat(F.lit("p"), "predicted").alias("node"), weight.alias("w"))
+    one = best.select(group, F.concat(F.lit("g"), "gold").alias("bidder"), F.concat(F.lit("p"), "predicted").alias("node"), _weight().alias("w"))
     other = one.select(group, F.col("node").alias("bidder"), F.col("bidder").alias("node"), "w")
     both = one.unionByName(other)
     every = both.unionByName(both.select(group, "bidder", F.col("bidder").alias("node"), F.lit(0).cast("long").alias("w")).distinct())
@@ -124,21 +153,38 @@ def _by_rounds(wide: DataFrame, group: str) -> DataFrame:
     return state.select(group, "node", "owner")
 
 
-def optimal_matches(candidates: DataFrame, group: str, block_edges: int = BLOCK_EDGES) -> DataFrame:
+def _best(rows: DataFrame, group: str) -> DataFrame:
+    """(group, gold, predicted, score): of repeated candidates the best, and of each node on the group's smaller side as many as that side has nodes."""
+    sizes = rows.groupBy(group).agg(F.countDistinct("gold").alias("_g"), F.countDistinct("predicted").alias("_p"))
+    turned = F.col("_g") < F.col("_p")
+    few = rows.join(F.broadcast(sizes), group).withColumn("_few_g", F.when(turned, F.col("gold"))).withColumn("_few_p", F.when(~turned, F.col("predicted")))
+    few = few.select(group, "_few_g", "_few_p", "gold", "predicted", "score", F.least("_g", "_p").alias("_most"))
+    # one shuffle by the smaller side's nodes, for the best of repeats and for the ranks
+    keys = [group, "_few_g", "_few_p"]
+    once = few.repartition(*keys).groupBy(*keys, "gold", "predicted", "_most").agg(F.max("score").alias("score"))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("score"), "gold", "predicted"))
+    return once.withColumn("_rank", rank).where("_rank <= _most").select(group, "gold", "predicted", "score")
+
+
+def optimal_matches(candidates: DataFrame, group: str, block_edges: int | None = None) -> DataFrame:
     """Most pairs first, then the highest total score: (group, gold, predicted, score) candidates, one assignment a group.
 
     Scores count to ``DIGITS`` decimals, within 0 and ``PAIR``. Of repeated candidates the best counts; a row with a null in any of the four columns is no candidate. Among
-    assignments of equal weight, one of them. Weights times nodes stay within a long up to some 10^5 nodes a group.
+    assignments of equal weight, one of them. Weights times nodes stay within a long up to some 10^5 nodes a group. Groups beyond ``block_edges``, where it is given, go by blocks of that size.
     """
     kinds = dict(candidates.dtypes)
     rows = candidates.select(F.col(group), F.col("gold"), F.col("predicted"), F.col("score").cast("double").alias("score")).dropna()
-    best = saved(rows.groupBy(group, "gold", "predicted").agg(F.max("score").alias("score")))
-    edges = saved(_edges(best, group, block_edges))
-    small, wide = edges.where("blocks = 1"), edges.where("blocks > 1")
-    settled = small.groupBy(group).applyInPandas(_whole_group(group), f"{group} {kinds[group]}, node string, owner string")
-    if not wide.isEmpty():
-        settled = settled.unionByName(_by_rounds(wide, group))
+    best = saved(_best(rows, group))
+    wide = best.groupBy(group).agg((2 * F.count(F.lit(1)) + F.countDistinct("gold") + F.countDistinct("predicted")).alias("_edges")).where(F.col("_edges") > (block_edges or WHOLE_EDGES)).select(group)
+    wide = [r[0] for r in wide.collect()]
+    large = F.col(group).isin(wide) if wide else F.lit(False)
+    pairs = best.where(~large).select(group, "gold", "predicted", _weight().alias("w"))
+    found = pairs.groupBy(group).applyInArrow(_whole_group(group), f"{group} {kinds[group]}, gold {kinds['gold']}, predicted {kinds['predicted']}")
+    out = found.join(best, [group, "gold", "predicted"]).select(group, "gold", "predicted", "score")
+    if not wide:
+        return out
+    settled = _by_rounds(saved(_edges(best.where(large), group, block_edges or BLOCK_EDGES)), group)
     plain = lambda c: F.substring(c, 2, 1 << 30)
-    pairs = settled.where("owner like 'g%' and node like 'p%'").select(group, plain(F.col("owner")).alias("_gold"), plain(F.col("node")).alias("_predicted"))
+    taken = settled.where("owner like 'g%' and node like 'p%'").select(group, plain(F.col("owner")).alias("_gold"), plain(F.col("node")).alias("_predicted"))
     named = best.withColumn("_gold", F.col("gold").cast("string")).withColumn("_predicted", F.col("predicted").cast("string"))
-    return pairs.join(named, [group, "_gold", "_predicted"]).select(group, "gold", "predicted", "score")
+    return out.unionByName(taken.join(named, [group, "_gold", "_predicted"]).select(group, "gold", "predicted", "score"))

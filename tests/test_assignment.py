@@ -57,3 +57,16 @@ def test_candidates_with_nulls_repeats_and_none(spark):
     c = spark.createDataFrame([("a", 1, 2, 0.5, "n", 1), ("a", 1, 2, 0.7, "n", 1), ("a", None, 2, 0.9, "n", 1), ("a", 1, 2, None, "n", 1), (None, 1, 2, 0.9, "n", 1)], shape)
     assert [tuple(r) for r in assignment.optimal_matches(c, "g").collect()] == [("a", 1, 2, 0.7)]
     assert assignment.optimal_matches(c.limit(0), "g").collect() == []
+
+
+def test_only_the_best_of_the_smaller_side_are_looked_at(spark):
+    """Three nodes against sixty, either way round: at most three candidates of each, and the same total."""
+    rng = random.Random(8)
+    scores = [[rng.choice([0.5, rng.random()]) for _ in range(60)] for _ in range(3)]
+    rows = [("a", i, j, s) for i, r in enumerate(scores) for j, s in enumerate(r)] + [("b", j, i, s) for i, r in enumerate(scores) for j, s in enumerate(r)] + [("a", 0, 0, 0.1)]
+    c = spark.createDataFrame(rows, "g string, gold int, predicted int, score double")
+    assert sorted(map(tuple, assignment._best(c, "g").groupBy("g").count().collect())) == [("a", 9), ("b", 9)]
+    best = sum(scores[i][j] for i, j in enumerate(plain([[1000 + s for s in r] for r in scores])))
+    got = assignment.optimal_matches(c, "g").collect()
+    for g in "ab":
+        assert abs(sum(r.score for r in got if r.g == g) - best) < 1e-5 and sum(r.g == g for r in got) == 3
