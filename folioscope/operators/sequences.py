@@ -111,12 +111,10 @@ def _anchors(left: DataFrame, right: DataFrame, key: str, gram: int) -> DataFram
 
 
 def _chained(key: str, gram: int):
-    """Of each key, the runs of words that the chain matches, and the stretches between them."""
+    """Of each key, a row with its segments, the runs of words that the chain matches, and the stretches between them."""
 
-    def run(segments: pd.DataFrame) -> pd.DataFrame:
-        n_left, n_right = int(segments["n_left"].iloc[0]), int(segments["n_right"].iloc[0])
-        known = segments.dropna(subset=["l"])
-        l, r, n = (known[c].to_numpy(np.int64) for c in ("l", "r", "n"))  # noqa: E741
+    def stretches(segments: list, n_left: int, n_right: int) -> list[tuple[bool, int, int, int, int]]:
+        l, r, n = (np.array([x[c] for x in segments], np.int64) for c in ("l", "r", "n"))  # noqa: E741
         rows, at_l, at_r = [], 0, 0
         for i in chain(l, r, n):
             # a segment covers gram - 1 words beyond its last beginning; what the one before has covered is cut off
@@ -129,10 +127,15 @@ def _chained(key: str, gram: int):
             rows.append((True, first_l, int(l[i]) + size, first_r, int(r[i]) + size))
             at_l, at_r = int(l[i]) + size, int(r[i]) + size
         rows.append((False, at_l, n_left, at_r, n_right))
-        rows = [x for x in rows if x[2] > x[1] and x[4] > x[3]]
-        out = pd.DataFrame(rows, columns=["matched", "l0", "l1", "r0", "r1"])
-        out.insert(0, key, segments[key].iloc[0])
-        return out
+        return [x for x in rows if x[2] > x[1] and x[4] > x[3]]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for df in batches:
+            found = [stretches([] if x is None else list(x), int(a), int(b)) for x, a, b in zip(df["segments"], df["n_left"], df["n_right"], strict=True)]
+            which = np.repeat(np.arange(len(df)), [len(f) for f in found])
+            out = pd.DataFrame([x for f in found for x in f], columns=["matched", "l0", "l1", "r0", "r1"])
+            out.insert(0, key, df[key].take(which).reset_index(drop=True))
+            yield out
 
     return run
 
@@ -148,17 +151,19 @@ def matched_words(left: DataFrame, right: DataFrame, key: str, gram: int = GRAM)
     size = lambda df, name: df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
     sizes = size(left, "n_left").join(size(right, "n_right"), key)
     kind = dict(left.dtypes)[key]
-    parts = sizes.join(_anchors(left, right, key, gram), key, "left").groupBy(key).applyInPandas(_chained(key, gram), f"{key} {kind}, matched boolean, l0 long, l1 long, r0 long, r1 long")
+    segments = _anchors(left, right, key, gram).groupBy(key).agg(F.collect_list(F.struct("l", "r", "n")).alias("segments"))
+    parts = sizes.join(segments, key, "left").mapInPandas(_chained(key, gram), f"{key} {kind}, matched boolean, l0 long, l1 long, r0 long, r1 long")
     parts = saved(parts)
+    # a stretch is one small row and stands for many words, so its table's size says nothing of theirs: no join of words may be a broadcast
     runs = parts.where("matched").select(key, F.explode(F.sequence(F.lit(0).cast("long"), F.col("l1") - F.col("l0") - 1)).alias("_step"), "l0", "r0").select(key, (F.col("l0") + F.col("_step")).alias("l"), (F.col("r0") + F.col("_step")).alias("r"))
     gaps = parts.where("not matched")
 
     def words_of(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
         places = gaps.select(key, "l0", "r0", F.explode(F.sequence(F.col(a), F.col(b) - 1)).alias("pos"))
-        found = places.join(df.select(key, "pos", "word"), [key, "pos"])
+        found = places.hint("merge").join(df.select(key, "pos", "word"), [key, "pos"])
         return found.groupBy(key, "l0", "r0").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "word"))), lambda x: x["word"]).alias(name))
 
-    both = words_of(left, "l0", "l1", "lw").join(words_of(right, "r0", "r1", "rw"), [key, "l0", "r0"])
+    both = words_of(left, "l0", "l1", "lw").hint("merge").join(words_of(right, "r0", "r1", "rw"), [key, "l0", "r0"])
 
     def between(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in batches:
@@ -169,4 +174,4 @@ def matched_words(left: DataFrame, right: DataFrame, key: str, gram: int = GRAM)
 
     places = runs.unionByName(both.mapInPandas(between, f"{key} {kind}, l long, r long"))
     given = lambda df, name: df.select(key, F.col("pos").alias(name), F.col("_given").alias(f"_{name}"))
-    return places.join(given(left, "l"), [key, "l"]).join(given(right, "r"), [key, "r"]).select(key, F.col("_l").alias("l"), F.col("_r").alias("r"))
+    return places.hint("merge").join(given(left, "l"), [key, "l"]).hint("merge").join(given(right, "r"), [key, "r"]).select(key, F.col("_l").alias("l"), F.col("_r").alias("r"))

@@ -2,6 +2,7 @@
 
 from oracle import same
 
+from folioscope.operators import batches, chunks, evaluation, sequences, spans
 from folioscope.plans import catalogue, evidence  # noqa: F401 - registers its queries
 
 
@@ -12,3 +13,45 @@ def test_heads_with_commas_and_brackets_count_as_they_are(spark, tmp_path):
     spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1).write.parquet(f"{tmp_path}/rows")
     next((tmp_path / "rows").glob("*.parquet")).rename(tmp_path / "conversations.parquet")
     same(catalogue.QUERIES["q59_subject_first"](spark, str(tmp_path)), catalogue.ORACLES["q59_subject_first"], str(tmp_path))
+
+
+def test_words_of_stretches_are_never_broadcast(spark, tmp_path, monkeypatch):
+    """A small table of long stretches stands for all words of the streams."""
+
+    def saved(df):
+        path = f"{tmp_path}/{len(list(tmp_path.iterdir()))}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    monkeypatch.setattr(sequences, "saved", saved)
+    words = spark.range(200).selectExpr("'k' AS k", "cast(id AS int) AS pos", "concat('w', id) AS word")
+    got = sequences.matched_words(words, words.where("pos <> 50"), "k")
+    assert "Broadcast" not in got._jdf.queryExecution().sparkPlan().toString()
+    assert got.count() == 199
+
+
+def test_account_texts_are_compared_once(spark):
+    """No pair of accounts compares texts of its own; the join of accounts comes after."""
+    shape = "k int, account_id int, title string, subject string, l0 int, l1 int"
+    g = spark.createDataFrame([(1, i, "the red house", None, 1, 5) for i in range(4)], shape)
+    p = spark.createDataFrame([(1, i, "a red barn", "", None, None) for i in range(3)] + [(1, 9, None, "house", 9, 9)], shape)
+    out = evaluation.account_candidates(g, p, "k")
+    assert {(r.predicted, r.semantic_score, r.eligible) for r in out.collect()} == {(0, 0.5, True), (1, 0.5, True), (2, 0.5, True), (9, 0.0, False)} and out.count() == 16
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_intersect" not in plan[: plan.index("RepartitionByExpression")]
+
+
+def test_maps_over_texts_hold_pieces():
+    import pyarrow as pa
+
+    texts = ["a" * 40, None, "b" * 200, "", *["c" * 30] * 5]
+    b = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["k", "t"])
+    got = list(batches.pieces(b, 1, 100))
+    assert pa.Table.from_batches(got).equals(pa.Table.from_batches([b])) and [p.num_rows for p in got] == [2, 1, 4, 2]
+    assert list(batches.pieces(b.slice(0, 0), 1)) == []
+
+
+def test_word_and_chunk_maps_over_odd_texts(spark):
+    docs = spark.createDataFrame([(1, "ab cd\nef"), (2, None), (3, "")], "k int, t string")
+    assert sorted(map(tuple, spans.word_offsets(docs, "k", "t").collect())) == [(1, 0, "ab", 0), (1, 1, "cd", 3), (1, 2, "ef", 6)]
+    assert sorted(map(tuple, chunks.chunk_rows(docs, "k", "t", 150_000).collect())) == [(1, 0, 0, 8, "ab cd\nef"), (2, 0, 0, 0, ""), (3, 0, 0, 0, "")]
