@@ -5,11 +5,13 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
+from .batches import pieces
+
 MOST, LEAST_HARD, LEAST_CHUNK = 150_000, 20_000, 50_000
 # In order of preference: a page marker, a heading, a blank line, a line break; the split comes after the match's first newline.
 _BOUNDARIES = (re.compile(r"\n(?=<!-- page|file_page: )"), re.compile(r"\n(?=## )"), re.compile(r"\n\n"), re.compile(r"\n"))
@@ -52,16 +54,18 @@ def build(text: str, most: int) -> list[tuple[int, int]]:
 def chunk_rows(docs: DataFrame, key: str, text: str, most: int, least: int | None = None) -> DataFrame:
     """(key, idx, start, end, text). A narrow map: one row's text at a time."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for df in batches:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (piece for batch in batches for piece in pieces(batch, 1)):
             rows = []
-            for k, t in zip(df[key], df[text], strict=True):
+            for k, t in enumerate(b.column(1).to_pylist()):
                 t = t or ""
                 spans = build(t, most) if least is None else windows(t, most, least)
                 rows += [(k, i, s, e, t[s:e]) for i, (s, e) in enumerate(spans)]
-            yield pd.DataFrame(rows, columns=[key, "idx", "start", "end", "text"])
+            row, *more = zip(*rows, strict=True)
+            places = [pa.array(x, kind) for x, kind in zip(more, (pa.int32(), pa.int32(), pa.int32(), pa.string()), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), *places], names=[key, "idx", "start", "end", "text"])
 
-    return docs.select(key, text).mapInPandas(run, f"{key} {dict(docs.dtypes)[key]}, idx int, start int, end int, text string")
+    return docs.select(key, text).mapInArrow(run, f"{key} {dict(docs.dtypes)[key]}, idx int, start int, end int, text string")
 
 
 class Chunks:
