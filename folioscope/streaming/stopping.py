@@ -1,6 +1,6 @@
 """The stop rule of extraction as a stream: one row a round, and for each record the identities kept so far and where its chunks stand.
 
-State is two maps a record: identities, and (rounds, stopped) of each chunk. It goes a while after a record's last round (``idle_ms``). A run that
+State is two lists a record: identities, and (chunk, rounds, stopped). It goes a while after a record's last round (``idle_ms``). A run that
 is stopped takes up where its checkpoint ends, so rounds may come in any number of pieces, in order within a record.
 """
 
@@ -29,23 +29,31 @@ class StopRule(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getMapState("seen", "identity string", "kept boolean")
-        self.chunks = handle.getMapState("chunks", "chunk int", "rounds int, stopped boolean")
+        self.seen = handle.getListState("seen", "identity string")
+        self.chunks = handle.getListState("chunks", "chunk int, rounds int, stopped boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        out = []
-        for row in pd.concat(list(rows)).sort_values(["chunk", "round"]).itertuples():
-            at = (int(row.chunk),)
-            rounds, stopped = self.chunks.getValue(at) if self.chunks.containsKey(at) else (0, False)
+        # each call of the state is a round trip to the JVM, so it is read once and written once
+        seen = {x for (x,) in self.seen.get()}
+        chunks = {chunk: (rounds, stopped) for chunk, rounds, stopped in self.chunks.get()}
+        out, new = [], []
+        given = pd.concat(list(rows)).sort_values(["chunk", "round"])
+        for chunk, at, items, complete in zip(given["chunk"].tolist(), given["round"].tolist(), given["items"].tolist(), given["complete"].tolist(), strict=True):
+            rounds, stopped = chunks.get(chunk, (0, False))
             if stopped:
                 continue
             fresh = 0
-            for x in sorted(([] if row.items is None else row.items), key=lambda x: x["pos"]):
-                if x["identity"] is not None and not self.seen.containsKey((x["identity"],)):
-                    self.seen.updateValue((x["identity"],), (True,))
-                    out.append((key[0], at[0], int(row.round), int(x["pos"]), x["identity"]))
+            for x in sorted(([] if items is None else items), key=lambda x: x["pos"]):
+                identity = x["identity"]
+                if identity is not None and identity not in seen:
+                    seen.add(identity)
+                    new.append((identity,))
+                    out.append((key[0], int(chunk), int(at), int(x["pos"]), identity))
                     fresh += 1
-            self.chunks.updateValue(at, (rounds + 1, bool(row.complete) or fresh < self.least or rounds + 1 >= MAX_ROUNDS))
+            chunks[chunk] = (rounds + 1, bool(complete) or fresh < self.least or rounds + 1 >= MAX_ROUNDS)
+        if new:
+            self.seen.appendList(new)
+        self.chunks.put([(int(chunk), *x) for chunk, x in sorted(chunks.items())])
         if self.idle_ms:
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)

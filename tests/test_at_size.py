@@ -4,6 +4,7 @@ from oracle import same
 
 from folioscope.operators import batches, chunks, evaluation, sequences, spans
 from folioscope.plans import catalogue, evidence  # noqa: F401 - registers its queries
+from folioscope.streaming import stopping
 
 
 def test_heads_with_commas_and_brackets_count_as_they_are(spark, tmp_path):
@@ -55,3 +56,36 @@ def test_word_and_chunk_maps_over_odd_texts(spark):
     docs = spark.createDataFrame([(1, "ab cd\nef"), (2, None), (3, "")], "k int, t string")
     assert sorted(map(tuple, spans.word_offsets(docs, "k", "t").collect())) == [(1, 0, "ab", 0), (1, 1, "cd", 3), (1, 2, "ef", 6)]
     assert sorted(map(tuple, chunks.chunk_rows(docs, "k", "t", 150_000).collect())) == [(1, 0, 0, 8, "ab cd\nef"), (2, 0, 0, 0, ""), (3, 0, 0, 0, "")]
+
+
+def test_the_stop_rule_reads_and_writes_its_state_once():
+    """Each call of the state is a round trip, so their number does not grow with a record's rounds."""
+    import pandas as pd
+
+    calls = []
+
+    class State:
+        def __init__(self):
+            self.rows = []
+
+        def get(self):
+            calls.append("get")
+            return iter(self.rows)
+
+        def appendList(self, rows):
+            calls.append("append")
+            self.rows = self.rows + rows
+
+        def put(self, rows):
+            calls.append("put")
+            self.rows = rows
+
+    class Handle:
+        def getListState(self, name, schema):
+            return State()
+
+    rule = stopping.StopRule(1)
+    rule.init(Handle())
+    rounds = lambda a, b: pd.DataFrame([(0, i, [{"pos": 0, "identity": f"x{i // 2}"}, {"pos": 1, "identity": f"y{i}"}], False) for i in range(a, b)], columns=["chunk", "round", "items", "complete"])
+    first, second = (pd.concat(rule.handleInputRows(("k",), iter([rounds(a, b)]), None)) for a, b in ((0, 2), (2, 3)))
+    assert first["identity"].tolist() == ["x0", "y0", "y1"] and second["identity"].tolist() == ["x1", "y2"] and len(calls) == 8
