@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .batches import pieces
 from .spans import union_coverage
 from .sweep import both_ends, sums_upto
 
@@ -35,6 +37,11 @@ def search_map(text: str) -> tuple[str, list[int]]:
                         out.append(" ")
                         at.append(place)
                     continue
+                low = run[0].lower()
+                if len(low) == len(run[0]) and "Σ" not in run[0]:  # a sigma's form depends on its place
+                    out.extend(low)
+                    at.extend(range(place, place + len(low)))
+                    continue
                 for k, c in enumerate(run[0]):
                     low = c.lower()
                     out.append(low)
@@ -87,18 +94,28 @@ def part_spans(parts: list[str], search: str, at: list[int]) -> list[tuple[int,
 
 
 def _by_record(rows: DataFrame, records: DataFrame, one) -> DataFrame:
-    """``rows`` with ``status`` and ``spans`` by ``one``(row, search, map): a record's text is mapped once and travels once."""
-    schema = rows.schema
+    """``rows`` with ``status`` and ``spans`` by ``one``(row, search, map): a record's text is mapped once and travels once.
 
-    def run(mine: pd.DataFrame, text: pd.DataFrame) -> pd.DataFrame:
-        search, at = search_map(text["body"].iloc[0] or "") if len(text) else ("", [])
-        found = [one(r, search, at) for r in mine.to_dict("records")]
-        status = pd.Series([f[0] for f in found], mine.index, "object")
-        places = pd.Series([[{"start": s, "end": e} for s, e in f[1]] for f in found], mine.index, "object")
-        return mine.assign(status=status, spans=places)[[*schema.names, "status", "spans"]]
+    A record's rows are an array beside its text, so a batch holds many records; a task for each record alone would cost more than its search.
+    """
+    schema = rows.schema
+    mine = rows.groupBy("record_key").agg(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in schema.names])).alias("_rows"))
+    texts = records.groupBy(F.col("record_key").alias("_key")).agg(F.first("body").alias("body"))
+    both = mine.join(texts, F.col("record_key").eqNullSafe(F.col("_key")), "left").select("body", "_rows")
+    places = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (piece for batch in batches for piece in pieces(batch, 0)):
+            found = []
+            for body, asked in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                search, at = search_map(body or "")
+                found += [one(r, search, at) for r in asked]
+            status = pa.array([f[0] for f in found], pa.string())
+            spans = pa.array([[{"start": s, "end": e} for s, e in f[1]] for f in found], places)
+            yield pa.RecordBatch.from_arrays([*b.column(1).flatten().flatten(), status, spans], names=[*schema.names, "status", "spans"])
 
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + f", status string, spans {_SPANS}"
-    return rows.groupBy("record_key").cogroup(records.select("record_key", "body").groupBy("record_key")).applyInPandas(run, shape)
+    return both.mapInArrow(run, shape)
 
 
 def located_claims(claims: DataFrame, records: DataFrame) -> DataFrame:
