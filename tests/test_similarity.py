@@ -41,3 +41,10 @@ def test_minhash_finds_nearly_all(spark):
     got = {(r.a, r.b) for r in similarity.minhash_matches(df(left, ("a", "ta")), df(right, ("b", "tb")), 0.5).collect()}
     want = {x[:2] for x in plain(left, right, 0.5)}
     assert got <= want and len(got) >= 0.9 * len(want) > 60
+
+
+def test_sets_are_put_in_order_without_a_shuffle(spark):
+    forms = spark.createDataFrame([("f", 4, ["a", "b", "c", "d"])], "form string, n int, ts array<string>")
+    got = similarity._prefixes(forms, spark.createDataFrame([("a", 9), ("c", 7)], "t string, df long"), 0.5)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert {r.t for r in got.collect()} == {"b", "d", "c"} and [r.t for r in got.orderBy("pos").collect()][2] == "c"
