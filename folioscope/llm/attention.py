@@ -76,27 +76,6 @@ def _bounded(x: np.ndarray) -> None:
         np.minimum(x, _MOST, out=x)
 
 
-def _with_one(g: np.ndarray) -> np.ndarray:
-    """A column of ones behind, for the biases."""
-    out = np.empty((len(g), g.shape[1] + 1), np.float32)
-    out[:, :-1] = g
-    out[:, -1] = 1
-    return out
-
-
-def _softmax_loss(logits: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[float, np.ndarray]:
-    """Weighted loss, and its gradient in the logits' place."""
-    at = np.arange(len(target))
-    _bounded(logits)
-    picked = logits[at, target]
-    np.exp(logits, out=logits)
-    total = logits @ np.ones(logits.shape[1], np.float32)
-    loss = float((np.log(total) - picked) @ weight)
-    logits *= (weight / total)[:, None]
-    logits[at, target] -= weight
-    return loss, logits
-
-
 class Model:
     def __init__(self, vocabulary: Vocabulary, seed: int = 7):
         rng = np.random.default_rng(seed)
@@ -115,70 +94,92 @@ class Model:
         ahead, distance = distance < 0, np.maximum(distance, 0)
         return np.where(ahead, _FAR, self.p["far"][distance]).astype(np.float32), distance, ahead
 
-    def _state(self, last: np.ndarray, q: np.ndarray, k: np.ndarray, v: np.ndarray, bias: np.ndarray):
-        """The last layer's input at each position, and what training needs. Shapes: (rows, DIM), (windows, stride, DIM), twice (windows, WINDOW, DIM)."""
+    def _attended(self, q: np.ndarray, k: np.ndarray, v: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What each position takes from those it sees, and its weights. Shapes: (windows, stride, DIM), twice (windows, WINDOW, DIM)."""
         a = q @ k.transpose(0, 2, 1)
         a += bias
         _bounded(a)
         np.exp(a, out=a)
         a /= (a @ np.ones(WINDOW, np.float32))[..., None]
-        h = (a @ v).reshape(-1, DIM)
-        h += last
+        return (a @ v).reshape(-1, DIM), a
+
+    def _outputs(self) -> np.ndarray:
+        """Both output layers of each band side by side, so that a band's rows meet them in one product: (BANDS, DIM + 1, BANDS + MEMBERS)."""
+        return np.concatenate([np.broadcast_to(self.p["U1"], (BANDS, DIM + 1, BANDS)), self.p["U2"]], axis=2)
+
+    def _exponentials(self, h: np.ndarray, parts: list[tuple[int, slice]], outputs: np.ndarray, at: np.ndarray):
+        """Of rows in order of their bands: their hidden layer, the last layer's input with a column of ones for the biases, the exponentials of both softmaxes, their sums, and the logits at ``at``."""
         z = h @ self.p["W1"]
         np.maximum(z, 0, out=z)
-        g = z @ self.p["W2"]
-        g += h
-        return g, a, h, z
+        g = np.empty((len(h), DIM + 1), np.float32)
+        np.matmul(z, self.p["W2"], out=g[:, :DIM])
+        g[:, :DIM] += h
+        g[:, DIM] = 1
+        logits = np.empty((len(h), BANDS + MEMBERS), np.float32)
+        for b, s in parts:
+            np.matmul(g[s], outputs[b], out=logits[s])
+        _bounded(logits)
+        picked = logits.reshape(-1)[at]
+        np.exp(logits, out=logits)
+        return z, g, logits, logits.reshape(-1, MEMBERS) @ np.ones(MEMBERS, np.float32), picked
+
+    def _places(self, y: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]], np.ndarray]:
+        """An order of the ids by band, each band's rows in it, and where the two logits of each id stand among all, in that order."""
+        band = self.vocabulary.band[y]
+        order, parts = by_band(band)
+        at = np.arange(0, len(y) * (BANDS + MEMBERS), MEMBERS)
+        at[0::2] += band[order]
+        at[1::2] += self.vocabulary.member[y[order]]
+        return order, parts, at
 
     def train_step(self, x: np.ndarray, y: np.ndarray, live: np.ndarray, rate: float, state: dict) -> float:
         """One step on the ids y of all positions of the windows x; returns the mean loss in nats. Adam, but AdaGrad by row for the embeddings."""
         p, grad = self.p, {}
         rows = x.reshape(-1)
         e = np.take(p["E"], rows, axis=0)
-        shape = (*x.shape, DIM)
-        q = (e @ p["Wq"]).reshape(shape)
-        kv = e @ p["Wkv"]
-        k, v = kv[:, :DIM].reshape(shape), kv[:, DIM:].reshape(shape)
+        shape = (*x.shape, 3 * DIM)
+        projections = np.concatenate([p["Wq"], p["Wkv"]], axis=1)
+        q, k, v = np.split((e @ projections).reshape(shape), 3, axis=2)
         bias, distance, ahead = self._bias(WINDOW)
-        g, a, h, z = self._state(e, q, k, v, bias)
+        h, a = self._attended(q, k, v, bias)
+        h += e
 
         y, live = y.reshape(-1), live.reshape(-1)
-        band, member = self.vocabulary.band[y], self.vocabulary.member[y]
+        order, parts, at = self._places(y)
         weight = (live / max(1, int(live.sum()))).astype(np.float32)
-        g = _with_one(g)
-        loss, d = _softmax_loss(g @ p["U1"], band, weight)
-        grad["U1"] = g.T @ d
-        dg = d @ p["U1"][:DIM].T
-        order, parts = by_band(band)
-        gs, logits = g[order], np.empty((len(y), MEMBERS), np.float32)
+        weight = np.repeat(weight[order], 2)
+        h, outputs = np.take(h, order, axis=0), self._outputs()
+        z, g, d, total, picked = self._exponentials(h, parts, outputs, at)
+        loss = float((np.log(total) - picked) @ weight)
+        by_half = d.reshape(-1, MEMBERS)
+        by_half *= (weight / total)[:, None]
+        d.reshape(-1)[at] -= weight
+        both = np.zeros_like(outputs)
+        dg = np.empty_like(h)
         for b, s in parts:
-            np.matmul(gs[s], p["U2"][b], out=logits[s])
-        more, d = _softmax_loss(logits, member[order], weight[order])
-        grad["U2"] = np.zeros_like(p["U2"])
-        ds = np.empty_like(dg)
-        for b, s in parts:
-            np.matmul(gs[s].T, d[s], out=grad["U2"][b])
-            np.matmul(d[s], p["U2"][b, :DIM].T, out=ds[s])
-        dg[order] += ds
+            np.matmul(g[s].T, d[s], out=both[b])
+            np.matmul(d[s], outputs[b, :DIM].T, out=dg[s])
+        grad["U1"], grad["U2"] = both[:, :, :BANDS].sum(0), both[:, :, BANDS:]
         grad["W2"] = z.T @ dg
         dz = dg @ p["W2"].T
         dz *= z > 0
         grad["W1"] = h.T @ dz
-        dh = dz @ p["W1"].T
-        dh += dg
-        do = dh.reshape(shape)
-        dkv = np.empty((*x.shape, 2 * DIM), np.float32)
-        dkv[..., DIM:] = a.transpose(0, 2, 1) @ do
+        dg += dz @ p["W1"].T
+        dh = np.empty_like(dg)
+        dh[order] = dg
+        do = dh.reshape(*x.shape, DIM)
+        d = np.empty(shape, np.float32)
+        np.matmul(a.transpose(0, 2, 1), do, out=d[..., 2 * DIM :])
         da = do @ v.transpose(0, 2, 1)
         da -= np.einsum("bst,bst->bs", da, a)[..., None]
         da *= a
-        grad["far"] = np.bincount(distance[~ahead], da.sum(0)[~ahead], WINDOW).astype(np.float32)
-        dq = (da @ k).reshape(-1, DIM)
-        dkv[..., :DIM] = da.transpose(0, 2, 1) @ q
-        flat = dkv.reshape(-1, 2 * DIM)
-        grad["Wq"], grad["Wkv"] = e.T @ dq, e.T @ flat
-        dh += dq @ p["Wq"].T
-        dh += flat @ p["Wkv"].T
+        far = (np.ones(len(da), np.float32) @ da.reshape(len(da), -1)).reshape(ahead.shape)
+        grad["far"] = np.bincount(distance[~ahead], far[~ahead], WINDOW).astype(np.float32)
+        np.matmul(da, k, out=d[..., :DIM])
+        np.matmul(da.transpose(0, 2, 1), q, out=d[..., DIM : 2 * DIM])
+        flat = d.reshape(-1, 3 * DIM)
+        grad["Wq"], grad["Wkv"] = np.split(e.T @ flat, [DIM], axis=1)
+        dh += flat @ projections.T
 
         t = state["t"] = state.get("t", 0) + 1
         for name, gr in grad.items():
@@ -186,14 +187,14 @@ class Model:
             m += 0.1 * (gr - m)
             r += 0.01 * (gr * gr - r)
             p[name] -= np.float32(rate / (1 - 0.9**t)) * m / (np.sqrt(r / np.float32(1 - 0.99**t)) + np.float32(1e-8))
-        used = np.flatnonzero(np.bincount(rows, minlength=len(p["E"])))
-        place = state.setdefault("place", np.zeros(len(p["E"]), np.int64))
-        place[used] = np.arange(len(used)) * DIM
-        de = np.bincount((place[rows][:, None] + np.arange(DIM)).reshape(-1), dh.reshape(-1), len(used) * DIM).astype(np.float32).reshape(-1, DIM)
+        order = np.argsort(rows.astype(np.min_scalar_type(len(p["E"]) - 1)), kind="stable")
+        rows = rows[order]
+        begin = np.flatnonzero(np.diff(rows, prepend=rows.dtype.type(0) if rows[0] else rows.dtype.type(1)))
+        used, de = rows[begin], np.add.reduceat(np.take(dh, order, axis=0), begin, axis=0)
         square = state.setdefault("E", np.zeros(len(p["E"]), np.float32))
         square[used] += np.einsum("ud,ud->u", de, de) / DIM
         p["E"][used] -= de * (np.float32(5 * rate) / (np.sqrt(square[used]) + np.float32(1e-8)))[:, None]
-        return loss + more
+        return loss
 
     def train(self, ids: np.ndarray, lengths: np.ndarray, least: int, rate: float, state: dict, seed: int = 11) -> None:
         """Every window once, and again until ``state`` has seen ``least`` steps."""
@@ -225,37 +226,31 @@ class Model:
             self.p[k] = flat[at : at + v.size].reshape(v.shape).astype(np.float32)
             at += v.size
 
-    def score(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Natural log probability of each id given those before it in its document."""
+    def tables(self) -> tuple[np.ndarray, np.ndarray]:
+        """What each symbol brings to a scored position, and to those that see it."""
+        e = self.p["E"]
+        return np.concatenate([e, e @ self.p["Wq"]], axis=1), e @ self.p["Wkv"]
+
+    def score(self, ids: np.ndarray, lengths: np.ndarray, tables: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+        """Natural log probability of each id given those before it in its document; ``tables`` may be kept from call to call."""
         out = np.zeros(len(ids), np.float32)
         if not len(ids):
             return out
-        p, bias = self.p, self._bias(STRIDE)[0]
-        e = p["E"]
-        own_table, seen_table = np.concatenate([e, e @ p["Wq"]], axis=1), e @ p["Wkv"]
+        bias, outputs = self._bias(STRIDE)[0], self._outputs()
+        own_table, seen_table = tables or self.tables()
         x, place, live = windows(ids, lengths, STRIDE)
         for at in range(0, len(x), CHUNK):
             part = slice(at, at + CHUNK)
             own = np.take(own_table, x[part, -STRIDE:], axis=0)
             seen = np.take(seen_table, x[part], axis=0)
-            g = _with_one(self._state(own[..., :DIM].reshape(-1, DIM), own[..., DIM:], seen[..., :DIM], seen[..., DIM:], bias)[0])
+            h = self._attended(own[..., DIM:], seen[..., :DIM], seen[..., DIM:], bias)[0]
+            h += own[..., :DIM].reshape(-1, DIM)
             y = ids[place[part].reshape(-1)]
-            band, member = self.vocabulary.band[y], self.vocabulary.member[y]
-            rows = np.arange(len(y))
-            logits = g @ p["U1"]
-            _bounded(logits)
-            got = logits[rows, band] + self.vocabulary.inside[y]
-            np.exp(logits, out=logits)
-            got -= np.log(logits @ np.ones(BANDS, np.float32))
-            order, parts = by_band(band)
-            gs, logits = g[order], np.empty((len(y), MEMBERS), np.float32)
-            for b, s in parts:
-                np.matmul(gs[s], p["U2"][b], out=logits[s])
-            _bounded(logits)
-            picked = logits[rows, member[order]]
-            np.exp(logits, out=logits)
-            picked -= np.log(logits @ np.ones(MEMBERS, np.float32))
-            got[order] += picked
+            order, parts, spots = self._places(y)
+            total, picked = self._exponentials(np.take(h, order, axis=0), parts, outputs, spots)[3:]
+            picked -= np.log(total)
+            got = self.vocabulary.inside[y]
+            got[order] += picked[0::2] + picked[1::2]
             inside = live[part].reshape(-1)
             out[place[part].reshape(-1)[inside]] = got[inside]
         return out

@@ -1,13 +1,15 @@
 """Operator 3, LM scoring with a causal self-attention model trained in numpy on subword ids.
 
-1. Every training document's words and subword ids are counted: per task first, then by bucket of the word's hash. The word counts (the
-   lexicon) stay distributed; of them only the ``HEAD_WORDS`` most frequent, and one count for each id of the vocabulary, reach the driver.
-2. The attention model is fitted on the ids of all training documents, in ``ROUNDS`` rounds. A hash deals the documents to the cells of a round; a task
+1. Every training document's words are counted: per task first, then by bucket of the word's hash. The word counts (the lexicon) stay
+   distributed; of them only the ``HEAD_WORDS`` most frequent reach the driver.
+2. The ``WHOLE_WORDS`` most frequent words, which occur ``WHOLE_LEAST`` times at least, get an id of their own; the others are spelled in
+   subword ids. So a text takes fewer ids, all of which are trained on and scored. Of their counts, one for each id reaches the driver.
+3. The attention model is fitted on the ids of all training documents, in ``ROUNDS`` rounds. A hash deals the documents to the cells of a round; a task
    streams a cell's documents in chunks and trains from the round's common parameters, and the cells' mean, weighted by tokens, starts the next round.
    Cells and their sizes grow with the corpus; every token is a target at least once, and a cell takes its share of ``FIT_STEPS`` steps at least. The
    output layer is completed with the id counts of the whole corpus.
-3. Each document is scored whole, in overlapping windows (see ``attention``). A word's probability is ``ATTENTION_SHARE`` of what the attention model
-   gives its subwords, and for the rest its share of the lexicon's tokens. Words outside the head go by bucket to the lexicon's rows, packed, and come
+4. Each document is scored whole, in overlapping windows (see ``attention``). A word's probability is ``ATTENTION_SHARE`` of what the attention model
+   gives its ids, and for the rest its share of the lexicon's tokens. Words outside the head go by bucket to the lexicon's rows, packed, and come
    back as sums. A bucket is sorted by Spark and streamed; only its part of the lexicon is held.
 
 A training document is one whose crc32(doc_id as text) mod 7 is not 2. Words are lower-cased (A-Z) runs of non-space; the end of a text is a token.
@@ -19,7 +21,6 @@ scored each by itself; other columns are ignored.
 from __future__ import annotations
 
 import os
-from array import array
 from collections.abc import Iterator
 from itertools import chain, groupby
 from operator import itemgetter
@@ -36,6 +37,8 @@ from .scratch import Scratch, narrow, partitions, slices
 from .subwords import vocabulary_path
 from .wordhash import SPACE_FOLDED, Words, words
 
+#: Words with an id of their own, as many as ids of two bytes and one more symbol leave beside the 32,000 pieces, and the occurrences that one needs.
+WHOLE_WORDS, WHOLE_LEAST = 33_500, 100
 HEAD_WORDS, ROUNDS, FIT_STEPS, RATE, ATTENTION_SHARE = 200_000, 8, 400, 0.02, 0.9
 #: Tokens of a cell: so many times the root of the corpus, and so many at least; with fewer tokens than that, every round reads all documents.
 CELL_GROWTH, CELL_TOKENS = 50, 1_000_000
@@ -48,9 +51,9 @@ SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 
 
 class Pieces:
-    """The subword ids of words, kept by the words' hashes in sorted arrays; of about ``LIMIT`` words at most."""
+    """The ids of words, kept by the words' hashes in sorted arrays; of about ``LIMIT`` words at most. Words among ``whole`` have one id."""
 
-    LIMIT = 500_000
+    LIMIT = 2_000_000
     _shared: dict[str, Pieces] = {}
 
     def __init__(self, path: str):
@@ -58,6 +61,7 @@ class Pieces:
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.size, self.end = self.model.get_piece_size(), self.model.eos_id()
+        self.whole = np.zeros(0, np.uint64)
         self.forget()
 
     def forget(self) -> None:
@@ -66,17 +70,28 @@ class Pieces:
         self.pool = np.array([self.end], np.uint16)
 
     @classmethod
-    def shared(cls, name: str) -> Pieces:
+    def shared(cls, name: str, whole: np.ndarray | None = None) -> Pieces:
         if name not in cls._shared:
             cls._shared[name] = cls(name if os.sep in name else vocabulary_path(name))
-        return cls._shared[name]
+        own = cls._shared[name]
+        if whole is not None and not np.array_equal(own.whole, whole):
+            own.whole = whole
+            own.forget()
+        return own
 
     def _learn(self, hashes: np.ndarray, words_: list[bytes]) -> None:
-        """Keep the ids of new words. One that normalises to nothing is the unknown piece, so that every word has an id."""
-        found = [array("H", x or [0]) for x in self.model.encode([w.decode("utf-8", "replace") for w in words_], num_threads=1)]
+        """Keep the ids of new words. One that normalises to nothing is the unknown piece, so that every word has an id; a single piece stays as it is."""
+        found = self.model.encode(b" ".join(words_).decode("utf-8", "replace").split(" "), num_threads=1)
+        if len(self.whole):
+            nth = np.minimum(np.searchsorted(self.whole, hashes), len(self.whole) - 1)
+            for k in np.flatnonzero(self.whole[nth] == hashes):
+                if len(found[k]) > 1:
+                    found[k] = [self.size + int(nth[k])]
         length = np.fromiter(map(len, found), np.int64, len(found))
+        for k in np.flatnonzero(length == 0):
+            found[k], length[k] = [0], 1
         at = len(self.pool) + np.cumsum(length) - length
-        self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(x.tobytes() for x in found), np.uint16)])
+        self.pool = np.concatenate([self.pool, np.fromiter(chain.from_iterable(found), np.uint16, int(length.sum()))])
         place = np.searchsorted(self.known, hashes)
         self.known, self.at, self.length = np.insert(self.known, place, hashes), np.insert(self.at, place, at), np.insert(self.length, place, length)
 
@@ -85,9 +100,9 @@ class Pieces:
             return np.ones(len(hashes), bool)
         return self.known[np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)] != hashes
 
-    def stream(self, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of the batch's documents laid end to end, each closed by the end id; the ids of each token; the tokens of each document; the distinct words and their counts."""
-        distinct, first, inverse, counts = np.unique(w.hashes, return_index=True, return_inverse=True, return_counts=True)
+    def stream(self, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the batch's documents laid end to end, each closed by the end id; how many each token has; the tokens of each document."""
+        distinct, first, inverse = np.unique(w.hashes, return_index=True, return_inverse=True)
         new = self._missing(distinct)
         if new.any():
             if len(self.known) + int(new.sum()) > self.LIMIT:
@@ -101,7 +116,7 @@ class Pieces:
         kind = np.insert(inverse, w.first[1:], len(length) - 1)
         size = length[kind]
         place = np.repeat(at[kind] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
-        return self.pool[place].astype(np.int64), size, np.diff(w.first) + 1, distinct, counts
+        return self.pool[place].astype(np.int64), size, np.diff(w.first) + 1
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -123,43 +138,51 @@ def _sum_by(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return unique, np.bincount(at, values, len(unique)).astype(np.int64)
 
 
-_GATHERED = "bucket int, id int, c long, payload binary, key long, ids binary"
-
-
-def _gather(vocabulary: str, buckets: int):
-    """Counts of a task: words by bucket, and subword ids; and the ids of each document under its key."""
+def _count(buckets: int):
+    """Counts of a task: words by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces.shared(vocabulary)
-        ids = np.zeros(pieces.size, np.int64)
         held: list[tuple[np.ndarray, np.ndarray]] = []
         n_held = n_docs = 0
-        names = [x.split()[0] for x in _GATHERED.split(", ")]
 
         def flush() -> pa.RecordBatch:
             h, c = _sum_by(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))
             rows = [(b, _pack(h[at], c[at])) for b, at in _bucketed(h, buckets)]
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), pa.array([None] * len(rows), pa.int32()), pa.array([None] * len(rows), pa.int64()), pa.array([x for _, x in rows], pa.binary()), pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.binary())], names=names)
+            return pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], names=["bucket", "payload"])
 
         for b in slices(batches):
-            w = words(b.column(1), SPACE_FOLDED)
             n_docs += b.num_rows
-            stream, size, n_words, *counted = pieces.stream(w)
-            held.append(tuple(counted))
-            n_held += len(counted[0])
-            ids += np.bincount(stream, minlength=pieces.size)
-            ends = np.cumsum(np.add.reduceat(size, np.cumsum(n_words) - n_words)) * 2
-            raw = stream.astype(np.uint16).tobytes()
-            n = b.num_rows
-            yield pa.RecordBatch.from_arrays([*(pa.nulls(n, k) for k in (pa.int32(), pa.int32(), pa.int64(), pa.binary())), b.column(2), pa.array([raw[s:e] for s, e in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)], pa.binary())], names=names)
+            held.append(np.unique(words(b.column(1), SPACE_FOLDED).hashes, return_counts=True))
+            n_held += len(held[-1][0])
             if n_held >= FLUSH_WORDS:
                 yield flush()
                 n_held = 0
         held.append((np.array([END_HASH]), np.array([n_docs])))
         yield flush()
+
+    return run
+
+
+_GATHERED = "id int, c long, key long, ids binary"
+
+
+def _gather(vocabulary: str, whole):
+    """The ids of each document under its key, and a task's counts of ids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = Pieces.shared(vocabulary, whole.value)
+        ids = np.zeros(pieces.size + len(pieces.whole), np.int64)
+        names = [x.split()[0] for x in _GATHERED.split(", ")]
+        for b in slices(batches):
+            stream, size, n_words = pieces.stream(words(b.column(1), SPACE_FOLDED))
+            ids += np.bincount(stream, minlength=len(ids))
+            ends = np.cumsum(np.add.reduceat(size, np.cumsum(n_words) - n_words)) * 2
+            raw = stream.astype(np.uint16).tobytes()
+            n = b.num_rows
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), b.column(2), pa.array([raw[s:e] for s, e in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)], pa.binary())], names=names)
         used = np.flatnonzero(ids)
-        yield pa.RecordBatch.from_arrays([pa.array([None] * len(used), pa.int32()), pa.array(used.astype(np.int32)), pa.array(ids[used]), pa.array([None] * len(used), pa.binary()), pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(ids[used]), pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.binary())], names=names)
 
     return run
 
@@ -201,6 +224,12 @@ def _head(least: int):
     return run
 
 
+def _whole(head: np.ndarray, counts: np.ndarray, most: int) -> np.ndarray:
+    """The hashes, sorted, of the words that get an id of their own."""
+    fit_ = np.flatnonzero((counts >= WHOLE_LEAST) & (head != END_HASH))
+    return np.sort(head[fit_[np.argsort(-counts[fit_], kind="stable")[:most]]])
+
+
 def _mixed(lp: np.ndarray, c: np.ndarray, total: int) -> np.ndarray:
     """ln of the mean of the attention model's probability and the lexicon's share."""
     with np.errstate(divide="ignore"):
@@ -213,16 +242,16 @@ _SCORED = "uid long, doc_id long, n_tokens long, n_known long, base double, scor
 
 def _score(vocabulary: str, shared, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces.shared(vocabulary)
-        model, head, counts, total = shared.value
+        model, head, counts, total, whole = shared.value
+        pieces, tables = Pieces.shared(vocabulary, whole), model.tables()
         uid = TaskContext.get().partitionId() << 40
         for b in slices(batches, SLICE):
             n_docs = b.num_rows
             w = words(b.column(1), SPACE_FOLDED)
-            ids, size, n_words, _, _ = pieces.stream(w)
+            ids, size, n_words = pieces.stream(w)
             first = np.cumsum(n_words) - n_words
             lengths = np.add.reduceat(size, first)
-            lp = np.add.reduceat(model.score(ids, lengths).astype(np.float64), np.cumsum(size) - size)
+            lp = np.add.reduceat(model.score(ids, lengths, tables).astype(np.float64), np.cumsum(size) - size)
             hashes = np.insert(w.hashes, w.first[1:], END_HASH)
             doc = np.repeat(np.arange(n_docs), n_words)
             if len(head):
@@ -358,12 +387,8 @@ def lm_scores(docs: DataFrame, vocabulary: str) -> DataFrame:
     texts = narrow(docs, "doc_id", "text")
     train = texts.where(~held_out("doc_id", 7, 2)).select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
 
-    gathered = scratch.save(train.mapInArrow(_gather(vocabulary, buckets), _GATHERED), "gathered")
-    id_counts = np.zeros(Pieces.shared(vocabulary).size)
-    for r in gathered.where("id is not null").groupBy("id").agg(F.sum("c").alias("c")).collect():  # at most one row for each id of the vocabulary
-        id_counts[r.id] = r.c
-    lexicon = gathered.where("bucket is not null").select("bucket", "payload").repartition(width, "bucket").sortWithinPartitions("bucket")
-    lexicon = scratch.save(lexicon.mapInArrow(_merge, "bucket int, payload binary, n_words long, n_tokens long, sizes array<long>"), "lexicon")
+    counted = train.mapInArrow(_count(buckets), "bucket int, payload binary").repartition(width, "bucket").sortWithinPartitions("bucket")
+    lexicon = scratch.save(counted.mapInArrow(_merge, "bucket int, payload binary, n_words long, n_tokens long, sizes array<long>"), "lexicon")
     n_words, total = (x or 0 for x in lexicon.agg(F.sum("n_words"), F.sum("n_tokens")).first())
     sizes = {r.at: r.n for r in lexicon.select(F.inline(F.filter(F.transform("sizes", lambda n, at: F.struct(at.alias("at"), n.alias("n"))), lambda x: x["n"] > 0))).groupBy("at").agg(F.sum("n").alias("n")).collect()}
     least, n = 512, 0
@@ -374,9 +399,15 @@ def lm_scores(docs: DataFrame, vocabulary: str) -> DataFrame:
     head = rows.column(0).to_numpy().view(np.uint64) if n else np.zeros(0, np.uint64)
     counts = rows.column(1).to_numpy() if n else np.zeros(0, np.int64)
     order = np.argsort(head)
+    head, counts = head[order], counts[order]
+    whole = spark.sparkContext.broadcast(_whole(head, counts, min(WHOLE_WORDS, 65_535 - Pieces.shared(vocabulary).size)))
+    gathered = scratch.save(train.mapInArrow(_gather(vocabulary, whole), _GATHERED), "gathered")
+    id_counts = np.zeros(Pieces.shared(vocabulary).size + len(whole.value))
+    for r in gathered.where("id is not null").groupBy("id").agg(F.sum("c").alias("c")).collect():  # at most one row for each id
+        id_counts[r.id] = r.c
     model = fit(gathered.where("key is not null").select("key", "ids"), id_counts, scratch)
     scratch.drop("gathered")
-    shared = spark.sparkContext.broadcast((model, head[order], counts[order], total))
+    shared = spark.sparkContext.broadcast((model, head, counts, total, whole.value))
 
     scored = scratch.save(texts.mapInArrow(_score(vocabulary, shared, buckets), _SCORED), "scored")
     asked = scored.where("bucket is not null").select(F.lit(1).alias("kind"), "bucket", "payload")

@@ -25,6 +25,27 @@ def test_lm_learns_from_every_training_document(spark, monkeypatch):
     assert all(moved[k + 1] for i, k in enumerate(own) if zlib.crc32(str(i).encode()) % 7 != 2)
 
 
+def test_lm_takes_frequent_words_whole(spark, monkeypatch):
+    """A frequent word is one id to train on and to score, a rare one is spelled, and all documents are scored."""
+    import numpy as np
+
+    kept, fit = [], lm_score.fit
+    monkeypatch.setattr(lm_score, "fit", lambda seq, counts, scratch: kept.append((counts, sorted(np.frombuffer(r.ids, np.uint16).tolist() for r in seq.collect()))) or fit(seq, counts, scratch))
+    monkeypatch.setattr(lm_score, "FIT_STEPS", 8)
+    pieces = lm_score.Pieces.shared(queries.PIECES)
+    common, rare = "qzxvwkqq", "wqjzzxkv"
+    spelled = pieces.model.encode(rare)
+    assert len(pieces.model.encode(common)) > 1 and len(spelled) > 1
+    docs = spark.createDataFrame([(i, f"{common} {common}") for i in range(200)] + [(1000 + i, rare) for i in range(7)], "doc_id long, text string")
+    out = lm_score.lm_scores(docs, queries.PIECES).collect()
+    assert sum(r.n_tokens for r in out) == 200 * 3 + 7 * 2 and all(-200 < r.score < 0 for r in out)
+    ((counts, texts),) = kept
+    train = [i for i in [*range(200), *range(1000, 1007)] if zlib.crc32(str(i).encode()) % 7 != 2]
+    assert len(texts) == len(train)
+    assert {tuple(x) for x in texts} == {tuple([*spelled, pieces.end]), (own := next(x[0] for x in texts if x[0] >= pieces.size), own, pieces.end)}
+    assert counts[own] == 2 * sum(i < 200 for i in train) and counts.sum() == sum(map(len, texts))
+
+
 def test_pipeline_stages_judge_rows_not_ids(spark, monkeypatch):
     a, b, c, d = (" ".join(f"{x}{k}" for k in range(40)) for x in "abcd")
     docs = spark.createDataFrame([(1, a), (1, b), (2, b), (None, c), (None, c), (None, d), (7, d)], "doc_id long, text string")
