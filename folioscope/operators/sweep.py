@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 CELL_ROWS, CELLS, MOST_HOT = 2_000_000, 256, 4096
 #: Rows that a task sweeps at once.
 SWEPT = 200_000
+#: Points and endpoints that a task of running sums sorts, on average; more of them make more tasks, not larger ones.
+SUMMED = 500_000
 
 
 def _known(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -81,11 +83,16 @@ def sums_upto(points: DataFrame, spans: DataFrame, keys: list[str], at: str, aft
     kind = _number((points, at), (spans, "start"), (spans, "end"))
     asked = points.withColumn("_at", F.col(at).cast(kind)).withColumn("_order", F.when(F.lit(False) if after is None else F.col(after) if isinstance(after, str) else after, 2).otherwise(0))
     marks = _marks(spans, keys, kind)
-    borders, cell = with_cells(marks.select(*keys, "_at").unionByName(asked.select(*keys, "_at")), keys, "_at", cell_rows, cells, most)
+    endpoints = marks.select(*keys, "_at").unionByName(asked.select(*keys, "_at"))
+    most = endpoints.count() if most is None else most
+    borders, cell = with_cells(endpoints, keys, "_at", cell_rows, cells, most)
     every = asked.withColumn("_asked", F.lit(True)).unionByName(marks.withColumn("_asked", F.lit(False)), allowMissingColumns=True)
     every = _cut(every, keys, borders).withColumn("_cell", cell(F.col("_at")))
     # without hot keys the rows stay clustered by the keys alone, for whatever groups by them next
-    here = Window.partitionBy(*keys, *(["_cell"] if borders is not None or not keys else [])).orderBy("_at", "_order").rowsBetween(Window.unboundedPreceding, 0)
+    by = [*keys, *(["_cell"] if borders is not None or not keys else [])]
+    if most > SUMMED and (keys or borders is not None):
+        every = every.repartition(max(-(-most // SUMMED), every.sparkSession.sparkContext.defaultParallelism), *by)
+    here = Window.partitionBy(*by).orderBy("_at", "_order").rowsBetween(Window.unboundedPreceding, 0)
     run = every.select("*", *[F.coalesce(F.sum(c).over(here), F.lit(0)).alias(f"{c}_upto") for c in ("_starts", "_s", "_ends", "_e")], F.max("_reach").over(here).alias("_reach_upto")).where("_asked")
     if borders is not None:
         marks = _cut(marks, keys, borders).where("_borders is not null").withColumn("_cell", cell(F.col("_at")))

@@ -82,3 +82,16 @@ def test_unsupported_equals_plain_loops(spark):
         lost = [c for c in bounded if not any(a[0] == key and max(s, a[1]) < min(e, a[2]) for s, e in c[2] for a in accepted)]
         want[key] = (len(bounded), len(lost))
     assert {r.record_key: (r.bounded, r.unsupported) for r in got.collect()} == want
+
+
+def test_more_rows_make_more_tasks_of_running_sums(spark, monkeypatch):
+    """A task of running sums holds no more rows as the table grows, and the sums stay the same."""
+    claims = spark.range(2000).selectExpr("id % 50 AS record_key", "id AS claim_id", "id % 97 AS start", "id % 97 + 20 AS end")
+    marks = spark.range(50).selectExpr("id AS record_key", "inline(array(named_struct('start', 10L, 'end', 50L), named_struct('start', 40L, 'end', 90L)))")
+    out = lambda: sweep.both_ends(claims, marks, ["record_key"], ["claim_id"])
+    few = out()
+    rows = sorted(map(tuple, few.collect()))
+    monkeypatch.setattr(sweep, "SUMMED", 100, raising=False)
+    many = out()
+    assert few.rdd.getNumPartitions() <= 4 and many.rdd.getNumPartitions() >= 4000 // 100
+    assert len(rows) == 2000 and sorted(map(tuple, many.collect())) == rows
