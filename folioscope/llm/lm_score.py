@@ -232,9 +232,9 @@ def _whole(head: np.ndarray, counts: np.ndarray, most: int) -> np.ndarray:
 
 def _mixed(lp: np.ndarray, c: np.ndarray, total: int) -> np.ndarray:
     """ln of the mean of the attention model's probability and the lexicon's share."""
+    share = (1 - ATTENTION_SHARE) * c / max(total, 1)
     with np.errstate(divide="ignore"):
-        share = np.log((1 - ATTENTION_SHARE) * c / max(total, 1))
-    return np.logaddexp(lp + np.log(ATTENTION_SHARE), share)
+        return np.where(share > 0, np.log(ATTENTION_SHARE * np.exp(lp) + share), lp + np.log(ATTENTION_SHARE))
 
 
 _SCORED = "uid long, doc_id long, n_tokens long, n_known long, base double, score double, bucket int, payload binary"
@@ -282,22 +282,22 @@ def _tail(total: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, h, c = None, *_counts(b"")
         for b in batches:
-            for kind, bucket, blob in zip(*(x.to_pylist() for x in b.columns[:3]), strict=True):
+            for (kind, bucket), rows in groupby(zip(*(x.to_pylist() for x in b.columns[:3]), strict=True), itemgetter(0, 1)):
+                blobs = [x for _, _, x in rows]
                 if bucket != own:
                     own, h, c = bucket, *_counts(b"")
                 if kind == 0:  # the lexicon's row is the first of a bucket
-                    h, c = _counts(blob)
+                    h, c = _counts(blobs[0])
                     continue
-                n = len(blob) // 20
-                words_, uids, lp = np.frombuffer(blob, np.uint64, n), np.frombuffer(blob, np.int64, n, 8 * n), np.frombuffer(blob, np.float32, n, 16 * n)
+                words_, uids, lp = (np.concatenate([np.frombuffer(x, k, len(x) // 20, at * (len(x) // 20)) for x in blobs]) for k, at in ((np.uint64, 0), (np.int64, 8), (np.float32, 16)))
                 if len(h):
                     at = np.minimum(np.searchsorted(h, words_), len(h) - 1)
                     count = np.where(h[at] == words_, c[at], 0)
                 else:
-                    count = np.zeros(n, np.int64)
-                who, at = np.unique(uids, return_inverse=True)
-                sums = [np.bincount(at, x, len(who)) for x in (np.log10(count + 1), _mixed(lp.astype(np.float64), count, total), count > 0)]
-                yield pa.RecordBatch.from_arrays([pa.array(who), pa.array(sums[0]), pa.array(sums[1]), pa.array(sums[2].astype(np.int64))], names=["uid", "base", "score", "known"])
+                    count = np.zeros(len(words_), np.int64)
+                first = np.flatnonzero(np.concatenate([[True], np.diff(uids) != 0]))  # a document's words lie together
+                sums = [np.add.reduceat(x, first) for x in (np.log10(count + 1), _mixed(lp.astype(np.float64), count, total), (count > 0).astype(np.int64))]
+                yield pa.RecordBatch.from_arrays([pa.array(uids[first]), *map(pa.array, sums)], names=["uid", "base", "score", "known"])
 
     return run
 
@@ -336,19 +336,15 @@ def _train(shared, nth: int):
     return run
 
 
-def _total(kind: type):
-    """One row for a partition: the tokens of all its parameters, and their sum weighted by tokens."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, seen = 0.0, 0
-        for b in batches:
-            for n, blob in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                total = total + np.frombuffer(blob, kind) * np.float64(n)
-                seen += n
-        if seen:
-            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([seen], pa.int64()), pa.array([(total / seen).tobytes()], pa.binary())], names=["cell", "n", "payload"])
-
-    return run
+def _total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for a partition: the tokens of all its parameters, and their mean weighted by tokens."""
+    total, seen = 0.0, 0
+    for b in batches:
+        for n, blob in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+            total = total + np.frombuffer(blob, np.float32) * np.float64(n)
+            seen += n
+    if seen:
+        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([seen], pa.int64()), pa.array([(total / seen).astype(np.float32).tobytes()], pa.binary())], names=["cell", "n", "payload"])
 
 
 def fit(sequences: DataFrame, id_counts: np.ndarray, scratch: Scratch) -> Model:
@@ -368,11 +364,11 @@ def fit(sequences: DataFrame, id_counts: np.ndarray, scratch: Scratch) -> Model:
         mine = mine.repartition(max(cells, partitions(spark)), "cell").sortWithinPartitions("cell", "key")
         trained = scratch.save(mine.mapInArrow(_train(shared, nth), kind), f"round{nth}")
         # two steps of sums, so that the driver gets the root of the cells at most
-        sums = trained.repartition(max(1, round(cells**0.5)), "cell").sortWithinPartitions("cell").mapInArrow(_total(np.float32), kind)
-        (mean,) = list(_total(np.float64)(sums.toArrow().to_batches())) or [None]
+        sums = trained.repartition(max(1, round(cells**0.5)), "cell").sortWithinPartitions("cell").mapInArrow(_total, kind)
+        (mean,) = list(_total(sums.toArrow().to_batches())) or [None]
         if mean is not None:
             model = model.copy()
-            model.unpack(np.frombuffer(mean.column(2)[0].as_py(), np.float64))
+            model.unpack(np.frombuffer(mean.column(2)[0].as_py(), np.float32))
         shared.unpersist()
         scratch.drop(f"round{nth}")
     return model
