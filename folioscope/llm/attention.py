@@ -22,6 +22,7 @@ SINGLES, BINS = CLASSES - MEMBERS, MEMBERS
 #: Windows of a training step and of a scoring chunk, small enough for a core's cache.
 STEP, CHUNK = 512, 512
 _FAR, _MOST = np.float32(-1e9), np.float32(60)
+_LARGEST = np.exp(_MOST)
 
 
 class Vocabulary:
@@ -70,10 +71,18 @@ def by_band(band: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
     return order, [(b, slice(edge[b], edge[b + 1])) for b in range(BANDS) if edge[b] < edge[b + 1]]
 
 
-def _bounded(x: np.ndarray) -> None:
-    """Keep exponentials finite: larger entries, which hardly occur, are cut to the same bound."""
-    if x.size and x.max() > _MOST:
-        np.minimum(x, _MOST, out=x)
+def _exp(make, members: int) -> tuple[np.ndarray, np.ndarray]:
+    """The exponentials of what ``make`` returns, in its place, and the sums of each ``members`` of them. They are kept finite: larger entries, which hardly occur, are cut to the same bound."""
+    ones = np.ones(members, np.float32)
+    for cut in (False, True):
+        x = make()
+        if cut:
+            np.minimum(x, _MOST, out=x)
+        with np.errstate(over="ignore"):
+            np.exp(x, out=x)
+            total = x.reshape(-1, members) @ ones
+        if cut or not total.size or total.max() <= _LARGEST:
+            return x, total
 
 
 class Model:
@@ -96,32 +105,40 @@ class Model:
 
     def _attended(self, q: np.ndarray, k: np.ndarray, v: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """What each position takes from those it sees, and its weights. Shapes: (windows, stride, DIM), twice (windows, WINDOW, DIM)."""
-        a = q @ k.transpose(0, 2, 1)
-        a += bias
-        _bounded(a)
-        np.exp(a, out=a)
-        a /= (a @ np.ones(WINDOW, np.float32))[..., None]
+
+        def logits() -> np.ndarray:
+            a = q @ k.transpose(0, 2, 1)
+            a += bias
+            return a
+
+        a, total = _exp(logits, WINDOW)
+        a /= total.reshape(*a.shape[:2], 1)
         return (a @ v).reshape(-1, DIM), a
 
     def _outputs(self) -> np.ndarray:
         """Both output layers of each band side by side, so that a band's rows meet them in one product: (BANDS, DIM + 1, BANDS + MEMBERS)."""
         return np.concatenate([np.broadcast_to(self.p["U1"], (BANDS, DIM + 1, BANDS)), self.p["U2"]], axis=2)
 
-    def _exponentials(self, h: np.ndarray, parts: list[tuple[int, slice]], outputs: np.ndarray, at: np.ndarray):
-        """Of rows in order of their bands: their hidden layer, the last layer's input with a column of ones for the biases, the exponentials of both softmaxes, their sums, and the logits at ``at``."""
+    def _exponentials(self, h: np.ndarray, parts: list[tuple[int, slice]], outputs: np.ndarray, at: np.ndarray | None):
+        """Of rows in order of their bands: their hidden layer, the last layer's input with a column of ones for the biases, the exponentials of both softmaxes, their sums, and the logits at ``at``, if asked for."""
         z = h @ self.p["W1"]
         np.maximum(z, 0, out=z)
-        g = np.empty((len(h), DIM + 1), np.float32)
-        np.matmul(z, self.p["W2"], out=g[:, :DIM])
-        g[:, :DIM] += h
-        g[:, DIM] = 1
-        logits = np.empty((len(h), BANDS + MEMBERS), np.float32)
-        for b, s in parts:
-            np.matmul(g[s], outputs[b], out=logits[s])
-        _bounded(logits)
-        picked = logits.reshape(-1)[at]
-        np.exp(logits, out=logits)
-        return z, g, logits, logits.reshape(-1, MEMBERS) @ np.ones(MEMBERS, np.float32), picked
+        g, inner = np.ones((len(h), DIM + 1), np.float32), z @ self.p["W2"]
+        inner += h
+        g[:, :DIM] = inner
+        picked = None
+
+        def logits() -> np.ndarray:
+            nonlocal picked
+            out = np.empty((len(h), BANDS + MEMBERS), np.float32)
+            for b, s in parts:
+                np.matmul(g[s], outputs[b], out=out[s])
+            if at is not None:
+                picked = np.minimum(out.reshape(-1)[at], _MOST)
+            return out
+
+        d, total = _exp(logits, MEMBERS)
+        return z, g, d, total, picked
 
     def _places(self, y: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]], np.ndarray]:
         """An order of the ids by band, each band's rows in it, and where the two logits of each id stand among all, in that order."""
@@ -132,8 +149,8 @@ class Model:
         at[1::2] += self.vocabulary.member[y[order]]
         return order, parts, at
 
-    def train_step(self, x: np.ndarray, y: np.ndarray, live: np.ndarray, rate: float, state: dict) -> float:
-        """One step on the ids y of all positions of the windows x; returns the mean loss in nats. Adam, but AdaGrad by row for the embeddings."""
+    def train_step(self, x: np.ndarray, y: np.ndarray, live: np.ndarray, rate: float, state: dict, told: bool = True) -> float | None:
+        """One step on the ids y of all positions of the windows x; returns the mean loss in nats, if it is to be told. Adam, but AdaGrad by row for the embeddings."""
         p, grad = self.p, {}
         rows = x.reshape(-1)
         e = np.take(p["E"], rows, axis=0)
@@ -149,8 +166,8 @@ class Model:
         weight = (live / max(1, int(live.sum()))).astype(np.float32)
         weight = np.repeat(weight[order], 2)
         h, outputs = np.take(h, order, axis=0), self._outputs()
-        z, g, d, total, picked = self._exponentials(h, parts, outputs, at)
-        loss = float((np.log(total) - picked) @ weight)
+        z, g, d, total, picked = self._exponentials(h, parts, outputs, at if told else None)
+        loss = float((np.log(total) - picked) @ weight) if told else None
         by_half = d.reshape(-1, MEMBERS)
         by_half *= (weight / total)[:, None]
         d.reshape(-1)[at] -= weight
@@ -182,11 +199,18 @@ class Model:
         dh += flat @ projections.T
 
         t = state["t"] = state.get("t", 0) + 1
-        for name, gr in grad.items():
-            m, r = state.setdefault(name, (np.zeros_like(p[name]), np.zeros_like(p[name])))
-            m += 0.1 * (gr - m)
-            r += 0.01 * (gr * gr - r)
-            p[name] -= np.float32(rate / (1 - 0.9**t)) * m / (np.sqrt(r / np.float32(1 - 0.99**t)) + np.float32(1e-8))
+        flat = np.concatenate([x.reshape(-1) for x in grad.values()])
+        at = np.cumsum([0, *(x.size for x in grad.values())]).tolist()
+        cut = lambda x: {name: x[b:e].reshape(gr.shape) for (name, gr), b, e in zip(grad.items(), at[:-1], at[1:], strict=True)}
+        if "moments" not in state:
+            m, r = state["moments"] = np.zeros((2, len(flat)), np.float32)
+            first, second = cut(m), cut(r)
+            state |= {name: (first[name], second[name]) for name in grad}
+        m, r = state["moments"]
+        m += 0.1 * (flat - m)
+        r += 0.01 * (flat * flat - r)
+        for name, by in cut(np.float32(rate / (1 - 0.9**t)) * m / (np.sqrt(r / np.float32(1 - 0.99**t)) + np.float32(1e-8))).items():
+            p[name] -= by
         order = np.argsort(rows.astype(np.min_scalar_type(len(p["E"]) - 1)), kind="stable")
         rows = rows[order]
         begin = np.flatnonzero(np.diff(rows, prepend=rows.dtype.type(0) if rows[0] else rows.dtype.type(1)))
@@ -207,7 +231,7 @@ class Model:
             order = rng.permutation(len(x))
             for k in range(0, len(x), STEP):
                 pick = order[k : k + STEP]
-                self.train_step(x[pick], y[pick], live[pick], rate, state)
+                self.train_step(x[pick], y[pick], live[pick], rate, state, told=False)
             if state["t"] >= least:
                 return
 

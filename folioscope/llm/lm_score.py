@@ -50,10 +50,37 @@ END_HASH = np.uint64(0x51AFD7ED558CCD25)
 SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
+def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct hashes in order, where each of them occurs, and which of them each is."""
+    order = np.argsort(hashes)
+    ordered = hashes[order]
+    fresh = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=fresh[1:])
+    nth = np.empty(len(ordered), np.int64)
+    nth[order] = np.cumsum(fresh) - 1
+    return ordered[fresh], order[fresh], nth
+
+
+def _found(known: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the hashes in sorted known ones, and which of them are there."""
+    if not len(known):
+        return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+    place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    return place, known[place] == hashes
+
+
+def _appended(array: np.ndarray, n: int, more: np.ndarray) -> np.ndarray:
+    """The array, of which n entries are in use, with more behind them; it doubles when full."""
+    if n + len(more) > len(array):
+        array = np.concatenate([array[:n], np.empty(n + 2 * len(more), array.dtype)])
+    array[n : n + len(more)] = more
+    return array
+
+
 class Pieces:
-    """The ids of words, kept by the words' hashes in sorted arrays; of about ``LIMIT`` words at most. Words among ``whole`` have one id."""
+    """The ids of words, kept by the words' hashes; of about ``LIMIT`` words at most. Words among ``whole`` have one id."""
 
-    LIMIT = 2_000_000
+    LIMIT, LATE = 4_000_000, 50_000
     _shared: dict[str, Pieces] = {}
 
     def __init__(self, path: str):
@@ -65,9 +92,11 @@ class Pieces:
         self.forget()
 
     def forget(self) -> None:
-        self.known, self.at, self.length = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        #: Ids of all known words, laid end to end, behind the end id.
-        self.pool = np.array([self.end], np.uint16)
+        #: Hashes in order and their rows, of most words and of those learnt since.
+        self.known, self.row = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.late, self.late_row = self.known, self.row
+        #: Ids of all rows, laid end to end, and where those of each row end; the end id is row 0.
+        self.pool, self.ends, self.n = np.array([self.end], np.uint16), np.array([0, 1], np.int32), 1
 
     @classmethod
     def shared(cls, name: str, whole: np.ndarray | None = None) -> Pieces:
@@ -80,43 +109,59 @@ class Pieces:
         return own
 
     def _learn(self, hashes: np.ndarray, words_: list[bytes]) -> None:
-        """Keep the ids of new words. One that normalises to nothing is the unknown piece, so that every word has an id; a single piece stays as it is."""
+        """Keep the ids of new words, whose hashes are in order. One that normalises to nothing is the unknown piece, so that every word has an id; a single piece stays as it is."""
         found = self.model.encode(b" ".join(words_).decode("utf-8", "replace").split(" "), num_threads=1)
-        if len(self.whole):
-            nth = np.minimum(np.searchsorted(self.whole, hashes), len(self.whole) - 1)
-            for k in np.flatnonzero(self.whole[nth] == hashes):
-                if len(found[k]) > 1:
-                    found[k] = [self.size + int(nth[k])]
         length = np.fromiter(map(len, found), np.int64, len(found))
         for k in np.flatnonzero(length == 0):
             found[k], length[k] = [0], 1
-        at = len(self.pool) + np.cumsum(length) - length
-        self.pool = np.concatenate([self.pool, np.fromiter(chain.from_iterable(found), np.uint16, int(length.sum()))])
-        place = np.searchsorted(self.known, hashes)
-        self.known, self.at, self.length = np.insert(self.known, place, hashes), np.insert(self.at, place, at), np.insert(self.length, place, length)
-
-    def _missing(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.known):
-            return np.ones(len(hashes), bool)
-        return self.known[np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)] != hashes
-
-    def stream(self, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of the batch's documents laid end to end, each closed by the end id; how many each token has; the tokens of each document."""
-        distinct, first, inverse = np.unique(w.hashes, return_index=True, return_inverse=True)
-        new = self._missing(distinct)
+        ids = np.fromiter(chain.from_iterable(found), np.uint16, int(length.sum()))
+        nth, own = _found(self.whole, hashes)
+        own &= length > 1
+        first = np.cumsum(length) - length
+        kept = np.repeat(~own, length)
+        kept[first[own]] = True
+        ids[first[own]] = self.size + nth[own]
+        ids, length[own] = ids[kept], 1
+        used = int(self.ends[self.n])
+        self.pool = _appended(self.pool, used, ids)
+        self.ends = _appended(self.ends, self.n + 1, used + np.cumsum(length))
+        rows = np.arange(self.n, self.n + len(hashes), dtype=np.int32)
+        self.n += len(hashes)
+        place = np.searchsorted(self.late, hashes)
+        self.late, self.late_row = np.insert(self.late, place, hashes), np.insert(self.late_row, place, rows)
+        if len(self.late) > max(self.LATE, len(self.known) // 8):
+            place = np.searchsorted(self.known, self.late)
+            self.known, self.row = np.insert(self.known, place, self.late), np.insert(self.row, place, self.late_row)
+            self.late, self.late_row = self.late[:0], self.late_row[:0]
+
+    def _rows(self, hashes: np.ndarray) -> np.ndarray:
+        """The row of each word, 0 for those not known."""
+        rows = np.zeros(len(hashes), np.int32)
+        for known, row in ((self.known, self.row), (self.late, self.late_row)):
+            place, there = _found(known, hashes)
+            rows[there] = row[place[there]]
+        return rows
+
+    def stream(self, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the batch's documents laid end to end, each closed by the end id; how many each token has; the tokens of each document;
+        the hashes of distinct tokens, and which of them each token is."""
+        distinct, first, nth = _distinct(w.hashes)
+        rows = self._rows(distinct)
+        new = rows == 0
         if new.any():
-            if len(self.known) + int(new.sum()) > self.LIMIT:
+            if self.n + int(new.sum()) > self.LIMIT:
                 self.forget()
                 new[:] = True
             data = w.data.tobytes().replace(b"\xff", b"\0")  # how NUL is folded
             which = first[new]
             self._learn(distinct[new], [data[b:e] for b, e in zip(w.begin[which].tolist(), w.end[which].tolist(), strict=True)])
-        row = np.searchsorted(self.known, distinct)
-        at, length = np.append(self.at[row], 0), np.append(self.length[row], 1)  # the end token comes last
-        kind = np.insert(inverse, w.first[1:], len(length) - 1)
+            rows = self._rows(distinct)
+        rows = np.append(rows, 0)  # the end token comes last
+        at, length = (x.astype(np.int64) for x in (self.ends[rows], self.ends[rows + 1] - self.ends[rows]))
+        kind = np.insert(nth, w.first[1:], len(distinct))
         size = length[kind]
         place = np.repeat(at[kind] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
-        return self.pool[place].astype(np.int64), size, np.diff(w.first) + 1
+        return self.pool[place].astype(np.int64), size, np.diff(w.first) + 1, np.append(distinct, END_HASH), kind
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -175,7 +220,7 @@ def _gather(vocabulary: str, whole):
         ids = np.zeros(pieces.size + len(pieces.whole), np.int64)
         names = [x.split()[0] for x in _GATHERED.split(", ")]
         for b in slices(batches):
-            stream, size, n_words = pieces.stream(words(b.column(1), SPACE_FOLDED))
+            stream, size, n_words = pieces.stream(words(b.column(1), SPACE_FOLDED))[:3]
             ids += np.bincount(stream, minlength=len(ids))
             ends = np.cumsum(np.add.reduceat(size, np.cumsum(n_words) - n_words)) * 2
             raw = stream.astype(np.uint16).tobytes()
@@ -247,29 +292,26 @@ def _score(vocabulary: str, shared, buckets: int):
         uid = TaskContext.get().partitionId() << 40
         for b in slices(batches, SLICE):
             n_docs = b.num_rows
-            w = words(b.column(1), SPACE_FOLDED)
-            ids, size, n_words = pieces.stream(w)
+            ids, size, n_words, distinct, kind = pieces.stream(words(b.column(1), SPACE_FOLDED))
             first = np.cumsum(n_words) - n_words
             lengths = np.add.reduceat(size, first)
             lp = np.add.reduceat(model.score(ids, lengths, tables).astype(np.float64), np.cumsum(size) - size)
-            hashes = np.insert(w.hashes, w.first[1:], END_HASH)
             doc = np.repeat(np.arange(n_docs), n_words)
-            if len(head):
-                at = np.minimum(np.searchsorted(head, hashes), len(head) - 1)
-                inside = head[at] == hashes
-            else:
-                at, inside = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-            c = counts[at[inside]] if len(head) else np.zeros(0, np.int64)
-            of = doc[inside]
-            base = np.bincount(of, np.log10(c + 1), n_docs)
-            score = np.bincount(of, _mixed(lp[inside], c, total), n_docs)
-            known = np.bincount(of, c > 0, n_docs).astype(np.int64)
+            at, there = _found(head, distinct)
+            c = np.zeros(len(distinct), np.int64)
+            c[there] = counts[at[there]]
+            inside = there[kind]
+            of, own = doc[inside], kind[inside]
+            base = np.bincount(of, np.log10(c + 1)[own], n_docs)
+            score = np.bincount(of, _mixed(lp[inside], c[own], total), n_docs)
+            known = np.bincount(of, (c > 0)[own], n_docs).astype(np.int64)
             uids = uid + np.arange(n_docs)
             uid += n_docs
             none = lambda kind, n: pa.nulls(n, kind)
             yield pa.RecordBatch.from_arrays([pa.array(uids), b.column(0), pa.array(n_words), pa.array(known), pa.array(base), pa.array(score), none(pa.int32(), n_docs), none(pa.binary(), n_docs)], names=[x.split()[0] for x in _SCORED.split(", ")])
             far = np.flatnonzero(~inside)
-            rows = [(k, _pack(hashes[far[r]], uids[doc[far[r]]], lp[far[r]].astype(np.float32))) for k, r in _bucketed(hashes[far], buckets)]
+            hashes = distinct[kind[far]]
+            rows = [(k, _pack(hashes[r], uids[doc[far[r]]], lp[far[r]].astype(np.float32))) for k, r in _bucketed(hashes, buckets)]
             n = len(rows)
             yield pa.RecordBatch.from_arrays([*(none(k, n) for k in (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())), pa.array([k for k, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], names=[x.split()[0] for x in _SCORED.split(", ")])
 
@@ -348,7 +390,7 @@ def _total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(sequences: DataFrame, id_counts: np.ndarray, scratch: Scratch) -> Model:
-    """The attention model, from the (key, ids) of all training documents."""
+    """The attention model, from the (round, key, ids) of all training documents, which lie by round."""
     spark = sequences.sparkSession
     model = Model(Vocabulary(id_counts))
     n = int(id_counts.sum())
@@ -356,11 +398,12 @@ def fit(sequences: DataFrame, id_counts: np.ndarray, scratch: Scratch) -> Model:
         return model
     cells = -(-n // int(ROUNDS * max(CELL_TOKENS, CELL_GROWTH * n**0.5)))
     small = n < CELL_TOKENS  # all documents in every round
-    dealt = sequences.select(F.pmod("key", F.lit(cells * (1 if small else ROUNDS))).cast("int").alias("cell"), "key", "ids")
+    # ROUNDS divides the number, so a cell's documents are all of one round
+    dealt = sequences.withColumn("cell", F.pmod("key", F.lit(cells * (1 if small else ROUNDS))).cast("int"))
     kind = "cell int, n long, payload binary"
     for nth in range(ROUNDS):
         shared = spark.sparkContext.broadcast(model)
-        mine = dealt if small else dealt.where(F.col("cell") % ROUNDS == nth)
+        mine = (dealt if small else dealt.where(F.col("round") == nth)).select("cell", "key", "ids")
         mine = mine.repartition(max(cells, partitions(spark)), "cell").sortWithinPartitions("cell", "key")
         trained = scratch.save(mine.mapInArrow(_train(shared, nth), kind), f"round{nth}")
         # two steps of sums, so that the driver gets the root of the cells at most
@@ -397,11 +440,12 @@ def lm_scores(docs: DataFrame, vocabulary: str) -> DataFrame:
     order = np.argsort(head)
     head, counts = head[order], counts[order]
     whole = spark.sparkContext.broadcast(_whole(head, counts, min(WHOLE_WORDS, 65_535 - Pieces.shared(vocabulary).size)))
-    gathered = scratch.save(train.mapInArrow(_gather(vocabulary, whole), _GATHERED), "gathered")
+    gathered = train.mapInArrow(_gather(vocabulary, whole), _GATHERED).withColumn("round", F.coalesce(F.pmod("key", F.lit(ROUNDS)), F.lit(-1)).cast("int"))
+    gathered = scratch.save(gathered, "gathered", "round")  # so that a round reads its own documents alone
     id_counts = np.zeros(Pieces.shared(vocabulary).size + len(whole.value))
-    for r in gathered.where("id is not null").groupBy("id").agg(F.sum("c").alias("c")).collect():  # at most one row for each id
+    for r in gathered.where("round < 0").groupBy("id").agg(F.sum("c").alias("c")).collect():  # at most one row for each id
         id_counts[r.id] = r.c
-    model = fit(gathered.where("key is not null").select("key", "ids"), id_counts, scratch)
+    model = fit(gathered.where("round >= 0").select("round", "key", "ids"), id_counts, scratch)
     scratch.drop("gathered")
     shared = spark.sparkContext.broadcast((model, head, counts, total, whole.value))
 

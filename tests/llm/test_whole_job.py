@@ -46,6 +46,42 @@ def test_lm_takes_frequent_words_whole(spark, monkeypatch):
     assert counts[own] == 2 * sum(i < 200 for i in train) and counts.sum() == sum(map(len, texts))
 
 
+def test_lm_rounds_read_their_own_documents(spark, monkeypatch):
+    """The training documents lie by round, all of them once, so that a round doesn't read the others."""
+    from pyspark.sql import functions as F
+
+    kept, fit = [], lm_score.fit
+    monkeypatch.setattr(lm_score, "fit", lambda seq, counts, scratch: kept.extend(seq.withColumn("file", F.input_file_name()).collect()) or fit(seq, counts, scratch))
+    monkeypatch.setattr(lm_score, "FIT_STEPS", 8)
+    docs = spark.createDataFrame([(i, f"word{i} and more") for i in range(300)], "doc_id long, text string")
+    assert lm_score.lm_scores(docs, queries.PIECES).where("score < 0").count() == 300
+    assert len(kept) == sum(zlib.crc32(str(i).encode()) % 7 != 2 for i in range(300)) and len({r.key for r in kept}) == len(kept)
+    assert {r.round for r in kept} == set(range(lm_score.ROUNDS))
+    assert all(r.round == r.key % lm_score.ROUNDS and f"/round={r.round}/" in r.file for r in kept)
+
+
+def test_lm_spells_a_word_once(monkeypatch):
+    """Ids are those of each word by itself, whichever batch a word came in, and a known word isn't spelled again."""
+    import numpy as np
+    import pyarrow as pa
+    from folioscope.llm.wordhash import SPACE_FOLDED, words
+
+    pieces = lm_score.Pieces(lm_score.vocabulary_path(queries.PIECES))
+    monkeypatch.setattr(lm_score.Pieces, "LATE", 20, raising=False)
+    encode, asked = pieces.model.encode, []
+    pieces.model.encode = lambda texts, **kw: asked.extend(texts) or encode(texts, **kw)
+    rng = np.random.default_rng(3)
+    vocabulary = [f"{a}{b}" for a in ("été", "ab", "qzx", "中", "\u200b") for b in ("", "ing", "!", "77")]
+    for _ in range(12):
+        batch = [[vocabulary[k] for k in rng.integers(0, len(vocabulary), n)] + [f"new{rng.integers(10**6)}"] for n in (0, 3, 9)]
+        ids, size, n_tokens, distinct, kind = pieces.stream(words(pa.array([" ".join(t) for t in batch]), SPACE_FOLDED))
+        expected = [x for t in batch for x in [*(encode(w) or [0] for w in t), [pieces.end]]]
+        assert ids.tolist() == [k for x in expected for k in x] and size.tolist() == [len(x) for x in expected] and n_tokens.tolist() == [len(t) + 1 for t in batch]
+        w = words(pa.array([" ".join(t) for t in batch]), SPACE_FOLDED)
+        assert np.array_equal(distinct[kind], np.insert(w.hashes, w.first[1:], lm_score.END_HASH))
+    assert len(asked) == len(set(asked)) and len(pieces.known) > 20
+
+
 def test_pipeline_stages_judge_rows_not_ids(spark, monkeypatch):
     a, b, c, d = (" ".join(f"{x}{k}" for k in range(40)) for x in "abcd")
     docs = spark.createDataFrame([(1, a), (1, b), (2, b), (None, c), (None, c), (None, d), (7, d)], "doc_id long, text string")
