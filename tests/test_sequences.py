@@ -88,3 +88,35 @@ def test_time_anchors_follow_the_words(spark):
     got = spark.createDataFrame([("r", body), ("s", "none")], "record_key string, body string")
     (row,) = accounts.time_anchors(spark.createDataFrame(words, "record_key string, pos int, word string, at double"), got).collect()
     assert [(a.seconds, body[a.offset :].split()[0].strip(",!").lower()) for a in row.anchors if a.seconds in (0.0, 4.0, 11.0)] == [(0.0, "we"), (4.0, "bright"), (11.0, "night")]
+
+
+def test_arrays_of_one_row_need_no_shuffle(spark, monkeypatch):
+    """Rows with repeated and null keys and words, in pieces of few words; the plan has no exchange, and its places are those of the streams' rows."""
+    rng = random.Random(4)
+    texts = [[f"w{rng.randint(0, 90)}" for _ in range(rng.randint(0, 120))] for _ in range(40)]
+    edit = lambda a: [x for w in a for x in rng.choice([[w]] * 9 + [[], ["new", w]])]
+    moved = [f"x{i}" for i in range(40)]
+    rows = [(i // 2 or None, i, a, edit(a)) for i, a in enumerate(texts)] + [(7, 90, ["a", None, "b", "c"], ["z", "b", None, "c"]), (7, 91, None, ["a"]), (7, 92, moved, moved[25:] + moved[:25])]
+    df = spark.createDataFrame(rows, "k int, n int, a array<string>, b array<string>")
+    monkeypatch.setattr(sequences, "WORDS", 300)
+    got = sequences.aligned(df, "a", "b", 4)
+    assert got.columns == ["k", "n", "places"] and "Exchange" not in got._jdf.queryExecution().sparkPlan().toString()
+    found = {r.n: (r.k, [tuple(x) for x in r.places]) for r in got.collect()}
+    assert len(found) == len(rows)
+    for k, n, a, b in rows:
+        mine = found[n][1]
+        assert found[n][0] == k and all(a[i] == b[j] for i, j in mine) and all(x < y and u < v for (x, u), (y, v) in zip(mine, mine[1:], strict=False))
+        assert len(mine) >= longest(a or [], b or []) - (3 if n < 90 else 0)
+    assert found[90][1] == [(2, 1), (3, 3)] and found[91][1] == [] and found[92][1] == [(i, i + 15) for i in range(25)]
+
+
+def test_long_streams_go_by_joins(spark):
+    """Streams beyond the limit and others give the same places together."""
+    rng = random.Random(5)
+    left = {k: [f"w{rng.randint(0, 300)}" for _ in range(60 * (k + 1))] for k in range(3)}
+    rows = lambda side: [(k, 3 * i, w) for k, v in left.items() for i, w in enumerate(v) if side or i % 13]
+    a, b = (spark.createDataFrame(rows(side), "k int, pos int, word string") for side in (0, 1))
+    whole, parted = (sorted(map(tuple, sequences.matched_words(a, b, "k", 4, n).collect())) for n in (sequences.LONG, 100))
+    assert len(whole) == len(parted) == len(rows(0)) and {x[0] for x in parted} == {0, 1, 2}
+    word = {(k, p): w for k, p, w in rows(1)}
+    assert all(word[k, x] == word[k, y] for got in (whole, parted) for k, x, y in got)
