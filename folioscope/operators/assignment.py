@@ -11,11 +11,15 @@ at most all but one of them, so a heaviest assignment can do without the rest.
 A group of at most ``WHOLE_EDGES`` edges that are left is settled by one task. The bidders of a larger one are dealt to blocks of ``BLOCK_EDGES``: in a round each block bids
 until its own bidders are content, each node goes to the highest bid of all blocks, and who was outbid bids again. A bid made at prices that have risen since
 stays a valid one, as risen prices only make the bidder's other choices worse.
+
+Where a score falls with the distance of two values, no candidates are written down (``matches_by_distance``): shortest augmenting paths, one for each node of the
+smaller side, in which a node looks no further than the nearest free node to either side, as whatever lies beyond is worse and no nearer to an end.
 """
 
 from __future__ import annotations
 
 from collections import deque
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -23,6 +27,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .graph import saved
 
@@ -188,3 +194,119 @@ def optimal_matches(candidates: DataFrame, group: str, block_edges: int | None =
     taken = settled.where("owner like 'g%' and node like 'p%'").select(group, plain(F.col("owner")).alias("_gold"), plain(F.col("node")).alias("_predicted"))
     named = best.withColumn("_gold", F.col("gold").cast("string")).withColumn("_predicted", F.col("predicted").cast("string"))
     return out.unionByName(taken.join(named, [group, "_gold", "_predicted"]).select(group, "gold", "predicted", "score"))
+
+
+def nearest_assignment(few: list[np.ndarray], values: np.ndarray, node: np.ndarray, score: Callable[[np.ndarray], np.ndarray], least: float) -> np.ndarray:
+    """The node of each of ``few``, or -1: most pairs, then the highest total of ``score``(distance), which never rises with distance and counts from ``least``.
+
+    ``few`` has the values of each node of the smaller side, mostly one; ``values``, in order, and ``node`` those of the other side. Memory grows with both sides, not with pairs.
+    """
+    n, m, none = len(few), len(values), np.iinfo(np.int64).max
+    pair = max(PAIR, n + 1)  # one more pair is worth more than all scores
+    order = np.argsort(node, kind="stable")
+    begin = np.searchsorted(node[order], np.arange(int(node.max(initial=-1)) + 2))
+    u, v, match, slot = [0] * n, np.zeros(m, np.int64), [-1] * (len(begin) - 1), [-1] * n
+    key, via = np.full(m, none), np.zeros(m, np.int64)
+    # the next free place at or beyond each, with one more at either end
+    above, below = list(range(m + 1)), list(range(m + 1))
+
+    def free(to: list[int], k: int) -> int:
+        end = k
+        while to[end] != end:
+            end = to[end]
+        while to[k] != end:
+            to[k], k = end, to[k]
+        return end
+
+    places = [np.searchsorted(values, x).tolist() for x in few]
+    for start in range(n):
+        i, base, scanned, passed, lo, hi, done = start, 0, [], [], m, 0, None
+        dummy, last = none, -1
+        while True:
+            scanned.append((i, base))
+            if base - u[i] < dummy:
+                dummy, last = base - u[i], i
+            for x, k in zip(few[i].tolist(), places[i], strict=True):
+                a, b = max(free(below, k) - 1, 0), min(free(above, k) + 1, m)
+                s = score(np.abs(values[a:b] - x))
+                cost = base - u[i] - np.floor((pair + s) * 10**DIGITS + 0.5).astype(np.int64) - v[a:b]
+                cost[~(s >= least)] = none
+                nearer = cost < key[a:b]
+                if done is not None:
+                    nearer &= ~done[a:b]
+                key[a:b][nearer], via[a:b][nearer] = cost[nearer], i
+                lo, hi = min(lo, a), max(hi, b)
+            j = lo + int(key[lo:hi].argmin()) if hi > lo else -1
+            end = int(key[j]) if j >= 0 else none
+            if end > dummy:
+                end, j = dummy, -1
+                break
+            if match[node[j]] < 0:
+                break
+            if done is None:
+                done = np.zeros(m, bool)
+            mine = order[begin[node[j]] : begin[node[j] + 1]]
+            passed.append((mine, end, j))
+            key[mine], done[mine] = none, True
+            i, base = match[node[j]], end
+        for i, base in scanned:
+            u[i] += end - base
+        for mine, base, _ in passed:
+            v[mine] -= end - base
+        # along the path each node takes the place it was reached for, back to the one that began
+        if j >= 0:
+            for k in order[begin[node[j]] : begin[node[j] + 1]].tolist():
+                above[k], below[k + 1] = k + 1, k
+            i = int(via[j])
+        else:
+            i = last
+        while True:
+            before, slot[i] = slot[i], j
+            if j >= 0:
+                match[node[j]] = i
+            if i == start:
+                break
+            j = next(q for mine, _, q in passed if node[q] == node[before])
+            i = int(via[j])
+        if hi > lo:
+            key[lo:hi] = none
+            for mine, _, _ in passed:
+                key[mine] = none
+    return np.array([-1 if j < 0 else node[j] for j in slot], np.int64)
+
+
+def _by_distance(group: str, score: Callable[[np.ndarray], np.ndarray], least: float, schema: pa.Schema):
+    def run(golds: pa.Table, predicted: pa.Table) -> pa.Table:
+        if not golds.num_rows or not predicted.num_rows:
+            return schema.empty_table()
+        sides = []
+        for side, name in ((golds, "gold"), (predicted, "predicted")):
+            side = side.sort_by([("at", "ascending"), (name, "ascending")])
+            coded = side.column(name).combine_chunks().dictionary_encode()
+            node, at = np.asarray(coded.indices, np.int64), np.asarray(side.column("at"))
+            by = np.argsort(node, kind="stable")
+            sides.append((coded.dictionary, node, at, np.split(at[by], np.searchsorted(node[by], np.arange(1, len(coded.dictionary))))))
+        turned = len(sides[0][0]) > len(sides[1][0])
+        small, large = sides[::-1] if turned else sides
+        found = nearest_assignment(small[3], large[2], large[1], score, least)
+        mine = np.flatnonzero(found >= 0)
+        scores = [float(score(np.abs(small[3][i][:, None] - large[3][j][None, :])).max()) for i, j in zip(mine.tolist(), found[mine].tolist(), strict=True)]
+        names = [small[0].take(pa.array(mine)), large[0].take(pa.array(found[mine]))]
+        gold, other = names[::-1] if turned else names
+        key = golds.column(group)[0].as_py()
+        return pa.table([pa.array([key] * len(mine), schema.field(0).type), gold, other, pa.array(scores, pa.float64())], schema=schema)
+
+    return run
+
+
+def matches_by_distance(gold: DataFrame, predicted: DataFrame, group: str, score: Callable[[np.ndarray], np.ndarray], least: float) -> DataFrame:
+    """As ``optimal_matches``, where a pair's score is ``score``(distance of their values ``at``), never rising with distance, and those of ``least`` or more are candidates.
+
+    ``gold`` has (group, gold, at), ``predicted`` (group, predicted, at). Rows with a null, and values that are not finite, are no candidates; of an id with many values the best counts. A group's ids
+    and values stand in one task, its pairs nowhere.
+    """
+    side = lambda df, name: df.select(group, name, F.col("at").cast("double").alias("at")).dropna().where("abs(at) < double('Infinity')").distinct()
+    a, b = side(gold, "gold"), side(predicted, "predicted")
+    kinds = dict(a.dtypes) | dict(b.dtypes)
+    shape = StructType([a.schema[group], a.schema["gold"], b.schema["predicted"], StructField("score", DoubleType())])
+    return a.groupBy(group).cogroup(b.groupBy(group)).applyInArrow(_by_distance(group, score, least, to_arrow_schema(shape)), f"{group} {kinds[group]}, gold {kinds['gold']}, predicted {kinds['predicted']}, score double")
