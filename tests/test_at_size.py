@@ -102,3 +102,21 @@ def test_records_are_searched_by_the_batch(spark):
     moved = align.relocated(asked.selectExpr("record_key", "n", "quote", "'p' AS location"), words, False)
     assert "CoGroup" not in moved._jdf.queryExecution().sparkPlan().toString()
     assert {r.n: (r.location, r.state) for r in moved.collect()} == {1: ("char:2-4", "aligned"), 2: ("char:2-2", "aligned"), 3: ("p", "unaligned"), 4: ("p", "unaligned"), 5: ("p", "unaligned")}
+
+
+def test_accounts_are_dealt_out_once_and_pairs_never(spark, monkeypatch):
+    """Whatever the predicted accounts' number, a gold account's row is shuffled once: each part of them is a narrow pass, and the parts make up the whole."""
+    shape = "k int, account_id int, title string, subject string, l0 int, l1 int"
+    g = spark.createDataFrame([(k, i, f"the red house {i % 3}", "x", i, i + 4) for k in (1, 2, None) for i in range(30)], shape)
+    p = spark.createDataFrame([(k, i, f"a red barn {i % 4}", None, i + 2, i + 5) for k in (1, 2, None) for i in range(20)], shape)
+    rows = lambda: sorted(map(tuple, evaluation.account_candidates(g, p, "k").collect()))
+    whole = rows()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = evaluation.account_candidates(g, p, "k")._jdf.queryExecution().sparkPlan().toString()
+        top = plan[: plan.index("RepartitionByExpression" if "RepartitionByExpression" in plan else "Exchange")]
+        assert "SortMergeJoin" not in top and plan.count("BroadcastHashJoin") >= 2
+        monkeypatch.setattr(evaluation, "SENT", 500)
+        assert rows() == whole and len(whole) == 2 * 30 * 20
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
