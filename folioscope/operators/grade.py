@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import starmap
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -17,12 +18,16 @@ from .sweep import both_ends, sums_upto
 FULL = 0.5
 # Line framing that is no text, and what may close a quote.
 _STAMP, _COMMENT, _CLOSING = re.compile(r"^\d\d:\d\d:\d\d\.\d+\s?"), re.compile(r"^<!--.*-->\s*$"), ".,;:!?\"' "
+# white space other than single spaces within the text, and a header
+_UNEVEN = re.compile(r"[^\S ]|  |^ |^#")
 _ANNOTATION = re.compile(r"\{\{[^}]*\}\}")
 _SPANS = "array<struct<start:bigint,end:bigint>>"
 
 
-def search_map(text: str) -> tuple[str, list[int]]:
+def search_map(text: str) -> tuple[str, Sequence[int]]:
     """Lowered text with collapsed white space, without line timestamps, comment lines and headers, and each character's offset in ``text``."""
+    if text.isascii() and not _UNEVEN.search(text) and not _STAMP.match(text) and not _COMMENT.match(text):
+        return text.lower(), range(len(text))  # nothing is collapsed or left out
     out: list[str] = []
     at: list[int] = []
     base = 0
@@ -190,6 +195,70 @@ def grade(records: DataFrame, gold: DataFrame, claims: DataFrame, closures: Data
     return out.withColumn("coref_rate", F.try_divide(F.col("coref_passed").cast("double"), F.col("coref_applicable")))
 
 
+def _norm(quote: str | None) -> str:
+    """As the norm of distinct quotes in ``grade``: lowered, runs of space, tab and line ends collapsed, spaces trimmed."""
+    return re.sub("[ \t\r\n]+", " ", (quote or "").lower()).strip(" ")
+
+
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The union of spans, in order."""
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(x for x in spans if x[1] > x[0]):
+        if out and s <= out[-1][1]:
+            out[-1] = out[-1][0], max(e, out[-1][1])
+        else:
+            out.append((s, e))
+    return out
+
+
+def _figures(body: str | None, gold: list[dict], claims: list[dict]) -> tuple:
+    """The figures of one digest: its record's units (unit_id, parts) and its claims (claim_id, quote) against the text."""
+    search, at = search_map(body or "")
+    parts: dict = {}
+    lost = 0
+    for u in gold:
+        found = part_spans(list(u["parts"] or []), search, at)
+        lost += not found
+        parts.setdefault(u["unit_id"], []).extend(found)
+    located = [quote_spans(c["quote"], search, at) for c in claims]
+    union = _merged([x for _, spans in located for x in spans])
+    covered = lambda s, e: sum(max(0, min(e, y) - max(s, x)) for x, y in union)
+    shares = [sum(starmap(covered, p)) / max(1, sum(e - s for s, e in p)) for p in parts.values() if p]
+    norms = [_norm(c["quote"]) for c in claims]
+    good = [s in ("contiguous", "elided") for s, _ in located]
+    distinct = set(norms) - {""}
+    every = [x for p in parts.values() for x in p]
+    touching = {c["claim_id"] for c, (_, spans) in zip(claims, located, strict=True) if any(max(s, x) < min(e, y) for s, e in spans for x, y in every)}
+    off = sum(g and c["claim_id"] not in touching for g, c in zip(good, claims, strict=True))
+    n = {s: sum(x == s for x, _ in located) for s in ("contiguous", "elided", "reordered", "broken")}
+    fidelity = len({q for q, g in zip(norms, good, strict=True) if g} - {""}) / len(distinct) if distinct else None
+    rate = off / sum(good) if any(good) else None
+    recall = sum(shares) / len(shares) if shares else None
+    return recall, sum(s >= FULL for s in shares), len(shares), lost, len(claims), len(distinct), fidelity, *n.values(), off, rate
+
+
+def grade_in(digests: DataFrame) -> DataFrame:
+    """As ``grade`` without closures, for rows that hold a digest whole: (digest_key, body, gold, claims), arrays of (unit_id, parts) and (claim_id, quote) structs, ids distinct. A narrow map: nothing is shuffled, a text is mapped once.
+
+    Digests without claims have no row, as in ``grade``.
+    """
+    names = {"recall": "double", "fully_covered": "long", "units": "long", "unlocatable_gold": "long", "claims": "long", "distinct_quotes": "long", "fidelity": "double"}
+    names |= dict.fromkeys(("contiguous", "elided", "reordered", "broken", "off_target"), "long") | {"off_target_rate": "double"}
+    kinds = [pa.float64() if x == "double" else pa.int64() for x in names.values()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (piece for batch in batches for piece in pieces(batch, 1)):
+            gold, claims = ([x or [] for x in b.column(k).to_pylist()] for k in (2, 3))
+            mine = [k for k, x in enumerate(claims) if x]
+            bodies = b.column(1).to_pylist()
+            rows = [_figures(bodies[k], gold[k], claims[k]) for k in mine]
+            columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(mine, pa.int64())), *(pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True))], names=["digest_key", *names])
+
+    shape = f"digest_key {dict(digests.dtypes)['digest_key']}, " + ", ".join(f"{c} {kind}" for c, kind in names.items())
+    return digests.select("digest_key", "body", "gold", "claims").mapInArrow(run, shape)
+
+
 def coreference_outcomes(gold: DataFrame, claims: DataFrame, touching: DataFrame, closures: DataFrame) -> DataFrame:
     """(digest_key, unit_id, outcome) of units that lean on others and that some claim covers.
 

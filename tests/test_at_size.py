@@ -142,3 +142,32 @@ def test_claims_beside_their_text_are_relocated_where_they_stand(spark):
 def test_relocation_of_documents_shuffles_nothing(spark, small):
     plan = catalogue.QUERIES["q86_relocated"](spark, small)._jdf.queryExecution().sparkPlan().toString()
     assert "Aggregate" not in plan and "Join" not in plan
+
+
+def test_digests_of_one_row_are_graded_where_they_stand(spark):
+    """The figures of ``grade``, without an exchange: overlapping, repeated, elided, reordered, empty and missing quotes, lost units, missing texts."""
+    import random
+
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(60)]
+    cut = lambda: " ".join(words[(a := rng.randint(0, 50)) : a + rng.randint(1, 12)])
+    quote = lambda: rng.choice([cut(), cut(), f"{cut()} ... {cut()}", "nowhere", "", None, " W3  w4.", "w5"])
+    unit = lambda: rng.choice([[cut()], [cut(), cut()], ["gone"], [], None])
+    bodies = [" ".join(words), "# head\n" + "\n".join(words), "00:00:01.5 " + "  ".join(words), None, ""]
+    rows = [(f"d{k}", rng.choice(bodies[:3] * 3 + bodies[3:]), [(f"u{i}", unit()) for i in range(rng.randint(0, 4))], [(f"c{i}", quote()) for i in range(rng.randint(0, 6))]) for k in range(60)]
+    shape = "digest_key string, body string, gold array<struct<unit_id:string,parts:array<string>>>, claims array<struct<claim_id:string,quote:string>>"
+    df = spark.createDataFrame(rows, shape)
+    mine = grade.grade_in(df)
+    assert "Exchange" not in mine._jdf.queryExecution().sparkPlan().toString()
+    records = df.selectExpr("digest_key AS record_key", "body")
+    whole = grade.grade(records, df.selectExpr("digest_key AS record_key", "inline(gold)"), df.selectExpr("digest_key", "digest_key AS record_key", "inline(claims)"))
+    seen = lambda d: {r.digest_key: tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in d.select(mine.columns).collect()}
+    got, wanted = seen(mine), seen(whole)
+    assert got == wanted and len(got) == sum(bool(r[3]) for r in rows)
+
+
+def test_even_texts_are_mapped_as_others():
+    for text in ("a B c", "a b ", " a", "a  b", "# a", " # a", "a #b", "a\tb", "<!-- x -->", "00:00:01.5 a b", "É a", ""):
+        search, at = grade.search_map(text)
+        long, places = grade.search_map(text + "\né")  # a second line takes the slow way
+        assert long.startswith(search.rstrip()) and list(at)[: len(search.rstrip())] == list(places)[: len(search.rstrip())] and len(at) == len(search)
